@@ -171,14 +171,23 @@ def quarantine_table(classified: DataFrame) -> DataFrame:
     return typed(q, QUARANTINE)
 
 
-def build_star(bronze: DataFrame, categories: DataFrame | None = None) -> StarSchema:
-    """Turn bronze lines (with ``_ord``) into a validated star schema.
+def classify_staged(bronze: DataFrame) -> DataFrame:
+    """Classified lines, checkpointed once.
 
-    The classified frame is checkpointed once: it feeds the quarantine, the
-    three dimensions and the fact, and a lost executor then resumes from
-    the checkpoint instead of re-reading and re-joining the source.
+    The classified frame feeds the quarantine, the three dimensions and the
+    fact (and the checks); a lost executor then resumes from the checkpoint
+    instead of re-reading and re-joining the source.
     """
-    classified = stage(classify(bronze))
+    return stage(classify(bronze))
+
+
+def build_star(bronze: DataFrame, categories: DataFrame | None = None) -> StarSchema:
+    """Turn bronze lines (with ``_ord``) into a validated star schema."""
+    return build_star_from_classified(classify_staged(bronze), categories)
+
+
+def build_star_from_classified(classified: DataFrame,
+                               categories: DataFrame | None = None) -> StarSchema:
     valid = valid_rows(classified)
     dim_product, n_products = build_dim_product(valid, categories)
     dim_customer, n_customers = build_dim_customer(valid)
@@ -193,4 +202,4 @@ def build_star(bronze: DataFrame, categories: DataFrame | None = None) -> StarSc
     )
 
 
-__all__ = ["StarSchema", "build_star", "typed", "REASON"]
+__all__ = ["StarSchema", "build_star", "build_star_from_classified", "classify_staged", "typed", "REASON"]
