@@ -248,3 +248,153 @@ def queries() -> dict[str, QueryFn]:
 
 def oracle_sql() -> dict[str, str]:
     return {name: q.sql for name, q in REGISTRY.items() if q.sql is not None}
+
+
+# ---------------------------------------------------------------------------
+# Data-quality checks and profile (on bronze / raw text)
+# ---------------------------------------------------------------------------
+
+from ..operators import checks as C  # noqa: E402
+from ..operators.profile import column_profile  # noqa: E402
+from ..sources.tables import read_table  # noqa: E402
+
+
+def _suite_query(name: str, build_suite, sql: str):
+    def fn(spark, sf_dir):
+        return build_suite(spark, sf_dir).run(bronze_for(spark, sf_dir))
+    full = (O.BRONZE_CHAIN + ",\n" + sql.lstrip()) if sql.lstrip().startswith("bad AS") else O.on_bronze(sql)
+    register(name, full)(fn)
+
+
+def _sql_not_null(pos: int, col: str, max_frac: float, sev: str) -> str:
+    return f"""
+SELECT {pos} AS position, 'not_null[{col}]' AS name,
+       (CASE WHEN t > 0 THEN n / t ELSE 0.0 END) <= {max_frac!r} AS passed, '{sev}' AS severity,
+       CASE WHEN t > 0 THEN CAST((2 * n * 10000 + t) // (2 * t) AS DOUBLE) / 10000.0 ELSE 0.0 END AS observed,
+       CAST({max_frac!r} AS DOUBLE) AS threshold,
+       CAST(n AS VARCHAR) || '/' || CAST(t AS VARCHAR) || ' rows null in ''{col}''' AS detail
+FROM (SELECT COUNT(*) AS t, COUNT(*) FILTER (WHERE {col} IS NULL) AS n FROM bronze)"""
+
+
+def _sql_non_negative(pos: int, col: str, sev: str) -> str:
+    return f"""
+SELECT {pos} AS position, 'non_negative[{col}]' AS name, neg = 0 AS passed, '{sev}' AS severity,
+       CAST(neg AS DOUBLE) AS observed, CAST(0 AS DOUBLE) AS threshold,
+       CAST(neg AS VARCHAR) || ' negative value(s) in ''{col}''' AS detail
+FROM (SELECT COUNT(*) FILTER (WHERE TRY_CAST(CAST({col} AS VARCHAR) AS DOUBLE) < 0) AS neg FROM bronze)"""
+
+
+def _sql_row_count(pos: int, minimum: int, sev: str) -> str:
+    return f"""
+SELECT {pos} AS position, 'row_count_at_least' AS name, n >= {minimum} AS passed, '{sev}' AS severity,
+       CAST(n AS DOUBLE) AS observed, CAST({minimum} AS DOUBLE) AS threshold,
+       'only ' || CAST(n AS VARCHAR) || ' rows (expected >= {minimum})' AS detail
+FROM (SELECT COUNT(*) AS n FROM bronze)"""
+
+
+def _sql_unique(pos: int, cols: tuple, sev: str) -> str:
+    label = "+".join(cols)
+    keys = ", ".join(cols)
+    return f"""
+SELECT {pos} AS position, 'unique[{label}]' AS name, d = 0 AS passed, '{sev}' AS severity,
+       CAST(d AS DOUBLE) AS observed, CAST(0 AS DOUBLE) AS threshold,
+       CAST(d AS VARCHAR) || ' duplicate row(s) on ({label})' AS detail
+FROM (SELECT COALESCE(SUM(n - 1), 0) AS d FROM (SELECT COUNT(*) AS n FROM bronze GROUP BY {keys}))"""
+
+
+def _union(*parts: str) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+_NOT_NULL_PARAMS = [
+    ("invoice_no", 0.0, C.ERROR), ("stock_code", 0.0, C.ERROR), ("description", 0.0, C.WARNING),
+    ("quantity", 0.05, C.WARNING), ("unit_price", 0.05, C.WARNING), ("invoice_date", 0.0, C.WARNING),
+    ("customer_id", 0.05, C.WARNING), ("country", 0.0, C.ERROR),
+]
+
+_suite_query(
+    "dq_not_null",
+    lambda spark, sf: C.CheckSuite("not_null", [C.not_null(c, m, s) for c, m, s in _NOT_NULL_PARAMS]),
+    _union(*[_sql_not_null(i, c, m, s) for i, (c, m, s) in enumerate(_NOT_NULL_PARAMS, 1)]),
+)
+
+_suite_query(
+    "dq_non_negative",
+    lambda spark, sf: C.CheckSuite("non_negative", [C.non_negative("quantity"),
+                                                   C.non_negative("unit_price", C.WARNING)]),
+    _union(_sql_non_negative(1, "quantity", C.ERROR), _sql_non_negative(2, "unit_price", C.WARNING)),
+)
+
+_UNIQUE_PARAMS = [(("invoice_no", "stock_code", "invoice_date"), C.WARNING),
+                  (("invoice_no", "stock_code"), C.WARNING),
+                  (("customer_id",), C.ERROR)]
+
+_suite_query(
+    "dq_unique",
+    lambda spark, sf: C.CheckSuite("unique", [C.unique(cols, s) for cols, s in _UNIQUE_PARAMS]),
+    _union(*[_sql_unique(i, cols, s) for i, (cols, s) in enumerate(_UNIQUE_PARAMS, 1)]),
+)
+
+_suite_query(
+    "dq_row_count",
+    lambda spark, sf: C.CheckSuite("row_count", [C.row_count_at_least(100),
+                                                C.row_count_at_least(1_000_000, C.WARNING)]),
+    _union(_sql_row_count(1, 100, C.ERROR), _sql_row_count(2, 1_000_000, C.WARNING)),
+)
+
+_suite_query(
+    "dq_suite",
+    lambda spark, sf: C.build_default_suite(),
+    _union(
+        _sql_row_count(1, 100, C.ERROR),
+        _sql_not_null(2, "invoice_no", 0.0, C.ERROR),
+        _sql_not_null(3, "stock_code", 0.0, C.ERROR),
+        _sql_not_null(4, "customer_id", 0.05, C.WARNING),
+        _sql_not_null(5, "unit_price", 0.05, C.WARNING),
+        _sql_non_negative(6, "quantity", C.WARNING),
+        _sql_unique(7, ("invoice_no", "stock_code", "invoice_date"), C.WARNING),
+    ),
+)
+
+
+def _allowed_countries(spark, sf_dir):
+    """Allowed set from the given tables: nations of the first two regions."""
+    return read_table(spark, sf_dir, "nation").where(F.col("n_regionkey") < 2).select("n_name")
+
+
+_suite_query(
+    "dq_in_set",
+    lambda spark, sf: C.CheckSuite("in_set", [C.in_set("country", _allowed_countries(spark, sf))]),
+    f"""
+, bad AS (SELECT DISTINCT country AS value FROM bronze
+          WHERE country IS NOT NULL AND country NOT IN (SELECT n_name FROM nation WHERE n_regionkey < 2)),
+listed AS (SELECT value FROM bad ORDER BY value LIMIT {C.DETAIL_VALUE_LIMIT})
+SELECT 1 AS position, 'in_set[country]' AS name, u = 0 AS passed, 'warning' AS severity,
+       CAST(u AS DOUBLE) AS observed, CAST(0 AS DOUBLE) AS threshold,
+       CASE WHEN u > 0 THEN 'unexpected values: [' ||
+            (SELECT string_agg('''' || value || '''', ', ' ORDER BY value) FROM listed) ||
+            CASE WHEN u > {C.DETAIL_VALUE_LIMIT} THEN ', ... ' || CAST(u - {C.DETAIL_VALUE_LIMIT} AS VARCHAR) || ' more' ELSE '' END
+            || ']' ELSE '' END AS detail
+FROM (SELECT COUNT(*) AS u FROM bad)""".replace("\n, bad AS", "bad AS", 1),
+)
+
+
+def _profile_sql() -> str:
+    parts = []
+    for i, c in enumerate(RAW_COLUMNS, 1):
+        parts.append(f"""
+SELECT {i} AS position, '{c}' AS column,
+       CAST(COUNT(*) FILTER (WHERE v IS NULL) AS BIGINT) AS nulls,
+       CAST(COUNT(DISTINCT v) AS BIGINT) AS distinct_values,
+       CASE WHEN COUNT(*) FILTER (WHERE v IS NOT NULL AND TRY_CAST(v AS DOUBLE) IS NULL) = 0
+                 AND COUNT(v) > 0 THEN MIN(TRY_CAST(v AS DOUBLE)) END AS min,
+       CASE WHEN COUNT(*) FILTER (WHERE v IS NOT NULL AND TRY_CAST(v AS DOUBLE) IS NULL) = 0
+                 AND COUNT(v) > 0 THEN MAX(TRY_CAST(v AS DOUBLE)) END AS max
+FROM (SELECT NULLIF({c}, '') AS v FROM raw)""")
+    return "WITH " + O.RAW + "\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("column_profile", _profile_sql())
+def q_column_profile(spark, sf_dir):
+    apply_defaults(spark)
+    return column_profile(raw_order_lines(spark, sf_dir).select(*RAW_COLUMNS))
