@@ -44,6 +44,9 @@ class StarSchema:
     dim_date: DataFrame
     fact_sales: DataFrame
     quarantine: DataFrame
+    # Valid lines with their ingest ordinal; incremental loads re-key these
+    # straight against the stored dimensions.
+    lines: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         """Warehouse tables only (no quarantine), dimensions first."""
@@ -199,6 +202,7 @@ def build_star_from_classified(classified: DataFrame,
         dim_date=dim_date,
         fact_sales=fact,
         quarantine=quarantine_table(classified),
+        lines=valid,
     )
 
 
