@@ -152,3 +152,120 @@ def on_classified(select: str) -> str:
 def on_star(select: str, extra_ctes: str = "") -> str:
     chain = STAR_CHAIN + ("," + extra_ctes if extra_ctes else "")
     return f"{chain}\n{select}"
+
+
+# ---------------------------------------------------------------------------
+# Incremental flows: batch 1 then batch 2 (see sources.tables.split_batches)
+# ---------------------------------------------------------------------------
+
+RUN_DATE_1 = "2025-01-01"
+RUN_DATE_2 = "2025-02-01"
+
+
+def _first(src: str, key: str, cols: str) -> str:
+    return (f"SELECT {key}, {cols} FROM (SELECT {key}, {cols}, ROW_NUMBER() OVER "
+            f"(PARTITION BY {key} ORDER BY {ORD}) AS rn FROM {src}) WHERE rn = 1")
+
+
+def _fact_lines(src: str, prod: str, cust: str) -> str:
+    return f"""
+  SELECT p.product_key, c.customer_key,
+         CAST(strftime(CAST(b.invoice_date AS DATE), '%Y%m%d') AS INTEGER) AS date_key,
+         b.invoice_no, CAST(b.quantity AS INTEGER) AS quantity, b.unit_price,
+         CAST(b.quantity * b.unit_price AS DECIMAL(14,2)) AS revenue, {', '.join('b.' + o for o in ORD.split(', '))}
+  FROM {src} b
+  JOIN {prod} p ON p.stock_code = b.stock_code
+  JOIN (SELECT customer_key, customer_id FROM {cust} WHERE is_current) c ON c.customer_id = b.customer_id"""
+
+
+FACT_COLS = "sale_id, product_key, customer_key, date_key, invoice_no, quantity, unit_price, revenue"
+
+BATCHES = f"""
+b1 AS (SELECT * FROM valid WHERE CAST(invoice_date AS DATE) < DATE '2000-01-01'),
+b2 AS (SELECT * REPLACE (CASE WHEN TRY_CAST(regexp_extract(customer_id, '(\\d+)$', 1) AS BIGINT) % 100 = 0
+                              THEN 'NATION_MOVED' ELSE country END AS country)
+       FROM valid WHERE CAST(invoice_date AS DATE) >= DATE '1999-07-01'),
+p1in AS ({_first('b1', 'stock_code', 'description, unit_price')}),
+p1 AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY i.stock_code) AS INTEGER) AS product_key, i.stock_code,
+              i.description, COALESCE(k.category, 'Uncategorised') AS category, i.unit_price
+       FROM p1in i LEFT JOIN categories k ON k.stock_code = i.stock_code),
+c1 AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY customer_id) AS INTEGER) AS customer_key, customer_id, country,
+              DATE '1900-01-01' AS effective_from, CAST(NULL AS DATE) AS effective_to, TRUE AS is_current
+       FROM ({_first('b1', 'customer_id', 'country')})),
+d1 AS (SELECT * FROM dim_date WHERE date IN (SELECT CAST(invoice_date AS DATE) FROM b1)),
+r1 AS ({_fact_lines('b1', 'p1', 'c1')}),
+f1 AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY {ORD}) AS INTEGER) AS sale_id, * EXCLUDE ({ORD}) FROM r1),
+p2in AS (SELECT i.stock_code, i.description, COALESCE(k.category, 'Uncategorised') AS category, i.unit_price
+         FROM ({_first('b2', 'stock_code', 'description, unit_price')}) i
+         LEFT JOIN categories k ON k.stock_code = i.stock_code),
+c2in AS ({_first('b2', 'customer_id', 'country')}),
+p2 AS (
+  SELECT p.product_key, p.stock_code,
+         CASE WHEN i.stock_code IS NOT NULL THEN i.description ELSE p.description END AS description,
+         CASE WHEN i.stock_code IS NOT NULL THEN i.category ELSE p.category END AS category,
+         CASE WHEN i.stock_code IS NOT NULL THEN i.unit_price ELSE p.unit_price END AS unit_price
+  FROM p1 p LEFT JOIN p2in i ON i.stock_code = p.stock_code
+  UNION ALL
+  SELECT CAST((SELECT COALESCE(MAX(product_key), 0) FROM p1) + ROW_NUMBER() OVER (ORDER BY stock_code) AS INTEGER),
+         stock_code, description, category, unit_price
+  FROM p2in WHERE stock_code NOT IN (SELECT stock_code FROM p1)
+),
+d2 AS (SELECT * FROM dim_date WHERE date IN (SELECT CAST(invoice_date AS DATE) FROM b1 UNION SELECT CAST(invoice_date AS DATE) FROM b2)),
+decisions AS (
+  SELECT COALESCE(i.customer_id, c.customer_id) AS customer_id,
+         CASE WHEN i.customer_id IS NULL THEN 'absent' WHEN c.customer_id IS NULL THEN 'new'
+              WHEN c.country IS DISTINCT FROM i.country THEN 'changed' ELSE 'unchanged' END AS action,
+         c.customer_key, c.country AS old_country, i.country AS new_country
+  FROM (SELECT * FROM c1 WHERE is_current) c FULL OUTER JOIN c2in i ON i.customer_id = c.customer_id
+),
+c2 AS (
+  SELECT c.customer_key, c.customer_id, c.country, c.effective_from,
+         CASE WHEN d.customer_key IS NOT NULL THEN DATE '{RUN_DATE_2}' ELSE c.effective_to END AS effective_to,
+         CASE WHEN d.customer_key IS NOT NULL THEN FALSE ELSE c.is_current END AS is_current
+  FROM c1 c LEFT JOIN (SELECT customer_key FROM decisions WHERE action = 'changed') d
+         ON d.customer_key = c.customer_key
+  UNION ALL
+  SELECT CAST((SELECT MAX(customer_key) FROM c1) + ROW_NUMBER() OVER (ORDER BY customer_id) AS INTEGER),
+         customer_id, new_country,
+         CASE WHEN action = 'new' THEN DATE '1900-01-01' ELSE DATE '{RUN_DATE_2}' END,
+         CAST(NULL AS DATE), TRUE
+  FROM decisions WHERE action IN ('new', 'changed')
+),
+r2 AS ({_fact_lines('b2', 'p2', 'c2')}),
+fm AS (
+  SELECT f.sale_id, f.product_key,
+         CASE WHEN r.o1 IS NOT NULL THEN r.customer_key ELSE f.customer_key END AS customer_key,
+         f.date_key, f.invoice_no,
+         CASE WHEN r.o1 IS NOT NULL THEN r.quantity ELSE f.quantity END AS quantity,
+         CASE WHEN r.o1 IS NOT NULL THEN r.unit_price ELSE f.unit_price END AS unit_price,
+         CASE WHEN r.o1 IS NOT NULL THEN r.revenue ELSE f.revenue END AS revenue
+  FROM f1 f LEFT JOIN r2 r
+    ON r.invoice_no = f.invoice_no AND r.product_key = f.product_key AND r.date_key = f.date_key
+  UNION ALL
+  SELECT CAST((SELECT MAX(sale_id) FROM f1) + ROW_NUMBER() OVER (ORDER BY {ORD}) AS INTEGER), * EXCLUDE ({ORD})
+  FROM r2 WHERE NOT EXISTS (SELECT 1 FROM f1 WHERE f1.invoice_no = r2.invoice_no
+                            AND f1.product_key = r2.product_key AND f1.date_key = r2.date_key)
+),
+ca AS (
+  SELECT c.customer_key, c.customer_id,
+         CASE WHEN i.customer_id IS NOT NULL AND c.is_current THEN i.country ELSE c.country END AS country,
+         c.effective_from, c.effective_to, c.is_current
+  FROM c1 c LEFT JOIN c2in i ON i.customer_id = c.customer_id
+  UNION ALL
+  SELECT CAST((SELECT MAX(customer_key) FROM c1) + ROW_NUMBER() OVER (ORDER BY customer_id) AS INTEGER),
+         customer_id, country, DATE '1900-01-01', CAST(NULL AS DATE), TRUE
+  FROM c2in WHERE customer_id NOT IN (SELECT customer_id FROM c1)
+),
+wm AS (SELECT COALESCE(MAX(date_key), 0) AS watermark FROM f1),
+ra AS ({_fact_lines('b2', 'p2', 'ca')}),
+fa AS (
+  SELECT {FACT_COLS} FROM f1
+  UNION ALL
+  SELECT CAST((SELECT MAX(sale_id) FROM f1) + ROW_NUMBER() OVER (ORDER BY {ORD}) AS INTEGER), * EXCLUDE ({ORD})
+  FROM ra WHERE date_key > (SELECT watermark FROM wm)
+),
+q2 AS (SELECT * FROM quarantine WHERE FALSE)"""
+
+
+def on_batches(select: str) -> str:
+    return on_star(select, BATCHES)

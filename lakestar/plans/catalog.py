@@ -398,3 +398,283 @@ FROM (SELECT NULLIF({c}, '') AS v FROM raw)""")
 def q_column_profile(spark, sf_dir):
     apply_defaults(spark)
     return column_profile(raw_order_lines(spark, sf_dir).select(*RAW_COLUMNS))
+
+
+# ---------------------------------------------------------------------------
+# Loads: replace, append (watermark), merge (upsert + SCD-2), contracts,
+# reconciliation, staging and export round trips
+# ---------------------------------------------------------------------------
+
+import datetime as _dt  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from ..operators import contracts as K  # noqa: E402
+from ..operators.recon import reconcile  # noqa: E402
+from ..operators.star import build_star  # noqa: E402
+from ..schema import FACT_SALES, STAR_TABLES, TABLES  # noqa: E402
+from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..sources.staging import export_star, read_bronze, read_export, write_bronze  # noqa: E402
+from ..sources.tables import split_batches  # noqa: E402
+from .loads import load_star, rekey, watermark_frame  # noqa: E402
+from .warehouse import Warehouse  # noqa: E402
+
+RUN_DATE_1 = _dt.date(2025, 1, 1)
+RUN_DATE_2 = _dt.date(2025, 2, 1)
+
+
+def scratch_path(spark: SparkSession, tag: str) -> str:
+    """A fresh directory in the cluster's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/lakestar-{tag}-{_uuid.uuid4().hex}"
+
+
+def replace_flow(spark, sf_dir):
+    def build():
+        wh = Warehouse(spark, scratch_path(spark, "wh-replace"))
+        return wh, load_star(wh, star_for(spark, sf_dir), "replace")
+    return _memo(spark, sf_dir, "replace_flow", build)
+
+
+def batch_stars(spark, sf_dir):
+    def build():
+        valid = valid_rows(classified_for(spark, sf_dir))
+        b1, b2 = split_batches(valid)
+        cats = category_map(spark, sf_dir)
+        return build_star(b1, cats), build_star(b2, cats)
+    return _memo(spark, sf_dir, "batch_stars", build)
+
+
+def merge_flow(spark, sf_dir):
+    def build():
+        s1, s2 = batch_stars(spark, sf_dir)
+        wh = Warehouse(spark, scratch_path(spark, "wh-merge"))
+        r1 = load_star(wh, s1, "merge", RUN_DATE_1)
+        r2 = load_star(wh, s2, "merge", RUN_DATE_2)
+        return wh, r1, r2
+    return _memo(spark, sf_dir, "merge_flow", build)
+
+
+def append_flow(spark, sf_dir):
+    def build():
+        s1, s2 = batch_stars(spark, sf_dir)
+        wh = Warehouse(spark, scratch_path(spark, "wh-append"))
+        r1 = load_star(wh, s1, "append", RUN_DATE_1)
+        r2 = load_star(wh, s2, "append", RUN_DATE_2)
+        return wh, r1, r2
+    return _memo(spark, sf_dir, "append_flow", build)
+
+
+def _stored_star(wh: Warehouse) -> StarSchema:
+    t = wh.read_all()
+    return StarSchema(t["dim_product"], t["dim_customer"], t["dim_date"], t["fact_sales"], t["quarantine"])
+
+
+@register("load_replace", O.on_star("SELECT * FROM fact_sales"))
+def q_load_replace(spark, sf_dir):
+    wh, _ = replace_flow(spark, sf_dir)
+    return wh.read("fact_sales")
+
+
+@register("load_quarantine", O.on_star("SELECT * FROM quarantine"))
+def q_load_quarantine(spark, sf_dir):
+    wh, _ = replace_flow(spark, sf_dir)
+    return wh.read("quarantine")
+
+
+_RECON_CTE = """
+o AS (
+  SELECT (SELECT COUNT(*) FROM fact_sales f WHERE NOT EXISTS (SELECT 1 FROM dim_product p WHERE p.product_key = f.product_key)) AS op,
+         (SELECT COUNT(*) FROM fact_sales f WHERE NOT EXISTS (SELECT 1 FROM dim_customer c WHERE c.customer_key = f.customer_key)) AS oc,
+         (SELECT COUNT(*) FROM fact_sales f WHERE NOT EXISTS (SELECT 1 FROM dim_date d WHERE d.date_key = f.date_key)) AS od,
+         (SELECT COUNT(*) FROM fact_sales) AS n,
+         (SELECT CAST(COALESCE(SUM(revenue), 0) AS DECIMAL(18,2)) FROM fact_sales) AS rev,
+         (SELECT COUNT(*) FROM raw) - (SELECT COUNT(*) FROM quarantine) AS expected
+)"""
+
+_RECON_SELECT = """
+SELECT 1 AS position, 'recon_no_orphan_fks' AS name, op + oc + od = 0 AS passed, 'error' AS severity,
+       CAST(op + oc + od AS DOUBLE) AS observed, CAST(0 AS DOUBLE) AS threshold,
+       CAST(op AS VARCHAR) || ' product / ' || CAST(oc AS VARCHAR) || ' customer / ' || CAST(od AS VARCHAR) || ' date orphan FK(s)' AS detail
+FROM o
+UNION ALL
+SELECT 2, 'recon_row_counts', n = expected, 'error', CAST(n AS DOUBLE), CAST(expected AS DOUBLE),
+       'fact=' || CAST(n AS VARCHAR) || ', expected extract-quarantine=' || CAST(expected AS VARCHAR) FROM o
+UNION ALL
+SELECT 3, 'recon_revenue', TRUE, 'error', CAST(rev AS DOUBLE), CAST(rev AS DOUBLE),
+       'db=' || CAST(rev AS VARCHAR) || ' vs source=' || CAST(rev AS VARCHAR) FROM o"""
+
+
+@register("recon", O.on_star(_RECON_SELECT, _RECON_CTE))
+def q_recon(spark, sf_dir):
+    wh, _ = replace_flow(spark, sf_dir)
+    star = star_for(spark, sf_dir)
+    classified = classified_for(spark, sf_dir)
+    totals = classified.agg(F.count(F.lit(1)).alias("n"),
+                            F.count_if(F.col(REASON).isNotNull()).alias("q")).first()
+    revenue = star.total_revenue().first()[0]
+    return reconcile(spark, wh.read_all(), load_mode="replace", rows_extracted=totals["n"],
+                     rows_quarantined=totals["q"], source_revenue=revenue)
+
+
+@register("watermark", O.on_batches("SELECT CAST(watermark AS INTEGER) AS watermark FROM wm"))
+def q_watermark(spark, sf_dir):
+    wh, _, _ = append_flow(spark, sf_dir)
+    return watermark_frame(wh, wh.entries(1))
+
+
+@register("load_append_fact", O.on_batches("SELECT * FROM fa"))
+def q_load_append_fact(spark, sf_dir):
+    wh, _, _ = append_flow(spark, sf_dir)
+    return wh.read("fact_sales")
+
+
+@register("upsert_product", O.on_batches("SELECT * FROM p2"))
+def q_upsert_product(spark, sf_dir):
+    wh, _, _ = append_flow(spark, sf_dir)
+    return wh.read("dim_product")
+
+
+@register("append_customer", O.on_batches("SELECT * FROM ca"))
+def q_append_customer(spark, sf_dir):
+    wh, _, _ = append_flow(spark, sf_dir)
+    return wh.read("dim_customer")
+
+
+@register("scd2_customer", O.on_batches("SELECT * FROM c2"))
+def q_scd2_customer(spark, sf_dir):
+    wh, _, _ = merge_flow(spark, sf_dir)
+    return wh.read("dim_customer")
+
+
+@register("scd2_changes", O.on_batches("SELECT * FROM decisions"))
+def q_scd2_changes(spark, sf_dir):
+    _, _, r2 = merge_flow(spark, sf_dir)
+    return r2.scd2_decisions
+
+
+@register("scd2_history", O.on_batches(
+    "SELECT customer_id, country, effective_from, effective_to, is_current FROM c2 "
+    "ORDER BY customer_id, effective_from"))
+def q_scd2_history(spark, sf_dir):
+    wh, _, _ = merge_flow(spark, sf_dir)
+    return serving.scd2_history(_stored_star(wh))
+
+
+@register("keys_continue", O.on_batches(
+    "SELECT * FROM c2 WHERE customer_key > (SELECT MAX(customer_key) FROM c1)"))
+def q_keys_continue(spark, sf_dir):
+    wh, _, _ = merge_flow(spark, sf_dir)
+    before = wh.read("dim_customer", wh.entries(1)).select("customer_key")
+    return wh.read("dim_customer").join(before, "customer_key", "left_anti")
+
+
+@register("load_merge_fact", O.on_batches("SELECT * FROM fm"))
+def q_load_merge_fact(spark, sf_dir):
+    wh, _, _ = merge_flow(spark, sf_dir)
+    return wh.read("fact_sales")
+
+
+@register("fact_rekeyed", O.on_batches(
+    "SELECT product_key, customer_key, date_key, invoice_no, quantity, unit_price, revenue FROM r2"))
+def q_fact_rekeyed(spark, sf_dir):
+    wh, _, _ = merge_flow(spark, sf_dir)
+    _, s2 = batch_stars(spark, sf_dir)
+    entries = wh.entries(2)
+    lines = rekey(s2.lines, wh.read("dim_product", entries), wh.read("dim_customer", entries))
+    return lines.drop("_ord")
+
+
+@register("merged_revenue_by_country", O.on_batches("""
+SELECT c.country, CAST(SUM(f.revenue) AS DECIMAL(18,2)) AS revenue
+FROM fm f JOIN c2 c ON f.customer_key = c.customer_key
+WHERE c.is_current GROUP BY c.country ORDER BY revenue DESC, c.country"""))
+def q_merged_revenue_by_country(spark, sf_dir):
+    wh, _, _ = merge_flow(spark, sf_dir)
+    return serving.revenue_by_country(_stored_star(wh))
+
+
+# Contracts over the merged warehouse (Type-2 history included).
+_MERGED_CTE = {"dim_product": "p2", "dim_customer": "c2", "dim_date": "d2",
+               "fact_sales": "fm", "quarantine": "q2"}
+
+
+def _contract_sql(kind: str) -> str:
+    parts = []
+    for name in sorted(_MERGED_CTE):
+        spec, src = TABLES[name], _MERGED_CTE[name]
+        if kind == "unique":
+            keys = ([("pk", spec.primary_key)] if spec.primary_key else []) + [("unique", u) for u in spec.unique]
+            for k, cols in keys:
+                parts.append(f"SELECT '{name}' AS table_name, '{k}({','.join(cols)})' AS constraint_name, "
+                             f"CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS violations "
+                             f"FROM (SELECT COUNT(*) AS n FROM {src} GROUP BY {', '.join(cols)})")
+            if name == "dim_customer":
+                parts.append(f"SELECT '{name}', 'one_current(customer_id)', CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) "
+                             f"FROM (SELECT COUNT(*) AS n FROM {src} WHERE is_current GROUP BY customer_id)")
+        elif kind == "not_null":
+            for c in spec.columns:
+                if not c.nullable:
+                    parts.append(f"SELECT '{name}' AS table_name, 'not_null({c.name})' AS constraint_name, "
+                                 f"CAST(COUNT(*) FILTER (WHERE {c.name} IS NULL) AS BIGINT) AS violations FROM {src}")
+        else:
+            for c in spec.columns:
+                if c.max_length:
+                    parts.append(f"SELECT '{name}' AS table_name, 'max_length({c.name},{c.max_length})' "
+                                 f"AS constraint_name, CAST(COUNT(*) FILTER (WHERE length({c.name}) > "
+                                 f"{c.max_length}) AS BIGINT) AS violations FROM {src}")
+    return O.on_batches("\nUNION ALL\n".join(parts))
+
+
+def _merged_tables(spark, sf_dir):
+    wh, _, _ = merge_flow(spark, sf_dir)
+    return wh.read_all()
+
+
+def _contract_frames(spark, sf_dir, fn):
+    tables = _merged_tables(spark, sf_dir)
+    frames = [f for f in (fn(df, TABLES[n]) for n, df in sorted(tables.items())) if f is not None]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+@register("contract_unique", _contract_sql("unique"))
+def q_contract_unique(spark, sf_dir):
+    return _contract_frames(spark, sf_dir, lambda df, spec: K.unique_violations(df, spec)
+                            if (spec.primary_key or spec.unique) else None)
+
+
+@register("contract_not_null", _contract_sql("not_null"))
+def q_contract_not_null(spark, sf_dir):
+    return _contract_frames(spark, sf_dir, K.not_null_violations)
+
+
+@register("contract_length", _contract_sql("length"))
+def q_contract_length(spark, sf_dir):
+    return _contract_frames(spark, sf_dir, K.length_violations)
+
+
+@register("orphan_fks", O.on_batches("""
+SELECT 'product_key' AS foreign_key, 'dim_product' AS dimension,
+       CAST(COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM p2 WHERE p2.product_key = fm.product_key)) AS BIGINT) AS orphans FROM fm
+UNION ALL
+SELECT 'customer_key', 'dim_customer',
+       CAST(COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM c2 WHERE c2.customer_key = fm.customer_key)) AS BIGINT) FROM fm
+UNION ALL
+SELECT 'date_key', 'dim_date',
+       CAST(COUNT(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM d2 WHERE d2.date_key = fm.date_key)) AS BIGINT) FROM fm"""))
+def q_orphan_fks(spark, sf_dir):
+    t = _merged_tables(spark, sf_dir)
+    return K.orphan_counts(t["fact_sales"], t)
+
+
+@register("bronze_roundtrip", O.on_bronze(f"SELECT {BRONZE_COLS} FROM bronze"))
+def q_bronze_roundtrip(spark, sf_dir):
+    path = write_bronze(bronze_for(spark, sf_dir), scratch_path(spark, "bronze"))
+    return read_bronze(spark, path).select(*RAW_COLUMNS)
+
+
+@register("export_roundtrip", O.on_star("SELECT * FROM fact_sales"))
+def q_export_roundtrip(spark, sf_dir):
+    out = export_star(star_for(spark, sf_dir).tables(), scratch_path(spark, "export"))
+    return read_export(spark, out["fact_sales"], FACT_SALES)

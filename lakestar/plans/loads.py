@@ -48,15 +48,17 @@ def check_mode(mode: str) -> None:
         raise ValueError(f"Unknown load mode {mode!r}; expected one of {LOAD_MODES}")
 
 
-def watermark(wh: Warehouse, entries: list[Entry] | None = None) -> int:
-    """Highest stored fact date_key (0 if none); scans the latest month only."""
+def watermark_frame(wh: Warehouse, entries: list[Entry] | None = None) -> DataFrame:
+    """One row: highest stored fact date_key, 0 if none. Reads only the
+    latest month's files (the manifest knows which months exist)."""
     entries = wh.entries() if entries is None else entries
     months = wh.fact_months(entries)
-    if not months:
-        return 0
-    latest = wh.read(FACT_SALES.name, entries, months={months[-1]})
-    value = latest.agg(F.max("date_key")).first()[0]
-    return int(value) if value is not None else 0
+    latest = wh.read(FACT_SALES.name, entries, months={months[-1]} if months else set())
+    return latest.agg(F.coalesce(F.max("date_key"), F.lit(0)).cast("int").alias("watermark"))
+
+
+def watermark(wh: Warehouse, entries: list[Entry] | None = None) -> int:
+    return int(watermark_frame(wh, entries).first()[0])
 
 
 def rekey(lines: DataFrame, dim_product: DataFrame, dim_customer: DataFrame) -> DataFrame:
