@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 
 from ..schema import MONEY, NA_TOKENS
 
-# Unicode-wide whitespace, as a Python ``str.strip()`` sees it: Java's
-# Unicode ``\s`` plus the four ASCII information separators.
-_WS = r"[\s\x{1c}-\x{1f}]"
-_TRIM_PATTERN = rf"(?U)^{_WS}+|{_WS}+$"
+# The characters a Unicode-aware ``strip()`` removes
+# (tab..carriage return, the four information separators, space, NEL,
+# no-break space, ogham space, en quad..hair space, line and paragraph
+# separators, narrow no-break space, medium math space, ideographic space).
+UNICODE_WHITESPACE = (
+    "\u0009\u000a\u000b\u000c\u000d\u001c\u001d\u001e\u001f\u0020"
+    "\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Accepted date text: ISO date, optionally with an ISO time of day.
 ISO_DATETIME_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
@@ -28,10 +33,15 @@ def na_to_null(c: Column) -> Column:
     return F.when(~c.isin(*NA_TOKENS), c)
 
 
+def unicode_trim(c: Column) -> Column:
+    """Strip Unicode whitespace at both ends (``btrim`` with a fixed set:
+    a character scan, no regular expression)."""
+    return F.btrim(c, F.lit(UNICODE_WHITESPACE))
+
+
 def trim_to_null(c: Column) -> Column:
     """Strip Unicode whitespace at both ends; empty becomes null."""
-    stripped = F.regexp_replace(c, _TRIM_PATTERN, "")
-    return F.when(stripped != "", stripped)
+    return F.nullif(unicode_trim(c), F.lit(""))
 
 
 def to_whole_number(c: Column) -> Column:
@@ -63,5 +73,5 @@ def to_iso_timestamp(c: Column) -> Column:
     ("2025", "2025-1-1", "Jan 1 2025"); ``try_cast`` rejects impossible
     calendar dates such as 2025-02-30.
     """
-    text = F.regexp_replace(c, _TRIM_PATTERN, "")
+    text = unicode_trim(c)
     return F.when(text.rlike(ISO_DATETIME_PATTERN), text.try_cast("timestamp_ntz"))

@@ -44,8 +44,12 @@ def dense_number(df: DataFrame, order_by: list, name: str, *, start: int = 1,
     the checkpoint) and its row count.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).persist()
+    # Persist first so the checkpoint job writes the cached partitions
+    # instead of recomputing the range shuffle.
+    checkpointed = ranged.checkpoint(eager=True)
+    ranged.unpersist()
+    ranged = checkpointed
     counts = {
         r["pid"]: r["n"]
         for r in ranged.groupBy(F.spark_partition_id().alias("pid"))

@@ -37,6 +37,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer partitions than the cluster has
+    cores (a small file with few row groups); large inputs already split
+    into many partitions and pass through without a shuffle."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def _text(c: Column) -> Column:
     return c.cast("string")
 
@@ -48,8 +56,8 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixed 25 rows, so it is broadcast; the other joins are left to the
     planner (broadcast by size statistics when small, sort-merge otherwise).
     """
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
+    li = spread(read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"))
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
