@@ -41,7 +41,8 @@ def duplicate_flags(bronze: DataFrame, grain=LINE_GRAIN, ord_col: str = "_ord")
     # min over the ordinal of rows inside duplicated grains only (small).
     firsts = in_dup_groups.groupBy(*[F.col(c).alias(f"_g_{c}") for c in grain]).agg(
         F.min(ord_col).alias("_first_ord")
-    )
+    ).persist()  # computed once, reused by every consumer of the flags
+    # At most one row per duplicated grain: the measured bound holds.
     firsts = maybe_broadcast(firsts, n_dup_keys)
     flagged = bronze.join(firsts, null_safe_on(bronze, firsts, grain, gcols), "left")
     is_dup = F.col("_first_ord").isNotNull() & (F.col(ord_col) != F.col("_first_ord"))

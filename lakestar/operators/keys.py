@@ -9,6 +9,9 @@ through one task. Instead (two passes, like ``zipWithIndex``):
 3. count rows per partition -> running offsets (one row per partition is
    the only thing that reaches the driver),
 4. number = partition offset + position inside the partition.
+
+Frames under a measured row bound skip the two passes and are numbered by a
+single sorted window (bounded work in one task).
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -35,20 +38,39 @@ def _position_in_partition() -> Column:
     return F.monotonically_increasing_id() - F.shiftleft(pid, _ROW_BITS)
 
 
+# Frames up to this many rows are numbered by one sorted window in a single
+# task (the bound is measured first, like a checked broadcast); larger ones
+# take the two-pass range numbering. ``spark.lakestar.singleTaskNumberingMaxRows``
+# overrides it.
+SINGLE_TASK_MAX_ROWS = 100_000
+
+
+def _single_task_max_rows(df: DataFrame) -> int:
+    value = df.sparkSession.conf.get("spark.lakestar.singleTaskNumberingMaxRows", None)
+    return int(value) if value else SINGLE_TASK_MAX_ROWS
+
+
 def dense_number(df: DataFrame, order_by: list, name: str, *, start: int = 1,
                  dtype: str = "int") -> Numbered:
     """Append ``name`` = start, start+1, ... in ``order_by`` order.
 
-    ``order_by`` must be a total order (unique); ties would be numbered in
-    an arbitrary but consistent order. Returns the numbered frame (read from
-    the checkpoint) and its row count.
+    ``order_by`` must be a total order (unique), so the numbering is the
+    same on any recomputation. Returns the numbered frame and its row count.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).persist()
+    src = df.persist()
+    total = src.count()  # materialises the input once for both passes
+    if total <= _single_task_max_rows(df):
+        # Bounded: at most the threshold's rows pass through one task.
+        w = Window.orderBy(*order_by)
+        numbered = src.withColumn(name, (F.row_number().over(w) + F.lit(start - 1)).cast(dtype))
+        return Numbered(numbered.persist(), total)
+    ranged = src.repartitionByRange(*order_by).sortWithinPartitions(*order_by).persist()
     # Persist first so the checkpoint job writes the cached partitions
     # instead of recomputing the range shuffle.
     checkpointed = ranged.checkpoint(eager=True)
     ranged.unpersist()
+    src.unpersist()
     ranged = checkpointed
     counts = {
         r["pid"]: r["n"]
@@ -59,13 +81,12 @@ def dense_number(df: DataFrame, order_by: list, name: str, *, start: int = 1,
     n_parts = max(counts) + 1 if counts else 0
     sizes = [counts.get(p, 0) for p in range(n_parts)]
     offsets = [0] + list(accumulate(sizes))[:-1]
-    total = sum(sizes)
     if n_parts == 0:
         return Numbered(ranged.withColumn(name, F.lit(None).cast(dtype)), 0)
     offset_map = F.create_map(*[x for p, o in enumerate(offsets) for x in (F.lit(p), F.lit(o))])
     offset = F.element_at(offset_map, F.spark_partition_id())
     number = (offset + _position_in_partition() + F.lit(start)).cast(dtype)
-    return Numbered(ranged.withColumn(name, number), total)
+    return Numbered(ranged.withColumn(name, number), sum(sizes))
 
 
 def continue_numbering(new_members: DataFrame, order_by: list, name: str,

@@ -48,6 +48,8 @@ class StarSchema:
     # Valid lines with their ingest ordinal; incremental loads re-key these
     # straight against the stored dimensions.
     lines: DataFrame | None = None
+    # Row counts already known from building (no extra job to ask again).
+    known_rows: dict | None = None
 
     def tables(self) -> dict[str, DataFrame]:
         """Warehouse tables only (no quarantine), dimensions first."""
@@ -171,10 +173,10 @@ def fact_columns(lines: DataFrame) -> DataFrame:
 
 
 def build_fact(valid: DataFrame, dim_product: DataFrame, n_products: int,
-               dim_customer: DataFrame, n_customers: int) -> DataFrame:
+               dim_customer: DataFrame, n_customers: int):
     lines = fact_columns(resolve_keys(valid, dim_product, n_products, dim_customer, n_customers))
     numbered = dense_number(lines, ["_ord"], "sale_id")
-    return typed(numbered.df, FACT_SALES)
+    return typed(numbered.df, FACT_SALES), numbered.rows
 
 
 def quarantine_table(classified: DataFrame) -> DataFrame:
@@ -182,6 +184,11 @@ def quarantine_table(classified: DataFrame) -> DataFrame:
     return typed(q, QUARANTINE)
 
 
+def stage_bronze(bronze: DataFrame) -> DataFrame:
+    """Bronze written once (the expensive text coercion runs once)."""
+    return stage(bronze, "bronze")
+
+
 def classify_staged(bronze: DataFrame) -> DataFrame:
     """Classified lines over bronze staged once as Parquet.
 
@@ -190,7 +197,7 @@ def classify_staged(bronze: DataFrame) -> DataFrame:
     fact all scan the staged copy. Classification itself is narrow work
     plus a join against the (small, measured) set of duplicated grains.
     """
-    return classify(stage(bronze, "bronze"))
+    return classify(stage_bronze(bronze))
 
 
 def build_star(bronze: DataFrame, categories: DataFrame | None = None) -> StarSchema:
@@ -204,7 +211,7 @@ def build_star_from_classified(classified: DataFrame,
     dim_product, n_products = build_dim_product(valid, categories)
     dim_customer, n_customers = build_dim_customer(valid)
     dim_date = build_dim_date(valid)
-    fact = build_fact(valid, dim_product, n_products, dim_customer, n_customers)
+    fact, n_fact = build_fact(valid, dim_product, n_products, dim_customer, n_customers)
     return StarSchema(
         dim_product=dim_product,
         dim_customer=dim_customer,
@@ -212,6 +219,7 @@ def build_star_from_classified(classified: DataFrame,
         fact_sales=fact,
         quarantine=quarantine_table(classified),
         lines=valid,
+        known_rows={"dim_product": n_products, "dim_customer": n_customers, "fact_sales": n_fact},
     )
 
 

@@ -18,7 +18,8 @@ from .. import oracle as O
 from ..operators import serving
 from ..operators.bronze import to_bronze, with_na_tokens
 from ..operators.classify import REASON, duplicate_flags, quarantine_rows, valid_rows
-from ..operators.star import StarSchema, build_star_from_classified, classify_staged
+from ..operators.classify import classify
+from ..operators.star import StarSchema, build_star_from_classified, stage_bronze
 from ..schema import RAW_COLUMNS
 from ..session import apply_defaults
 from ..sources.tables import category_map, raw_order_lines
@@ -61,9 +62,13 @@ def bronze_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_bronze(raw_order_lines(spark, sf_dir))
 
 
+def staged_bronze_for(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _memo(spark, sf_dir, "staged_bronze", lambda: stage_bronze(bronze_for(spark, sf_dir)))
+
+
 def classified_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo(spark, sf_dir, "classified",
-                 lambda: classify_staged(bronze_for(spark, sf_dir)))
+                 lambda: classify(staged_bronze_for(spark, sf_dir)))
 
 
 def star_for(spark: SparkSession, sf_dir: str) -> StarSchema:
@@ -261,7 +266,7 @@ from ..sources.tables import read_table  # noqa: E402
 
 def _suite_query(name: str, build_suite, sql: str):
     def fn(spark, sf_dir):
-        return build_suite(spark, sf_dir).run(bronze_for(spark, sf_dir))
+        return build_suite(spark, sf_dir).run(staged_bronze_for(spark, sf_dir))
     full = (O.BRONZE_CHAIN + ",\n" + sql.lstrip()) if sql.lstrip().startswith("bad AS") else O.on_bronze(sql)
     register(name, full)(fn)
 

@@ -2,7 +2,7 @@
 
 Layout under ``root`` (any Hadoop-compatible path)::
 
-    _manifest/version=N/part-*.json   one row per (table, month_key, path)
+    _manifest/version=N/part-*.parquet one row per (table, month_key, path)
     <table>/v=N/...                    parquet written by version N
     fact_sales/v=N/month_key=YYYYMM/   fact partitioned by month
     pipeline_runs/                     append-only run history
@@ -38,6 +38,7 @@ MANIFEST_SCHEMA = StructType([
 ])
 _READ_SCHEMA = StructType(MANIFEST_SCHEMA.fields + [StructField("version", IntegerType(), True)])
 _MONTH_DIR = re.compile(r"month_key=(\d+)")
+_VERSION_DIR = re.compile(r"version=(\d+)")
 
 
 @dataclass(frozen=True)
@@ -56,37 +57,42 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._entry_cache: dict[int, list[Entry]] = {}
 
     # -- manifest ---------------------------------------------------------
-    def _manifests(self) -> DataFrame | None:
+    def _published_versions(self) -> list[int]:
+        """Versions with a committed manifest (a file listing, no job)."""
         try:
-            return self.spark.read.schema(_READ_SCHEMA).json(f"{self.root}/{MANIFEST_DIR}")
+            files = self.spark.read.schema(_READ_SCHEMA).parquet(f"{self.root}/{MANIFEST_DIR}").inputFiles()
         except AnalysisException as exc:
             if _missing(exc):
-                return None
+                return []
             raise
+        return sorted({int(m.group(1)) for f in files if (m := _VERSION_DIR.search(f))})
 
     def version(self) -> int:
         """Latest published version; 0 for an empty warehouse."""
-        m = self._manifests()
-        if m is None:
-            return 0
-        v = m.agg(F.max("version")).first()[0]
-        return int(v) if v is not None else 0
+        versions = self._published_versions()
+        return versions[-1] if versions else 0
 
     def entries(self, version: int | None = None) -> list[Entry]:
-        """Manifest rows of a version: one per table, one per fact month."""
+        """Manifest rows of a version: one per table, one per fact month.
+
+        A published manifest never changes, so it is read once per version.
+        """
         v = self.version() if version is None else version
         if v == 0:
             return []
-        m = self._manifests()
-        rows = m.where(F.col("version") == v).select("table_name", "month_key", "path").collect()
-        return [Entry(r.table_name, r.month_key, r.path) for r in rows]
+        if v not in self._entry_cache:
+            path = f"{self.root}/{MANIFEST_DIR}/version={v}"
+            rows = self.spark.read.schema(MANIFEST_SCHEMA).parquet(path).collect()
+            self._entry_cache[v] = [Entry(r.table_name, r.month_key, r.path) for r in rows]
+        return list(self._entry_cache[v])
 
     def publish(self, version: int, entries: list[Entry]) -> None:
         rows = [(e.table_name, e.month_key, e.path) for e in entries]
         df = self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
-        df.coalesce(1).write.mode("errorifexists").json(f"{self.root}/{MANIFEST_DIR}/version={version}")
+        df.coalesce(1).write.mode("errorifexists").parquet(f"{self.root}/{MANIFEST_DIR}/version={version}")
 
     # -- tables -----------------------------------------------------------
     def empty(self, spec: TableSpec) -> DataFrame:
