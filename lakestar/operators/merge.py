@@ -25,13 +25,16 @@ def max_key(df: DataFrame, key: str) -> int:
 
 
 def upsert(stored: DataFrame, incoming: DataFrame, natural_key: list[str],
-           surrogate: str | None = None, columns: list[str] | None = None):
+           surrogate: str | None = None, columns: list[str] | None = None,
+           incoming_rows: int | None = None):
     """Insert-or-update on ``natural_key``.
 
     Matched rows take every supplied non-key, non-surrogate column from
     ``incoming`` and keep their surrogate; unmatched incoming rows are
-    inserted, numbered max+1.. in natural-key order. Returns
-    (next table contents, inserted count, updated count).
+    inserted, numbered max+1.. in natural-key order. ``incoming`` must be
+    unique on the natural key (dimensions are). Returns (next table
+    contents, inserted count, updated count); ``incoming_rows``, when known,
+    saves counting.
     """
     columns = columns or stored.columns
     supplied = [c for c in incoming.columns if c in columns and c not in natural_key and c != surrogate]
@@ -43,13 +46,14 @@ def upsert(stored: DataFrame, incoming: DataFrame, natural_key: list[str],
         F.coalesce(F.col("_hit"), F.lit(False)).alias("_hit"),
     )
     new = incoming.join(stored.select(*natural_key), natural_key, "left_anti")
-    n_updated = updated.where(F.col("_hit")).count()
     updated = updated.drop("_hit")
     if surrogate is not None:
         numbered = continue_numbering(new, list(natural_key), surrogate, max_key(stored, surrogate))
         new_rows, n_new = numbered.df, numbered.rows
     else:
         new_rows, n_new = new, new.count()
+    n_in = incoming.count() if incoming_rows is None else incoming_rows
+    n_updated = n_in - n_new
     new_rows = new_rows.select(*[F.col(c) if c in new_rows.columns else F.lit(None).alias(c)
                                  for c in columns])
     return updated.unionByName(new_rows), n_new, n_updated
@@ -127,7 +131,8 @@ def overwrite_current(stored: DataFrame, incoming: DataFrame):
     return updated.unionByName(numbered.df.select(*updated.columns)), numbered.rows
 
 
-def merge_facts(stored: DataFrame, batch: DataFrame, natural_key: list[str], max_sale_id: int):
+def merge_facts(stored: DataFrame, batch: DataFrame, natural_key: list[str], max_sale_id: int,
+                batch_rows: int | None = None):
     """Upsert fact lines on the natural key within the affected months.
 
     Matched stored rows keep sale_id and take the batch's customer_key,
@@ -143,8 +148,9 @@ def merge_facts(stored: DataFrame, batch: DataFrame, natural_key: list[str], max
           else F.col(c) for c in ("customer_key", "date_key", "invoice_no", "quantity", "unit_price", "revenue")],
         F.coalesce(F.col("_hit"), F.lit(False)).alias("_hit"),
     )
-    n_updated = updated.where(F.col("_hit")).count()
     new = batch.join(stored.select(*natural_key), natural_key, "left_anti")
     numbered = continue_numbering(new, ["_ord"], "sale_id", max_sale_id)
+    # The batch is unique on the natural key: every line either matched or is new.
+    n_updated = (batch.count() if batch_rows is None else batch_rows) - numbered.rows
     cols = ["sale_id", "product_key", "customer_key", "date_key", "invoice_no", "quantity", "unit_price", "revenue"]
     return (updated.select(*cols).unionByName(numbered.df.select(*cols)), numbered.rows, n_updated)

@@ -200,9 +200,15 @@ def classify_staged(bronze: DataFrame) -> DataFrame:
     return classify(stage_bronze(bronze))
 
 
-def build_star(bronze: DataFrame, categories: DataFrame | None = None) -> StarSchema:
-    """Turn bronze lines (with ``_ord``) into a validated star schema."""
-    return build_star_from_classified(classify_staged(bronze), categories)
+def build_star(bronze: DataFrame, categories: DataFrame | None = None, *,
+               staged: bool = False) -> StarSchema:
+    """Turn bronze lines (with ``_ord``) into a validated star schema.
+
+    ``staged=True`` says ``bronze`` is already a cheap scan of written data
+    (e.g. a batch carved out of staged bronze), so it is not written again.
+    """
+    classified = classify(bronze) if staged else classify_staged(bronze)
+    return build_star_from_classified(classified, categories)
 
 
 def build_star_from_classified(classified: DataFrame,

@@ -61,21 +61,24 @@ def watermark(wh: Warehouse, entries: list[Entry] | None = None) -> int:
     return int(watermark_frame(wh, entries).first()[0])
 
 
-def rekey(lines: DataFrame, dim_product: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def rekey(lines: DataFrame, dim_product: DataFrame, dim_customer: DataFrame,
+          with_count: bool = False):
     """Fact lines keyed against the *stored* dimensions (keeps ``_ord``).
 
     Fails loudly when a product or customer does not resolve: loading such
-    a line would break referential integrity.
+    a line would break referential integrity. One job materialises the
+    lines and checks them.
     """
     n_prod = dim_product.count()
     n_cust = dim_customer.where(F.col("is_current")).count()
     out = fact_columns(resolve_keys(lines, dim_product, n_prod, dim_customer, n_cust)).persist()
-    unresolved = out.where(F.col("product_key").isNull() | F.col("customer_key").isNull()).limit(1).count()
-    if unresolved:
+    stats = out.agg(F.count(F.lit(1)).alias("n"),
+                    F.count_if(F.col("product_key").isNull() | F.col("customer_key").isNull()).alias("bad")).first()
+    if stats["bad"]:
         out.unpersist()
         raise UnresolvedKeys("Fact rows could not be re-keyed to live dimensions "
                              "(unresolved product/customer business key)")
-    return out
+    return (out, int(stats["n"])) if with_count else out
 
 
 def _write_all(wh: Warehouse, tables: dict[str, DataFrame], version: int) -> list[Entry]:
@@ -103,8 +106,10 @@ def load_replace(wh: Warehouse, star: StarSchema) -> LoadResult:
 
 def _upsert_dims(wh: Warehouse, star: StarSchema, stored: dict[str, DataFrame], mode: str,
                  run_date: dt.date, result: LoadResult) -> dict[str, DataFrame]:
+    known = star.known_rows or {}
     prod_in = star.dim_product.drop("product_key")
-    products, p_new, p_upd = upsert(stored["dim_product"], prod_in, ["stock_code"], "product_key")
+    products, p_new, p_upd = upsert(stored["dim_product"], prod_in, ["stock_code"], "product_key",
+                                    incoming_rows=known.get("dim_product"))
     dates, d_new, d_upd = upsert(stored["dim_date"], star.dim_date, ["date_key"])
     cust_in = star.dim_customer.select("customer_id", "country")
     if mode == "merge":
@@ -114,7 +119,7 @@ def _upsert_dims(wh: Warehouse, star: StarSchema, stored: dict[str, DataFrame],
         result.inserted["dim_customer"] = opened
     else:
         customers, c_new = overwrite_current(stored["dim_customer"], cust_in)
-        result.rows_written["dim_customer"] = star.dim_customer.count()
+        result.rows_written["dim_customer"] = known.get("dim_customer") or star.dim_customer.count()
         result.inserted["dim_customer"] = c_new
     result.rows_written["dim_product"] = p_new + p_upd
     result.inserted["dim_product"], result.updated["dim_product"] = p_new, p_upd
@@ -134,7 +139,7 @@ def load_incremental(wh: Warehouse, star: StarSchema, mode: str, run_date: dt.da
     dims = _upsert_dims(wh, star, stored, mode, run_date, result)
     entries = _write_all(wh, dims, version)
     live = {n: wh.read(n, entries) for n in dims}
-    lines = rekey(star.lines, live["dim_product"], live["dim_customer"])
+    lines, n_lines = rekey(star.lines, live["dim_product"], live["dim_customer"], with_count=True)
     max_sale = max_key(wh.read(FACT_SALES.name, old), "sale_id")
 
     kept_fact = [e for e in old if e.table_name == FACT_SALES.name]
@@ -152,7 +157,8 @@ def load_incremental(wh: Warehouse, star: StarSchema, mode: str, run_date: dt.da
     else:
         months = {r[0] for r in lines.select(month_key(F.col("date_key"))).distinct().collect()}
         stored_part = wh.read(FACT_SALES.name, old, months=months)
-        merged, n_new, n_upd = merge_facts(stored_part, lines, list(FACT_SALES.natural_key), max_sale)
+        merged, n_new, n_upd = merge_facts(stored_part, lines, list(FACT_SALES.natural_key), max_sale,
+                                           batch_rows=n_lines)
         new_fact = wh.write(FACT_SALES.name, typed(merged, FACT_SALES), version)
         fact_entries = [e for e in kept_fact if e.month_key not in months] + new_fact
         touched = months
