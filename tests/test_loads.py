@@ -165,3 +165,13 @@ def test_merge_rewrites_only_touched_months(spark, scratch):
     assert wh.read("fact_sales").count() == 3
     # time travel: version 1 is still readable
     assert wh.read("fact_sales", wh.entries(1)).count() == 2
+
+
+def test_empty_batch_is_a_noop(spark, scratch):
+    wh = Warehouse(spark, scratch)
+    load_star(wh, star_of(spark, [row("INV1", "SKU-1", "C-1", "A", "2025-01-01")]), "merge", D1)
+    empty = star_of(spark, [row("INV1", "SKU-1", "C-1", "A", "2025-01-01")][:0])
+    for mode in ("merge", "append"):
+        load_star(wh, empty, mode, D2)
+        assert wh.read("fact_sales").count() == 1
+        assert wh.read("dim_customer").count() == 1
