@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import LINE_GRAIN, REASONS
+from .cache import hold
 from .joins import maybe_broadcast, null_safe_on
 
 REASON = "quarantine_reason"
@@ -30,7 +31,8 @@ def duplicate_flags(bronze: DataFrame, grain=LINE_GRAIN, ord_col: str = "_ord")
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > 1)
         .select(*[F.col(c).alias(f"_g_{c}") for c in grain])
-    ).persist()
+    )
+    dup_keys = hold(dup_keys)
     n_dup_keys = dup_keys.count()
     if n_dup_keys == 0:
         dup_keys.unpersist()
@@ -41,7 +43,8 @@ def duplicate_flags(bronze: DataFrame, grain=LINE_GRAIN, ord_col: str = "_ord")
     # min over the ordinal of rows inside duplicated grains only (small).
     firsts = in_dup_groups.groupBy(*[F.col(c).alias(f"_g_{c}") for c in grain]).agg(
         F.min(ord_col).alias("_first_ord")
-    ).persist()  # computed once, reused by every consumer of the flags
+    )
+    firsts = hold(firsts)  # computed once, reused by every consumer of the flags
     # At most one row per duplicated grain: the measured bound holds.
     firsts = maybe_broadcast(firsts, n_dup_keys)
     flagged = bronze.join(firsts, null_safe_on(bronze, firsts, grain, gcols), "left")

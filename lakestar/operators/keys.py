@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .cache import hold
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition id above bit 33
 
@@ -58,13 +59,13 @@ def dense_number(df: DataFrame, order_by: list, name: str, *, start: int = 1,
     same on any recomputation. Returns the numbered frame and its row count.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    src = df.persist()
+    src = hold(df)
     total = src.count()  # materialises the input once for both passes
     if total <= _single_task_max_rows(df):
         # Bounded: at most the threshold's rows pass through one task.
         w = Window.orderBy(*order_by)
         numbered = src.withColumn(name, (F.row_number().over(w) + F.lit(start - 1)).cast(dtype))
-        return Numbered(numbered.persist(), total)
+        return Numbered(numbered, total)
     ranged = src.repartitionByRange(*order_by).sortWithinPartitions(*order_by).persist()
     # Persist first so the checkpoint job writes the cached partitions
     # instead of recomputing the range shuffle.

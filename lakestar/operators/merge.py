@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import SCD_EPOCH
+from .cache import hold
 from .joins import maybe_broadcast
 from .keys import continue_numbering
 
@@ -26,7 +27,7 @@ def max_key(df: DataFrame, key: str) -> int:
 
 def upsert(stored: DataFrame, incoming: DataFrame, natural_key: list[str],
            surrogate: str | None = None, columns: list[str] | None = None,
-           incoming_rows: int | None = None):
+           incoming_rows: int | None = None, current_max: int | None = None):
     """Insert-or-update on ``natural_key``.
 
     Matched rows take every supplied non-key, non-surrogate column from
@@ -48,7 +49,8 @@ def upsert(stored: DataFrame, incoming: DataFrame, natural_key: list[str],
     new = incoming.join(stored.select(*natural_key), natural_key, "left_anti")
     updated = updated.drop("_hit")
     if surrogate is not None:
-        numbered = continue_numbering(new, list(natural_key), surrogate, max_key(stored, surrogate))
+        top = max_key(stored, surrogate) if current_max is None else current_max
+        numbered = continue_numbering(new, list(natural_key), surrogate, top)
         new_rows, n_new = numbered.df, numbered.rows
     else:
         new_rows, n_new = new, new.count()
@@ -76,7 +78,8 @@ def scd2_decisions(stored: DataFrame, incoming: DataFrame) -> DataFrame:
     return j.select("customer_id", action.alias("action"), "customer_key", "old_country", "new_country")
 
 
-def apply_scd2(stored: DataFrame, incoming: DataFrame, run_date: dt.date):
+def apply_scd2(stored: DataFrame, incoming: DataFrame, run_date: dt.date,
+               current_max: int | None = None):
     """Type-2 history on (customer_id -> country).
 
     New customer: open a version at the epoch. Changed country: close the
@@ -86,12 +89,13 @@ def apply_scd2(stored: DataFrame, incoming: DataFrame, run_date: dt.date):
     number of versions opened).
     """
     decisions = scd2_decisions(stored, incoming)
-    changes = decisions.where(F.col("action").isin("new", "changed")).persist()
+    changes = hold(decisions.where(F.col("action").isin("new", "changed")))
     to_close = changes.where(F.col("action") == "changed").select(
         F.col("customer_key").alias("_close_key"))
     n_changes = changes.count()
     run_day = F.lit(run_date).cast("date")
-    closed = stored.join(maybe_broadcast(to_close), F.col("customer_key") == F.col("_close_key"), "left")
+    closed = stored.join(maybe_broadcast(to_close, n_changes),
+                         F.col("customer_key") == F.col("_close_key"), "left")
     hit = F.col("_close_key").isNotNull()
     kept = closed.select(
         "customer_key", "customer_id", "country", "effective_from",
@@ -105,12 +109,13 @@ def apply_scd2(stored: DataFrame, incoming: DataFrame, run_date: dt.date):
         F.lit(None).cast("date").alias("effective_to"),
         F.lit(True).alias("is_current"),
     )
-    numbered = continue_numbering(opened, ["customer_id"], "customer_key", max_key(stored, "customer_key"))
+    top = max_key(stored, "customer_key") if current_max is None else current_max
+    numbered = continue_numbering(opened, ["customer_id"], "customer_key", top)
     result = kept.unionByName(numbered.df.select(*kept.columns))
     return result, decisions, n_changes
 
 
-def overwrite_current(stored: DataFrame, incoming: DataFrame):
+def overwrite_current(stored: DataFrame, incoming: DataFrame, current_max: int | None = None):
     """Append-mode customers: Type-1 update of the *current* version's
     country (history stays closed), new customers open at the epoch."""
     inc = incoming.select("customer_id", F.col("country").alias("_in_country"), F.lit(True).alias("_hit"))
@@ -127,7 +132,8 @@ def overwrite_current(stored: DataFrame, incoming: DataFrame):
         F.lit(None).cast("date").alias("effective_to"),
         F.lit(True).alias("is_current"),
     )
-    numbered = continue_numbering(new, ["customer_id"], "customer_key", max_key(stored, "customer_key"))
+    top = max_key(stored, "customer_key") if current_max is None else current_max
+    numbered = continue_numbering(new, ["customer_id"], "customer_key", top)
     return updated.unionByName(numbered.df.select(*updated.columns)), numbered.rows
 
 

@@ -62,15 +62,18 @@ def watermark(wh: Warehouse, entries: list[Entry] | None = None) -> int:
 
 
 def rekey(lines: DataFrame, dim_product: DataFrame, dim_customer: DataFrame,
-          with_count: bool = False):
+          with_count: bool = False, product_rows: int | None = None,
+          customer_rows: int | None = None):
     """Fact lines keyed against the *stored* dimensions (keeps ``_ord``).
 
     Fails loudly when a product or customer does not resolve: loading such
     a line would break referential integrity. One job materialises the
-    lines and checks them.
+    lines and checks them. Dimension sizes (for the broadcast decision)
+    come from the manifest when known; the customer bound counts all
+    versions, an upper bound of the current ones.
     """
-    n_prod = dim_product.count()
-    n_cust = dim_customer.where(F.col("is_current")).count()
+    n_prod = dim_product.count() if product_rows is None else product_rows
+    n_cust = dim_customer.where(F.col("is_current")).count() if customer_rows is None else customer_rows
     out = fact_columns(resolve_keys(lines, dim_product, n_prod, dim_customer, n_cust)).persist()
     stats = out.agg(F.count(F.lit(1)).alias("n"),
                     F.count_if(F.col("product_key").isNull() | F.col("customer_key").isNull()).alias("bad")).first()
@@ -81,13 +84,6 @@ def rekey(lines: DataFrame, dim_product: DataFrame, dim_customer: DataFrame,
     return (out, int(stats["n"])) if with_count else out
 
 
-def _write_all(wh: Warehouse, tables: dict[str, DataFrame], version: int) -> list[Entry]:
-    entries: list[Entry] = []
-    for name, df in tables.items():
-        entries += wh.write(name, typed(df, TABLES[name]), version)
-    return entries
-
-
 def _validate(wh: Warehouse, entries: list[Entry], fact_months: set[int] | None = None):
     """Contracts over what was just written (read back from storage)."""
     names = sorted({e.table_name for e in entries})
@@ -95,61 +91,97 @@ def _validate(wh: Warehouse, entries: list[Entry], fact_months: set[int] | None
     contracts.enforce(tables)
 
 
+def _write(wh: Warehouse, name: str, df: DataFrame, version: int, rows=None, max_key=None) -> list[Entry]:
+    return wh.write(name, typed(df, TABLES[name]), version, rows=rows, max_key=max_key)
+
+
+def _count_written(wh: Warehouse, entries: list[Entry]) -> list[Entry]:
+    """Fill in the row count of freshly written single-file-set tables
+    (a Parquet footer count)."""
+    out = []
+    for e in entries:
+        if e.row_count is None and e.month_key is None:
+            n = wh.read(e.table_name, [e]).count()
+            e = Entry(e.table_name, e.month_key, e.path, n, e.max_key)
+        out.append(e)
+    return out
+
+
 def load_replace(wh: Warehouse, star: StarSchema) -> LoadResult:
     version = wh.version() + 1
-    entries = _write_all(wh, star.all_tables(), version)
+    known = star.known_rows or {}
+    # Dense keys 1..N: the largest key equals the row count.
+    n_prod, n_cust, n_fact = (known.get(k) for k in ("dim_product", "dim_customer", "fact_sales"))
+    entries = (_write(wh, "dim_product", star.dim_product, version, n_prod, n_prod)
+               + _write(wh, "dim_customer", star.dim_customer, version, n_cust, n_cust)
+               + _write(wh, "dim_date", star.dim_date, version)
+               + _write(wh, "fact_sales", star.fact_sales, version, None, n_fact)
+               + _write(wh, "quarantine", star.quarantine, version))
+    entries = _count_written(wh, entries)
     _validate(wh, entries)
     wh.publish(version, entries)
-    counts = {n: wh.read(n, entries).count() for n in star.all_tables()}
+    counts = {n: wh.stats(n, entries)[0] for n in star.all_tables()}
+    if counts["fact_sales"] is None:
+        counts["fact_sales"] = n_fact if n_fact is not None else wh.read("fact_sales", entries).count()
     return LoadResult(version, "replace", rows_written=counts, inserted=dict(counts))
 
 
-def _upsert_dims(wh: Warehouse, star: StarSchema, stored: dict[str, DataFrame], mode: str,
-                 run_date: dt.date, result: LoadResult) -> dict[str, DataFrame]:
+def _known_or_scan(wh: Warehouse, name: str, entries: list[Entry], key: str) -> tuple[int | None, int]:
+    rows, top = wh.stats(name, entries)
+    if top is None:
+        top = max_key(wh.read(name, entries), key)
+    return rows, top
+
+
+def load_incremental(wh: Warehouse, star: StarSchema, mode: str, run_date: dt.date) -> LoadResult:
+    if star.lines is None:
+        raise ValueError("incremental loads need the star's valid lines")
+    old = wh.entries()
+    version = wh.version() + 1
+    result = LoadResult(version, mode)
     known = star.known_rows or {}
-    prod_in = star.dim_product.drop("product_key")
-    products, p_new, p_upd = upsert(stored["dim_product"], prod_in, ["stock_code"], "product_key",
-                                    incoming_rows=known.get("dim_product"))
+    stored = {n: wh.read(n, old) for n in ("dim_product", "dim_customer", "dim_date")}
+    p_rows, p_max = _known_or_scan(wh, "dim_product", old, "product_key")
+    c_rows, c_max = _known_or_scan(wh, "dim_customer", old, "customer_key")
+    d_rows, _ = wh.stats("dim_date", old)
+    _, f_max = _known_or_scan(wh, FACT_SALES.name, old, "sale_id")
+
+    # Dimensions: upsert products and dates; customers by SCD-2 (merge) or
+    # a Type-1 update of the current version (append).
+    products, p_new, p_upd = upsert(stored["dim_product"], star.dim_product.drop("product_key"),
+                                    ["stock_code"], "product_key",
+                                    incoming_rows=known.get("dim_product"), current_max=p_max)
     dates, d_new, d_upd = upsert(stored["dim_date"], star.dim_date, ["date_key"])
     cust_in = star.dim_customer.select("customer_id", "country")
     if mode == "merge":
-        customers, decisions, opened = apply_scd2(stored["dim_customer"], cust_in, run_date)
+        customers, decisions, c_new = apply_scd2(stored["dim_customer"], cust_in, run_date, current_max=c_max)
         result.scd2_decisions = decisions
-        result.rows_written["dim_customer"] = opened
-        result.inserted["dim_customer"] = opened
+        result.rows_written["dim_customer"] = c_new
     else:
-        customers, c_new = overwrite_current(stored["dim_customer"], cust_in)
+        customers, c_new = overwrite_current(stored["dim_customer"], cust_in, current_max=c_max)
         result.rows_written["dim_customer"] = known.get("dim_customer") or star.dim_customer.count()
-        result.inserted["dim_customer"] = c_new
+    result.inserted["dim_customer"] = c_new
     result.rows_written["dim_product"] = p_new + p_upd
     result.inserted["dim_product"], result.updated["dim_product"] = p_new, p_upd
     result.rows_written["dim_date"] = d_new + d_upd
     result.inserted["dim_date"], result.updated["dim_date"] = d_new, d_upd
-    return {"dim_product": products, "dim_customer": customers, "dim_date": dates}
-
-
-def load_incremental(wh: Warehouse, star: StarSchema, mode: str, run_date: dt.date) -> LoadResult:
-    if star.lines is None:
-        raise ValueError("incremental loads need the star's valid lines")
-    old = wh.entries()
-    version = wh.version() + 1
-    result = LoadResult(version, mode)
-    stored = {n: wh.read(n, old) for n in ("dim_product", "dim_customer", "dim_date")}
 
-    dims = _upsert_dims(wh, star, stored, mode, run_date, result)
-    entries = _write_all(wh, dims, version)
-    live = {n: wh.read(n, entries) for n in dims}
-    lines, n_lines = rekey(star.lines, live["dim_product"], live["dim_customer"], with_count=True)
-    max_sale = max_key(wh.read(FACT_SALES.name, old), "sale_id")
+    plus = lambda a, b: None if a is None else a + b
+    entries = (_write(wh, "dim_product", products, version, plus(p_rows, p_new), p_max + p_new)
+               + _write(wh, "dim_customer", customers, version, plus(c_rows, c_new), c_max + c_new)
+               + _write(wh, "dim_date", dates, version, plus(d_rows, d_new)))
+    live = {n: wh.read(n, entries) for n in ("dim_product", "dim_customer")}
+    lines, n_lines = rekey(star.lines, live["dim_product"], live["dim_customer"], with_count=True,
+                           product_rows=plus(p_rows, p_new), customer_rows=plus(c_rows, c_new))
 
     kept_fact = [e for e in old if e.table_name == FACT_SALES.name]
     if mode == "append":
         mark = watermark(wh, old)
         result.watermark = mark
         fresh = lines.where(F.col("date_key") > mark)
-        result.late_rows_skipped = lines.where(F.col("date_key") <= mark).count()
-        numbered = continue_numbering(fresh, ["_ord"], "sale_id", max_sale)
-        new_fact = wh.write(FACT_SALES.name, typed(numbered.df, FACT_SALES), version)
+        numbered = continue_numbering(fresh, ["_ord"], "sale_id", f_max)
+        result.late_rows_skipped = n_lines - numbered.rows
+        new_fact = _write(wh, FACT_SALES.name, numbered.df, version, None, f_max + numbered.rows)
         fact_entries = kept_fact + new_fact
         touched = {e.month_key for e in new_fact}
         result.rows_written["fact_sales"] = numbered.rows
@@ -157,20 +189,20 @@ def load_incremental(wh: Warehouse, star: StarSchema, mode: str, run_date: dt.da
     else:
         months = {r[0] for r in lines.select(month_key(F.col("date_key"))).distinct().collect()}
         stored_part = wh.read(FACT_SALES.name, old, months=months)
-        merged, n_new, n_upd = merge_facts(stored_part, lines, list(FACT_SALES.natural_key), max_sale,
+        merged, n_new, n_upd = merge_facts(stored_part, lines, list(FACT_SALES.natural_key), f_max,
                                            batch_rows=n_lines)
-        new_fact = wh.write(FACT_SALES.name, typed(merged, FACT_SALES), version)
+        new_fact = _write(wh, FACT_SALES.name, merged, version, None, f_max + n_new)
         fact_entries = [e for e in kept_fact if e.month_key not in months] + new_fact
         touched = months
         result.rows_written["fact_sales"] = n_new + n_upd
         result.inserted["fact_sales"], result.updated["fact_sales"] = n_new, n_upd
 
-    q_entries = wh.write("quarantine", typed(star.quarantine, TABLES["quarantine"]), version)
-    result.rows_written["quarantine"] = wh.read("quarantine", q_entries).count()
+    q_entries = _count_written(wh, _write(wh, "quarantine", star.quarantine, version))
+    result.rows_written["quarantine"] = q_entries[0].row_count
     lines.unpersist()
 
     all_entries = entries + fact_entries + q_entries
-    # Validate dimensions whole, the fact only in the months this load wrote.
+    # Validate dimensions whole, the fact only in the months this load wrote
     # (new sale_ids are above every stored id by construction).
     _validate(wh, all_entries, fact_months=touched)
     wh.publish(version, all_entries)

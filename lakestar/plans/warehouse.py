@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
 from ..functions.calendar import month_key
@@ -35,6 +35,10 @@ MANIFEST_SCHEMA = StructType([
     StructField("table_name", StringType(), False),
     StructField("month_key", IntegerType(), True),
     StructField("path", StringType(), False),
+    # Table statistics known when the version was written (null = unknown):
+    # rows of a single-entry table, largest surrogate key of the table.
+    StructField("row_count", LongType(), True),
+    StructField("max_key", LongType(), True),
 ])
 _READ_SCHEMA = StructType(MANIFEST_SCHEMA.fields + [StructField("version", IntegerType(), True)])
 _MONTH_DIR = re.compile(r"month_key=(\d+)")
@@ -46,6 +50,8 @@ class Entry:
     table_name: str
     month_key: int | None
     path: str
+    row_count: int | None = None
+    max_key: int | None = None
 
 
 def _missing(exc: Exception) -> bool:
@@ -86,11 +92,12 @@ class Warehouse:
         if v not in self._entry_cache:
             path = f"{self.root}/{MANIFEST_DIR}/version={v}"
             rows = self.spark.read.schema(MANIFEST_SCHEMA).parquet(path).collect()
-            self._entry_cache[v] = [Entry(r.table_name, r.month_key, r.path) for r in rows]
+            self._entry_cache[v] = [Entry(r.table_name, r.month_key, r.path, r.row_count, r.max_key)
+                                    for r in rows]
         return list(self._entry_cache[v])
 
     def publish(self, version: int, entries: list[Entry]) -> None:
-        rows = [(e.table_name, e.month_key, e.path) for e in entries]
+        rows = [(e.table_name, e.month_key, e.path, e.row_count, e.max_key) for e in entries]
         df = self.spark.createDataFrame(rows, MANIFEST_SCHEMA)
         df.coalesce(1).write.mode("errorifexists").parquet(f"{self.root}/{MANIFEST_DIR}/version={version}")
 
@@ -122,12 +129,25 @@ class Warehouse:
         entries = self.entries() if entries is None else entries
         return sorted({e.month_key for e in entries if e.table_name == FACT_SALES.name})
 
-    def write(self, name: str, df: DataFrame, version: int) -> list[Entry]:
-        """Write ``df`` (already typed) under ``<name>/v=<version>``."""
+    def stats(self, name: str, entries: list[Entry] | None = None) -> tuple[int | None, int | None]:
+        """(row count, max surrogate) recorded for ``name``; (0, 0) if the
+        table has never been written, None where a figure is unknown."""
+        entries = self.entries() if entries is None else entries
+        mine = [e for e in entries if e.table_name == name]
+        if not mine:
+            return 0, 0
+        rows = None if any(e.row_count is None for e in mine) else sum(e.row_count for e in mine)
+        keys = [e.max_key for e in mine]
+        return rows, (None if any(k is None for k in keys) else max(keys))
+
+    def write(self, name: str, df: DataFrame, version: int, *, rows: int | None = None,
+              max_key: int | None = None) -> list[Entry]:
+        """Write ``df`` (already typed) under ``<name>/v=<version>``; the
+        given statistics are recorded with the entries."""
         path = f"{self.root}/{name}/v={version}"
         if name != FACT_SALES.name:
             df.write.mode("errorifexists").parquet(path)
-            return [Entry(name, None, path)]
+            return [Entry(name, None, path, rows, max_key)]
         # Fact: partitioned by month. Rebalance first so each month lands in
         # a few evenly sized files (AQE splits a hot month, merges small ones).
         with_month = df.withColumn("month_key", month_key(F.col("date_key")))
@@ -136,7 +156,7 @@ class Warehouse:
         schema = StructType(FACT_SALES.schema.fields + [StructField("month_key", IntegerType(), True)])
         files = self.spark.read.schema(schema).parquet(path).inputFiles()
         months = sorted({int(m.group(1)) for f in files if (m := _MONTH_DIR.search(f))})
-        return [Entry(name, m, f"{path}/month_key={m}") for m in months]
+        return [Entry(name, m, f"{path}/month_key={m}", None, max_key) for m in months]
 
     # -- run history --------------------------------------------------------
     def append_run(self, record: DataFrame) -> None:

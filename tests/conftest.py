@@ -41,6 +41,13 @@ def line(invoice="INV1", stock="SKU-1", desc="X", qty="1", price="10.00", date="
     return (invoice, stock, desc, qty, price, date, cust, country)
 
 
+@pytest.fixture(autouse=True)
+def _release_engine_caches():
+    yield
+    from lakestar.operators.cache import release
+    release()
+
+
 @pytest.fixture
 def scratch(tmp_path):
     return str(tmp_path)
