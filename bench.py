@@ -100,8 +100,7 @@ def main() -> None:
     timed("column_profile", lambda: column_profile(raw_order_lines(spark, sf_dir).select(*RAW_COLUMNS)).collect())
 
     def stored_star() -> StarSchema:
-        t = wh.read_all()
-        return StarSchema(t["dim_product"], t["dim_customer"], t["dim_date"], t["fact_sales"], t["quarantine"])
+        return wh.star()
 
     for name in ("revenue_by_category", "top_products", "revenue_by_country", "monthly_revenue",
                  "weekend_revenue", "quarantine_reasons", "daily_revenue", "kpis", "dashboard_bundle"):

@@ -17,13 +17,24 @@ from .joins import maybe_broadcast
 from .star import StarSchema
 
 
-def _dim(df: DataFrame, *cols: str) -> DataFrame:
-    return maybe_broadcast(df.select(*cols))
+def _rows(star: StarSchema, name: str) -> int | None:
+    """Known row count of a dimension (from building or the manifest); a
+    bound for its filtered/projected forms, so no count job is needed."""
+    return (star.known_rows or {}).get(name)
+
+
+def _dim(star: StarSchema, name: str, *cols: str) -> DataFrame:
+    return maybe_broadcast(getattr(star, name).select(*cols), _rows(star, name))
+
+
+def _current_customers(star: StarSchema, *cols: str) -> DataFrame:
+    return maybe_broadcast(star.dim_customer.where(F.col("is_current")).select(*cols),
+                           _rows(star, "dim_customer"))
 
 
 def revenue_by_category(star: StarSchema) -> DataFrame:
     """Revenue by product category, highest first."""
-    prod = _dim(star.dim_product, "product_key", "category")
+    prod = _dim(star, "dim_product", "product_key", "category")
     return (
         star.fact_sales.join(prod, "product_key")
         .groupBy("category")
@@ -34,7 +45,7 @@ def revenue_by_category(star: StarSchema) -> DataFrame:
 
 def report_by_category(star: StarSchema) -> DataFrame:
     """CLI report: fact left-joined to products, revenue per category."""
-    prod = _dim(star.dim_product, "product_key", "category")
+    prod = _dim(star, "dim_product", "product_key", "category")
     return (
         star.fact_sales.join(prod, "product_key", "left")
         .where(F.col("category").isNotNull())
@@ -50,7 +61,7 @@ def top_products(star: StarSchema, k: int = 5) -> DataFrame:
         star.fact_sales.groupBy("product_key")
         .agg(F.sum("quantity").cast("bigint").alias("units"))
     )
-    prod = _dim(star.dim_product, "product_key", "stock_code", "description")
+    prod = _dim(star, "dim_product", "product_key", "stock_code", "description")
     return (
         units.join(prod, "product_key")
         .groupBy("stock_code", "description")
@@ -62,8 +73,7 @@ def top_products(star: StarSchema, k: int = 5) -> DataFrame:
 
 def revenue_by_country(star: StarSchema) -> DataFrame:
     """Revenue by country over *current* customer versions only."""
-    cust = maybe_broadcast(
-        star.dim_customer.where(F.col("is_current")).select("customer_key", "country"))
+    cust = _current_customers(star, "customer_key", "country")
     return (
         star.fact_sales.join(cust, "customer_key")
         .groupBy("country")
@@ -73,7 +83,7 @@ def revenue_by_country(star: StarSchema) -> DataFrame:
 
 
 def monthly_revenue(star: StarSchema) -> DataFrame:
-    dates = _dim(star.dim_date, "date_key", "year", "month")
+    dates = _dim(star, "dim_date", "date_key", "year", "month")
     return (
         star.fact_sales.join(dates, "date_key")
         .groupBy("year", "month")
@@ -83,7 +93,7 @@ def monthly_revenue(star: StarSchema) -> DataFrame:
 
 
 def weekend_revenue(star: StarSchema) -> DataFrame:
-    dates = _dim(star.dim_date, "date_key", "is_weekend")
+    dates = _dim(star, "dim_date", "date_key", "is_weekend")
     return (
         star.fact_sales.join(dates, "date_key")
         .groupBy("is_weekend")
@@ -108,7 +118,7 @@ def scd2_history(star: StarSchema) -> DataFrame:
 
 def daily_revenue(star: StarSchema) -> DataFrame:
     """Revenue per calendar day via the date dimension."""
-    dates = _dim(star.dim_date, "date_key", "date")
+    dates = _dim(star, "dim_date", "date_key", "date")
     return (
         star.fact_sales.join(dates, "date_key")
         .groupBy("date")
@@ -172,10 +182,9 @@ def dashboard_bundle(star: StarSchema) -> DataFrame:
     The three fact roll-ups plus the revenue total come from ONE scan of the
     fact via grouping sets (one Expand + one partial/final aggregation).
     """
-    prod = _dim(star.dim_product, "product_key", "category")
-    cust = maybe_broadcast(
-        star.dim_customer.where(F.col("is_current")).select("customer_key", "country"))
-    dates = _dim(star.dim_date, "date_key", "date")
+    prod = _dim(star, "dim_product", "product_key", "category")
+    cust = _current_customers(star, "customer_key", "country")
+    dates = _dim(star, "dim_date", "date_key", "date")
     joined = (
         star.fact_sales.select("product_key", "customer_key", "date_key", "revenue")
         .join(prod, "product_key", "left")

@@ -121,6 +121,17 @@ class Warehouse:
         df = self.spark.read.schema(spec.schema).parquet(*paths)
         return df.select(*[F.col(c.name).cast(c.dtype) for c in spec.columns])
 
+    def star(self, entries: list[Entry] | None = None):
+        """The published tables as a StarSchema, with the manifest's row
+        counts as known sizes (broadcast decisions need no count job)."""
+        from ..operators.star import StarSchema
+
+        entries = self.entries() if entries is None else entries
+        t = {n: self.read(n, entries) for n in ("dim_product", "dim_customer", "dim_date", "fact_sales", "quarantine")}
+        known = {n: self.stats(n, entries)[0] for n in ("dim_product", "dim_customer", "dim_date")}
+        return StarSchema(t["dim_product"], t["dim_customer"], t["dim_date"], t["fact_sales"], t["quarantine"],
+                          known_rows={k: v for k, v in known.items() if v is not None})
+
     def read_all(self, names=("dim_product", "dim_customer", "dim_date", "fact_sales", "quarantine")):
         entries = self.entries()
         return {n: self.read(n, entries) for n in names}

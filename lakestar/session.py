@@ -46,11 +46,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 def apply_defaults(spark: SparkSession) -> None:
     """Fill in library-relevant SQL settings the caller did not choose."""
+    # Dates and times are zone-free (timestamp_ntz / date), so the session
+    # zone does not change results and the caller's choice stands.
     for key, value in SESSION_DEFAULTS.items():
         if key.startswith("spark.sql.") and spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    # Pin the zone for date maths even when the caller's default is local.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
