@@ -19,28 +19,41 @@ REASON = "quarantine_reason"
 IS_DUP = "_is_dup"
 
 
-def duplicate_flags(bronze: DataFrame, grain=LINE_GRAIN, ord_col: str = "_ord") -> DataFrame:
-    """``bronze`` + ``_is_dup``: true for every line of a grain but the first.
+def duplicate_groups(bronze: DataFrame, grain=LINE_GRAIN) -> tuple[DataFrame, int]:
+    """Grains holding more than one line, with their line counts ``_n``
+    (persisted; usually tiny), and how many there are.
 
-    Null grain values compare equal (null-safe). "First" is the smallest
-    ingest ordinal, computed over *all* lines, before any rejection.
+    One hash aggregate with map-side combine: a grain repeated on a third of
+    all lines is pre-counted inside every task before the shuffle. The same
+    groups answer the suite's uniqueness check (sum of ``_n - 1``).
     """
     grain = list(grain)
-    dup_keys = (
+    groups = hold(
         bronze.groupBy(*grain)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > 1)
-        .select(*[F.col(c).alias(f"_g_{c}") for c in grain])
+        .select(*[F.col(c).alias(f"_g_{c}") for c in grain], "_n")
     )
-    dup_keys = hold(dup_keys)
-    n_dup_keys = dup_keys.count()
+    return groups, groups.count()
+
+
+def duplicate_flags(bronze: DataFrame, grain=LINE_GRAIN, ord_col: str = "_ord",
+                    groups: tuple[DataFrame, int] | None = None) -> DataFrame:
+    """``bronze`` + ``_is_dup``: true for every line of a grain but the first.
+
+    Null grain values compare equal (null-safe). "First" is the smallest
+    ingest ordinal, computed over *all* lines, before any rejection.
+    ``groups`` reuses a ``duplicate_groups`` result.
+    """
+    grain = list(grain)
+    dup_keys, n_dup_keys = groups if groups is not None else duplicate_groups(bronze, grain)
     if n_dup_keys == 0:
-        dup_keys.unpersist()
         return bronze.withColumn(IS_DUP, F.lit(False))
-    keys = maybe_broadcast(dup_keys, n_dup_keys)
     gcols = [f"_g_{c}" for c in grain]
+    keys = maybe_broadcast(dup_keys.select(*gcols), n_dup_keys)
     in_dup_groups = bronze.join(keys, null_safe_on(bronze, keys, grain, gcols), "left_semi")
-    # min over the ordinal of rows inside duplicated grains only (small).
+    # min over the ordinal of rows inside duplicated grains only; partial
+    # aggregation keeps even a huge group to one row per task.
     firsts = in_dup_groups.groupBy(*[F.col(c).alias(f"_g_{c}") for c in grain]).agg(
         F.min(ord_col).alias("_first_ord")
     )
@@ -71,9 +84,9 @@ def reason_expr(is_dup: Column) -> Column:
     return expr
 
 
-def classify(bronze: DataFrame) -> DataFrame:
+def classify(bronze: DataFrame, groups: tuple[DataFrame, int] | None = None) -> DataFrame:
     """``bronze`` + ``quarantine_reason`` (null for valid rows)."""
-    flagged = duplicate_flags(bronze)
+    flagged = duplicate_flags(bronze, groups=groups)
     return flagged.withColumn(REASON, reason_expr(F.col(IS_DUP))).drop(IS_DUP)
 
 
