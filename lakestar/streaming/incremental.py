@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.job import Config, run
+from ..plans.job import Config, PipelineError, run
 from ..schema import RAW_SCHEMA
 
 
@@ -51,7 +51,11 @@ def start_incremental_load(spark: SparkSession, raw_dir: str, warehouse: str, *,
         cfg = Config(warehouse=warehouse, load_mode=mode,
                      run_date=run_date or dt.datetime.now(dt.timezone.utc).date(),
                      run_id=f"stream-{batch_id}", fail_on_check_error=fail_on_check_error)
-        run(spark, _with_ordinal(batch), cfg, categories=categories)
+        result = run(spark, _with_ordinal(batch), cfg, categories=categories)
+        if not result.recon_passed:
+            # Like a scheduled task: a load that does not reconcile fails the
+            # batch, so the stream stops before recording it as processed.
+            raise PipelineError(f"post-load reconciliation failed for micro-batch {batch_id}")
 
     writer = lines.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
