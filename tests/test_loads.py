@@ -175,3 +175,13 @@ def test_empty_batch_is_a_noop(spark, scratch):
         load_star(wh, empty, mode, D2)
         assert wh.read("fact_sales").count() == 1
         assert wh.read("dim_customer").count() == 1
+
+
+def test_unresolved_business_key_raises(spark, scratch):
+    # A line whose product has no live dimension row must not load.
+    from lakestar.plans.loads import UnresolvedKeys, rekey
+    wh = Warehouse(spark, scratch)
+    load_star(wh, star_of(spark, [row("INV1", "SKU-1", "C-1", "A", "2025-01-01")]), "merge", D1)
+    other = star_of(spark, [row("INV2", "SKU-404", "C-1", "A", "2025-01-02")])
+    with pytest.raises(UnresolvedKeys):
+        rekey(other.lines, wh.read("dim_product"), wh.read("dim_customer"))
