@@ -30,6 +30,7 @@ from ..schema import (
     SCD_EPOCH,
     TableSpec,
 )
+from ..concurrent import run_together
 from ..session import ensure_checkpoint_dir
 from .classify import REASON, classify, quarantine_rows, valid_rows
 from .joins import maybe_broadcast
@@ -214,8 +215,8 @@ def build_star(bronze: DataFrame, categories: DataFrame | None = None, *,
 def build_star_from_classified(classified: DataFrame,
                                categories: DataFrame | None = None) -> StarSchema:
     valid = valid_rows(classified)
-    dim_product, n_products = build_dim_product(valid, categories)
-    dim_customer, n_customers = build_dim_customer(valid)
+    (dim_product, n_products), (dim_customer, n_customers) = run_together(
+        lambda: build_dim_product(valid, categories), lambda: build_dim_customer(valid))
     dim_date = build_dim_date(valid)
     fact, n_fact = build_fact(valid, dim_product, n_products, dim_customer, n_customers)
     return StarSchema(

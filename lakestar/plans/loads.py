@@ -21,6 +21,7 @@ from ..operators.keys import continue_numbering
 from ..operators.merge import apply_scd2, max_key, merge_facts, overwrite_current, upsert
 from ..operators.star import StarSchema, fact_columns, resolve_keys, typed
 from ..schema import FACT_SALES, LOAD_MODES, TABLES
+from ..concurrent import run_together
 from .warehouse import Entry, Warehouse
 
 
@@ -112,11 +113,14 @@ def load_replace(wh: Warehouse, star: StarSchema) -> LoadResult:
     known = star.known_rows or {}
     # Dense keys 1..N: the largest key equals the row count.
     n_prod, n_cust, n_fact = (known.get(k) for k in ("dim_product", "dim_customer", "fact_sales"))
-    entries = (_write(wh, "dim_product", star.dim_product, version, n_prod, n_prod)
-               + _write(wh, "dim_customer", star.dim_customer, version, n_cust, n_cust)
-               + _write(wh, "dim_date", star.dim_date, version)
-               + _write(wh, "fact_sales", star.fact_sales, version, None, n_fact)
-               + _write(wh, "quarantine", star.quarantine, version))
+    written = run_together(
+        lambda: _write(wh, "dim_product", star.dim_product, version, n_prod, n_prod),
+        lambda: _write(wh, "dim_customer", star.dim_customer, version, n_cust, n_cust),
+        lambda: _write(wh, "dim_date", star.dim_date, version),
+        lambda: _write(wh, "fact_sales", star.fact_sales, version, None, n_fact),
+        lambda: _write(wh, "quarantine", star.quarantine, version),
+    )
+    entries = [e for part in written for e in part]
     entries = _count_written(wh, entries)
     _validate(wh, entries)
     wh.publish(version, entries)
@@ -167,9 +171,12 @@ def load_incremental(wh: Warehouse, star: StarSchema, mode: str, run_date: dt.da
     result.inserted["dim_date"], result.updated["dim_date"] = d_new, d_upd
 
     plus = lambda a, b: None if a is None else a + b
-    entries = (_write(wh, "dim_product", products, version, plus(p_rows, p_new), p_max + p_new)
-               + _write(wh, "dim_customer", customers, version, plus(c_rows, c_new), c_max + c_new)
-               + _write(wh, "dim_date", dates, version, plus(d_rows, d_new)))
+    written = run_together(
+        lambda: _write(wh, "dim_product", products, version, plus(p_rows, p_new), p_max + p_new),
+        lambda: _write(wh, "dim_customer", customers, version, plus(c_rows, c_new), c_max + c_new),
+        lambda: _write(wh, "dim_date", dates, version, plus(d_rows, d_new)),
+    )
+    entries = [e for part in written for e in part]
     live = {n: wh.read(n, entries) for n in ("dim_product", "dim_customer")}
     lines, n_lines = rekey(star.lines, live["dim_product"], live["dim_customer"], with_count=True,
                            product_rows=plus(p_rows, p_new), customer_rows=plus(c_rows, c_new))
