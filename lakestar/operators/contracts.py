@@ -18,8 +18,6 @@ from pyspark.sql.types import StringType
 from ..schema import TableSpec, table
 from .joins import maybe_broadcast
 
-_OUT = ("table_name", "constraint_name", "violations")
-
 
 def _row(df: DataFrame, table_name: str, constraint: str, violations) -> DataFrame:
     return df.select(F.lit(table_name).alias("table_name"), F.lit(constraint).alias("constraint_name"),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import oracle as O
 from ..operators import serving
 from ..operators.bronze import to_bronze, with_na_tokens
-from ..operators.classify import REASON, duplicate_flags, quarantine_rows, valid_rows
+from ..operators.classify import REASON, duplicate_flags, valid_rows
 from ..operators.classify import classify
 from ..operators.star import StarSchema, build_star_from_classified, stage_bronze
 from ..schema import RAW_COLUMNS
@@ -416,7 +416,7 @@ import uuid as _uuid  # noqa: E402
 from ..operators import contracts as K  # noqa: E402
 from ..operators.recon import reconcile  # noqa: E402
 from ..operators.star import build_star  # noqa: E402
-from ..schema import FACT_SALES, STAR_TABLES, TABLES  # noqa: E402
+from ..schema import FACT_SALES, TABLES  # noqa: E402
 from ..session import ensure_checkpoint_dir  # noqa: E402
 from ..sources.staging import export_star, read_bronze, read_export, write_bronze  # noqa: E402
 from ..sources.tables import split_batches  # noqa: E402
