@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed_dedup, language_id, mixing, secret_scan, sharding, token_files
+from . import decontaminate, embed_dedup, jaccard_join, language_id, mixing, secret_scan, sharding, token_files
 
 SHARDS = 40
 END_ID = 1
@@ -59,6 +59,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          vocabulary=tokenizer_path("piece_bpe_32k.model"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each epoch that a document is taken in."""
     chosen = mixture(table(spark, sf_dir, "documents"), fraction=0.5, epochs=2)
@@ -71,13 +75,18 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      tokenizer=tokenizer_path("word_bpe_49k.json"), end_id=END_ID)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_embedding_near_dedup, op2_secret_scan, op3_language_id,
-                                    op7_mixing, op8_token_files, op10_sharding)}
+                                    op6_decontamination, op7_mixing, op8_token_files, op9_jaccard_join,
+                                    op10_sharding)}
 
 
 ORACLE_SQL: dict[str, str] = {}
