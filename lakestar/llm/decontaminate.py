@@ -85,8 +85,8 @@ def by_width(width: Column, widths: list[int]) -> Column:
 
 def contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
                  item_id: str = "item_id", item_text: str = "text", percent: int = 75) -> DataFrame:
-    """(doc_id, item_id, start, n_words, hamming, similarity): each pair of a
-    document and an item that it holds, at the best window.
+    """(doc_id, item_id, start, n_words, hamming, similarity, text_hash): each
+    pair of a document and an item that it holds, at the best window.
 
     A window has as many words as the item (the whole text if that is
     shorter); items of fewer than five words are one shingle. Null and empty
@@ -108,7 +108,7 @@ def contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", t
     known = (items.select(F.col(item_id).alias("item_id"), hashed(words(F.col(item_text).cast("string"))).alias("w"))
              .where(F.size("w") > 0).distinct())
     widths = [r[0] for r in known.select(F.least(F.size("w"), F.lit(WIDTH)).alias("k")).distinct().orderBy("k").collect()]
-    schema = "doc_id long, item_id long, start int, n_words int, hamming int, similarity double"
+    schema = "doc_id long, item_id long, start int, n_words int, hamming int, similarity double, text_hash long"
     if not widths:
         return spark.createDataFrame([], schema)
     known = reduce(DataFrame.union, [
@@ -152,14 +152,17 @@ def contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", t
              .withColumn("common", shared(F.col("sh"), F.col("item_sh"))))
     whole = F.size("sh") + F.size("item_sh") - F.col("common")
     best = (pairs.withColumn("whole", whole).where(100 * F.col("common") >= percent * F.col("whole"))
-            .select("doc_id", "item_id", F.struct((F.col("common") / F.col("whole")).alias("similarity"), (-F.col("start")).alias("m"),
+            .select("doc_id", "th", "item_id", F.struct((F.col("common") / F.col("whole")).alias("similarity"), (-F.col("start")).alias("m"),
                                                   "n", (-F.col("hamming")).alias("h")).alias("x"))
-            .groupBy("doc_id", "item_id").agg(F.max("x").alias("x")))
+            .groupBy("doc_id", "th", "item_id").agg(F.max("x").alias("x")))
     return best.select("doc_id", "item_id", (-F.col("x.m")).cast("int").alias("start"), F.col("x.n").alias("n_words"),
-                       (-F.col("x.h")).cast("int").alias("hamming"), F.col("x.similarity").alias("similarity"))
+                       (-F.col("x.h")).cast("int").alias("hamming"), F.col("x.similarity").alias("similarity"),
+                       F.col("th").alias("text_hash"))
 
 
-def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold an item. Rows without an id stay."""
-    bad = contaminated(docs, items, **options).select("doc_id").distinct()
-    return docs.join(bad.where("doc_id is not null"), "doc_id", "left_anti").select(docs.columns)
+def clean(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` without the documents that hold an item; all columns pass through."""
+    bad = contaminated(docs, items, doc_id=doc_id, text=text, **options).select(F.col("doc_id").alias("_bad"), "text_hash").distinct()
+    bad = Scratch(docs.sparkSession, "decontam").keep(bad, "bad")
+    mine = docs.withColumn("_h", F.xxhash64(F.col(text).cast("string")))
+    return mine.join(bad, mine[doc_id].eqNullSafe(bad["_bad"]) & (mine["_h"] == bad["text_hash"]), "left_anti").select(docs.columns)

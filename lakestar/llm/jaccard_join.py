@@ -87,7 +87,7 @@ def buckets(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - BUCKET_BITS)).astype("i4")
 
 
-SUMMARY = "doc_id long, n_shingles long, sid long, minima array<long>, part int, chunk int, counts binary"
+SUMMARY = "doc_id long, text_hash long, n_shingles long, sid long, minima array<long>, part int, chunk int, counts binary"
 
 
 def summarise(batches):
@@ -95,7 +95,7 @@ def summarise(batches):
     from pyspark import TaskContext
 
     counts, schema = np.zeros(1 << BUCKET_BITS, "u4"), pa.schema([
-        ("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()), ("minima", pa.list_(pa.int64())),
+        ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()), ("minima", pa.list_(pa.int64())),
         ("part", pa.int32()), ("chunk", pa.int32()), ("counts", pa.binary())])
     for b in batches:
         n, sid, minima, seen = [], [], [], []
@@ -111,7 +111,7 @@ def summarise(batches):
         if seen:
             counts += np.bincount(np.concatenate(seen), minlength=1 << BUCKET_BITS).astype("u4")
         none = pa.nulls(len(n), pa.int32())
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n, pa.int64()), pa.array(sid, pa.int64()),
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(n, pa.int64()), pa.array(sid, pa.int64()),
                                           pa.array(minima, pa.list_(pa.int64())), none, none,
                                           pa.nulls(len(n), pa.binary())], schema=schema)
     part = TaskContext.get().partitionId()
@@ -312,14 +312,15 @@ def proposals(classes: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: link if Jaccard >= 0.75.
+    """(doc_id, n_shingles, component_id, text_hash, root) of every row: link if Jaccard >= 0.75.
 
     A-Z are lower-cased, words are runs of anything but ASCII white space, a
     set holds the distinct five-word shingles (of fewer words: all of them as
     one). Null or blank texts have empty sets, link with nothing and are
     components of their own. Equal texts link; repeated ids keep a row each;
     rows without an id take part, and a component's id is its smallest
-    non-null id. Very long texts are read whole. Extra columns are ignored;
+    non-null id; ``root`` is the same for the rows of a component and null
+    for empty sets. Very long texts are read whole. Extra columns are ignored;
     an empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -327,8 +328,9 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     sc = spark.sparkContext
     scratch = Scratch(spark, "jaccard")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    summary = scratch.keep(rows.mapInArrow(summarise, SUMMARY), "summary")
-    per_doc = summary.where("chunk is null").select("doc_id", "n_shingles", "sid", "minima")
+    hashed = rows.withColumn("text_hash", F.xxhash64("text"))
+    summary = scratch.keep(hashed.mapInArrow(summarise, SUMMARY), "summary")
+    per_doc = summary.where("chunk is null").select("doc_id", "text_hash", "n_shingles", "sid", "minima")
     classes = (per_doc.where("n_shingles > 0").groupBy("sid", F.col("n_shingles").alias("n"))
                .agg(F.min("doc_id").alias("low"), F.first("minima").alias("minima"))
                .withColumn("cid", F.monotonically_increasing_id()))
@@ -381,15 +383,40 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     joined = classes.select("sid", "n", "cid", "low").join(first.withColumnRenamed("id", "cid"), "cid", "left")
     joined = joined.withColumn("root", F.coalesce("root", "cid"))
     lows = joined.groupBy("root").agg(F.min("low").alias("component"))
-    found = joined.join(lows, "root").select("sid", F.col("n").alias("n_shingles"), "component")
-    out = (per_doc.select("doc_id", "n_shingles", "sid").join(found, ["sid", "n_shingles"], "left")
+    found = joined.join(lows, "root").select("sid", F.col("n").alias("n_shingles"), "component", "root")
+    out = (per_doc.select("doc_id", "text_hash", "n_shingles", "sid").join(found, ["sid", "n_shingles"], "left")
            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component"))
-                   .otherwise(F.col("doc_id")).alias("component_id")))
+                   .otherwise(F.col("doc_id")).alias("component_id"), "text_hash", "root"))
     out = scratch.keep(out, "out")
     scratch.drop("summary", "classes", "near", "hangs", "keyed", "sets", "known", "first", "more", "late")
     return out
 
 
+def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the row with
+    the smallest id (then text hash) stays, once, and so does every row
+    without words. Rows without an id stay only if their whole component has
+    none. All columns pass through.
+    """
+    found = jaccard_components(docs, doc_id=doc_id, text=text)
+    who = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    firsts = found.where("root is not null").groupBy("root").agg(F.min(who).alias("x")).select("x.doc_id", "x.text_hash")
+    stay = firsts.join(found.where("root is not null"), [firsts["doc_id"].eqNullSafe(found["doc_id"]), firsts["text_hash"] == found["text_hash"]])
+    stay = stay.groupBy(firsts["doc_id"], firsts["text_hash"]).agg(F.count(F.lit(1)).alias("copies"))
+    empty = found.where("root is null").select("doc_id", "text_hash", F.lit(1).cast("long").alias("copies")).distinct()
+    stay = Scratch(docs.sparkSession, "kept").keep(stay.union(empty), "kept")
+    mine = docs.withColumn("_h", F.xxhash64(F.col(text).cast("string")))
+
+    def rows(which):
+        return (mine.join(which, mine[doc_id].cast("long").eqNullSafe(which["doc_id"]) & (mine["_h"] == which["text_hash"]), "left_semi"))
+
+    once = rows(stay.where("copies = 1")).select(docs.columns)
+    again = stay.where("copies > 1")
+    if again.isEmpty():
+        return once
+    return once.union(rows(again).dropDuplicates([doc_id, "_h"]).select(docs.columns))
+
+
 def derived(known: DataFrame, hangs: DataFrame, keyed: DataFrame, first: DataFrame) -> DataFrame:
     """Pairs of members, not connected yet, that the overlaps of their centres
     and with their centres do not rule out."""

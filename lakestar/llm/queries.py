@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embed_dedup, jaccard_join, language_id, mixing, secret_scan, sharding, token_files
+from . import decontaminate, embed_dedup, html_extract, jaccard_join, language_id, mixing, pseudonyms, secret_scan, sharding, token_files
 
 SHARDS = 40
 END_ID = 1
+PSEUDONYM_KEY = "registered-query"  # a deployment passes a secret of its own
 
 
 def tokenizer_path(name: str) -> str:
@@ -59,6 +60,19 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          vocabulary=tokenizer_path("piece_bpe_32k.model"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PSEUDONYM_KEY)
+
+    def count(kind):
+        return F.size(F.filter("pii_found", lambda x: x["kind"] == kind)).alias(f"n_{kind}")
+
+    return done.select("doc_id", "text", *[count(k) for k in pseudonyms.KINDS])
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -85,7 +99,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_embedding_near_dedup, op2_secret_scan, op3_language_id,
-                                    op6_decontamination, op7_mixing, op8_token_files, op9_jaccard_join,
+                                    op4_html_extraction, op5_pii_pseudonyms, op6_decontamination, op7_mixing, op8_token_files, op9_jaccard_join,
                                     op10_sharding)}
 
 
