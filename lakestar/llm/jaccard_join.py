@@ -8,10 +8,15 @@ Relations in Exact Set Similarity Join", PVLDB 10(9), 2017):
   set size, sorted by position; a block is skipped, or left at the first
   entry, as soon as its positions leave too few shingles for the overlap.
 * Sets highly similar to another, by agreeing minima of hashes, hang on it
-  as members of a centre. Lists hold one entry a centre, so a large group of
-  near copies is one entry. A member's answers are derived from its centre's:
-  overlap(y, w) <= overlap(x, v) + |y - x| + |w - v| for y at x and w at v
-  settles most pairs; the rest are verified one by one.
+  as members of a centre and have its candidates: lists hold one entry a
+  centre, so a large group of near copies is one entry. Candidates make
+  families, and only sets of a family are compared.
+* In a family, a block's overlaps with one set are computed in full; those
+  with the others are derived from them by the shingles that the others
+  have more or less: o(y, w) = o(x, w) + |(y - x) w| - |(x - y) w|.
+
+Pairs are never rows: list groups return which centres hang together, blocks
+which sets are linked, one row a set.
 
 Equal sets are one class from the start. All sets are 64-bit hashes of the
 shingles; a class is told by a 64-bit hash of its set and the set's size.
@@ -22,7 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, ship
@@ -36,7 +41,10 @@ CHUNKS = 64
 BANDS = 8  # size bands to a doubling
 POSTINGS = 400_000  # of one task group
 HOT_LIST = 20_000  # lists that may be longer are split by hash
+BLOCK = 1_024  # sets of a family that are compared at once; larger families are split by hash
+COMMON = 16  # sets of a block that share a shingle for it to be a matrix column
 WORD_CACHE = 1_000_000
+FILTER_BITS = 24  # of the table of ids whose sets are wanted
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 ODD = [np.uint64(0xBF58476D1CE4E5B9 + 0x632BE59BD9B4E01A * 2 * i & 0xFFFFFFFFFFFFFFFF) for i in range(MINIMA)]
 
@@ -229,8 +237,24 @@ def spans(starts: np.ndarray, ends: np.ndarray, most: int = 2_000_000):
         at = stop
 
 
-def centre_pairs(parts: int):
-    """Pairs of centres that the lists of this group leave possible, each once."""
+def lowest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, smallest node reachable) over the links a-b, without the smallest ones themselves."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y, low = at[:len(a)], at[len(a):], np.arange(len(nodes))
+    while True:
+        new = low.copy()
+        np.minimum.at(new, x, low[y])
+        np.minimum.at(new, y, low[x])
+        new = new[new]
+        if (new == low).all():
+            break
+        low = new
+    moved = low != np.arange(len(nodes))
+    return nodes[moved], nodes[low[moved]]
+
+
+def candidates(parts: int):
+    """Which centres hang together by pairs that the lists of this group leave possible."""
     def run(key, table):
         part, split = key[0].as_py(), key[1].as_py()
         tok, centre, n, left = unpack(table["blob"].to_pylist())
@@ -268,47 +292,110 @@ def centre_pairs(parts: int):
                 if halves:  # pairs inside a half belong to another group
                     ok &= half[i] != half[j]
                 x, y = centre[i[ok]], centre[j[ok]]
-                found.append(np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], 1), axis=0))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), "i8")
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+                found.append(lowest(x, y))
+        a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, "i8") for k in (0, 1))
+        a, b = lowest(a, b)
+        return pa.table({"a": a, "b": b})
     return run
 
 
-def set_bytes(batches):
-    for b in batches:
-        cid, sets = [], []
-        for c, t, sid in zip(*(b.column(x).to_pylist() for x in ("cid", "text", "sid"))):
-            h = shingle_set(t)
-            if xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63) == sid:
-                cid.append(c)
-                sets.append(h.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(cid, pa.int64()), pa.array(sets, pa.binary())], ["cid", "h"])
+def set_bytes(told):
+    """(doc_id, sid, h) of the documents that a bit table of their ids' hashes lets through."""
+    def run(batches):
+        bits = told.value
+        for b in batches:
+            at = np.asarray(b.column("at"))
+            b = b.filter(pa.array((bits[at >> 6] >> (at & 63).astype("u8") & np.uint64(1)).astype(bool)))
+            sets = [shingle_set(t).tobytes() for t in b.column("text").to_pylist()]
+            sid = [xxhash.xxh3_64_intdigest(h) - (1 << 63) for h in sets]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sid, pa.int64()), pa.array(sets, pa.binary())],
+                                             ["doc_id", "sid", "h"])
+    return run
 
 
-def overlaps(batches):
-    for b in batches:
-        out = [len(np.intersect1d(np.frombuffer(x, "u8"), np.frombuffer(y, "u8"), assume_unique=True))
-               for x, y in zip(b.column("ha").to_pylist(), b.column("hb").to_pylist())]
-        yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), b.column("na"), b.column("nb"),
-                                          pa.array(out, pa.int64())], ["a", "b", "na", "nb", "o"])
+def id_slot() -> Column:
+    return F.xxhash64("doc_id").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+
+
+def id_bits(ids: DataFrame) -> np.ndarray:
+    """A bit table, of fixed size, of the hashes of ``ids(doc_id)``: it lets all
+    of them through, and others by chance only."""
+    words = (ids.select(id_slot().alias("at")).groupBy(F.shiftright("at", 6).alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("b")))
+    out = np.zeros(1 << FILTER_BITS - 6, "i8")
+    for r in words.collect():  # at most 2^(FILTER_BITS - 6) rows
+        out[r["w"]] = r["b"]
+    return out.view("u8")
+
+
+def sets_of(rows: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
+    """(cid, n, h, group, blocks) of the classes ``wanted``. Most other
+    documents drop out where they are read; the rest meet in a join."""
+    told = rows.sparkSession.sparkContext.broadcast(id_bits(wanted.select(F.col("low").alias("doc_id"))))
+    found = (rows.select("doc_id", "text", id_slot().alias("at"))
+             .mapInArrow(set_bytes(told), "doc_id long, sid long, h binary"))
+    wanted = wanted.withColumnRenamed("sid", "class_sid")
+    sets = (found.join(wanted, found["doc_id"].eqNullSafe(wanted["low"]) & (found["sid"] == wanted["class_sid"]))
+            .select("cid", "n", "h", "group", "blocks"))
+    return sets.dropDuplicates(["cid"]) if repeated else sets
+
+
+def overlap_matrix(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Exact overlaps of each set of ``left`` with each of ``right``."""
+    out = np.zeros((len(left), len(right)), "i4")
+    sizes = np.array([len(h) for h in left + right])
+    tok, at = np.unique(np.concatenate(left + right), return_inverse=True)
+    who = np.repeat(np.arange(len(sizes)), sizes)
+    mine = who < len(left)
+    a, b = (np.bincount(at[x], minlength=len(tok)) for x in (mine, ~mine))
+    common = (a > 0) & (b > 0)
+    # Shingles of few sets: every pair that shares one.
+    few = common & (a + b < COMMON)
+    order = np.argsort(at[few[at]], kind="stable")
+    t, w = at[few[at]][order], who[few[at]][order]
+    is_left = w < len(left)
+    lt, lw, rt, rw = t[is_left], w[is_left], t[~is_left], w[~is_left] - len(left)
+    for i, j in spans(np.searchsorted(rt, lt), np.searchsorted(rt, lt, "right")):
+        np.add.at(out, (lw[i], rw[j]), 1)
+    # Shingles of many sets: from the overlaps with the first set of ``left``.
+    many = np.flatnonzero(common & (a + b >= COMMON))
+    for s in range(0, len(many), 4_096):
+        cols = many[s:s + 4_096]
+        col = np.full(len(tok), -1)
+        col[cols] = np.arange(len(cols))
+        use = col[at] >= 0
+        m = np.zeros((len(sizes), len(cols)), "f4")
+        m[who[use], col[at[use]]] = 1
+        y, w = m[:len(left)], m[len(left):]
+        differ = (y != y[0]).any(axis=0)
+        out += (w @ y[0]).astype("i4") + ((y[:, differ] - y[0, differ]) @ w[:, differ].T).astype("i4")
+    return out
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, na, nb, o): the exact overlap of each pair of classes."""
-    left = sets.select(F.col("cid").alias("a"), F.col("h").alias("ha"), F.col("n").alias("na"))
-    right = sets.select(F.col("cid").alias("b"), F.col("h").alias("hb"), F.col("n").alias("nb"))
-    return (pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ha", "hb")
-            .mapInArrow(overlaps, "a long, b long, na long, nb long, o long"))
+def compare(key, table):
+    """Which sets of the block, or of its two halves, are linked."""
+    cid, n = np.asarray(table["cid"]), np.asarray(table["n"])
+    sets = [np.frombuffer(h, "u8") for h in table["h"].to_pylist()]
+    side = np.asarray(table["side"])
+    a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if key[1].as_py() == key[2].as_py():
+        b = a
+    x, y = np.zeros(0, int), np.zeros(0, int)
+    if len(a) and len(b):
+        o = overlap_matrix([sets[i] for i in a], [sets[i] for i in b])
+        x, y = np.nonzero(linked(o, n[a][:, None], n[b][None, :]) & (cid[a][:, None] != cid[b][None, :]))
+    node, root = lowest(cid[a[x]], cid[b[y]])
+    return pa.table({"cid": node, "root": root})
 
 
 def proposals(classes: DataFrame) -> DataFrame:
-    """(cid, first, last): for each class the smallest and the largest other
-    class that agrees with it in VOTES of the minima, if any."""
+    """(cid, centre): for each class the smallest class that agrees with it in
+    VOTES of the minima, if that is smaller and hangs on none itself."""
     each = classes.select("cid", F.posexplode("minima").alias("i", "m"))
-    ends = each.groupBy("i", "m").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo < hi")
-    votes = (each.join(ends, ["i", "m"]).select("cid", F.explode(F.array("lo", "hi")).alias("other"))
-             .where("cid <> other").groupBy("cid", "other").agg(F.count(F.lit(1)).alias("v")).where(F.col("v") >= VOTES))
-    return votes.groupBy("cid").agg(F.min("other").alias("first"), F.max("other").alias("last"))
+    ends = each.groupBy("i", "m").agg(F.min("cid").alias("lo"))
+    votes = (each.join(ends, ["i", "m"]).where("lo < cid").groupBy("cid", "lo").agg(F.count(F.lit(1)).alias("v"))
+             .where(F.col("v") >= VOTES).groupBy("cid").agg(F.min("lo").alias("centre")))
+    return votes
 
 
 def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -343,43 +430,38 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
 
     # Centres: a class hangs on the smallest similar one, if that hangs on none.
     near = scratch.keep(proposals(classes), "near")
-    hangs = near.where("first < cid").select("cid", F.col("first").alias("centre"))
-    hangs = hangs.join(hangs.select(F.col("cid").alias("centre")), "centre", "left_anti")
-    hangs = scratch.keep(hangs.select("cid", "centre"), "hangs")
-    claims = (near.select(F.col("cid").alias("b"), F.explode(F.array("first", "last")).alias("a"))
-              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-
-    # Candidate pairs of centres from the inverted lists.
+    hangs = near.join(near.select(F.col("cid").alias("centre")), "centre", "left_anti").select("cid", "centre")
     keyed = (classes.select("cid", "sid", "n", "low").join(hangs, "cid", "left")
              .withColumn("centre", F.coalesce("centre", "cid")))
     keyed = scratch.keep(keyed, "keyed")
+
+    # Families: what hangs together by the inverted lists.
     prefix = keyed.agg(F.sum(F.expr("n - (3 * n + 3) div 4 + 1"))).first()[0] or 0
     parts = int(max(1, -(-prefix // POSTINGS)))
-    same = rows["doc_id"].eqNullSafe(keyed["low"])
-    lists = (rows.join(keyed, same).select("text", "sid", "centre")
+    lists = (rows.join(keyed, rows["doc_id"].eqNullSafe(keyed["low"])).select("text", "sid", "centre")
              .mapInArrow(postings(told, parts), "part long, split long, blob binary"))
-    pairs = lists.groupBy("part", "split").applyInArrow(centre_pairs(parts), "a long, b long").distinct()
-    pairs = scratch.keep(pairs, "pairs")
-
-    # The sets of all classes in a claim or a pair, once; then exact overlaps.
-    todo = scratch.keep(claims.union(pairs).distinct(), "todo")
-    wanted = todo.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-    wanted = keyed.join(wanted, "cid").select("cid", "sid", "low", "n")
-    sets = (rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["low"])).select("cid", "text", "sid")
-            .mapInArrow(set_bytes, "cid long, h binary"))
-    sets = scratch.keep(sets.dropDuplicates(["cid"]).join(wanted.select("cid", "n"), "cid"), "sets")
-    known = scratch.keep(verified(todo, sets), "known")
-    scratch.drop("pairs", "todo")
-    is_link = linked(F.col("o"), F.col("na"), F.col("nb"))
-    direct = known.where(is_link).select("a", "b")
-    first = scratch.keep(components(direct, scratch, "first"), "first")
-
-    more = scratch.keep(derived(known, hangs, keyed, first), "more")
-    links = direct
-    if not more.isEmpty():
-        late = verified(more, sets).where(is_link).select("a", "b")
-        links = direct.union(scratch.keep(late, "late"))
-        first = components(links, scratch, "all")
+    ties = lists.groupBy("part", "split").applyInArrow(candidates(parts), "a long, b long").distinct()
+    ties = scratch.keep(ties, "ties")
+    hung = keyed.where("cid <> centre").select(F.col("cid").alias("a"), F.col("centre").alias("b"))
+    families = scratch.keep(components(ties.union(hung), scratch, "family"), "families")
+
+    # The sets of each family meet block by block; small families share a block.
+    sizes = families.groupBy(F.col("root").alias("family")).agg(F.count(F.lit(1)).alias("m"))
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    sizes = scratch.keep(sizes.withColumn("blocks", blocks), "sizes")
+    bins = max(1, -(-(sizes.where("blocks = 1").agg(F.sum("m")).first()[0] or 0) // (BLOCK // 2)))
+    wanted = (families.select(F.col("id").alias("cid"), F.col("root").alias("family")).join(sizes, "family")
+              .join(keyed.select("cid", "sid", "low", "n"), "cid"))
+    wanted = scratch.keep(wanted.select(
+        "cid", "sid", "low", "n", "blocks",
+        F.when(F.col("blocks") > 1, F.col("family")).otherwise(-1 - F.pmod(F.xxhash64("family"), F.lit(bins))).alias("group")), "wanted")
+    repeated = not per_doc.groupBy("doc_id", "sid").count().where("count > 1").isEmpty()
+    sets = sets_of(rows, wanted, repeated).withColumn("s", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    meeting = sets.select("group", "cid", "n", "h", "s", F.explode(F.expr("sequence(0, blocks - 1)")).alias("o")).select(
+        "group", F.least("s", "o").alias("l"), F.greatest("s", "o").alias("g"),
+        F.when(F.col("s") <= F.col("o"), 0).otherwise(1).alias("side"), "cid", "n", "h")
+    links = scratch.keep(meeting.groupBy("group", "l", "g").applyInArrow(compare, "cid long, root long"), "links")
+    first = components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")), scratch, "linked")
     joined = classes.select("sid", "n", "cid", "low").join(first.withColumnRenamed("id", "cid"), "cid", "left")
     joined = joined.withColumn("root", F.coalesce("root", "cid"))
     lows = joined.groupBy("root").agg(F.min("low").alias("component"))
@@ -388,7 +470,7 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component"))
                    .otherwise(F.col("doc_id")).alias("component_id"), "text_hash", "root"))
     out = scratch.keep(out, "out")
-    scratch.drop("summary", "classes", "near", "hangs", "keyed", "sets", "known", "first", "more", "late")
+    scratch.drop("summary", "classes", "near", "keyed", "ties", "families", "sizes", "wanted", "links")
     return out
 
 
@@ -415,40 +497,3 @@ def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
     if again.isEmpty():
         return once
     return once.union(rows(again).dropDuplicates([doc_id, "_h"]).select(docs.columns))
-
-
-def derived(known: DataFrame, hangs: DataFrame, keyed: DataFrame, first: DataFrame) -> DataFrame:
-    """Pairs of members, not connected yet, that the overlaps of their centres
-    and with their centres do not rule out."""
-    at = known.select(F.col("a").alias("centre"), F.col("b").alias("cid"), "o")
-    outside = hangs.join(at, ["centre", "cid"]).select("cid", "centre", "o")
-    members = keyed.where("cid = centre").select("cid", "centre", "n", F.lit(0).cast("long").alias("d"))
-    members = members.union(keyed.where("cid <> centre").join(outside, ["cid", "centre"])
-                            .select("cid", "centre", "n", (F.col("n") - F.col("o")).alias("d")))
-    members = (members.join(first.withColumnRenamed("id", "cid"), "cid", "left")
-               .withColumn("root", F.coalesce("root", "cid")))
-    group = members.groupBy("centre").agg(F.max("d").alias("far"), F.min("n").alias("least"),
-                                          F.count_distinct("root").alias("roots"),
-                                          F.max(F.when(F.col("cid") == F.col("centre"), F.col("root"))).alias("root"))
-    centres = keyed.where("cid = centre").select(F.col("cid").alias("centre"), F.col("n").alias("own"))
-    group = group.join(centres, "centre")
-
-    def side(x):
-        return group.select(*[F.col(c).alias(f"{c}_{x}") for c in group.columns])
-
-    between = known.select(F.col("a").alias("centre_x"), F.col("b").alias("centre_y"), "o")
-    within = group.where("roots > 1").select(F.col("centre").alias("centre_x"), F.col("centre").alias("centre_y"),
-                                             F.col("own").alias("o"))
-    open_ = (between.join(side("x"), "centre_x").join(side("y"), "centre_y")
-             .where("root_x <> root_y or roots_x > 1 or roots_y > 1")
-             .where(7 * (F.col("o") + F.col("far_x") + F.col("far_y")) >= 3 * (F.col("least_x") + F.col("least_y")))
-             .select("centre_x", "centre_y", "o")).union(within)
-
-    def member(x):
-        return members.select(*[F.col(c).alias(f"{c}_{x}") for c in ("cid", "centre", "n", "d", "root")])
-
-    return (open_.join(member("x"), "centre_x").join(member("y"), "centre_y")
-            .where("root_x <> root_y")
-            .where(7 * (F.col("o") + F.col("d_x") + F.col("d_y")) >= 3 * (F.col("n_x") + F.col("n_y")))
-            .where("not (cid_x = centre_x and cid_y = centre_y)")
-            .select(F.least("cid_x", "cid_y").alias("a"), F.greatest("cid_x", "cid_y").alias("b")).distinct())
