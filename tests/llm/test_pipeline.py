@@ -1,0 +1,34 @@
+"""The pipeline's stages on the smallest tables."""
+
+import corpus_pipeline
+from lakestar.llm import decontaminate, jaccard_join, queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages(spark, tmp_path):
+    docs = queries.table(spark, SF, "documents")
+    odd = spark.createDataFrame([(-1, None, None, None, None), (-2, "", "en", "src0", 0), (None, "12 34", None, None, 5)], docs.schema)
+    docs, n = docs.union(odd), docs.count() + 3
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        if name != "sharding":
+            assert out.columns == docs.columns
+        out.write.parquet(str(tmp_path / name))
+        out = spark.read.parquet(str(tmp_path / name))
+        if name == "language_id":
+            assert out.count() == n - 3
+        if name == "jaccard_join":
+            again = jaccard_join.jaccard_components(out)
+            assert again.where("doc_id <> component_id").isEmpty()
+        if name == "decontamination":
+            assert decontaminate.contaminated(out, queries.table(spark, SF, "benchmark")).isEmpty()
+        docs = out
+    assert docs.where("law <> 'rows'").isEmpty() and 0 < docs.count() < n
+
+
+def test_registered():
+    import __spark_entry__ as entry
+
+    assert set(queries.queries()) | {"pipeline"} <= set(entry.queries())
+    assert [int(k[2:].split("_")[0]) for k in queries.queries()] == list(range(1, 11))
