@@ -21,11 +21,12 @@ UNICODE_WHITESPACE = (
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Accepted date text: ISO date, optionally with an ISO time of day.
-ISO_DATETIME_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?)?$"
+# Accepted date text: ISO date, optionally with an ISO time of day and zone.
+ISO_DATETIME_PATTERN = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+ZONE_PATTERN = r"(Z|[+-]\d{2}:?\d{2})$"
 
-# Largest double that still converts to a bigint without overflow.
-_BIGINT_LIMIT = 9.2e18
+# Accepted number text; Spark's own casts also take suffixes such as "5d".
+NUMBER_PATTERN = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def na_to_null(c: Column) -> Column:
@@ -44,6 +45,11 @@ def trim_to_null(c: Column) -> Column:
     return F.nullif(unicode_trim(c), F.lit(""))
 
 
+def to_number(c: Column) -> Column:
+    """String -> double; anything but a plain decimal number -> null."""
+    return F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))
+
+
 def to_whole_number(c: Column) -> Column:
     """String -> bigint; text, fractions, infinities and overflow -> null.
 
@@ -51,14 +57,9 @@ def to_whole_number(c: Column) -> Column:
     ("1e3") is accepted when the value is integral.
     """
     as_long = c.try_cast("bigint")
-    as_double = c.try_cast("double")
-    integral = (
-        as_double.isNotNull()
-        & ~F.isnan(as_double)
-        & (F.abs(as_double) < F.lit(_BIGINT_LIMIT))
-        & (as_double == F.floor(as_double))
-    )
-    return F.coalesce(as_long, F.when(integral, as_double.cast("bigint")))
+    exact = F.when(c.rlike(NUMBER_PATTERN), c.try_cast("decimal(38,9)"))
+    integral = exact.isNotNull() & (exact == F.floor(exact))
+    return F.coalesce(as_long, F.when(integral, exact.try_cast("bigint")))
 
 
 def to_money(c: Column) -> Column:
@@ -71,7 +72,9 @@ def to_iso_timestamp(c: Column) -> Column:
 
     The pattern guard rejects what a permissive parser would accept
     ("2025", "2025-1-1", "Jan 1 2025"); ``try_cast`` rejects impossible
-    calendar dates such as 2025-02-30.
+    calendar dates such as 2025-02-30. A zone ("Z", "+02:00") is accepted
+    and dropped: the time stays as the writer's clock showed it.
     """
     text = unicode_trim(c)
-    return F.when(text.rlike(ISO_DATETIME_PATTERN), text.try_cast("timestamp_ntz"))
+    plain = F.when(text.contains(":"), F.regexp_replace(text, ZONE_PATTERN, "")).otherwise(text)
+    return F.when(text.rlike(ISO_DATETIME_PATTERN), plain.try_cast("timestamp_ntz"))

@@ -3,27 +3,25 @@
 A global ``row_number()`` plans ``Exchange SinglePartition``: every row
 through one task. Instead (two passes, like ``zipWithIndex``):
 
-1. range-partition by the ordering and sort inside each partition,
-2. checkpoint to reliable storage (fixes partition contents and order, and
-   cuts lineage so a lost executor does not re-sample the range bounds),
-3. count rows per partition -> running offsets (one row per partition is
+1. range-partition by the ordering, sort inside each partition and write
+   the rows with their partition and position as Parquet to the shared
+   folder (a lost executor re-reads files and numbers never change),
+2. count rows per partition -> running offsets (one row per partition is
    the only thing that reaches the driver),
-4. number = partition offset + position inside the partition.
-
-Frames under a measured row bound skip the two passes and are numbered by a
-single sorted window (bounded work in one task).
+3. number = partition offset + position, by a join with the small table of
+   offsets.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .cache import hold
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition id above bit 33
 
@@ -34,23 +32,6 @@ class Numbered:
     rows: int
 
 
-def _position_in_partition() -> Column:
-    pid = F.spark_partition_id().cast("long")
-    return F.monotonically_increasing_id() - F.shiftleft(pid, _ROW_BITS)
-
-
-# Frames up to this many rows are numbered by one sorted window in a single
-# task (the bound is measured first, like a checked broadcast); larger ones
-# take the two-pass range numbering. ``spark.lakestar.singleTaskNumberingMaxRows``
-# overrides it.
-SINGLE_TASK_MAX_ROWS = 100_000
-
-
-def _single_task_max_rows(df: DataFrame) -> int:
-    value = df.sparkSession.conf.get("spark.lakestar.singleTaskNumberingMaxRows", None)
-    return int(value) if value else SINGLE_TASK_MAX_ROWS
-
-
 def dense_number(df: DataFrame, order_by: list, name: str, *, start: int = 1,
                  dtype: str = "int") -> Numbered:
     """Append ``name`` = start, start+1, ... in ``order_by`` order.
@@ -58,36 +39,19 @@ def dense_number(df: DataFrame, order_by: list, name: str, *, start: int = 1,
     ``order_by`` must be a total order (unique), so the numbering is the
     same on any recomputation. Returns the numbered frame and its row count.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    src = hold(df)
-    total = src.count()  # materialises the input once for both passes
-    if total <= _single_task_max_rows(df):
-        # Bounded: at most the threshold's rows pass through one task.
-        w = Window.orderBy(*order_by)
-        numbered = src.withColumn(name, (F.row_number().over(w) + F.lit(start - 1)).cast(dtype))
-        return Numbered(numbered, total)
-    ranged = src.repartitionByRange(*order_by).sortWithinPartitions(*order_by).persist()
-    # Persist first so the checkpoint job writes the cached partitions
-    # instead of recomputing the range shuffle.
-    checkpointed = ranged.checkpoint(eager=True)
-    ranged.unpersist()
-    src.unpersist()
-    ranged = checkpointed
-    counts = {
-        r["pid"]: r["n"]
-        for r in ranged.groupBy(F.spark_partition_id().alias("pid"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    }
-    n_parts = max(counts) + 1 if counts else 0
-    sizes = [counts.get(p, 0) for p in range(n_parts)]
-    offsets = [0] + list(accumulate(sizes))[:-1]
-    if n_parts == 0:
-        return Numbered(ranged.withColumn(name, F.lit(None).cast(dtype)), 0)
-    offset_map = F.create_map(*[x for p, o in enumerate(offsets) for x in (F.lit(p), F.lit(o))])
-    offset = F.element_at(offset_map, F.spark_partition_id())
-    number = (offset + _position_in_partition() + F.lit(start)).cast(dtype)
-    return Numbered(ranged.withColumn(name, number), sum(sizes))
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/numbered-{uuid.uuid4().hex}"
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    placed = (df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+              .withColumns({"_pid": F.spark_partition_id(), "_pos": position}))
+    placed.write.parquet(path)
+    ranged = spark.read.schema(placed.schema).parquet(path)
+    counts = sorted((r["_pid"], r["n"]) for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
+    sizes = [n for _, n in counts]
+    offsets = [(pid, before) for (pid, _), before in zip(counts, accumulate([start] + sizes))]
+    offsets = spark.createDataFrame(offsets, "_pid int, _before long")
+    numbered = ranged.join(offsets, "_pid").withColumn(name, (F.col("_before") + F.col("_pos")).cast(dtype))
+    return Numbered(numbered.drop("_pid", "_pos", "_before"), sum(sizes))
 
 
 def continue_numbering(new_members: DataFrame, order_by: list, name: str,

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.coerce import to_number
+
 
 def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One row per column: position, column, nulls, distinct_values, min, max.
@@ -26,7 +28,7 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     long = df.select(F.inline(cells)).withColumn(
         "value", F.when(F.col("value") != "", F.col("value")))
     per_value = long.groupBy("position", "column", "value").agg(F.count(F.lit(1)).alias("n"))
-    number = F.col("value").try_cast("double")
+    number = to_number(F.col("value"))
     per_col = per_value.groupBy("position", "column").agg(
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nulls"),
         F.count("value").cast("bigint").alias("distinct_values"),

@@ -372,14 +372,10 @@ _suite_query(
     lambda spark, sf: C.CheckSuite("in_set", [C.in_set("country", _allowed_countries(spark, sf))]),
     f"""
 , bad AS (SELECT DISTINCT country AS value FROM bronze
-          WHERE country IS NOT NULL AND country NOT IN (SELECT n_name FROM nation WHERE n_regionkey < 2)),
-listed AS (SELECT value FROM bad ORDER BY value LIMIT {C.DETAIL_VALUE_LIMIT})
+          WHERE country IS NOT NULL AND country NOT IN (SELECT n_name FROM nation WHERE n_regionkey < 2))
 SELECT 1 AS position, 'in_set[country]' AS name, u = 0 AS passed, 'warning' AS severity,
        CAST(u AS DOUBLE) AS observed, CAST(0 AS DOUBLE) AS threshold,
-       CASE WHEN u > 0 THEN 'unexpected values: [' ||
-            (SELECT string_agg('''' || value || '''', ', ' ORDER BY value) FROM listed) ||
-            CASE WHEN u > {C.DETAIL_VALUE_LIMIT} THEN ', ... ' || CAST(u - {C.DETAIL_VALUE_LIMIT} AS VARCHAR) || ' more' ELSE '' END
-            || ']' ELSE '' END AS detail
+       CASE WHEN u > 0 THEN CAST(u AS VARCHAR) || ' unexpected value(s)' ELSE '' END AS detail
 FROM (SELECT COUNT(*) AS u FROM bad)""".replace("\n, bad AS", "bad AS", 1),
 )
 

@@ -3,14 +3,16 @@
 Layout under ``root`` (any Hadoop-compatible path)::
 
     _manifest/version=N/part-*.parquet one row per (table, month_key, path)
-    <table>/v=N/...                    parquet written by version N
-    fact_sales/v=N/month_key=YYYYMM/   fact partitioned by month
+    <table>/vN-<attempt>/...           parquet written by one attempt at version N
+    fact_sales/vN-<attempt>/month_key=YYYYMM/  fact partitioned by month
     pipeline_runs/                     append-only run history
 
-A load writes every changed table under ``v=N`` first, validates the
-written data (contracts), and only then publishes manifest N -- a single
-small file, written with ``errorifexists`` so two concurrent loads cannot
-both publish the same version. Readers resolve tables through the latest
+A load writes every changed table to directories of its own attempt first,
+validates the written data (contracts), and only then publishes manifest N,
+which names them. A failed attempt leaves files that no manifest names, and
+the next load of version N is not affected by them. One load runs at a time:
+``errorifexists`` catches a version published before, but two loads in the
+same moment need a lock of the scheduler's. Readers resolve tables through the latest
 manifest, so a failed or half-written load is never visible. Unchanged
 tables (and, for merges, unchanged fact months) keep pointing at the
 directories of an earlier version; nothing is read and overwritten in
@@ -20,6 +22,7 @@ place.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -113,6 +116,8 @@ class Warehouse:
         (pruning by manifest, before any file is opened).
         """
         spec = table(name)
+        if spec.name == PIPELINE_RUNS.name:
+            return self.run_history()
         entries = self.entries() if entries is None else entries
         paths = [e.path for e in entries if e.table_name == name
                  and (months is None or e.month_key in months)]
@@ -153,9 +158,9 @@ class Warehouse:
 
     def write(self, name: str, df: DataFrame, version: int, *, rows: int | None = None,
               max_key: int | None = None) -> list[Entry]:
-        """Write ``df`` (already typed) under ``<name>/v=<version>``; the
-        given statistics are recorded with the entries."""
-        path = f"{self.root}/{name}/v={version}"
+        """Write ``df`` (already typed) to a directory of this attempt at
+        ``version``; the given statistics are recorded with the entries."""
+        path = f"{self.root}/{name}/v{version}-{uuid.uuid4().hex}"
         if name != FACT_SALES.name:
             df.write.mode("errorifexists").parquet(path)
             return [Entry(name, None, path, rows, max_key)]

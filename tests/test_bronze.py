@@ -46,3 +46,16 @@ def test_date_policy_iso_only(spark):
 def test_no_row_is_dropped(spark):
     rows = [line(qty="x", price="", date="bad", cust="", invoice="")] * 5
     assert to_bronze(raw_rows(spark, rows)).count() == 5
+
+
+def test_number_and_zone_text(spark):
+    from pyspark.sql import functions as F
+
+    from lakestar.functions.coerce import to_iso_timestamp, to_whole_number
+
+    df = spark.createDataFrame([(x,) for x in ("5d", "7f", "1e3", "5.0", "5.5", "9223372036854775807", "1e40", "Infinity", "3000000000")], "v string")
+    got = [r[0] for r in df.select(to_whole_number(F.col("v"))).collect()]
+    assert got == [None, None, 1000, 5, None, 9223372036854775807, None, None, 3000000000]
+    dates = spark.createDataFrame([("2025-01-02T03:04:05Z",), ("2025-01-02 03:04+02:00",), ("2025-01-02",), ("2025-01-02Z",)], "v string")
+    assert [str(r[0]) for r in dates.select(to_iso_timestamp(F.col("v"))).collect()] == [
+        "2025-01-02 03:04:05", "2025-01-02 03:04:00", "2025-01-02 00:00:00", "None"]

@@ -100,3 +100,18 @@ def test_typed_drops_undeclared_columns(spark):
     assert out.columns == DIM_PRODUCT.column_names
     assert out.schema == DIM_PRODUCT.schema or [f.dataType for f in out.schema] == [
         f.dataType for f in DIM_PRODUCT.schema]
+
+
+def test_failed_load_does_not_block_the_next(spark, scratch):
+    """A load that breaks a contract leaves its files behind; the next one
+    takes the same version number and succeeds."""
+    from dataclasses import replace
+
+    good = _star(spark)
+    bad = replace(good, dim_product=good.dim_product.union(good.dim_product))
+    wh = Warehouse(spark, scratch)
+    with pytest.raises(K.ContractViolation):
+        load_star(wh, bad, "replace")
+    assert wh.version() == 0
+    assert load_star(wh, good, "replace").version == 1
+    assert wh.read("fact_sales").count() == 2

@@ -4,32 +4,28 @@ from pyspark.sql import functions as F
 from lakestar.operators.keys import dense_number
 
 
-def _check(spark, df, order, threshold):
-    spark.conf.set("spark.lakestar.singleTaskNumberingMaxRows", str(threshold))
-    try:
-        got = dense_number(df, order, "n", start=11)
-        expect = df.withColumn("e", F.row_number().over(Window.orderBy(*order)) + 10)
-        joined = got.df.join(expect, list(df.columns))
-        assert got.rows == df.count()
-        assert joined.where(F.col("n") != F.col("e")).count() == 0
-        assert joined.count() == df.count()
-    finally:
-        spark.conf.unset("spark.lakestar.singleTaskNumberingMaxRows")
+def _check(spark, df, order):
+    got = dense_number(df, order, "n", start=11)
+    expect = df.withColumn("e", F.row_number().over(Window.orderBy(*order)) + 10)
+    joined = got.df.join(expect, list(df.columns))
+    assert got.rows == df.count()
+    assert joined.where(F.col("n") != F.col("e")).count() == 0
+    assert joined.count() == df.count()
 
 
 def test_two_pass_numbering_equals_global_window(spark):
     df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5003).alias("k"), F.col("id"))
-    _check(spark, df, ["k", "id"], threshold=10)
+    _check(spark, df, ["k", "id"])
 
 
-def test_single_task_path_for_small_frames(spark):
+def test_small_frames(spark):
     df = spark.range(0, 50).select((F.col("id") * 3 % 17).alias("k"), F.col("id"))
-    _check(spark, df, ["k", "id"], threshold=1000)
+    _check(spark, df, ["k", "id"])
 
 
 def test_numbering_by_struct_ordinal(spark):
     df = spark.range(0, 2000).select(F.struct((F.col("id") % 7).alias("a"), F.col("id").alias("b")).alias("o"))
-    _check(spark, df, ["o"], threshold=10)
+    _check(spark, df, ["o"])
 
 
 def test_empty_frame(spark):

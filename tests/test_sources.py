@@ -66,3 +66,20 @@ def test_export_parquet_and_csv(spark, tmp_path):
         assert set(out) == {"dim_product", "dim_customer", "dim_date", "fact_sales"}
         back = read_export(spark, out["fact_sales"], FACT_SALES, fmt)
         assert sorted(back.collect()) == sorted(star.fact_sales.collect())
+
+
+def test_csv_quotes_and_short_rows(spark, tmp_path):
+    from lakestar.schema import RAW_COLUMNS
+    from lakestar.sources.csv import assert_well_formed, read_raw_csv
+
+    path = tmp_path / "odd.csv"
+    path.write_text(",".join(RAW_COLUMNS) + "\n"
+                    'I1,S1,"12"" mug, red",1,2.00,2025-01-01,C1,UK\n'
+                    'I2,S2,"tray ""A""",1,2.00,2025-01-01,C1,UK\n'
+                    'I3,S3,ends in \\,1,2.00,2025-01-01,C1,UK\n'
+                    'I4,S4,short,1\n')
+    raw = read_raw_csv(spark, str(path))
+    assert_well_formed(raw)
+    rows = {r[RAW_COLUMNS[0]]: r for r in raw.collect()}
+    assert [rows[k][RAW_COLUMNS[2]] for k in ("I1", "I2", "I3", "I4")] == ['12" mug, red', 'tray "A"', "ends in \\", "short"]
+    assert rows["I4"][RAW_COLUMNS[7]] is None and rows["I3"][RAW_COLUMNS[7]] == "UK"
