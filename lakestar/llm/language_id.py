@@ -24,7 +24,7 @@ WORD = re.compile(r"[^\W\d_]+")
 START = "▁"  # marks the start of a word in the vocabulary
 UNKNOWN = 1e-7  # probability of a character that no piece covers
 LOW, LIFT = 1e-150, 1e150
-CACHE_WORDS = 300_000
+CACHE_WORDS = 800_000
 CACHE_CHARS = 40  # longer words are scored anew each time
 UNDETERMINED = "und"
 
