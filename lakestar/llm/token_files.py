@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 from .common import Scratch, open_fs, ship
 
 NO_ID = np.iinfo("i8").min
-CACHE_WORDS = 400_000  # encoded words that a worker keeps
+CACHE_WORDS = 800_000  # encoded words, and pieces of them, that a worker keeps
+MARKS = b".,;:!?%&$#*)]}"  # cut off the ends of words
 _encoders: dict = {}  # by tokenizer file: a worker's tokenizer and encoded words
 
 
@@ -36,25 +37,48 @@ class Encoder:
 
     The tokenizer's rules never join what white space separates, so a text's
     ids are its words' ids in a row. Only ASCII white space splits here; the
-    tokenizer itself handles any other.
+    tokenizer itself handles any other. If its pattern also parts letters
+    from marks, a word's trailing marks are encoded on their own, and plain
+    letters in lower case if it lower-cases anyway: so fewer different words
+    need encoding.
     """
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
 
-        self.tok, self.dtype, self.known = Tokenizer.from_file(path), dtype, {}
+        self.tok, self.dtype = Tokenizer.from_file(path), dtype
+        self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
+        rules = self.tok.to_str()
+        self.parts = r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in rules
+        self.lowers = '{"type":"Lowercase"}' in rules.replace(" ", "").replace("\n", "")
+
+    def cut(self, word: bytes) -> tuple[bytes, ...]:
+        if not self.parts:
+            return (word,)
+        base = word.rstrip(MARKS)
+        if self.lowers and base.isalpha():
+            base, size = base.lower(), len(base)
+            return (base, word[size:]) if size < len(word) else (base,)
+        if not base or len(base) == len(word) or not (chr(base[-1]).isalnum() if base[-1] < 128 else base.decode("utf-8", "replace")[-1].isalpha()):
+            return (word,)
+        return base, word[len(base):]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        new = list({w for ws in words for w in ws if w not in self.known})
-        if len(self.known) + len(new) > CACHE_WORDS:
+        if len(self.known) > CACHE_WORDS:
             self.known = {}
-            new = list({w for ws in words for w in ws})
+        cuts = {w: self.cut(w) for w in {w for ws in words for w in ws if w not in self.known}}
+        if len(self.pieces) > CACHE_WORDS:
+            self.pieces = {}
+        new = list({p for c in cuts.values() for p in c if p not in self.pieces})
         for i in range(0, len(new), 10_000):
             part = new[i:i + 10_000]
-            got = self.tok.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
+            got = self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
             for w, e in zip(part, got):
-                self.known[w] = np.array(e.ids, self.dtype).tobytes()
+                self.pieces[w] = np.array(e.ids, self.dtype).tobytes()
+        for w, c in cuts.items():
+            self.known[w] = b"".join(map(self.pieces.__getitem__, c))
         return [b"".join(map(self.known.__getitem__, ws)) for ws in words]
 
 
