@@ -42,6 +42,9 @@ BANDS = 8  # size bands to a doubling
 POSTINGS = 400_000  # of one task group
 HOT_LIST = 20_000  # lists that may be longer are split by hash
 BLOCK = 1_024  # sets of a family that are compared at once; larger families are split by hash
+BIN_SHINGLES = 1_000_000  # of small families that share a block, about
+SLICE = 500_000  # shingles of a block that are counted at once
+BATCH_BYTES = 16 << 20  # of sets in one Arrow batch, about
 COMMON = 16  # sets of a block that share a shingle for it to be a matrix column
 WORD_CACHE = 1_000_000
 FILTER_BITS = 24  # of the table of ids whose sets are wanted
@@ -299,6 +302,12 @@ def candidates(parts: int):
     return run
 
 
+def set_rows(ids: list, sets: list[bytes]) -> pa.RecordBatch:
+    sid = [xxhash.xxh3_64_intdigest(h) - (1 << 63) for h in sets]
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sid, pa.int64()), pa.array(sets, pa.binary())],
+                                      ["doc_id", "sid", "h"])
+
+
 def set_bytes(told):
     """(doc_id, sid, h) of the documents that a bit table of their ids' hashes lets through."""
     def run(batches):
@@ -306,10 +315,15 @@ def set_bytes(told):
         for b in batches:
             at = np.asarray(b.column("at"))
             b = b.filter(pa.array((bits[at >> 6] >> (at & 63).astype("u8") & np.uint64(1)).astype(bool)))
-            sets = [shingle_set(t).tobytes() for t in b.column("text").to_pylist()]
-            sid = [xxhash.xxh3_64_intdigest(h) - (1 << 63) for h in sets]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(sid, pa.int64()), pa.array(sets, pa.binary())],
-                                             ["doc_id", "sid", "h"])
+            ids, held, sets = [], 0, []
+            for i, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+                ids.append(i)
+                sets.append(shingle_set(t).tobytes())
+                held += len(sets[-1])
+                if held >= BATCH_BYTES:
+                    yield set_rows(ids, sets)
+                    ids, held, sets = [], 0, []
+            yield set_rows(ids, sets)
     return run
 
 
@@ -341,8 +355,26 @@ def sets_of(rows: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
 
 
 def overlap_matrix(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Exact overlaps of each set of ``left`` with each of ``right``."""
+    """Exact overlaps of each set of ``left`` with each of ``right``, added up
+    over slices of the hashes' range, so that memory doesn't grow with the sets."""
     out = np.zeros((len(left), len(right)), "i4")
+    slices = -(-sum(map(len, left + right)) // SLICE)
+    if slices <= 1:
+        add_overlaps(out, left, right)
+        return out
+    edges = np.array([i * (1 << 64) // slices for i in range(1, slices)], "u8")
+
+    def cut(h):
+        return np.r_[0, np.searchsorted(h, edges), len(h)]
+
+    at, to = [cut(h) for h in left], [cut(h) for h in right]
+    for i in range(slices):
+        add_overlaps(out, [h[c[i]:c[i + 1]] for h, c in zip(left, at)], [h[c[i]:c[i + 1]] for h, c in zip(right, to)])
+    return out
+
+
+def add_overlaps(out: np.ndarray, left: list[np.ndarray], right: list[np.ndarray]) -> None:
+    """Add the overlaps of ``left`` with ``right`` to ``out``."""
     sizes = np.array([len(h) for h in left + right])
     tok, at = np.unique(np.concatenate(left + right), return_inverse=True)
     who = np.repeat(np.arange(len(sizes)), sizes)
@@ -369,13 +401,12 @@ def overlap_matrix(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
         y, w = m[:len(left)], m[len(left):]
         differ = (y != y[0]).any(axis=0)
         out += (w @ y[0]).astype("i4") + ((y[:, differ] - y[0, differ]) @ w[:, differ].T).astype("i4")
-    return out
 
 
 def compare(key, table):
     """Which sets of the block, or of its two halves, are linked."""
     cid, n = np.asarray(table["cid"]), np.asarray(table["n"])
-    sets = [np.frombuffer(h, "u8") for h in table["h"].to_pylist()]
+    sets = [np.frombuffer(h.as_buffer(), "u8") for h in table["h"]]
     side = np.asarray(table["side"])
     a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     if key[1].as_py() == key[2].as_py():
@@ -449,7 +480,9 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     sizes = families.groupBy(F.col("root").alias("family")).agg(F.count(F.lit(1)).alias("m"))
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     sizes = scratch.keep(sizes.withColumn("blocks", blocks), "sizes")
-    bins = max(1, -(-(sizes.where("blocks = 1").agg(F.sum("m")).first()[0] or 0) // (BLOCK // 2)))
+    small = (families.join(sizes.where("blocks = 1"), families["root"] == sizes["family"]).join(keyed, families["id"] == keyed["cid"])
+             .agg(F.count(F.lit(1)).alias("sets"), F.coalesce(F.sum("n"), F.lit(0)).alias("shingles")).first())
+    bins = max(1, -(-small["sets"] // (BLOCK // 2)), -(-small["shingles"] // BIN_SHINGLES))
     wanted = (families.select(F.col("id").alias("cid"), F.col("root").alias("family")).join(sizes, "family")
               .join(keyed.select("cid", "sid", "low", "n"), "cid"))
     wanted = scratch.keep(wanted.select(

@@ -328,6 +328,9 @@ def test_jaccard_matches_brute_force(spark, monkeypatch, small):
         monkeypatch.setattr(jaccard_join, "HOT_LIST", 5)
         monkeypatch.setattr(jaccard_join, "POSTINGS", 200)
         monkeypatch.setattr(jaccard_join, "BLOCK", 6)
+        monkeypatch.setattr(jaccard_join, "BIN_SHINGLES", 100)
+        monkeypatch.setattr(jaccard_join, "BATCH_BYTES", 100)
+        monkeypatch.setattr(jaccard_join, "SLICE", 50)
     rows = doc_rows(spark, [(i, t, "s") for i, t in zip(ids, texts)])
     found = jaccard_join.jaccard_components(rows).collect()
     sets = {i: sets_of(t) for i, t in zip(ids, texts)}
