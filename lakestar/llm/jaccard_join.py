@@ -11,7 +11,9 @@ Relations in Exact Set Similarity Join", PVLDB 10(9), 2017):
   as members of a centre and have its candidates: lists hold one entry a
   centre, so a large group of near copies is one entry. Candidates make
   families, and only sets of a family are compared.
-* In a family, a block's overlaps with one set are computed in full; those
+* Sets of a large family meet their centres first. What is connected then
+  needs no more comparisons; only what is still apart is compared.
+* A block's overlaps with one set are computed in full; those
   with the others are derived from them by the shingles that the others
   have more or less: o(y, w) = o(x, w) + |(y - x) w| - |(x - y) w|.
 
@@ -343,14 +345,14 @@ def id_bits(ids: DataFrame) -> np.ndarray:
 
 
 def sets_of(rows: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
-    """(cid, n, h, group, blocks) of the classes ``wanted``. Most other
-    documents drop out where they are read; the rest meet in a join."""
+    """(cid, n, h, spots) of the classes ``wanted``. Most other documents drop
+    out where they are read; the rest meet in a join."""
     told = rows.sparkSession.sparkContext.broadcast(id_bits(wanted.select(F.col("low").alias("doc_id"))))
     found = (rows.select("doc_id", "text", id_slot().alias("at"))
              .mapInArrow(set_bytes(told), "doc_id long, sid long, h binary"))
     wanted = wanted.withColumnRenamed("sid", "class_sid")
     sets = (found.join(wanted, found["doc_id"].eqNullSafe(wanted["low"]) & (found["sid"] == wanted["class_sid"]))
-            .select("cid", "n", "h", "group", "blocks"))
+            .select("cid", "n", "h", "spots"))
     return sets.dropDuplicates(["cid"]) if repeated else sets
 
 
@@ -419,6 +421,53 @@ def compare(key, table):
     return pa.table({"cid": node, "root": root})
 
 
+def spots(group: str, upto: str) -> Column:
+    """The block pairs of ``group`` that a set of block ``s`` is in: with the blocks below ``upto``."""
+    return F.expr(f"""transform(sequence(0, cast({upto} as int) - 1), o -> named_struct(
+        'group', {group}, 'l', least(s, o), 'g', greatest(s, o), 'side', if(s <= o, 0, 1)))""")
+
+
+def meet(rows: DataFrame, wanted: DataFrame, scratch: Scratch, name: str, repeated: bool) -> DataFrame:
+    """Links, as (cid, root), between the sets that meet at the spots of ``wanted``."""
+    at = sets_of(rows, wanted, repeated).select("cid", "n", "h", F.explode("spots").alias("x")).select("cid", "n", "h", "x.*")
+    return scratch.keep(at.groupBy("group", "l", "g").applyInArrow(compare, "cid long, root long"), name)
+
+
+def resolve(rows: DataFrame, big: DataFrame, links: DataFrame, scratch: Scratch, repeated: bool) -> DataFrame:
+    """All links, up to connection, of the families ``big``, whose sets have met their centres.
+
+    What hangs together needs no further comparison. So one set for each
+    component found so far meets the family's others; then, in families that
+    are still apart, the sets outside the largest component meet all sets.
+    """
+    def placed(links, name):
+        comps = components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")), scratch, name)
+        found = big.join(comps.withColumnRenamed("id", "cid"), "cid", "left").withColumn("comp", F.coalesce("root", "cid")).drop("root")
+        return scratch.keep(found, f"{name}_placed")
+
+    def block(blocks):
+        return F.pmod(F.xxhash64("cid"), F.greatest(blocks, F.lit(1))).cast("int")
+
+    heads = placed(links, "star").where("cid = comp")
+    sizes = heads.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), F.count(F.lit(1)).alias("m")).where("m > 1")
+    heads = heads.join(sizes, "family").withColumn("s", block(F.col("blocks")))
+    heads = scratch.keep(heads.select("cid", "sid", "low", "n", spots("family", "blocks").alias("spots")), "heads")
+    if heads.isEmpty():
+        return links
+    links = links.union(meet(rows, heads, scratch, "head_links", repeated))
+
+    now = placed(links, "head")
+    parts = now.groupBy("family", "comp").agg(F.count(F.lit(1)).alias("m"))
+    tops = parts.groupBy("family").agg(F.max(F.struct("m", "comp")).alias("top"), F.sum("m").alias("all"), F.count(F.lit(1)).alias("comps"))
+    apart = tops.where("comps > 1").select("family", F.col("top.comp").alias("top"), F.ceil((F.col("all") - F.col("top.m")) / BLOCK).alias("few"),
+                                           F.ceil(F.col("top.m") / BLOCK).alias("many"))
+    rest = (now.join(apart, "family").withColumn("in_top", F.col("comp") == F.col("top"))
+            .withColumn("s", F.when(F.col("in_top"), F.col("few").cast("int") + block(F.col("many"))).otherwise(block(F.col("few"))))
+            .withColumn("upto", F.when(F.col("in_top"), F.col("few")).otherwise(F.col("few") + F.col("many"))))
+    rest = scratch.keep(rest.select("cid", "sid", "low", "n", spots("family", "upto").alias("spots")), "rest")
+    return links if rest.isEmpty() else links.union(meet(rows, rest, scratch, "rest_links", repeated))
+
+
 def proposals(classes: DataFrame) -> DataFrame:
     """(cid, centre): for each class the smallest class that agrees with it in
     VOTES of the minima, if that is smaller and hangs on none itself."""
@@ -476,24 +525,25 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     hung = keyed.where("cid <> centre").select(F.col("cid").alias("a"), F.col("centre").alias("b"))
     families = scratch.keep(components(ties.union(hung), scratch, "family"), "families")
 
-    # The sets of each family meet block by block; small families share a block.
+    # Small families share a block, in which all sets meet. In large ones,
+    # sets meet their centres first, and then what is still apart.
     sizes = families.groupBy(F.col("root").alias("family")).agg(F.count(F.lit(1)).alias("m"))
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    sizes = scratch.keep(sizes.withColumn("blocks", blocks), "sizes")
-    small = (families.join(sizes.where("blocks = 1"), families["root"] == sizes["family"]).join(keyed, families["id"] == keyed["cid"])
-             .agg(F.count(F.lit(1)).alias("sets"), F.coalesce(F.sum("n"), F.lit(0)).alias("shingles")).first())
-    bins = max(1, -(-small["sets"] // (BLOCK // 2)), -(-small["shingles"] // BIN_SHINGLES))
-    wanted = (families.select(F.col("id").alias("cid"), F.col("root").alias("family")).join(sizes, "family")
-              .join(keyed.select("cid", "sid", "low", "n"), "cid"))
-    wanted = scratch.keep(wanted.select(
-        "cid", "sid", "low", "n", "blocks",
-        F.when(F.col("blocks") > 1, F.col("family")).otherwise(-1 - F.pmod(F.xxhash64("family"), F.lit(bins))).alias("group")), "wanted")
+    placed = (families.select(F.col("id").alias("cid"), F.col("root").alias("family")).join(sizes, "family")
+              .join(keyed.select("cid", "sid", "low", "n", "centre"), "cid"))
+    placed = scratch.keep(placed, "placed")
+    small = placed.where(F.col("m") <= BLOCK)
+    total = small.agg(F.count(F.lit(1)).alias("sets"), F.coalesce(F.sum("n"), F.lit(0)).alias("shingles")).first()
+    bins = max(1, -(-total["sets"] // (BLOCK // 2)), -(-total["shingles"] // BIN_SHINGLES))
+    small = (small.withColumn("group", -1 - F.pmod(F.xxhash64("family"), F.lit(bins))).withColumn("s", F.lit(0))
+             .select("cid", "sid", "low", "n", spots("group", "1").alias("spots")))
+    big = placed.where(F.col("m") > BLOCK)
+    stars = big.groupBy("centre").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("centre", F.ceil(F.col("m") / BLOCK).cast("int").alias("k"))
+    stars = big.join(stars, "centre").select("cid", "sid", "low", "n", F.expr("""
+        if(cid = centre, transform(sequence(0, k - 1), o -> named_struct('group', centre, 'l', -1, 'g', o, 'side', 0)),
+           array(named_struct('group', centre, 'l', -1, 'g', cast(pmod(xxhash64(cid), k) as int), 'side', 1)))""").alias("spots"))
+    wanted = scratch.keep(small.union(stars), "wanted")
     repeated = not per_doc.groupBy("doc_id", "sid").count().where("count > 1").isEmpty()
-    sets = sets_of(rows, wanted, repeated).withColumn("s", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    meeting = sets.select("group", "cid", "n", "h", "s", F.explode(F.expr("sequence(0, blocks - 1)")).alias("o")).select(
-        "group", F.least("s", "o").alias("l"), F.greatest("s", "o").alias("g"),
-        F.when(F.col("s") <= F.col("o"), 0).otherwise(1).alias("side"), "cid", "n", "h")
-    links = scratch.keep(meeting.groupBy("group", "l", "g").applyInArrow(compare, "cid long, root long"), "links")
+    links = resolve(rows, big, meet(rows, wanted, scratch, "links", repeated), scratch, repeated)
     first = components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")), scratch, "linked")
     joined = classes.select("sid", "n", "cid", "low").join(first.withColumnRenamed("id", "cid"), "cid", "left")
     joined = joined.withColumn("root", F.coalesce("root", "cid"))
@@ -503,7 +553,7 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component"))
                    .otherwise(F.col("doc_id")).alias("component_id"), "text_hash", "root"))
     out = scratch.keep(out, "out")
-    scratch.drop("summary", "classes", "near", "keyed", "ties", "families", "sizes", "wanted", "links")
+    scratch.drop("summary", "classes", "near", "keyed", "ties", "families", "placed", "wanted", "links")
     return out
 
 
