@@ -144,14 +144,16 @@ def total_revenue(star: StarSchema) -> DataFrame:
 
 
 def kpis(star: StarSchema) -> DataFrame:
-    """Headline numbers in one row; each input is aggregated map-side, the
-    five one-row results are stacked and folded into columns."""
+    """Headline numbers in one row; each table is aggregated map-side in one
+    scan, and the one-row results are stacked and folded into columns."""
     wide = "decimal(20,2)"
+
+    def number(name: str, value):
+        return F.struct(F.lit(name).alias("k"), value.cast(wide).alias("v"))
+
+    fact = star.fact_sales.agg(money_total(F.col("revenue")).alias("rev"), F.count(F.lit(1)).alias("n"))
     parts = [
-        star.fact_sales.agg(money_total(F.col("revenue")).cast(wide).alias("v"))
-        .select(F.lit("total_revenue").alias("k"), "v"),
-        star.fact_sales.agg(F.count(F.lit(1)).cast(wide).alias("v"))
-        .select(F.lit("orders").alias("k"), "v"),
+        fact.select(F.inline(F.array(number("total_revenue", F.col("rev")), number("orders", F.col("n"))))),
         star.quarantine.agg(F.count(F.lit(1)).cast(wide).alias("v"))
         .select(F.lit("quarantined").alias("k"), "v"),
         star.dim_product.agg(F.count_distinct("stock_code").cast(wide).alias("v"))
@@ -211,19 +213,18 @@ def dashboard_bundle(star: StarSchema) -> DataFrame:
         .when(gid == 5, F.col("country"))
         .when(gid == 6, F.date_format("date", "yyyy-MM-dd"))
     )
-    fact_rows = rolled.select(panel.alias("panel"), label.alias("label"), "_rev", "_n")
-    # Groups with a null key are dropped, as in the dashboard's group-bys.
-    grouped = fact_rows.where((F.col("panel") == "total") | F.col("label").isNotNull())
     money = "decimal(18,2)"
-    panels = grouped.where(F.col("panel") != "total").select(
-        "panel", "label", F.col("_rev").cast(money).alias("value"))
-    totals = grouped.where(F.col("panel") == "total")
-    kpi_rows = totals.select(
-        F.lit("kpi").alias("panel"), F.lit("total_revenue").alias("label"),
-        F.coalesce(F.col("_rev"), F.lit(0)).cast(money).alias("value"),
-    ).unionByName(totals.select(
-        F.lit("kpi").alias("panel"), F.lit("orders").alias("label"),
-        F.col("_n").cast(money).alias("value")))
+
+    def row(panel, label, value):
+        return F.struct(panel.alias("panel"), label.alias("label"), value.cast(money).alias("value"))
+
+    # Each rolled row is unpivoted in place, so the fact is read once. Groups
+    # with a null key are dropped, as in the dashboard's group-bys.
+    kpi = F.lit("kpi")
+    unpivoted = F.when(panel == "total", F.array(
+        row(kpi, F.lit("total_revenue"), F.coalesce(F.col("_rev"), F.lit(0))), row(kpi, F.lit("orders"), F.col("_n"))
+    )).otherwise(F.array(row(panel, label, F.col("_rev"))))
+    fact_rows = rolled.select(F.inline(unpivoted)).where(F.col("label").isNotNull())
     q = star.quarantine
     q_total = q.agg(F.count(F.lit(1)).cast(money).alias("value")).select(
         F.lit("kpi").alias("panel"), F.lit("quarantined").alias("label"), "value")
@@ -234,7 +235,7 @@ def dashboard_bundle(star: StarSchema) -> DataFrame:
     custs = star.dim_customer.agg(F.count_distinct("customer_id").cast(money).alias("value")).select(
         F.lit("kpi").alias("panel"), F.lit("unique_customers").alias("label"), "value")
     return (
-        panels.unionByName(kpi_rows).unionByName(q_total).unionByName(q_reasons)
+        fact_rows.unionByName(q_total).unionByName(q_reasons)
         .unionByName(prods).unionByName(custs)
     )
 

@@ -1,6 +1,6 @@
 """Run the ELT job once per micro-batch of newly arrived raw CSV files.
 
-``readStream.csv`` discovers new files; each micro-batch goes through the
+The file stream discovers new files; each micro-batch goes through the
 same ``plans.job.run`` (checks, quarantine, star, append or merge load,
 reconciliation, run record). The stream's checkpoint must live on shared
 storage: it records which files were processed, so a restarted or failed
@@ -17,19 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.job import Config, PipelineError, run
-from ..schema import RAW_SCHEMA
-
-
-def _with_file_position(df: DataFrame) -> DataFrame:
-    """File and split of each line (row ids are added per micro-batch)."""
-    return df.select("*", F.col("_metadata.file_path").alias("_file"),
-                     F.col("_metadata.file_block_start").alias("_block"))
-
-
-def _with_ordinal(batch: DataFrame) -> DataFrame:
-    ordinal = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"),
-                       F.monotonically_increasing_id().alias("row"))
-    return batch.select(*[c for c in batch.columns if c not in ("_file", "_block")], ordinal.alias("_ord"))
+from ..sources.csv import read_raw_csv
 
 
 def start_incremental_load(spark: SparkSession, raw_dir: str, warehouse: str, *,
@@ -42,16 +30,21 @@ def start_incremental_load(spark: SparkSession, raw_dir: str, warehouse: str, *,
     """Start the stream; ``available_now`` processes what exists, then stops."""
     if mode not in ("append", "merge"):
         raise ValueError("streaming loads are incremental: mode must be 'append' or 'merge'")
-    reader = spark.readStream.schema(RAW_SCHEMA).option("header", True)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = _with_file_position(reader.csv(raw_dir))
+    # The stream only finds the new files; the batch reader reads them, so
+    # headers, quoting and surplus fields are treated as in a batch run.
+    lines = reader.text(raw_dir).select(F.col("_metadata.file_path").alias("file"))
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
+        files = sorted(r["file"] for r in batch.distinct().collect())  # one row a file of the trigger
+        if not files:
+            return
         cfg = Config(warehouse=warehouse, load_mode=mode,
                      run_date=run_date or dt.datetime.now(dt.timezone.utc).date(),
                      run_id=f"stream-{batch_id}", fail_on_check_error=fail_on_check_error)
-        result = run(spark, _with_ordinal(batch), cfg, categories=categories)
+        result = run(spark, read_raw_csv(spark, files), cfg, categories=categories)
         if not result.recon_passed:
             # Like a scheduled task: a load that does not reconcile fails the
             # batch, so the stream stops before recording it as processed.

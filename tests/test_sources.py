@@ -83,3 +83,11 @@ def test_csv_quotes_and_short_rows(spark, tmp_path):
     rows = {r[RAW_COLUMNS[0]]: r for r in raw.collect()}
     assert [rows[k][RAW_COLUMNS[2]] for k in ("I1", "I2", "I3", "I4")] == ['12" mug, red', 'tray "A"', "ends in \\", "short"]
     assert rows["I4"][RAW_COLUMNS[7]] is None and rows["I3"][RAW_COLUMNS[7]] == "UK"
+
+
+def test_csv_files_match_columns_by_name(spark, tmp_path):
+    rest = "description,quantity,unit_price,invoice_date,customer_id,country\n"
+    (tmp_path / "a.csv").write_text("invoice_no,stock_code," + rest + "I1,S1,mug,1,2.00,2025-01-01,C1,UK\n")
+    (tmp_path / "b.csv").write_text("Stock Code,Invoice No," + rest + "S2,I2,mug,1,2.00,2025-01-01,C1,UK\n")
+    rows = read_raw_csv(spark, str(tmp_path)).orderBy("_ord").collect()
+    assert [(r.invoice_no, r.stock_code) for r in rows] == [("I1", "S1"), ("I2", "S2")]
