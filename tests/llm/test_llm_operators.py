@@ -322,8 +322,6 @@ def test_jaccard_matches_brute_force(spark, monkeypatch, small):
                 t[rng.randrange(len(t))] = word()
             texts.append(" ".join(t))
     texts += [" ".join(common + [word() for _ in range(rng.randint(5, 60))]) for _ in range(20)]
-    chain = [word() for _ in range(60)]  # neighbours are linked, others are not
-    texts += [" ".join(chain[:40 + i]) for i in range(20)] + [" ".join(chain[i:]) for i in range(20)]
     texts += ["", None, " \t", "A b", "a B", "a b", texts[0], texts[0].upper()]
     ids = rng.sample(range(10_000), len(texts))
     if small:  # force hash-split lists and blocks
