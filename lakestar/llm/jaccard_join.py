@@ -11,6 +11,11 @@ Relations in Exact Set Similarity Join", PVLDB 10(9), 2017):
   as members of a centre and have its candidates: lists hold one entry a
   centre, so a large group of near copies is one entry. Candidates make
   families, and only sets of a family are compared.
+* A family's sets first meet as bit maps of two to four bits a shingle. The
+  bits that two maps share, and the shingles that fell on a taken bit of the
+  set with fewer of those, are never fewer than the shingles that the sets
+  share: pairs below the overlap they need are ruled out, and only families
+  of what is left are compared as sets.
 * In a family, a block's overlaps with one set are computed in full; those
   with the others are derived from them by the shingles that the others
   have more or less: o(y, w) = o(x, w) + |(y - x) w| - |(x - y) w|.
@@ -42,7 +47,12 @@ BANDS = 8  # size bands to a doubling
 POSTINGS = 400_000  # of one task group
 HOT_LIST = 20_000  # lists that may be longer are split by hash
 BLOCK = 1_024  # sets of a family that are compared at once; larger families are split by hash
+BLOCK_SHINGLES = 4_000_000  # of those sets, about
 BIN_SHINGLES = 1_000_000  # of small families that share a block, about
+MAP_BLOCK = 4_096  # bit maps of a family that are compared at once
+MAP_BLOCK_SHINGLES = 64_000_000  # of their sets, about
+MAP_BIN_SHINGLES = 16_000_000
+MAP_PAIRS = 1 << 20  # surviving pairs held before they are joined up
 SLICE = 500_000  # shingles of a block that are counted at once
 BATCH_BYTES = 16 << 20  # of sets in one Arrow batch, about
 COMMON = 16  # sets of a block that share a shingle for it to be a matrix column
@@ -89,6 +99,13 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(mixed(h))
 
 
+def bit_map(h: np.ndarray) -> np.ndarray:
+    """The hashes' low bits as a bit map of 2^k bits, at least 64 and two a hash."""
+    bits = np.zeros(max(64, 1 << (2 * len(h) - 1).bit_length()), bool)
+    bits[h & np.uint64(len(bits) - 1)] = True
+    return np.packbits(bits, bitorder="little").view("<u8")
+
+
 def linked(o, a, b):
     """Whether sets of sizes a and b with overlap o link: 100 o >= 75 (a + b - o)."""
     return 7 * o >= 3 * (a + b)
@@ -98,7 +115,7 @@ def buckets(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - BUCKET_BITS)).astype("i4")
 
 
-SUMMARY = "doc_id long, text_hash long, n_shingles long, sid long, minima array<long>, part int, chunk int, counts binary"
+SUMMARY = "doc_id long, text_hash long, n_shingles long, sid long, minima array<long>, bits binary, part int, chunk int, counts binary"
 
 
 def summarise(batches):
@@ -107,14 +124,15 @@ def summarise(batches):
 
     counts, schema = np.zeros(1 << BUCKET_BITS, "u4"), pa.schema([
         ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64()), ("minima", pa.list_(pa.int64())),
-        ("part", pa.int32()), ("chunk", pa.int32()), ("counts", pa.binary())])
+        ("bits", pa.binary()), ("part", pa.int32()), ("chunk", pa.int32()), ("counts", pa.binary())])
     for b in batches:
-        n, sid, minima, seen = [], [], [], []
+        n, sid, minima, bits, seen = [], [], [], [], []
         for t in b.column("text").to_pylist():
             h = shingle_set(t)
             n.append(len(h))
             sid.append(xxhash.xxh3_64_intdigest(h.tobytes()) - (1 << 63))
             minima.append([int((h * odd).min().view("i8")) for odd in ODD] if len(h) else [])
+            bits.append(bit_map(h).tobytes() if len(h) else b"")
             seen.append(buckets(h))
             if sum(map(len, seen[-1:])) > 1 << 18 or len(seen) >= 512:
                 counts += np.bincount(np.concatenate(seen), minlength=1 << BUCKET_BITS).astype("u4")
@@ -123,7 +141,7 @@ def summarise(batches):
             counts += np.bincount(np.concatenate(seen), minlength=1 << BUCKET_BITS).astype("u4")
         none = pa.nulls(len(n), pa.int32())
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_hash"), pa.array(n, pa.int64()), pa.array(sid, pa.int64()),
-                                          pa.array(minima, pa.list_(pa.int64())), none, none,
+                                          pa.array(minima, pa.list_(pa.int64())), pa.array(bits, pa.binary()), none, none,
                                           pa.nulls(len(n), pa.binary())], schema=schema)
     part = TaskContext.get().partitionId()
     rows = [{"part": part, "chunk": i, "counts": c.tobytes()} for i, c in enumerate(np.split(counts, CHUNKS)) if c.any()]
@@ -419,6 +437,86 @@ def compare(key, table):
     return pa.table({"cid": node, "root": root})
 
 
+def fold(maps: np.ndarray) -> np.ndarray:
+    """Bit maps of half the width: the low bits with one bit less."""
+    half = maps.shape[1] // 2
+    return maps[:, :half] | maps[:, half:]
+
+
+def spilt(maps: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """How many shingles of each set fell on a bit that another one had set."""
+    return n - np.bitwise_count(maps).sum(axis=1, dtype="i8")
+
+
+def sift(key, table):
+    """Which sets of the block, or of its two halves, hang together by pairs
+    that their bit maps leave possible."""
+    cid, n, side = (np.asarray(table[c]) for c in ("cid", "n", "side"))
+    maps = [np.frombuffer(x.as_buffer(), "<u8") for x in table["bits"]]
+    same = key[1].as_py() == key[2].as_py()
+    right = np.flatnonzero(side == (0 if same else 1))
+    right = right[np.argsort(n[right], kind="stable")]
+    words = np.array([len(m) for m in maps])
+    # Right-hand maps by width, and folded to half of it for sets of smaller maps.
+    by_width = {}
+    for w in np.unique(words[right]):
+        rows = right[words[right] == w]
+        m = np.stack([maps[i] for i in rows])
+        by_width[int(w), int(w)] = rows, n[rows], m, spilt(m, n[rows])
+        if w > 1:
+            m = fold(m)
+            by_width[int(w), int(w) // 2] = rows, n[rows], m, spilt(m, n[rows])
+    a, b, held, found = [], [], 0, []
+    for i in np.flatnonzero(side == 0):
+        x = maps[i][None, :]
+        for w in (len(maps[i]) // 2, len(maps[i]), len(maps[i]) * 2):
+            mine = fold(x) if 2 * w == x.shape[1] else x
+            rows, sizes, m, lost = by_width.get((w, mine.shape[1]), (None, np.zeros(0, "i8"), None, None))
+            lo, hi = np.searchsorted(sizes, -(-3 * n[i] // 4)), np.searchsorted(sizes, 4 * n[i] // 3, "right")
+            if lo < hi:
+                most = np.bitwise_count(m[lo:hi] & mine).sum(axis=1, dtype="i8") + np.minimum(lost[lo:hi], spilt(mine, n[i])[0])
+                y = cid[rows[lo:hi][linked(most, n[i], sizes[lo:hi])]]
+                y = y[y != cid[i]]
+                a.append(np.full(len(y), cid[i]))
+                b.append(y)
+                held += len(y)
+        if held > MAP_PAIRS:
+            found.append(lowest(np.concatenate(a), np.concatenate(b)))
+            a, b, held = [], [], 0
+    a, b = (np.concatenate([*x, *(f[k] for f in found), np.zeros(0, "i8")]) for k, x in enumerate((a, b)))
+    node, root = lowest(a, b)
+    return pa.table({"cid": node, "root": root})
+
+
+def blocked(families: DataFrame, keyed: DataFrame, scratch: Scratch, name: str, sets: int, shingles: int, bin_shingles: int) -> DataFrame:
+    """(cid, sid, low, n, blocks, group) of each set of ``families(id, root)``: families
+    of more than ``sets`` or about ``shingles`` are groups of several blocks, smaller
+    ones share a group by hash."""
+    members = families.select(F.col("id").alias("cid"), F.col("root").alias("family")).join(
+        keyed.select("cid", "sid", "low", "n"), "cid")
+    members = scratch.keep(members, f"{name}_members")
+    sizes = members.groupBy("family").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
+    sizes = sizes.withColumn("blocks", F.greatest(F.ceil(F.col("m") / sets), F.ceil(F.col("total") / shingles)).cast("int"))
+    sizes = scratch.keep(sizes, f"{name}_sizes")
+    small = sizes.where("blocks = 1").agg(F.coalesce(F.sum("m"), F.lit(0)).alias("m"), F.coalesce(F.sum("total"), F.lit(0)).alias("total")).first()
+    bins = max(1, -(-small["m"] // (sets // 2)), -(-small["total"] // bin_shingles))
+    wanted = members.join(sizes.select("family", "blocks"), "family").select(
+        "cid", "sid", "low", "n", "blocks",
+        F.when(F.col("blocks") > 1, F.col("family")).otherwise(-1 - F.pmod(F.xxhash64("family"), F.lit(bins))).alias("group"))
+    wanted = scratch.keep(wanted, f"{name}_wanted")
+    scratch.drop(f"{name}_members", f"{name}_sizes")
+    return wanted
+
+
+def meeting(sets: DataFrame, what: str) -> DataFrame:
+    """Each set once for each pair of blocks of its group that its own block is in."""
+    s = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    return (sets.withColumn("s", s).select("group", "cid", "n", what, "s", F.explode(F.expr("sequence(0, blocks - 1)")).alias("o"))
+            .select("group", F.least("s", "o").alias("l"), F.greatest("s", "o").alias("g"),
+                    F.when(F.col("s") <= F.col("o"), 0).otherwise(1).alias("side"), "cid", "n", what)
+            .groupBy("group", "l", "g"))
+
+
 def proposals(classes: DataFrame) -> DataFrame:
     """(cid, centre): for each class the smallest class that agrees with it in
     VOTES of the minima, if that is smaller and hangs on none itself."""
@@ -476,24 +574,22 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     hung = keyed.where("cid <> centre").select(F.col("cid").alias("a"), F.col("centre").alias("b"))
     families = scratch.keep(components(ties.union(hung), scratch, "family"), "families")
 
-    # The sets of each family meet block by block; small families share a block.
-    sizes = families.groupBy(F.col("root").alias("family")).agg(F.count(F.lit(1)).alias("m"))
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    sizes = scratch.keep(sizes.withColumn("blocks", blocks), "sizes")
-    small = (families.join(sizes.where("blocks = 1"), families["root"] == sizes["family"]).join(keyed, families["id"] == keyed["cid"])
-             .agg(F.count(F.lit(1)).alias("sets"), F.coalesce(F.sum("n"), F.lit(0)).alias("shingles")).first())
-    bins = max(1, -(-small["sets"] // (BLOCK // 2)), -(-small["shingles"] // BIN_SHINGLES))
-    wanted = (families.select(F.col("id").alias("cid"), F.col("root").alias("family")).join(sizes, "family")
-              .join(keyed.select("cid", "sid", "low", "n"), "cid"))
-    wanted = scratch.keep(wanted.select(
-        "cid", "sid", "low", "n", "blocks",
-        F.when(F.col("blocks") > 1, F.col("family")).otherwise(-1 - F.pmod(F.xxhash64("family"), F.lit(bins))).alias("group")), "wanted")
     repeated = not per_doc.groupBy("doc_id", "sid").count().where("count > 1").isEmpty()
-    sets = sets_of(rows, wanted, repeated).withColumn("s", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-    meeting = sets.select("group", "cid", "n", "h", "s", F.explode(F.expr("sequence(0, blocks - 1)")).alias("o")).select(
-        "group", F.least("s", "o").alias("l"), F.greatest("s", "o").alias("g"),
-        F.when(F.col("s") <= F.col("o"), 0).otherwise(1).alias("side"), "cid", "n", "h")
-    links = scratch.keep(meeting.groupBy("group", "l", "g").applyInArrow(compare, "cid long, root long"), "links")
+
+    # Bit maps of each family meet block by block; what they leave possible makes smaller families.
+    wanted = blocked(families, keyed, scratch, "map", MAP_BLOCK, MAP_BLOCK_SHINGLES, MAP_BIN_SHINGLES)
+    maps = summary.where("chunk is null").select("doc_id", F.col("sid").alias("doc_sid"), "bits")
+    maps = (maps.join(wanted, maps["doc_id"].eqNullSafe(wanted["low"]) & (maps["doc_sid"] == wanted["sid"]))
+            .select("cid", "n", "bits", "group", "blocks"))
+    maps = maps.dropDuplicates(["cid"]) if repeated else maps
+    left = scratch.keep(meeting(maps, "bits").applyInArrow(sift, "cid long, root long"), "left")
+    left = components(left.select(F.col("cid").alias("a"), F.col("root").alias("b")), scratch, "left")
+    left = scratch.keep(left, "left_families")
+
+    # The sets of those meet likewise.
+    wanted = blocked(left, keyed, scratch, "set", BLOCK, BLOCK_SHINGLES, BIN_SHINGLES)
+    sets = sets_of(rows, wanted, repeated)
+    links = scratch.keep(meeting(sets, "h").applyInArrow(compare, "cid long, root long"), "links")
     first = components(links.select(F.col("cid").alias("a"), F.col("root").alias("b")), scratch, "linked")
     joined = classes.select("sid", "n", "cid", "low").join(first.withColumnRenamed("id", "cid"), "cid", "left")
     joined = joined.withColumn("root", F.coalesce("root", "cid"))
@@ -503,7 +599,7 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component"))
                    .otherwise(F.col("doc_id")).alias("component_id"), "text_hash", "root"))
     out = scratch.keep(out, "out")
-    scratch.drop("summary", "classes", "near", "keyed", "ties", "families", "sizes", "wanted", "links")
+    scratch.drop("summary", "classes", "near", "keyed", "ties", "families", "map_wanted", "left", "left_families", "set_wanted", "links")
     return out
 
 

@@ -329,6 +329,10 @@ def test_jaccard_matches_brute_force(spark, monkeypatch, small):
         monkeypatch.setattr(jaccard_join, "POSTINGS", 200)
         monkeypatch.setattr(jaccard_join, "BLOCK", 6)
         monkeypatch.setattr(jaccard_join, "BIN_SHINGLES", 100)
+        monkeypatch.setattr(jaccard_join, "BLOCK_SHINGLES", 400)
+        monkeypatch.setattr(jaccard_join, "MAP_BLOCK", 9)
+        monkeypatch.setattr(jaccard_join, "MAP_BIN_SHINGLES", 150)
+        monkeypatch.setattr(jaccard_join, "MAP_PAIRS", 5)
         monkeypatch.setattr(jaccard_join, "BATCH_BYTES", 100)
         monkeypatch.setattr(jaccard_join, "SLICE", 50)
     rows = doc_rows(spark, [(i, t, "s") for i, t in zip(ids, texts)])
@@ -343,6 +347,38 @@ def test_jaccard_matches_brute_force(spark, monkeypatch, small):
     assert jaccard_join.jaccard_components(rows.limit(0)).count() == 0
 
 
+def test_bit_maps_lose_no_link():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    sets = []
+    for size in (1, 2, 5, 16, 31, 32, 33, 64, 200, 257, 700, 1_100):
+        base = rng.integers(0, 1 << 63, size, dtype="u8") * np.uint64(2)
+        for change in (0, 0.05, 0.12, 0.14, 0.15, 0.3):
+            k = int(size * change)
+            sets.append(np.unique(np.r_[base[k:], rng.integers(0, 1 << 63, rng.integers(0, k + 1), dtype="u8")]))
+    order = rng.permutation(len(sets))
+    sets = [sets[i] for i in order]
+
+    def pairs(which):
+        return {(i, j) for i in which for j in which if i < j and jaccard_join.linked(
+            len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]))}
+
+    every = range(len(sets))
+    table = pa.table({"cid": list(every), "n": [len(h) for h in sets], "side": [0] * len(sets),
+                      "bits": [jaccard_join.bit_map(h).tobytes() for h in sets]})
+    one = pa.scalar(0)
+    left = jaccard_join.sift((one, one, one), table).to_pydict()
+    got = dict(zip(left["cid"], left["root"]))
+    root = trees(pairs(every), every)
+    assert all(got.get(i, i) == got.get(root[i], root[i]) for i in every)
+    assert len({got.get(i, i) for i in every}) > 10  # unlike sizes and contents stay apart
+    for i, j in pairs(every):  # each pair alone, from either side
+        for a, b in ((i, j), (j, i)):
+            two = table.take([a, b]).set_column(2, "side", [[0, 1]])
+            assert jaccard_join.sift((one, pa.scalar(0), pa.scalar(1)), two).num_rows == 1
+
+
 def test_overlap_matrix(monkeypatch):
     monkeypatch.setattr(jaccard_join, "COMMON", 4)
     rng = np.random.default_rng(1)
