@@ -6,8 +6,10 @@ fingerprints at most RADIUS bits apart agree in one block at least, so the
 equi-join on blocks misses none of them. The exact similarity of the
 weighted shingles (weight: occurrences) then decides.
 
-A window without any shingle of an item has similarity 0, so only windows
-that put one of an item's shingles at the place it has in the item are
+A window slid left by a word loses its last shingle only. If that is none of
+an item's, the window is no better than the one slid, so the first of the
+best windows ends in an item's shingle or starts the text. Of these windows,
+those with as many places of items' shingles as the similarity needs are
 fingerprinted.
 """
 
@@ -22,7 +24,7 @@ from .common import Scratch
 
 WIDTH = 5  # words in a shingle
 RADIUS = 19  # differing bits of 64: three standard deviations above what similarity 0.75 leads to
-BROADCAST_ROWS = 500_000  # item shingles, of 28 bytes each, that are broadcast at most
+BROADCAST_ROWS = 500_000  # item shingles, or windows' places, of 28 bytes at most each, that are broadcast at most
 LANES = 0x0000000100000001
 
 
@@ -99,7 +101,7 @@ def contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", t
     The documents' shingles meet the items' in a join that broadcasts these
     only if their measured number is at most ``BROADCAST_ROWS``, and else is
     a shuffle join. A text is read twice, and shuffled only to meet its
-    windows.
+    windows' places, if these are more than that.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontam")
@@ -115,7 +117,7 @@ def contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", t
         known.where(F.least(F.size("w"), F.lit(WIDTH)) == k)
         .select("item_id", F.size("w").alias("n"), F.lit(k).alias("width"), shingles(F.col("w"), k).alias("sh")) for k in widths])
     known = scratch.keep(known.withColumn("no", F.monotonically_increasing_id()), "items")
-    places = scratch.keep(known.select("n", "width", F.posexplode("sh").alias("at", "s")).distinct(), "places")
+    places = scratch.keep(known.select("n", "width", F.explode("sh").alias("s")).distinct(), "places")
     small = places.count() <= BROADCAST_ROWS
 
     hits = reduce(DataFrame.union, [
@@ -123,19 +125,25 @@ def contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", t
         .select("doc_id", "th", F.size("w").alias("size"), F.posexplode(shingles(F.col("w"), k)).alias("pos", "s"))
         .join(F.broadcast(p) if small else p, "s")
         for k in widths for p in [places.where(F.col("width") == k).drop("width")]])
-    first = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("size") - F.col("n")))
-    spots = (hits.select("doc_id", "th", F.struct(first.alias("start"), "n").alias("spot"))
-             .groupBy("doc_id", "th").agg(F.collect_set("spot").alias("spots")))
+    reached = scratch.keep(hits.groupBy("doc_id", "th", "size", "n").agg(F.array_sort(F.collect_set("pos")).alias("at")), "reached")
+    width = F.least(F.col("n"), F.lit(WIDTH))
+    mine, whole = F.least("size", "n") - width + 1, F.col("n") - width + 1  # shingles of a window, of an item
+    need = F.greatest(F.lit(1), F.ceil(percent * (mine + whole) / (100 + percent)).cast("int"))
+    ends = F.when(F.size("at") >= need, F.filter(F.sequence(need - 1, F.size("at") - 1),
+                                                 lambda j: F.get("at", j) - F.get("at", j - need + 1) < mine))
+    starts = F.transform(ends, lambda j: F.greatest(F.lit(0), F.get("at", j) - mine + 1))
+    spots = (reached.select("doc_id", "th", "n", F.explode(starts).alias("start"))
+             .groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "n")).alias("spots")))
     spots = scratch.keep(spots, "spots")
+    few = (spots.agg(F.sum(F.size("spots"))).first()[0] or 0) <= BROADCAST_ROWS
 
     key = ["doc_id", "th", "start", "n"]
     on = (F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))) & (F.col("a.th") == F.col("b.th"))
-    cut = (texts.alias("a").join(spots.alias("b"), on)
+    cut = (texts.alias("a").join((F.broadcast(spots) if few else spots).alias("b"), on)
            .select("a.doc_id", "a.th", hashed(words(F.col("a.text"))).alias("w"), "b.spots")
            .select("doc_id", "th", F.explode(F.expr(
                "transform(spots, p -> named_struct('start', p.start, 'n', p.n, 'w', slice(w, p.start + 1, p.n)))")).alias("x"))
            .select("doc_id", "th", "x.start", "x.n", "x.w"))
-    width = F.least(F.col("n"), F.lit(WIDTH))
     windows = cut.select(*key, by_width(width, widths).alias("sh")).where(F.size("sh") > 0).dropDuplicates(key)
     windows = scratch.keep(windows, "windows")
 

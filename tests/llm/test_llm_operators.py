@@ -251,6 +251,31 @@ def test_decontamination_matches_brute_force(spark):
     assert decontaminate.contaminated(d, b.limit(0)).count() == 0 and decontaminate.contaminated(d.limit(0), b).count() == 0
 
 
+def test_decontamination_of_copies_edited_at_both_ends(spark):
+    from fractions import Fraction
+
+    rng = random.Random(16)
+    item = [f"i{k}" for k in range(104)]
+    texts = []
+    for head, tail, middle, lead in ((5, 5, 10, 0), (5, 5, 10, 40), (3, 6, 9, 2), (8, 2, 7, 30), (4, 4, 0, 11), (0, 0, 11, 0), (20, 20, 20, 5)):
+        new = iter(f"n{rng.randrange(10**9)}" for _ in range(1_000))
+        take = lambda n: [next(new) for _ in range(n)]
+        put = take(head) + item[head:52] + take(middle) + item[52:104 - tail] + take(tail)
+        texts.append(take(lead) + put + take(lead))
+    d = doc_rows(spark, [(i, " ".join(t), "s") for i, t in enumerate(texts)])
+    b = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: (r.start, round(r.similarity, 9)) for r in decontaminate.contaminated(d, b).collect()}
+    bag = lambda w: {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+    want = {}
+    for i, t in enumerate(texts):
+        best = max((Fraction(len(bag(v) & bag(item)), len(bag(v) | bag(item))), -s)
+                   for s in range(max(1, len(t) - 103)) for v in [t[s:s + 104]])
+        if best[0] >= Fraction(3, 4):
+            want[i] = (-best[1], round(float(best[0]), 9))
+    assert got == want and 0.75 < want[0][1] < 0.76 and len(want) > 3
+    assert {r.doc_id for r in decontaminate.clean(d, b).collect()} == set(range(len(texts))) - set(want)
+
+
 # -- 7: mixing --------------------------------------------------------------
 
 def test_water_fill():
