@@ -24,16 +24,25 @@ ROUNDS = 8
 WALK = 400  # steps of a cycle walk; every kind leaves it in a few
 FIRST_DAY, LAST_DAY = "1900-01-01", "2099-12-31"
 KINDS = ("email", "date", "ip", "ssn", "phone", "card")
+END = r"(?!\w|[.+-]\w)"
+LOOSE_END = r"(?!\w|[.+]\w)"
+DATE = r"\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}"
+SSN = r"\d{3}-\d{2}-\d{4}"
+NATIONAL = r"\d{3}[ .-]\d{3}[ .-]\d{4}"
+CARD = r"(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\d)"
 PATTERN = (
     r"(?<![\w.@+-])(?:"
-    r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
-    r"|\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4}"
+    r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}" + LOOSE_END +
+    rf"|(?:{DATE})(?=[Tt]\d{{2}}(?!\d))"
+    r"|(?:" + DATE +
     r"|\d{1,3}(?:\.\d{1,3}){3}"
-    r"|\d{3}-\d{2}-\d{4}"
-    r"|\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}"
-    r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[ .-]\d{3}[ .-]\d{4}"
-    r"|\d(?:[ -]?\d){12,18}"
-    r")(?!\w|[.+-]\w)"
+    r"|" + SSN +
+    rf"|\+\d{{1,3}}[ .-]?\(?\d{{2,4}}\)?(?:(?![ .-]{CARD})[ .-]?\d{{2,4}}){{2,4}}"
+    r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|" + NATIONAL +
+    r")" + END +
+    # A whole run of numbers, of which cards are taken later; dates and other kinds after it are none of it.
+    rf"|(?=\d(?:[ -]?\d){{12}})\d++{LOOSE_END}(?:[ -](?!(?:{DATE}|{SSN}|{NATIONAL}){END})\d++{LOOSE_END})*+"
+    r")"
 )
 DATE_FORMATS = ((r"^\d{4}-", "yyyy-MM-dd"), (r"^\d{4}/", "yyyy/MM/dd"), (r"^\d{2}\.", "dd.MM.yyyy"), (r"^\d{2}/", "dd/MM/yyyy"))
 
@@ -161,6 +170,53 @@ def kind_of(m: Column) -> Column:
                 check_digit(F.substr(d, F.lit(1), F.length(d) - 1)) == F.right(d, F.lit(1)), F.lit("card"))))
 
 
+def is_card(s: Column) -> Column:
+    """Whether ``s`` is digits with single separators and a right check digit."""
+    d = digits(s)
+    return (F.when(s.rlike(r"^[0-9](?:[ -]?[0-9]){12,18}$"),
+                   check_digit(F.substr(d, F.lit(1), F.length(d) - 1)) == F.right(d, F.lit(1))).otherwise(False))
+
+
+def cards_within(m: Column) -> Column:
+    """The pieces (was, kind) of a run of numbers that is no valid value whole:
+    from the left, the numbers that together are a card (plain shapes first,
+    then the longest), and what is between them."""
+    numbers = F.regexp_extract_all(m, F.lit("[^0-9]*[0-9]+"), F.lit(0))
+
+    def joined(x: Column, i: Column, k: Column) -> Column:
+        return F.regexp_replace(F.array_join(F.slice(x, i + 1, k), ""), "^[^0-9]+", "")
+
+    def length(x: Column, i: Column) -> Column:
+        left = F.least(F.lit(19), F.size(x) - i)
+        plain = F.filter(F.array(*[F.lit(k) for k in (4, 3, 1)]), lambda k: F.when(
+            k <= left, joined(x, i, k).rlike(f"^{CARD}$") & is_card(joined(x, i, k))).otherwise(False))
+        loose = F.filter(F.sequence(left, F.lit(1), F.lit(-1)), lambda k: is_card(joined(x, i, k)))
+        return F.coalesce(F.get(plain, F.lit(0)), F.get(loose, F.lit(0)), F.lit(0))
+
+    piece = "struct<was:string,kind:string>"
+
+    def row(was: Column, kind: Column) -> Column:
+        return F.struct(was.alias("was"), kind.cast("string").alias("kind"))
+
+    def step(x: Column):
+        def turn(state: Column, at: Column) -> Column:
+            i, k = at["i"], at["k"]
+            number = F.get(x, i)
+            none = F.lit(None)
+            more = F.when(k > 0, F.array(row(F.regexp_extract(number, "^[^0-9]*", 0), none), row(joined(x, i, k), F.lit("card")))
+                          ).otherwise(F.array(row(number, none)))
+            return (F.when(state["skip"] > 0, F.struct((state["skip"] - 1).alias("skip"), state["out"].alias("out")))
+                    .otherwise(F.struct(F.greatest(k - 1, F.lit(0)).alias("skip"), F.concat(state["out"], more).alias("out"))))
+        return turn
+
+    def split(x: Column) -> Column:
+        lengths = F.transform(F.sequence(F.lit(0), F.size(x) - 1), lambda i: F.struct(i.alias("i"), length(x, i).alias("k")))
+        start = F.struct(F.lit(0).alias("skip"), F.array().cast(f"array<{piece}>").alias("out"))
+        return F.aggregate(lengths, start, step(x), lambda state: state["out"])
+
+    return F.get(F.transform(F.array(numbers), split), F.lit(0))
+
+
 def pseudonym(m: Column, kind: Column, key: Column) -> Column:
     d = digits(m)
     # Dates: days since the first one, by cycle walking over 2^18.
@@ -206,14 +262,20 @@ def pseudonymise(docs: DataFrame, key: str, *, text: str = "text", found: str =
     body = F.col(f"`{text}`").cast("string")
     matches = F.when(body.rlike("[0-9@]"), F.regexp_extract_all(body, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
     rows = docs.select(*names, body.alias("_text"), matches.alias("_m"))
+    def told(x: Column) -> Column:
+        whole = F.array(F.struct(x["was"].alias("was"), x["kind"].alias("kind")))
+        run = x["kind"].isNull() & x["was"].rlike("^[+(0-9](?:[^0-9]*[0-9]){12}")
+        return F.when(run, cards_within(x["was"])).otherwise(whole)
+
     kinds = F.transform("_m", lambda m: F.struct(m.alias("was"), kind_of(m).alias("kind")))
     rows = rows.withColumn("_m", F.when(F.size("_m") > 0, kinds))
-    done = F.transform("_m", lambda x: F.struct(x["kind"].alias("kind"), x["was"].alias("was"),
-                                                F.coalesce(pseudonym(x["was"], x["kind"], k), x["was"]).alias("now")))
+    rows = rows.withColumn("_m", F.transform("_m", told))
+    done = F.transform("_m", lambda xs: F.transform(xs, lambda x: F.struct(
+        x["kind"].alias("kind"), x["was"].alias("was"), F.coalesce(pseudonym(x["was"], x["kind"], k), x["was"]).alias("now"))))
     rows = rows.withColumn("_m", done)
     pieces = F.split("_text", PATTERN, -1)
-    woven = F.array_join(F.zip_with(pieces, F.transform("_m", lambda x: x["now"]),
+    woven = F.array_join(F.zip_with(pieces, F.transform("_m", lambda xs: F.array_join(F.transform(xs, lambda x: x["now"]), "")),
                                     lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
     none = F.array().cast("array<struct<kind:string,was:string,now:string>>")
     return rows.select(*names, F.when(F.col("_m").isNull(), F.col("_text")).otherwise(woven).alias(text),
-                       F.coalesce(F.filter("_m", lambda x: x["kind"].isNotNull()), none).alias(found))
+                       F.coalesce(F.filter(F.flatten("_m"), lambda x: x["kind"].isNotNull()), none).alias(found))

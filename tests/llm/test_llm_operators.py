@@ -206,6 +206,25 @@ def test_pseudonyms(spark):
     assert other[1] != out[1].text
 
 
+def test_pseudonyms_of_neighbours(spark):
+    card = "4111 1111 1111 1111"
+    rows = [(f"card {card} 123", ["card"]), ("4111111111111111 12/27", ["card"]), (f"order 12 {card}", ["card"]), (f"1234 {card} 12", ["card"]),
+            (f"+49 30 1234567 {card}", ["phone", "card"]), (f"{card} 5500 0000 0000 0004", ["card", "card"]), (f"{card} 2024-01-02", ["card", "date"]),
+            (f"{card} 2nd", ["card"]), ("3782 822463 10005 99", ["card"]), ("2024-01-02T10:00:00Z", ["date"]), ("a.b@c.com-x", ["email"]),
+            (f"{card} 743-555-3824", ["card", "phone"]), ("1234 5678 9012 3456 7", []), ("7 " * 400, None)]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    out = {r.doc_id: r for r in pseudonyms.pseudonymise(df, "k1").collect()}
+    for i, (text, kinds) in enumerate(rows):
+        found = out[i].pii_found
+        assert kinds is None or [f.kind for f in found] == kinds, text
+        assert all(luhn(re.sub("[^0-9]", "", f.now)) for f in found if f.kind == "card") and len(out[i].text) == len(text)
+        for f in found:
+            assert f.was in text and (f.now != f.was)
+        assert card not in out[i].text and "4111111111111111" not in out[i].text, text
+    assert out[0].text.startswith("card ") and out[0].text.endswith(" 123") and out[2].text.startswith("order 12 ")
+    assert out[9].text.endswith("T10:00:00Z") and out[10].text.endswith("@c.com-x")
+
+
 def test_pseudonyms_are_one_to_one(spark):
     from pyspark.sql import functions as F
 
