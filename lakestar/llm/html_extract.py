@@ -27,15 +27,18 @@ from pyspark.sql import functions as F
 
 from .common import seeded, ship
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>"""
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>"""
                  r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?/][^>]*>""", re.S)
 ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 NAME = re.compile(r"[a-z]+")
-#: Fixed values of HTML: elements whose content is no text, without content, and inside a line of text.
-RAW = frozenset("script style title textarea noscript template iframe svg math xmp noembed noframes object canvas audio video select".split())
+#: Fixed values of HTML: elements that end at their end tag only, whose content is no text, without content, and inside a line of text.
+RAW = frozenset("script style title textarea iframe xmp noembed noframes".split())
+SKIPPED = frozenset("noscript template svg object canvas audio video select annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark nobr q s samp small span "
-                   "strike strong sub sup time tt u var wbr".split())
+                   "strike strong sub sup time tt u var wbr "
+                   "math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover "
+                   "mmultiscripts mprescripts mpadded mphantom menclose merror maction mtable mtr mtd".split())
 CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr td th", "table"),
           "td": ("td th", "tr table"), "th": ("td th", "tr table"), "option": ("option", "select")}
 CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSES.items()}
@@ -64,11 +67,17 @@ def leaf_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
     stack: list[tuple[str, tuple]] = []
     parts: list[str] = []
-    links, in_link = 0, 0
+    links, in_link, skipping = 0, 0, 0
+    last_end: dict[str, int] = {}  # of skipped elements: without an end tag to come, they skip nothing
+
+    def closed(tag: str, at: int) -> bool:
+        if tag not in last_end:
+            last_end[tag] = max((m.start() for m in re.finditer(rf"</{tag}(?![\w:-])", page, re.I)), default=-1)
+        return last_end[tag] >= at
 
     def add(piece: str) -> None:
         nonlocal links
-        if piece:
+        if piece and not skipping:
             piece = entities.unescape(piece) if "&" in piece else piece
             parts.append(piece)
             if in_link:
@@ -107,6 +116,7 @@ def leaf_blocks(page: str) -> list[Block]:
                 while stack:
                     t, _ = stack.pop()
                     in_link -= t == "a"
+                    skipping -= t in SKIPPED
                     if t == tag:
                         break
             continue
@@ -120,13 +130,15 @@ def leaf_blocks(page: str) -> list[Block]:
                 t = stack[i][0]
                 if t in shut or t == "p":
                     in_link -= sum(x == "a" for x, _ in stack[i:])
+                    skipping -= sum(x in SKIPPED for x, _ in stack[i:])
                     del stack[i:]
                     break
                 if t in fence or t not in INLINE and tag not in CLOSES:
                     break
-        if tag not in VOID and not attrs.endswith("/"):
+        if tag not in VOID and not attrs.endswith("/") and (tag not in SKIPPED or closed(tag, at)):
             stack.append((tag, names_of(attrs) if attrs else ()))
             in_link += tag == "a"
+            skipping += tag in SKIPPED
     flush()
     return blocks
 

@@ -180,6 +180,18 @@ def test_html_held_out_pages():
     assert sum(wrong) <= 0.02 * len(wrong)
 
 
+def test_html_unclosed_elements_math_and_quotes():
+    texts = lambda page: [b.text for b in html_extract.leaf_blocks(page)]
+    for tag in ("video", "select", "object", "noscript", "canvas", "audio", "svg", "template"):
+        assert texts(f"<article><p>One.</p><{tag}><p>Two.</p><p>Three.</p></article>") == ["One.", "Two.", "Three."]
+        assert texts(f"<article><p>One.</p><{tag}><p>x</p></{tag}><p>Two.</p></article>") == ["One.", "Two."]
+        assert texts(f"<div><p>One.</p><{tag}>x</div><p>Two.</p><{tag}>y</{tag}>") == ["One.", "Two."]
+    assert texts("<p>One.</p><script>var a;<p>x</p>") == ["One."]
+    assert texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p>") == ["Let x=2 be."]
+    assert texts("<p><a title=don't>link</a> two three. It's four <b>five</b></p>") == ["link two three. It's four five"]
+    assert texts("<p title='a>b' class=\"c>d\">One.</p>") == ["One."]
+
+
 # -- 5: PII -----------------------------------------------------------------
 
 def luhn(d):
