@@ -174,7 +174,7 @@ def train(docs: DataFrame, *, vocabulary: str, doc_id: str = "doc_id", text: str
     rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text"),
                        F.col(lang).cast("string").alias("_lang"))
     rows = rows.where(F.col("_lang").isNotNull() & F.col("_text").isNotNull() & ~is_held_out(F.col("_id")))
-    rows = rows.withColumn("_h", seeded(seed, "_id"))
+    rows = rows.withColumn("_h", seeded(seed, "_id", "_text"))
     counts = rows.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n")).limit(max_langs + 1)
     sizes = counts.collect()
     if len(sizes) > max_langs:
@@ -186,8 +186,7 @@ def train(docs: DataFrame, *, vocabulary: str, doc_id: str = "doc_id", text: str
     shares = spark.createDataFrame([(s["_lang"], min(2.0**32, 2.0**32 * 2 * docs_per_lang / s["_n"])) for s in sizes],
                                    "_lang string, _most double")
     rank = F.row_number().over(Window.partitionBy("_lang").orderBy("_h", "_id", "_text"))
-    sample = (rows.join(F.broadcast(shares), "_lang").where("_h < _most")
-              .withColumn("_r", rank).where(F.col("_r") <= docs_per_lang).select("_lang", "_text"))
+    sample = rows.join(F.broadcast(shares), "_lang").where("_h < _most")
 
     def fit(table):
         words: Counter = Counter()
@@ -198,10 +197,17 @@ def train(docs: DataFrame, *, vocabulary: str, doc_id: str = "doc_id", text: str
         return pa.table({"lang": [table["_lang"][0].as_py()] * len(pieces), "piece": pieces,
                          "p": [prob[p] for p in pieces]})
 
-    model = sample.groupBy("_lang").applyInArrow(fit, "lang string, piece string, p double")
     learned: dict[str, dict[str, float]] = {}
-    for r in model.collect():  # bounded: pieces times languages
-        learned.setdefault(r["lang"], {})[r["piece"]] = r["p"]
+
+    def learn_from(some: DataFrame) -> None:
+        most = some.withColumn("_r", rank).where(F.col("_r") <= docs_per_lang).select("_lang", "_text")
+        for r in most.groupBy("_lang").applyInArrow(fit, "lang string, piece string, p double").collect():  # bounded: pieces times languages
+            learned.setdefault(r["lang"], {})[r["piece"]] = r["p"]
+
+    learn_from(sample)
+    lost = [s["_lang"] for s in sizes if s["_lang"] not in learned]
+    if lost:  # so few different rows that the hash left none: each counts once
+        learn_from(rows.where(F.col("_lang").isin(lost)).dropDuplicates(["_lang", "_id", "_text"]))
     langs = sorted(learned)
     return langs, {p: tuple(learned[x][p] for x in langs) for p in pieces}
 

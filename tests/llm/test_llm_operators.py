@@ -117,6 +117,17 @@ def test_language_held_out_accuracy_and_inputs(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_languages_of_few_ids_are_learned(spark):
+    from pyspark.sql import functions as F
+
+    word = F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")
+    none = F.lit(None).cast("long").alias("doc_id")
+    docs = spark.range(20_000).select(none, F.concat(F.lit("the "), word).alias("text"), F.lit("aa").alias("lang"))
+    same = spark.range(20_000).select(none, F.lit("always this").alias("text"), F.lit("bb").alias("lang"))
+    langs, _ = language_id.train(docs.union(same), vocabulary=queries.tokenizer_path("piece_bpe_32k.model"))
+    assert langs == ["aa", "bb"]
+
+
 def test_language_edges(spark):
     rows = [(1, None), (2, ""), (3, "123 !?"), (4, "a" * 5_000), (5, "the and of the"), (None, "the and")]
     df = spark.createDataFrame([(i, t, "x", 0.0) for i, t in rows], "doc_id long, text string, lang_pred string, score double")
