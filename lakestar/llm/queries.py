@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embed_dedup, html_extract, jaccard_join, language_id, mixing, pseudonyms, secret_scan, sharding, token_files
+from . import (bloom_lm, collocations, decontaminate, embed_dedup, html_extract, jaccard_join, language_id, lexical_search,
+               mixing, pseudonyms, secret_scan, sharding, token_files)
 
 SHARDS = 40
 END_ID = 1
@@ -97,13 +98,77 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_secret_scan, op3_language_id,
-                                    op4_html_extraction, op5_pii_pseudonyms, op6_decontamination, op7_mixing, op8_token_files, op9_jaccard_join,
-                                    op10_sharding)}
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-ORACLE_SQL: dict[str, str] = {}
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f.__name__: f for f in (
+        op1_embedding_near_dedup, op2_secret_scan, op3_language_id, op4_html_extraction, op5_pii_pseudonyms,
+        op6_decontamination, op7_mixing, op8_token_files, op9_jaccard_join, op10_sharding, op11_lm_scoring,
+        op12_lexical_search, op13_collocations)}
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _terms(column: str) -> str:
+    return f"regexp_extract_all(translate(COALESCE({column}, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+
+SEARCH_SQL = f"""
+WITH doc AS (SELECT ROW_NUMBER() OVER () AS rid, doc_id, {_terms('text')} AS ws FROM documents),
+stat AS (SELECT COUNT(*) AS docs, CAST(SUM(len(ws)) AS BIGINT) AS terms FROM doc WHERE len(ws) > 0),
+item AS (SELECT DISTINCT item_id, UNNEST({_terms('text')}) AS t FROM benchmark),
+tf AS (SELECT rid, t, COUNT(*) AS tf FROM (SELECT rid, UNNEST(ws) AS t FROM doc)
+       WHERE t IN (SELECT t FROM item) GROUP BY rid, t),
+weight AS (SELECT t, CAST(floor(1000 * ln((2.0 * docs + 2) / (2 * COUNT(*) + 1))) AS BIGINT) AS w
+           FROM tf, stat GROUP BY t, docs),
+size AS (SELECT rid, doc_id, 100 - 50 + (50 * len(ws) * docs) // terms AS m FROM doc, stat WHERE len(ws) > 0),
+scored AS (
+  SELECT i.item_id, s.rid, s.doc_id, CAST(SUM(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM item i JOIN tf USING (t) JOIN weight USING (t) JOIN size s ON s.rid = tf.rid
+  GROUP BY i.item_id, s.rid, s.doc_id),
+ranked AS (SELECT item_id, CAST(ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank,
+                  doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50"""
+
+PHRASE_SQL = f"""
+WITH piece AS (
+  SELECT COALESCE(lang, 'und') AS lang, UNNEST(regexp_split_to_array(translate(COALESCE(text, ''), '{UPPER}', '{LOWER}'),
+         '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+ws AS (SELECT lang, regexp_extract_all(piece, '[^ \x09]+') AS ws FROM piece),
+total AS (SELECT lang, CAST(SUM(len(ws)) AS BIGINT) AS n FROM ws GROUP BY lang),
+gram AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, UNNEST(range(1, len(ws) - k + 2)) AS i
+        FROM ws, (SELECT UNNEST(range(1, 6)) AS k) WHERE len(ws) >= k)),
+freq AS (SELECT lang, k, phrase, COUNT(*) AS a FROM gram GROUP BY lang, k, phrase HAVING COUNT(*) >= 100),
+kept AS (
+  SELECT * FROM freq x WHERE k > 1 AND NOT EXISTS (
+    SELECT 1 FROM freq y WHERE y.lang = x.lang AND y.k > x.k AND 100 * y.a >= 100 * x.a
+      AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' '))),
+cut AS (
+  SELECT lang, phrase, a, c, array_to_string(w[1:c], ' ') AS head, array_to_string(w[c + 1:k], ' ') AS tail
+  FROM (SELECT lang, phrase, a, k, string_split(phrase, ' ') AS w, UNNEST(range(1, k)) AS c FROM kept)),
+scored AS (
+  SELECT cut.lang, cut.phrase, cut.a, c, h.a AS l, t.a AS r, n,
+         CAST((CAST(1000 AS HUGEINT) * cut.a * n) // (CAST(h.a AS HUGEINT) * t.a) AS BIGINT) AS score
+  FROM cut JOIN freq h ON h.lang = cut.lang AND h.phrase = head JOIN freq t ON t.lang = cut.lang AND t.phrase = tail
+  JOIN total ON total.lang = cut.lang),
+best AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, c) AS place FROM scored),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE place = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""
+
+ORACLE_SQL: dict[str, str] = {"op12_lexical_search": SEARCH_SQL, "op13_collocations": PHRASE_SQL}
 
 
 def oracle_sql() -> dict[str, str]:
