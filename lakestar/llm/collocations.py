@@ -16,70 +16,64 @@ are. The bit maps have a fixed size; full ones cost time, not phrases.
 
 from __future__ import annotations
 
-import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, seeded, ship
-from .grams import Hashes, mix, part_of, runs, summed
+from .grams import Cutter, Run, mix, part_of, summed
 
 WORDS = 5  # in a phrase, at most
 MAP_BITS = 1 << 28  # of a map of marked n-grams, at most: 32 MB
-MARK = b"."  # stands for every mark that parts pieces
-FOLD = bytes(b + 32 if 65 <= b <= 90 else ord(MARK) if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
-GAP = re.compile(rb"[ \t.,;:!?\n-\r]")
-CHUNK_TOKENS = 500_000
+MARKS = b".,;:!?\n\x0b\x0c\r"
+GAPS = b" \t" + MARKS
+RUN_BYTES = 2 << 20  # of texts that are worked on at a time
 HELD = 3_000_000  # counters of a task's summaries before it sends them
 SALTS = 64
 
 
-class Chunk:
-    """Words of one language: text after text, with marks between pieces and
-    texts. The first ``old`` are those before a cut, counted already."""
+class Words:
+    """A run's words with their languages, and which of them are neighbours in a piece."""
 
-    def __init__(self, lang, words: list[bytes], old: int, known: Hashes):
-        self.lang, self.words, self.old = lang, words, old
-        raw = known.of(words)
-        self.gap = raw == np.uint64(known[MARK])
-        self.hashes = mix(raw, xxhash.xxh3_64_intdigest(lang.encode()))
+    def __init__(self, run: Run, langs: list[str]):
+        self.run, self.langs = run, langs[run.first:run.first + run.rows]
+        marks = np.r_[0, np.cumsum(IS_MARK[run.data])][run.starts]
+        self.joined = (marks[1:] == marks[:-1]) & (run.row[1:] == run.row[:-1])
+        names = {x: mix(int.from_bytes(x.encode(), "little") % (1 << 61), len(x)) for x in set(self.langs)}
+        self.hashes = mix(run.hashes, np.array([names[x] for x in self.langs], np.uint64)[run.row])
 
     def grams(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """(starts, hashes) of the n-grams within pieces that end in a new word."""
-        n = len(self.words) - size + 1
+        n = len(self.hashes) - size + 1
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        bad, h = self.gap[:n].copy(), self.hashes[:n]
+        good, h = np.ones(n, bool), self.hashes[:n]
         for k in range(1, size):
-            bad |= self.gap[k:n + k]
+            good &= self.joined[k - 1:n + k - 1]
             h = mix(h, self.hashes[k:n + k])
-        bad[:max(0, self.old - size + 1)] = True
-        at = np.flatnonzero(~bad)
+        good[:max(0, self.run.old - size + 1)] = False
+        at = np.flatnonzero(good)
         return at, mix(h[at], size)
 
+    def phrases(self, at: np.ndarray, size: int) -> list[str]:
+        raw, starts, stops = self.run.data.tobytes(), self.run.starts, self.run.stops
+        cuts = [list(zip(starts[at + k].tolist(), stops[at + k].tolist())) for k in range(size)]
+        return [b" ".join([raw[i:j] for i, j in words]).decode("utf-8", "replace") for words in zip(*cuts)]
 
-def chunks(batches, tokens: int):
-    """A partition's texts as chunks, language by language within each batch."""
-    known = Hashes()
+
+IS_MARK = np.zeros(256, bool)
+IS_MARK[list(MARKS)] = True
+
+
+def runs_of_words(batches, run_bytes: int):
+    cutter = Cutter(GAPS, WORDS - 1, run_bytes)
     for b in batches:
         langs = b.column("lang").to_pylist()
-        for lang in sorted(set(langs)):
-            words, old = [], 0
-            for i, of in enumerate(langs):
-                if of != lang:
-                    continue
-                for run in runs(b.column("text")[i].as_py() or b"", GAP):
-                    words += run.translate(FOLD).replace(MARK, b" . ").split()
-                    if len(words) >= tokens:
-                        yield Chunk(lang, words, old, known)
-                        words = words[1 - WORDS:]
-                        old = len(words)
-                words.append(MARK)
-            if len(words) > old:
-                yield Chunk(lang, words, old, known)
+        for run in cutter(b.column("text")):
+            yield Words(run, langs)
 
 
 # -- bit maps of marked n-grams -----------------------------------------------------
@@ -89,15 +83,15 @@ def is_marked(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def open_grams(chunk: Chunk, sizes, words_map, pairs_map):
+def open_grams(words: Words, sizes, words_map, pairs_map):
     """(size, starts, hashes) of the n-grams whose parts the maps leave possible."""
     good = pair = None
     if words_map is not None:
-        good = is_marked(mix(chunk.hashes, 1), words_map)
-    if pairs_map is not None and len(chunk.words) > 1:
-        pair = is_marked(mix(mix(chunk.hashes[:-1], chunk.hashes[1:]), 2), pairs_map)
+        good = is_marked(mix(words.hashes, 1), words_map)
+    if pairs_map is not None:
+        pair = is_marked(mix(mix(words.hashes[:-1], words.hashes[1:]), 2), pairs_map)
     for size in sizes:
-        at, h = chunk.grams(size)
+        at, h = words.grams(size)
         keep = np.ones(len(at), bool)
         for k in range(size) if size > 1 and good is not None else ():
             keep &= good[at + k]
@@ -127,17 +121,18 @@ class Summary:
             self.hashes, self.counts, self.error = self.hashes[left], self.counts[left] - least, self.error + least
 
 
-def mass_counter(parts: int, tokens: int):
+def mass_counter(parts: int, run_bytes: int):
     """A task's words of each language, and n-grams of each size and part."""
     def run(batches):
-        words: dict = {}
+        words: Counter = Counter()
         mass = np.zeros((WORDS + 1, parts), np.int64)
-        for chunk in chunks(batches, tokens):
+        for found in runs_of_words(batches, run_bytes):
             for size in range(1, WORDS + 1):
-                _, h = chunk.grams(size)
+                at, h = found.grams(size)
                 mass[size] += np.bincount(part_of(h, parts).astype(np.int64), minlength=parts)
                 if size == 1:
-                    words[chunk.lang] = words.get(chunk.lang, 0) + len(h)
+                    for i, n in enumerate(np.bincount(found.run.row[at], minlength=found.run.rows).tolist()):
+                        words[found.langs[i]] += n
         size, part = np.nonzero(mass)
         yield pa.RecordBatch.from_arrays(
             [pa.array([None] * len(size) + list(words), pa.string()), pa.array(np.r_[size, np.zeros(len(words), int)], pa.int32()),
@@ -154,15 +149,15 @@ def summary_row(part: int, s: Summary):
                                        pa.array([s.error], pa.int64())], ["part", "hashes", "counts", "error"])
 
 
-def summariser(sizes, capacity, words_map, pairs_map, tokens: int):
+def summariser(sizes, capacity, words_map, pairs_map, run_bytes: int):
     """Each task's summaries; they are sent and begun anew when they hold ``HELD`` counters."""
     def run(batches):
         most = capacity.value
         maps = [m and m.value for m in (words_map, pairs_map)]
         mine: dict[int, Summary] = {}
         held = 0
-        for chunk in chunks(batches, tokens):
-            h = np.concatenate([h for _, _, h in open_grams(chunk, sizes, *maps)])
+        for words in runs_of_words(batches, run_bytes):
+            h = np.concatenate([h for _, _, h in open_grams(words, sizes, *maps)])
             hashes, counts = np.unique(h, return_counts=True)
             part = part_of(hashes, len(most)).astype(np.int64)
             edges = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)] if len(part) else np.zeros(1, int)
@@ -210,20 +205,82 @@ def merger(capacity, threshold: int, bits: int):
 
 # -- second pass: exact counts -----------------------------------------------------------
 
-def exact_counter(maps, tokens: int):
-    """A chunk's counts of the marked n-grams, by their words."""
+EXACT_DDL = "part int, langs array<string>, phrases array<string>, sizes array<int>, counts array<long>"
+
+
+class Exact:
+    """A task's counts of n-grams by hash, with the words of each."""
+
+    def __init__(self):
+        self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.words = np.zeros(0, object)
+
+    def add(self, hashes: np.ndarray, counts: np.ndarray, words) -> None:
+        """``words(i)``: (lang, phrase, size) of the hashes at ``i``; asked for new ones only."""
+        at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
+        known = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+        self.counts[at[known]] += counts[known]
+        new = np.flatnonzero(~known)
+        if len(new):
+            told = np.empty(len(new), object)
+            told[:] = words(new)
+            order = np.argsort(merged := np.r_[self.hashes, hashes[new]], kind="stable")
+            self.hashes, self.counts = merged[order], np.r_[self.counts, counts[new]][order]
+            self.words = np.concatenate([self.words, told])[order]
+
+    def rows(self, parts: int):
+        """One row a hash part."""
+        part = part_of(self.hashes, parts).astype(np.int64)
+        edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, int)
+        cuts = pa.array(np.r_[edges, len(part)], pa.int32())
+        langs, phrases, sizes = zip(*self.words) if len(part) else ((), (), ())
+        columns = [pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(sizes, pa.int32()), pa.array(self.counts, pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array(part[edges], pa.int32()), *[pa.ListArray.from_arrays(cuts, c) for c in columns]],
+                                          ["part", "langs", "phrases", "sizes", "counts"])
+
+
+def exact_counter(maps, parts: int, run_bytes: int):
+    """Each task's counts of the marked n-grams, by part."""
     def run(batches):
         words_map, pairs_map, long_map = (m.value for m in maps)
-        for chunk in chunks(batches, tokens):
-            phrases, sizes, counts = [], [], []
-            for size, at, h in open_grams(chunk, range(1, WORDS + 1), words_map, pairs_map):
+        mine = Exact()
+        for found in runs_of_words(batches, run_bytes):
+            for size, at, h in open_grams(found, range(1, WORDS + 1), words_map, pairs_map):
                 keep = is_marked(h, words_map if size == 1 else pairs_map if size == 2 else long_map)
-                _, first, n = np.unique(h[keep], return_index=True, return_counts=True)
-                phrases += [b" ".join(chunk.words[i:i + size]).decode("utf-8", "replace") for i in at[keep][first].tolist()]
-                sizes += [size] * len(n)
-                counts += n.tolist()
-            yield pa.RecordBatch.from_arrays([pa.array([chunk.lang] * len(counts), pa.string()), pa.array(phrases, pa.string()),
-                                              pa.array(sizes, pa.int32()), pa.array(counts, pa.int64())], ["lang", "phrase", "size", "n"])
+                at = at[keep]
+                hashes, first, n = np.unique(h[keep], return_index=True, return_counts=True)
+
+                def words(i, at=at, first=first, size=size):
+                    places = at[first[i]]
+                    return [(found.langs[r], p, size) for r, p in zip(found.run.row[places].tolist(), found.phrases(places, size))]
+
+                mine.add(hashes, n, words)
+            if len(mine.hashes) > HELD // 6:
+                yield mine.rows(parts)
+                mine = Exact()
+        yield mine.rows(parts)
+    return run
+
+
+def exact_merger(threshold: int):
+    """The frequent n-grams of a part, counted by their words."""
+    def frequent(counts):
+        rows = [(*k, n) for k, n in counts.items() if n >= threshold]
+        langs, phrases, sizes, n = zip(*rows) if rows else ((), (), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(sizes, pa.int32()),
+                                           pa.array(n, pa.int64())], ["lang", "phrase", "size", "a"])
+
+    def run(batches):
+        part, counts = None, Counter()
+        for b in batches:
+            for i, p in enumerate(b.column("part").to_pylist()):
+                if p != part:
+                    yield frequent(counts)
+                    part, counts = p, Counter()
+                *keys, n = (b.column(c)[i].as_py() for c in ("langs", "phrases", "sizes", "counts"))
+                for k, x in zip(zip(*keys), n):
+                    counts[k] += x
+        yield frequent(counts)
     return run
 
 
@@ -232,16 +289,16 @@ def power_of_two(x: int) -> int:
 
 
 def frequent_phrases(docs: DataFrame, scratch: Scratch, *, text: str, lang: str, threshold: int, counters: int,
-                     chunk_tokens: int) -> tuple[DataFrame, DataFrame]:
+                     run_bytes: int) -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, size, a) of every n-gram of 1 to WORDS words that
     occurs ``threshold`` times, (lang, n) of all words)."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
-                       F.col(text).cast("string").cast("binary").alias("text"))
+                       F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = min(power_of_two(-(-size // (2 * threshold * counters))), 1 << 20)  # a text has a word in two bytes at most
-    mass = scratch.keep(rows.mapInArrow(mass_counter(parts, chunk_tokens), "lang string, size int, part int, mass long")
+    mass = scratch.keep(rows.mapInArrow(mass_counter(parts, run_bytes), "lang string, size int, part int, mass long")
                         .groupBy("lang", "size", "part").agg(F.sum("mass").alias("mass")), "mass")
     words = mass.where("size = 0").select("lang", F.col("mass").alias("n"))
     table = np.zeros((WORDS + 1, parts), np.int64)
@@ -252,7 +309,7 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, *, text: str, lang: str,
         room = table[list(sizes)].sum(axis=0) // threshold + 1
         bits = max(8 * parts, min(MAP_BITS, power_of_two(32 * int(room.sum()))))
         capacity = share(room)
-        found = (rows.mapInArrow(summariser(sizes, capacity, words_map, pairs_map, chunk_tokens), SUMMARY_DDL)
+        found = (rows.mapInArrow(summariser(sizes, capacity, words_map, pairs_map, run_bytes), SUMMARY_DDL)
                  .repartition("part").sortWithinPartitions("part")
                  .mapInArrow(merger(capacity, threshold, bits), "part int, bits binary, marked long").collect())
         out = np.zeros(bits // 8, np.uint8)
@@ -264,13 +321,14 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, *, text: str, lang: str,
     words_map = summarise([1])
     pairs_map = summarise([2], words_map)
     long_map = summarise(range(3, WORDS + 1), words_map, pairs_map)
-    exact = (rows.mapInArrow(exact_counter((words_map, pairs_map, long_map), chunk_tokens), "lang string, phrase string, size int, n long")
-             .groupBy("lang", "phrase", "size").agg(F.sum("n").alias("a")).where(F.col("a") >= threshold))
+    exact = (rows.mapInArrow(exact_counter((words_map, pairs_map, long_map), parts, run_bytes), EXACT_DDL)
+             .repartition("part").sortWithinPartitions("part")
+             .mapInArrow(exact_merger(threshold), "lang string, phrase string, size int, a long"))
     return scratch.keep(exact, "frequent"), words
 
 
 def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", threshold: int = 100, top: int = 2_000,
-                 counters: int = 50_000, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
+                 counters: int = 50_000, run_bytes: int = RUN_BYTES) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first ``top`` phrases.
 
     Null texts are empty, a null lang is ``und``; every row counts, repeated
@@ -284,7 +342,7 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", thr
     spark = docs.sparkSession
     ship(spark)
     scratch = Scratch(spark, "collocations")
-    found, words = frequent_phrases(docs, scratch, text=text, lang=lang, threshold=threshold, counters=counters, chunk_tokens=chunk_tokens)
+    found, words = frequent_phrases(docs, scratch, text=text, lang=lang, threshold=threshold, counters=counters, run_bytes=run_bytes)
     ws = F.split("phrase", " ")
     phrases = found.where("size > 1").withColumn("w", ws)
 
