@@ -20,6 +20,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,12 +103,18 @@ def open_grams(words: Words, sizes, words_map, pairs_map):
 
 # -- first pass: summaries ------------------------------------------------------------
 
+def keys_in_part(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """The 32 bits after those that tell the part (a power of two of parts).
+    N-grams that share them share a counter, which can only be too high."""
+    return (hashes >> np.uint64(33 - parts.bit_length())).astype(np.uint32)
+
+
 class Summary:
-    """Misra-Gries counters of one hash part, kept in order of the hashes."""
+    """Misra-Gries counters of one hash part, kept in order of the keys."""
 
     def __init__(self, capacity: int):
         self.capacity, self.error = capacity, 0
-        self.hashes, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.hashes, self.counts = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def merge(self, hashes: np.ndarray, counts: np.ndarray, error: int = 0) -> None:
         self.error += error
@@ -141,37 +148,68 @@ def mass_counter(parts: int, run_bytes: int):
     return run
 
 
-SUMMARY_DDL = "part int, hashes binary, counts binary, error long"
+SUMMARY_DDL = "part int, size int, packed binary, error long"
 
 
 def summary_row(part: int, s: Summary):
-    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([s.hashes.tobytes()]), pa.array([s.counts.astype("<i8").tobytes()]),
-                                       pa.array([s.error], pa.int64())], ["part", "hashes", "counts", "error"])
+    """The keys' steps byte by byte, counts in a byte each and those of 255 and more after them, packed."""
+    steps = np.diff(s.hashes, prepend=np.uint32(0)).astype("<u4").view("u1").reshape(-1, 4).T
+    large = s.counts[s.counts >= 255].astype("<i8")
+    packed = zstandard.compress(steps.tobytes() + np.minimum(s.counts, 255).astype("u1").tobytes() + large.tobytes(), 1)
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(s.hashes)], pa.int32()), pa.array([packed]),
+                                       pa.array([s.error], pa.int64())], ["part", "size", "packed", "error"])
+
+
+def read_summary(r):
+    raw, n = np.frombuffer(zstandard.decompress(r["packed"]), "u1"), r["size"]
+    keys = np.cumsum(raw[:4 * n].reshape(4, n).T.copy().view("<u4").ravel(), dtype=np.uint32)
+    counts = raw[4 * n:5 * n].astype(np.int64)
+    counts[counts == 255] = np.frombuffer(raw[5 * n:].tobytes(), "<i8")
+    return keys, counts, r["error"]
 
 
 def summariser(sizes, capacity, words_map, pairs_map, run_bytes: int):
-    """Each task's summaries; they are sent and begun anew when they hold ``HELD`` counters."""
+    """Each task's summaries; they are sent and begun anew when they hold ``HELD`` counters.
+
+    With a map of pairs, the words of marked pairs are sent, too, as parts
+    beyond the n-grams': no other words are needed for scores.
+    """
     def run(batches):
         most = capacity.value
+        parts = len(most)
+        needed = np.zeros(0, np.uint64)
+
+        def send():
+            for p, s in mine.items():
+                yield summary_row(p, s)
+            part = part_of(needed, parts).astype(np.int64)
+            keys = keys_in_part(needed, parts)
+            for p in np.unique(part):
+                s = Summary(len(needed))
+                s.hashes, s.counts = keys[part == p], np.ones((part == p).sum(), np.int64)
+                yield summary_row(parts + int(p), s)
+
         maps = [m and m.value for m in (words_map, pairs_map)]
         mine: dict[int, Summary] = {}
         held = 0
         for words in runs_of_words(batches, run_bytes):
             h = np.concatenate([h for _, _, h in open_grams(words, sizes, *maps)])
+            if maps[1] is not None:
+                at, pairs = words.grams(2)
+                at = at[is_marked(pairs, maps[1])]
+                needed = np.union1d(needed, mix(words.hashes[np.r_[at, at + 1]], 1))
             hashes, counts = np.unique(h, return_counts=True)
-            part = part_of(hashes, len(most)).astype(np.int64)
+            part, keys = part_of(hashes, len(most)).astype(np.int64), keys_in_part(hashes, len(most))
             edges = np.r_[np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), len(part)] if len(part) else np.zeros(1, int)
             for i, j in zip(edges[:-1], edges[1:]):
                 s = mine.setdefault(int(part[i]), Summary(int(most[part[i]])))
                 held -= len(s.hashes)
-                s.merge(hashes[i:j], counts[i:j])
+                s.merge(keys[i:j], counts[i:j])
                 held += len(s.hashes)
-            if held > HELD:
-                for p, s in mine.items():
-                    yield summary_row(p, s)
-                mine, held = {}, 0
-        for p, s in mine.items():
-            yield summary_row(p, s)
+            if held + len(needed) > HELD:
+                yield from send()
+                mine, held, needed = {}, 0, needed[:0]
+        yield from send()
     return run
 
 
@@ -182,10 +220,9 @@ def merger(capacity, threshold: int, bits: int):
         width = bits // len(most)
 
         def marked(part, s):
-            rows = s.hashes[s.counts + s.error >= threshold]
-            at = part_of(rows, bits).astype(np.int64) - part * width
+            rows = s.hashes if part >= len(most) else s.hashes[s.counts + s.error >= threshold]
             out = np.zeros(width, bool)
-            out[at] = True
+            out[rows >> np.uint32(33 - width.bit_length())] = True  # the bits after the part's in the map
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(out, bitorder="little").tobytes()]),
                                                pa.array([len(rows)], pa.int64())], ["part", "bits", "marked"])
 
@@ -196,8 +233,8 @@ def merger(capacity, threshold: int, bits: int):
                     if s is not None:
                         yield marked(part, s)
                     part = r["part"]
-                    s = Summary(int(most[part]))
-                s.merge(np.frombuffer(r["hashes"], "<u8"), np.frombuffer(r["counts"], "<i8"), r["error"])
+                    s = Summary(int(most[part]) if part < len(most) else 1 << 32)
+                s.merge(*read_summary(r))
         if s is not None:
             yield marked(part, s)
     return run
@@ -205,7 +242,7 @@ def merger(capacity, threshold: int, bits: int):
 
 # -- second pass: exact counts -----------------------------------------------------------
 
-EXACT_DDL = "part int, langs array<string>, phrases array<string>, sizes array<int>, counts array<long>"
+EXACT_DDL = "part int, langs array<string>, sizes array<int>, counts array<long>, phrases binary"
 
 
 class Exact:
@@ -229,24 +266,25 @@ class Exact:
             self.words = np.concatenate([self.words, told])[order]
 
     def rows(self, parts: int):
-        """One row a hash part."""
+        """One row a hash part; no phrase has a line end in it."""
         part = part_of(self.hashes, parts).astype(np.int64)
         edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, int)
         cuts = pa.array(np.r_[edges, len(part)], pa.int32())
         langs, phrases, sizes = zip(*self.words) if len(part) else ((), (), ())
-        columns = [pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(sizes, pa.int32()), pa.array(self.counts, pa.int64())]
-        return pa.RecordBatch.from_arrays([pa.array(part[edges], pa.int32()), *[pa.ListArray.from_arrays(cuts, c) for c in columns]],
-                                          ["part", "langs", "phrases", "sizes", "counts"])
+        columns = [pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(self.counts, pa.int64())]
+        packed = [zstandard.compress("\n".join(phrases[i:j]).encode(), 3) for i, j in zip(edges, np.r_[edges[1:], len(part)])]
+        return pa.RecordBatch.from_arrays([pa.array(part[edges], pa.int32()), *[pa.ListArray.from_arrays(cuts, c) for c in columns], pa.array(packed, pa.binary())],
+                                          ["part", "langs", "sizes", "counts", "phrases"])
 
 
 def exact_counter(maps, parts: int, run_bytes: int):
     """Each task's counts of the marked n-grams, by part."""
     def run(batches):
-        words_map, pairs_map, long_map = (m.value for m in maps)
+        words_map, pairs_map, long_map, needed = (m.value for m in maps)
         mine = Exact()
         for found in runs_of_words(batches, run_bytes):
             for size, at, h in open_grams(found, range(1, WORDS + 1), words_map, pairs_map):
-                keep = is_marked(h, words_map if size == 1 else pairs_map if size == 2 else long_map)
+                keep = is_marked(h, needed if size == 1 else pairs_map if size == 2 else long_map)
                 at = at[keep]
                 hashes, first, n = np.unique(h[keep], return_index=True, return_counts=True)
 
@@ -277,9 +315,10 @@ def exact_merger(threshold: int):
                 if p != part:
                     yield frequent(counts)
                     part, counts = p, Counter()
-                *keys, n = (b.column(c)[i].as_py() for c in ("langs", "phrases", "sizes", "counts"))
-                for k, x in zip(zip(*keys), n):
-                    counts[k] += x
+                langs, sizes, n = (b.column(c)[i].as_py() for c in ("langs", "sizes", "counts"))
+                phrases = zstandard.decompress(b.column("phrases")[i].as_py()).decode().split("\n")
+                for *k, x in zip(langs, phrases, sizes, n):
+                    counts[tuple(k)] += x
         yield frequent(counts)
     return run
 
@@ -290,8 +329,8 @@ def power_of_two(x: int) -> int:
 
 def frequent_phrases(docs: DataFrame, scratch: Scratch, *, text: str, lang: str, threshold: int, counters: int,
                      run_bytes: int) -> tuple[DataFrame, DataFrame]:
-    """((lang, phrase, size, a) of every n-gram of 1 to WORDS words that
-    occurs ``threshold`` times, (lang, n) of all words)."""
+    """((lang, phrase, size, a) of every n-gram of 2 to WORDS words that
+    occurs ``threshold`` times and of their words, (lang, n) of all words)."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
@@ -312,16 +351,18 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, *, text: str, lang: str,
         found = (rows.mapInArrow(summariser(sizes, capacity, words_map, pairs_map, run_bytes), SUMMARY_DDL)
                  .repartition("part").sortWithinPartitions("part")
                  .mapInArrow(merger(capacity, threshold, bits), "part int, bits binary, marked long").collect())
-        out = np.zeros(bits // 8, np.uint8)
         width = bits // parts // 8
+        marks = np.zeros((2, bits // 8), np.uint8)
         for r in found:
-            out[r["part"] * width:(r["part"] + 1) * width] = np.frombuffer(r["bits"], "u1")
-        return share(out)
-
-    words_map = summarise([1])
-    pairs_map = summarise([2], words_map)
-    long_map = summarise(range(3, WORDS + 1), words_map, pairs_map)
-    exact = (rows.mapInArrow(exact_counter((words_map, pairs_map, long_map), parts, run_bytes), EXACT_DDL)
+            at = r["part"] % parts * width
+            marks[r["part"] // parts, at:at + width] = np.frombuffer(r["bits"], "u1")
+        return share(marks[0]), marks[1]
+
+    words_map, _ = summarise([1])
+    pairs_map, _ = summarise([2], words_map)
+    long_map, needed = summarise(range(3, WORDS + 1), words_map, pairs_map)
+    maps = (words_map, pairs_map, long_map, share(needed))
+    exact = (rows.mapInArrow(exact_counter(maps, parts, run_bytes), EXACT_DDL)
              .repartition("part").sortWithinPartitions("part")
              .mapInArrow(exact_merger(threshold), "lang string, phrase string, size int, a long"))
     return scratch.keep(exact, "frequent"), words
