@@ -42,7 +42,6 @@ def main() -> None:
     from lakestar.operators import serving
     from lakestar.operators.bronze import to_bronze
     from lakestar.operators.checks import build_default_suite
-    from lakestar.operators.classify import valid_rows
     from lakestar.operators.profile import column_profile
     from lakestar.operators.classify import classify
     from lakestar.operators.star import StarSchema, build_star, stage_bronze
@@ -85,12 +84,11 @@ def main() -> None:
 
     def incremental(mode):
         def go():
-            classified = classify(stage_bronze(to_bronze(raw_order_lines(spark, sf_dir))))
-            b1, b2 = split_batches(valid_rows(classified))
+            b1, b2 = split_batches(stage_bronze(to_bronze(raw_order_lines(spark, sf_dir))))
             cats = category_map(spark, sf_dir)
             w = Warehouse(spark, scratch_path(spark, f"bench-{mode}"))
-            load_star(w, build_star(b1, cats), mode, dt.date(2025, 1, 1))
-            load_star(w, build_star(b2, cats), mode, dt.date(2025, 2, 1))
+            load_star(w, build_star(b1, cats, staged=True), mode, dt.date(2025, 1, 1))
+            load_star(w, build_star(b2, cats, staged=True), mode, dt.date(2025, 2, 1))
             return w.read("fact_sales").count()
         return go
 

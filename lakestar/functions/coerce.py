@@ -27,6 +27,7 @@ ZONE_PATTERN = r"(Z|[+-]\d{2}:?\d{2})$"
 
 # Accepted number text; Spark's own casts also take suffixes such as "5d".
 NUMBER_PATTERN = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+NUMBER_PARTS = r"^\s*([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?\s*$"
 
 
 def na_to_null(c: Column) -> Column:
@@ -53,13 +54,27 @@ def to_number(c: Column) -> Column:
 def to_whole_number(c: Column) -> Column:
     """String -> bigint; text, fractions, infinities and overflow -> null.
 
-    Exact integers go straight through ``try_cast``; scientific notation
-    ("1e3") is accepted when the value is integral.
+    Plain integers go straight through ``try_cast``. Of other number text
+    ("2.0", "1e3", "1200e-2") the digits themselves decide, at any length:
+    the number is whole if all digits after the point, once the exponent has
+    moved it, are zeros.
     """
     as_long = c.try_cast("bigint")
-    exact = F.when(c.rlike(NUMBER_PATTERN), c.try_cast("decimal(38,9)"))
-    integral = exact.isNotNull() & (exact == F.floor(exact))
-    return F.coalesce(as_long, F.when(integral, exact.try_cast("bigint")))
+
+    def part(i: int) -> Column:
+        return F.regexp_extract(c, NUMBER_PARTS, i)
+
+    sign, fraction, exponent = part(1), part(3), part(4)
+    digits = F.concat(part(2), fraction)
+    moved = F.when(exponent == "", F.lit(0)).otherwise(exponent.try_cast("int"))
+    after = F.length(fraction).cast("bigint") - moved  # digits after the point; below 0: zeros to add
+    significant = F.rtrim(digits, F.lit("0"))
+    zeros = F.length(digits) - F.length(significant)
+    kept = F.when(after >= 0, F.substring(digits, F.lit(1), (F.length(digits) - after).cast("int")))
+    grown = F.when((after < 0) & (after >= -19), F.concat(digits, F.repeat(F.lit("0"), (-after).cast("int"))))
+    whole = (F.when(F.length(significant) == 0, F.lit("0"))
+             .when((after >= 0) & (after <= zeros), kept).otherwise(grown))
+    return F.coalesce(as_long, F.when(c.rlike(NUMBER_PATTERN), F.concat(sign, whole).try_cast("bigint")))
 
 
 def to_money(c: Column) -> Column:

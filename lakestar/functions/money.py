@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from ..schema import REVENUE, SUM_MONEY
 
 
+def line_amount(quantity: Column, unit_price: Column) -> Column:
+    """quantity x price, exact for every bigint and decimal(12,2)."""
+    return quantity.cast("bigint").cast("decimal(19,0)") * unit_price
+
+
 def line_revenue(quantity: Column, unit_price: Column) -> Column:
-    """quantity x price; an integer times decimal(12,2) is exact at 2 places."""
-    return (quantity.cast("bigint") * unit_price).cast(REVENUE)
+    """The amount as stored money; null if it doesn't fit."""
+    return line_amount(quantity, unit_price).try_cast(REVENUE)
 
 
 def money_sum(c: Column) -> Column:

@@ -33,7 +33,7 @@ class Numbered:
 
 
 def dense_number(df: DataFrame, order_by: list, name: str, *, start: int = 1,
-                 dtype: str = "int") -> Numbered:
+                 dtype: str = "long") -> Numbered:
     """Append ``name`` = start, start+1, ... in ``order_by`` order.
 
     ``order_by`` must be a total order (unique), so the numbering is the
@@ -55,6 +55,6 @@ def dense_number(df: DataFrame, order_by: list, name: str, *, start: int = 1,
 
 
 def continue_numbering(new_members: DataFrame, order_by: list, name: str,
-                       current_max: int, dtype: str = "int") -> Numbered:
+                       current_max: int, dtype: str = "long") -> Numbered:
     """Number new members max+1, max+2, ... in natural-key order (K-6)."""
     return dense_number(new_members, order_by, name, start=int(current_max) + 1, dtype=dtype)

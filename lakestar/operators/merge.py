@@ -9,11 +9,13 @@ dimension-sized or restricted to the affected fact months.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import SCD_EPOCH
+from ..session import ensure_checkpoint_dir
 from .cache import hold
 from .joins import maybe_broadcast
 from .keys import continue_numbering
@@ -139,24 +141,27 @@ def overwrite_current(stored: DataFrame, incoming: DataFrame, current_max: int |
 
 def merge_facts(stored: DataFrame, batch: DataFrame, natural_key: list[str], max_sale_id: int,
                 batch_rows: int | None = None):
-    """Upsert fact lines on the natural key within the affected months.
+    """Upsert fact lines on the natural key within the files that can hold them.
 
     Matched stored rows keep sale_id and take the batch's customer_key,
     quantity, unit_price and revenue (re-pointing re-seen lines at the
     current customer version). New lines get sale_id max+1.. in ingest
-    order. Returns (next contents of the affected months, inserted, updated).
+    order. Returns (next contents of those files, inserted, updated).
+
+    One full outer join, written once: the stored rows are read a single
+    time, and only the new lines are opened again to be numbered.
     """
     measures = ["customer_key", "quantity", "unit_price", "revenue"]
-    b = batch.select(*natural_key, *[F.col(c).alias(f"_b_{c}") for c in measures], F.lit(True).alias("_hit"))
-    updated = stored.join(b, natural_key, "left").select(
-        "sale_id", "product_key",
-        *[F.when(F.col("_hit"), F.col(f"_b_{c}")).otherwise(F.col(c)).alias(c) if c in measures
-          else F.col(c) for c in ("customer_key", "date_key", "invoice_no", "quantity", "unit_price", "revenue")],
-        F.coalesce(F.col("_hit"), F.lit(False)).alias("_hit"),
-    )
-    new = batch.join(stored.select(*natural_key), natural_key, "left_anti")
-    numbered = continue_numbering(new, ["_ord"], "sale_id", max_sale_id)
+    cols = ["sale_id", "product_key", "customer_key", "date_key", "invoice_no", "quantity", "unit_price", "revenue"]
+    b = batch.select(*natural_key, "_ord", *[F.col(c).alias(f"_b_{c}") for c in measures], F.lit(True).alias("_hit"))
+    joined = stored.join(b, natural_key, "full_outer").select(
+        *[F.when(F.col("_hit"), F.col(f"_b_{c}")).otherwise(F.col(c)).alias(c) if c in measures else F.col(c) for c in cols],
+        "_ord", F.col("sale_id").isNull().alias("_new"))
+    spark = batch.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/merged-{uuid.uuid4().hex}"
+    joined.write.partitionBy("_new").parquet(path)
+    merged = spark.read.schema(joined.schema).parquet(path)
+    numbered = continue_numbering(merged.where("_new").drop("_new", "sale_id"), ["_ord"], "sale_id", max_sale_id)
     # The batch is unique on the natural key: every line either matched or is new.
     n_updated = (batch.count() if batch_rows is None else batch_rows) - numbered.rows
-    cols = ["sale_id", "product_key", "customer_key", "date_key", "invoice_no", "quantity", "unit_price", "revenue"]
-    return (updated.select(*cols).unionByName(numbered.df.select(*cols)), numbered.rows, n_updated)
+    return (merged.where("not _new").select(*cols).unionByName(numbered.df.select(*cols)), numbered.rows, n_updated)

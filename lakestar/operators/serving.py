@@ -242,7 +242,9 @@ def dashboard_bundle(star: StarSchema) -> DataFrame:
 
 def preview_fact(star: StarSchema, n: int = 5) -> DataFrame:
     """Table preview: first ``n`` fact rows by sale_id plus the table's size."""
-    total = star.fact_sales.count()
+    total = (star.known_rows or {}).get("fact_sales")
+    if total is None:
+        total = star.fact_sales.count()
     return (
         star.fact_sales.orderBy("sale_id").limit(n)
         .withColumn("table_rows", F.lit(total).cast("bigint"))

@@ -167,7 +167,7 @@ def fact_columns(lines: DataFrame) -> DataFrame:
         "customer_key",
         date_key(F.col("invoice_date")).alias("date_key"),
         "invoice_no",
-        F.col("quantity").cast("int").alias("quantity"),
+        "quantity",
         "unit_price",
         line_revenue(F.col("quantity"), F.col("unit_price")).alias("revenue"),
     )

@@ -76,12 +76,13 @@ classified AS (
          WHEN COALESCE(quantity, 0) <= 0 THEN 'non_positive_quantity'
          WHEN ROW_NUMBER() OVER (PARTITION BY invoice_no, stock_code, invoice_date ORDER BY {ORD}) > 1
               THEN 'duplicate_invoice_line'
+         WHEN CAST(quantity AS DECIMAL(19,0)) * unit_price >= 1000000000000 THEN 'amount_out_of_range'
     END AS quarantine_reason
   FROM bronze
 ),
 valid AS (SELECT * EXCLUDE (quarantine_reason) FROM classified WHERE quarantine_reason IS NULL),
 quarantine AS (
-  SELECT invoice_no, stock_code, description, CAST(quantity AS INTEGER) AS quantity, unit_price,
+  SELECT invoice_no, stock_code, description, quantity, unit_price,
          CAST(invoice_date AS DATE) AS invoice_date, customer_id, country, quarantine_reason
   FROM classified WHERE quarantine_reason IS NOT NULL
 )"""
@@ -98,7 +99,7 @@ first_product AS (
     FROM valid) WHERE rn = 1
 ),
 dim_product AS (
-  SELECT CAST(ROW_NUMBER() OVER (ORDER BY f.stock_code) AS INTEGER) AS product_key,
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY f.stock_code) AS BIGINT) AS product_key,
          f.stock_code, f.description, COALESCE(c.category, 'Uncategorised') AS category, f.unit_price
   FROM first_product f LEFT JOIN categories c ON c.stock_code = f.stock_code
 ),
@@ -109,7 +110,7 @@ first_customer AS (
     FROM valid) WHERE rn = 1
 ),
 dim_customer AS (
-  SELECT CAST(ROW_NUMBER() OVER (ORDER BY customer_id) AS INTEGER) AS customer_key,
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY customer_id) AS BIGINT) AS customer_key,
          customer_id, country, DATE '1900-01-01' AS effective_from,
          CAST(NULL AS DATE) AS effective_to, TRUE AS is_current
   FROM first_customer
@@ -125,10 +126,10 @@ dim_date AS (
 
 FACT = f"""
 fact_sales AS (
-  SELECT CAST(ROW_NUMBER() OVER (ORDER BY {ORD}) AS INTEGER) AS sale_id,
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY {ORD}) AS BIGINT) AS sale_id,
          p.product_key, c.customer_key,
          CAST(strftime(CAST(v.invoice_date AS DATE), '%Y%m%d') AS INTEGER) AS date_key,
-         v.invoice_no, CAST(v.quantity AS INTEGER) AS quantity, v.unit_price,
+         v.invoice_no, v.quantity, v.unit_price,
          CAST(v.quantity * v.unit_price AS DECIMAL(14,2)) AS revenue
   FROM valid v
   LEFT JOIN dim_product p ON p.stock_code = v.stock_code
@@ -171,7 +172,7 @@ def _fact_lines(src: str, prod: str, cust: str) -> str:
     return f"""
   SELECT p.product_key, c.customer_key,
          CAST(strftime(CAST(b.invoice_date AS DATE), '%Y%m%d') AS INTEGER) AS date_key,
-         b.invoice_no, CAST(b.quantity AS INTEGER) AS quantity, b.unit_price,
+         b.invoice_no, b.quantity, b.unit_price,
          CAST(b.quantity * b.unit_price AS DECIMAL(14,2)) AS revenue, {', '.join('b.' + o for o in ORD.split(', '))}
   FROM {src} b
   JOIN {prod} p ON p.stock_code = b.stock_code
@@ -182,19 +183,20 @@ FACT_COLS = "sale_id, product_key, customer_key, date_key, invoice_no, quantity,
 
 BATCHES = f"""
 b1 AS (SELECT * FROM valid WHERE CAST(invoice_date AS DATE) < DATE '2000-01-01'),
-b2 AS (SELECT * REPLACE (CASE WHEN TRY_CAST(regexp_extract(customer_id, '(\\d+)$', 1) AS BIGINT) % 100 = 0
-                              THEN 'NATION_MOVED' ELSE country END AS country)
-       FROM valid WHERE CAST(invoice_date AS DATE) >= DATE '1999-07-01'),
+moved AS (SELECT * REPLACE (CASE WHEN TRY_CAST(regexp_extract(customer_id, '(\\d+)$', 1) AS BIGINT) % 100 = 0
+                                 THEN 'NATION_MOVED' ELSE country END AS country)
+          FROM classified WHERE CAST(invoice_date AS DATE) >= DATE '1999-07-01'),
+b2 AS (SELECT * EXCLUDE (quarantine_reason) FROM moved WHERE quarantine_reason IS NULL),
 p1in AS ({_first('b1', 'stock_code', 'description, unit_price')}),
-p1 AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY i.stock_code) AS INTEGER) AS product_key, i.stock_code,
+p1 AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY i.stock_code) AS BIGINT) AS product_key, i.stock_code,
               i.description, COALESCE(k.category, 'Uncategorised') AS category, i.unit_price
        FROM p1in i LEFT JOIN categories k ON k.stock_code = i.stock_code),
-c1 AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY customer_id) AS INTEGER) AS customer_key, customer_id, country,
+c1 AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY customer_id) AS BIGINT) AS customer_key, customer_id, country,
               DATE '1900-01-01' AS effective_from, CAST(NULL AS DATE) AS effective_to, TRUE AS is_current
        FROM ({_first('b1', 'customer_id', 'country')})),
 d1 AS (SELECT * FROM dim_date WHERE date IN (SELECT CAST(invoice_date AS DATE) FROM b1)),
 r1 AS ({_fact_lines('b1', 'p1', 'c1')}),
-f1 AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY {ORD}) AS INTEGER) AS sale_id, * EXCLUDE ({ORD}) FROM r1),
+f1 AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY {ORD}) AS BIGINT) AS sale_id, * EXCLUDE ({ORD}) FROM r1),
 p2in AS (SELECT i.stock_code, i.description, COALESCE(k.category, 'Uncategorised') AS category, i.unit_price
          FROM ({_first('b2', 'stock_code', 'description, unit_price')}) i
          LEFT JOIN categories k ON k.stock_code = i.stock_code),
@@ -206,7 +208,7 @@ p2 AS (
          CASE WHEN i.stock_code IS NOT NULL THEN i.unit_price ELSE p.unit_price END AS unit_price
   FROM p1 p LEFT JOIN p2in i ON i.stock_code = p.stock_code
   UNION ALL
-  SELECT CAST((SELECT COALESCE(MAX(product_key), 0) FROM p1) + ROW_NUMBER() OVER (ORDER BY stock_code) AS INTEGER),
+  SELECT CAST((SELECT COALESCE(MAX(product_key), 0) FROM p1) + ROW_NUMBER() OVER (ORDER BY stock_code) AS BIGINT),
          stock_code, description, category, unit_price
   FROM p2in WHERE stock_code NOT IN (SELECT stock_code FROM p1)
 ),
@@ -225,7 +227,7 @@ c2 AS (
   FROM c1 c LEFT JOIN (SELECT customer_key FROM decisions WHERE action = 'changed') d
          ON d.customer_key = c.customer_key
   UNION ALL
-  SELECT CAST((SELECT MAX(customer_key) FROM c1) + ROW_NUMBER() OVER (ORDER BY customer_id) AS INTEGER),
+  SELECT CAST((SELECT MAX(customer_key) FROM c1) + ROW_NUMBER() OVER (ORDER BY customer_id) AS BIGINT),
          customer_id, new_country,
          CASE WHEN action = 'new' THEN DATE '1900-01-01' ELSE DATE '{RUN_DATE_2}' END,
          CAST(NULL AS DATE), TRUE
@@ -242,7 +244,7 @@ fm AS (
   FROM f1 f LEFT JOIN r2 r
     ON r.invoice_no = f.invoice_no AND r.product_key = f.product_key AND r.date_key = f.date_key
   UNION ALL
-  SELECT CAST((SELECT MAX(sale_id) FROM f1) + ROW_NUMBER() OVER (ORDER BY {ORD}) AS INTEGER), * EXCLUDE ({ORD})
+  SELECT CAST((SELECT MAX(sale_id) FROM f1) + ROW_NUMBER() OVER (ORDER BY {ORD}) AS BIGINT), * EXCLUDE ({ORD})
   FROM r2 WHERE NOT EXISTS (SELECT 1 FROM f1 WHERE f1.invoice_no = r2.invoice_no
                             AND f1.product_key = r2.product_key AND f1.date_key = r2.date_key)
 ),
@@ -252,7 +254,7 @@ ca AS (
          c.effective_from, c.effective_to, c.is_current
   FROM c1 c LEFT JOIN c2in i ON i.customer_id = c.customer_id
   UNION ALL
-  SELECT CAST((SELECT MAX(customer_key) FROM c1) + ROW_NUMBER() OVER (ORDER BY customer_id) AS INTEGER),
+  SELECT CAST((SELECT MAX(customer_key) FROM c1) + ROW_NUMBER() OVER (ORDER BY customer_id) AS BIGINT),
          customer_id, country, DATE '1900-01-01', CAST(NULL AS DATE), TRUE
   FROM c2in WHERE customer_id NOT IN (SELECT customer_id FROM c1)
 ),
@@ -261,10 +263,12 @@ ra AS ({_fact_lines('b2', 'p2', 'ca')}),
 fa AS (
   SELECT {FACT_COLS} FROM f1
   UNION ALL
-  SELECT CAST((SELECT MAX(sale_id) FROM f1) + ROW_NUMBER() OVER (ORDER BY {ORD}) AS INTEGER), * EXCLUDE ({ORD})
+  SELECT CAST((SELECT MAX(sale_id) FROM f1) + ROW_NUMBER() OVER (ORDER BY {ORD}) AS BIGINT), * EXCLUDE ({ORD})
   FROM ra WHERE date_key > (SELECT watermark FROM wm)
 ),
-q2 AS (SELECT * FROM quarantine WHERE FALSE)"""
+q1 AS (SELECT * FROM quarantine WHERE invoice_date IS NULL OR invoice_date < DATE '2000-01-01'),
+q2 AS (SELECT invoice_no, stock_code, description, quantity, unit_price, CAST(invoice_date AS DATE) AS invoice_date,
+              customer_id, country, quarantine_reason FROM moved WHERE quarantine_reason IS NOT NULL)"""
 
 
 def on_batches(select: str) -> str:

@@ -4,15 +4,21 @@ Every mode writes changed tables as a new warehouse version, validates
 what was written (declared contracts), then publishes the manifest -- the
 whole load becomes visible at once or not at all. Incremental modes touch
 only what changed: dimensions (dimension-sized joins) and, for the fact,
-new rows (append) or the months the batch falls in (merge).
+new rows (append) or the files that can hold a line of the batch (merge).
+
+A load that finds its version taken when it publishes was overtaken by
+another one. A replace doesn't depend on what was stored, so it publishes as
+the next version; an incremental load is computed again from the version
+that won.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from collections.abc import Callable
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import month_key
@@ -20,9 +26,9 @@ from ..operators import contracts
 from ..operators.keys import continue_numbering
 from ..operators.merge import apply_scd2, max_key, merge_facts, overwrite_current, upsert
 from ..operators.star import StarSchema, fact_columns, resolve_keys, typed
-from ..schema import FACT_SALES, LOAD_MODES, TABLES
+from ..schema import FACT_SALES, LOAD_MODES, PIPELINE_RUNS, TABLES
 from ..concurrent import run_together
-from .warehouse import Entry, Warehouse
+from .warehouse import Conflict, Entry, Warehouse
 
 
 @dataclass
@@ -38,6 +44,16 @@ class LoadResult:
     late_rows_skipped: int = 0
     watermark: int = 0
     scd2_decisions: DataFrame | None = None
+    # Violations found in what the load wrote (all 0, or it isn't published).
+    contract_rows: list = field(default_factory=list)
+    # Fact files that the load read and replaced, of how many.
+    files_read: int = 0
+    files_before: int = 0
+    attempts: int = 1
+
+
+# Makes the run-history record of a load that is about to be published.
+Recorder = Callable[[LoadResult], DataFrame]
 
 
 class UnresolvedKeys(RuntimeError):
@@ -85,11 +101,19 @@ def rekey(lines: DataFrame, dim_product: DataFrame, dim_customer: DataFrame,
     return (out, int(stats["n"])) if with_count else out
 
 
-def _validate(wh: Warehouse, entries: list[Entry], fact_months: set[int] | None = None):
+def _validate(wh: Warehouse, entries: list[Entry]) -> list:
     """Contracts over what was just written (read back from storage)."""
     names = sorted({e.table_name for e in entries})
-    tables = {n: wh.read(n, entries, months=fact_months if n == FACT_SALES.name else None) for n in names}
-    contracts.enforce(tables)
+    return contracts.enforce({n: wh.read(n, entries) for n in names})
+
+
+def _publish(wh: Warehouse, result: LoadResult, entries: list[Entry], base: list[Entry],
+             record: Recorder | None, run_id: str | None) -> None:
+    """Publish the load, with its run record if there is one."""
+    entries = entries + [e for e in base if e.table_name == PIPELINE_RUNS.name]
+    if record is not None:
+        entries = wh.with_run(entries, record(result), result.version, run_id)
+    wh.publish(result.version, entries, result.mode, run_id)
 
 
 def _write(wh: Warehouse, name: str, df: DataFrame, version: int, rows=None, max_key=None) -> list[Entry]:
@@ -103,31 +127,36 @@ def _count_written(wh: Warehouse, entries: list[Entry]) -> list[Entry]:
     for e in entries:
         if e.row_count is None and e.month_key is None:
             n = wh.read(e.table_name, [e]).count()
-            e = Entry(e.table_name, e.month_key, e.path, n, e.max_key)
+            e = replace(e, row_count=n)
         out.append(e)
     return out
 
 
-def load_replace(wh: Warehouse, star: StarSchema) -> LoadResult:
+def load_replace(wh: Warehouse, star: StarSchema, record: Recorder | None = None,
+                 run_id: str | None = None) -> LoadResult:
     version = wh.version() + 1
     known = star.known_rows or {}
     # Dense keys 1..N: the largest key equals the row count.
-    n_prod, n_cust, n_fact = (known.get(k) for k in ("dim_product", "dim_customer", "fact_sales"))
+    n_prod, n_cust = (known.get(k) for k in ("dim_product", "dim_customer"))
     written = run_together(
         lambda: _write(wh, "dim_product", star.dim_product, version, n_prod, n_prod),
         lambda: _write(wh, "dim_customer", star.dim_customer, version, n_cust, n_cust),
         lambda: _write(wh, "dim_date", star.dim_date, version),
-        lambda: _write(wh, "fact_sales", star.fact_sales, version, None, n_fact),
+        lambda: _write(wh, "fact_sales", star.fact_sales, version),
         lambda: _write(wh, "quarantine", star.quarantine, version),
     )
-    entries = [e for part in written for e in part]
-    entries = _count_written(wh, entries)
-    _validate(wh, entries)
-    wh.publish(version, entries)
+    entries = _count_written(wh, [e for part in written for e in part])
+    result = LoadResult(version, "replace", contract_rows=_validate(wh, entries))
     counts = {n: wh.stats(n, entries)[0] for n in star.all_tables()}
-    if counts["fact_sales"] is None:
-        counts["fact_sales"] = n_fact if n_fact is not None else wh.read("fact_sales", entries).count()
-    return LoadResult(version, "replace", rows_written=counts, inserted=dict(counts))
+    result.rows_written, result.inserted = counts, dict(counts)
+    while True:
+        base = wh.version()
+        result.version = base + 1
+        try:
+            _publish(wh, result, entries, wh.entries(base), record, run_id)
+            return result
+        except Conflict:
+            result.attempts += 1
 
 
 def _known_or_scan(wh: Warehouse, name: str, entries: list[Entry], key: str) -> tuple[int | None, int]:
@@ -137,11 +166,33 @@ def _known_or_scan(wh: Warehouse, name: str, entries: list[Entry], key: str) ->
     return rows, top
 
 
-def load_incremental(wh: Warehouse, star: StarSchema, mode: str, run_date: dt.date) -> LoadResult:
+def files_hit(wh: Warehouse, lines: DataFrame, entries: list[Entry]) -> list[Entry]:
+    """The fact files whose range of invoice numbers holds a line's, in its month.
+
+    One sorted pass over the batch's invoices and the files' lower ends: the
+    next invoice of the month from there up must not lie beyond the file's
+    upper end. Only the batch's own keys are shuffled.
+    """
+    mine = [e for e in entries if e.table_name == FACT_SALES.name]
+    if not mine:
+        return []
+    files = wh.spark.createDataFrame([(i, e.month_key, e.low, e.high) for i, e in enumerate(mine)],
+                                     "file int, m int, invoice string, high string")
+    keys = lines.select(month_key(F.col("date_key")).alias("m"), F.col("invoice_no").alias("invoice")).distinct()
+    both = keys.select(F.lit(None).cast("int").alias("file"), "m", "invoice", F.lit(None).cast("string").alias("high")).union(files)
+    downwards = Window.partitionBy("m").orderBy(F.desc("invoice"), F.asc_nulls_first("file"))
+    following = F.last(F.when(F.col("file").isNull(), F.col("invoice")), ignorenulls=True).over(downwards)
+    hit = (both.withColumn("next", following).where(F.col("file").isNotNull() & (F.col("next") <= F.col("high")))
+           .select("file").collect())  # one row a file that is rewritten
+    return [mine[i] for i in sorted(r["file"] for r in hit)]
+
+
+def load_incremental(wh: Warehouse, star: StarSchema, mode: str, run_date: dt.date,
+                     record: Recorder | None = None, run_id: str | None = None) -> LoadResult:
     if star.lines is None:
         raise ValueError("incremental loads need the star's valid lines")
-    old = wh.entries()
     version = wh.version() + 1
+    old = wh.entries(version - 1)
     result = LoadResult(version, mode)
     known = star.known_rows or {}
     stored = {n: wh.read(n, old) for n in ("dim_product", "dim_customer", "dim_date")}
@@ -176,7 +227,7 @@ def load_incremental(wh: Warehouse, star: StarSchema, mode: str, run_date: dt.da
         lambda: _write(wh, "dim_customer", customers, version, plus(c_rows, c_new), c_max + c_new),
         lambda: _write(wh, "dim_date", dates, version, plus(d_rows, d_new)),
     )
-    entries = [e for part in written for e in part]
+    entries = _count_written(wh, [e for part in written for e in part])
     live = {n: wh.read(n, entries) for n in ("dim_product", "dim_customer")}
     lines, n_lines = rekey(star.lines, live["dim_product"], live["dim_customer"], with_count=True,
                            product_rows=plus(p_rows, p_new), customer_rows=plus(c_rows, c_new))
@@ -188,19 +239,18 @@ def load_incremental(wh: Warehouse, star: StarSchema, mode: str, run_date: dt.da
         fresh = lines.where(F.col("date_key") > mark)
         numbered = continue_numbering(fresh, ["_ord"], "sale_id", f_max)
         result.late_rows_skipped = n_lines - numbered.rows
-        new_fact = _write(wh, FACT_SALES.name, numbered.df, version, None, f_max + numbered.rows)
+        new_fact = _write(wh, FACT_SALES.name, numbered.df, version)
         fact_entries = kept_fact + new_fact
-        touched = {e.month_key for e in new_fact}
         result.rows_written["fact_sales"] = numbered.rows
         result.inserted["fact_sales"] = numbered.rows
     else:
-        months = {r[0] for r in lines.select(month_key(F.col("date_key"))).distinct().collect()}
-        stored_part = wh.read(FACT_SALES.name, old, months=months)
-        merged, n_new, n_upd = merge_facts(stored_part, lines, list(FACT_SALES.natural_key), f_max,
+        hit = files_hit(wh, lines, kept_fact)
+        result.files_read, result.files_before = len(hit), len(kept_fact)
+        merged, n_new, n_upd = merge_facts(wh.read(FACT_SALES.name, hit), lines, list(FACT_SALES.natural_key), f_max,
                                            batch_rows=n_lines)
-        new_fact = _write(wh, FACT_SALES.name, merged, version, None, f_max + n_new)
-        fact_entries = [e for e in kept_fact if e.month_key not in months] + new_fact
-        touched = months
+        new_fact = _write(wh, FACT_SALES.name, merged, version)
+        replaced = {e.path for e in hit}
+        fact_entries = [e for e in kept_fact if e.path not in replaced] + new_fact
         result.rows_written["fact_sales"] = n_new + n_upd
         result.inserted["fact_sales"], result.updated["fact_sales"] = n_new, n_upd
 
@@ -208,18 +258,33 @@ def load_incremental(wh: Warehouse, star: StarSchema, mode: str, run_date: dt.da
     result.rows_written["quarantine"] = q_entries[0].row_count
     lines.unpersist()
 
-    all_entries = entries + fact_entries + q_entries
-    # Validate dimensions whole, the fact only in the months this load wrote
-    # (new sale_ids are above every stored id by construction).
-    _validate(wh, all_entries, fact_months=touched)
-    wh.publish(version, all_entries)
+    # Validate dimensions whole, of the fact what this load wrote: new
+    # sale_ids are above every stored id, and a stored line of equal natural
+    # key would lie in a file that was rewritten.
+    result.contract_rows = _validate(wh, entries + new_fact + q_entries)
+    _publish(wh, result, entries + fact_entries + q_entries, old, record, run_id)
     return result
 
 
 def load_star(wh: Warehouse, star: StarSchema, mode: str = "replace",
-              run_date: dt.date | None = None) -> LoadResult:
-    """Write the star with the given mode; raises ValueError on a bad mode."""
+              run_date: dt.date | None = None, record: Recorder | None = None,
+              run_id: str | None = None, retries: int = 20) -> LoadResult:
+    """Write the star with the given mode; raises ValueError on a bad mode.
+
+    With ``record`` and ``run_id`` the run's record is part of the commit.
+    An incremental load that was overtaken is computed again from the new
+    version, ``retries`` times at most (then ``Conflict`` is raised).
+    """
     check_mode(mode)
     if mode == "replace":
-        return load_replace(wh, star)
-    return load_incremental(wh, star, mode, run_date or dt.datetime.now(dt.timezone.utc).date())
+        return load_replace(wh, star, record, run_id)
+    run_date = run_date or dt.datetime.now(dt.timezone.utc).date()
+    for attempt in range(retries):
+        try:
+            result = load_incremental(wh, star, mode, run_date, record, run_id)
+            result.attempts = attempt + 1
+            return result
+        except Conflict:
+            if attempt + 1 == retries:
+                raise
+    raise ValueError("retries must be at least 1")

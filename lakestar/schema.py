@@ -64,7 +64,8 @@ NA_TOKENS = (
     "null",
 )
 
-# Quarantine reasons; the first one that matches a row wins.
+# Quarantine reasons; the first one that matches a row wins. The last one is
+# ours: a line whose revenue doesn't fit the warehouse's money type.
 REASONS = (
     "missing_invoice_no",
     "missing_stock_code",
@@ -74,6 +75,7 @@ REASONS = (
     "missing_quantity",
     "non_positive_quantity",
     "duplicate_invoice_line",
+    "amount_out_of_range",
 )
 
 # Grain used to detect duplicate invoice lines.
@@ -141,7 +143,7 @@ class TableSpec:
 DIM_PRODUCT = TableSpec(
     "dim_product",
     (
-        ColumnSpec("product_key", IntegerType(), False),
+        ColumnSpec("product_key", LongType(), False),
         ColumnSpec("stock_code", StringType(), False, 32),
         ColumnSpec("description", StringType(), True, 256),
         ColumnSpec("category", StringType(), False, 64),
@@ -155,7 +157,7 @@ DIM_PRODUCT = TableSpec(
 DIM_CUSTOMER = TableSpec(
     "dim_customer",
     (
-        ColumnSpec("customer_key", IntegerType(), False),
+        ColumnSpec("customer_key", LongType(), False),
         ColumnSpec("customer_id", StringType(), False, 32),
         ColumnSpec("country", StringType(), False, 64),
         ColumnSpec("effective_from", DateType(), False),
@@ -186,12 +188,12 @@ DIM_DATE = TableSpec(
 FACT_SALES = TableSpec(
     "fact_sales",
     (
-        ColumnSpec("sale_id", IntegerType(), False),
-        ColumnSpec("product_key", IntegerType(), False),
-        ColumnSpec("customer_key", IntegerType(), False),
+        ColumnSpec("sale_id", LongType(), False),
+        ColumnSpec("product_key", LongType(), False),
+        ColumnSpec("customer_key", LongType(), False),
         ColumnSpec("date_key", IntegerType(), False),
         ColumnSpec("invoice_no", StringType(), False, 32),
-        ColumnSpec("quantity", IntegerType(), False),
+        ColumnSpec("quantity", LongType(), False),
         ColumnSpec("unit_price", MONEY, False),
         ColumnSpec("revenue", REVENUE, False),
     ),
@@ -211,7 +213,7 @@ QUARANTINE = TableSpec(
         ColumnSpec("invoice_no", StringType(), True, 32),
         ColumnSpec("stock_code", StringType(), True, 32),
         ColumnSpec("description", StringType(), True, 256),
-        ColumnSpec("quantity", IntegerType(), True),
+        ColumnSpec("quantity", LongType(), True),
         ColumnSpec("unit_price", MONEY, True),
         ColumnSpec("invoice_date", DateType(), True),
         ColumnSpec("customer_id", StringType(), True, 32),
@@ -227,9 +229,9 @@ PIPELINE_RUNS = TableSpec(
         ColumnSpec("started_at", StringType(), False, 32),
         ColumnSpec("finished_at", StringType(), False, 32),
         ColumnSpec("load_mode", StringType(), False, 16),
-        ColumnSpec("rows_extracted", IntegerType(), False),
-        ColumnSpec("rows_loaded", IntegerType(), False),
-        ColumnSpec("rows_quarantined", IntegerType(), False),
+        ColumnSpec("rows_extracted", LongType(), False),
+        ColumnSpec("rows_loaded", LongType(), False),
+        ColumnSpec("rows_quarantined", LongType(), False),
         ColumnSpec("total_revenue", RUN_REVENUE, False),
         ColumnSpec("git_sha", StringType(), False, 40),
     ),

@@ -104,17 +104,17 @@ def category_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def split_batches(valid_bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two overlapping incremental batches over valid bronze lines.
+def split_batches(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two overlapping incremental batches of bronze lines, dirt included.
 
-    Batch 1: lines before 2000-01-01. Batch 2: lines from 1999-07-01 (half a
-    year overlaps), where every customer whose number is a multiple of 100
-    has moved to another country.
+    Batch 1: lines before 2000-01-01 and those without a date. Batch 2:
+    lines from 1999-07-01 (half a year overlaps), where every customer whose
+    number is a multiple of 100 has moved to another country.
     """
     day = F.to_date("invoice_date")
-    batch1 = valid_bronze.where(day < F.lit("2000-01-01").cast("date"))
+    batch1 = bronze.where(day.isNull() | (day < F.lit("2000-01-01").cast("date")))
     number = F.regexp_extract("customer_id", r"(\d+)$", 1).try_cast("bigint")
-    batch2 = valid_bronze.where(day >= F.lit("1999-07-01").cast("date")).withColumn(
+    batch2 = bronze.where(day >= F.lit("1999-07-01").cast("date")).withColumn(
         "country",
         F.when(number % MOVED_CUSTOMER_MODULUS == 0, F.lit(MOVED_COUNTRY)).otherwise(F.col("country")),
     )

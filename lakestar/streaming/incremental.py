@@ -4,13 +4,17 @@ The file stream discovers new files; each micro-batch goes through the
 same ``plans.job.run`` (checks, quarantine, star, append or merge load,
 reconciliation, run record). The stream's checkpoint must live on shared
 storage: it records which files were processed, so a restarted or failed
-driver resumes without loading a file twice; merge mode is idempotent on
-top of that.
+driver resumes where it stopped. A micro-batch that had been committed when
+the driver failed is delivered again; its run id is made of the stream's id
+(which the checkpoint keeps) and the batch's number, so the job finds it in
+the run history and loads nothing: every file counts exactly once, in append
+mode, too.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +24,15 @@ from ..plans.job import Config, PipelineError, run
 from ..sources.csv import read_raw_csv
 
 
+def stream_id(batch: DataFrame) -> str:
+    """The id of the stream that a micro-batch belongs to; it outlives restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def run_id_of(stream: str, batch_id: int) -> str:
+    return str(uuid.uuid5(uuid.NAMESPACE_OID, f"{stream}/{batch_id}"))
+
+
 def start_incremental_load(spark: SparkSession, raw_dir: str, warehouse: str, *,
                            checkpoint_location: str, mode: str = "merge",
                            categories: DataFrame | None = None,
@@ -43,7 +56,7 @@ def start_incremental_load(spark: SparkSession, raw_dir: str, warehouse: str, *,
             return
         cfg = Config(warehouse=warehouse, load_mode=mode,
                      run_date=run_date or dt.datetime.now(dt.timezone.utc).date(),
-                     run_id=f"stream-{batch_id}", fail_on_check_error=fail_on_check_error)
+                     run_id=run_id_of(stream_id(batch), batch_id), fail_on_check_error=fail_on_check_error)
         result = run(spark, read_raw_csv(spark, files), cfg, categories=categories)
         if not result.recon_passed:
             # Like a scheduled task: a load that does not reconcile fails the
