@@ -32,7 +32,9 @@ NATIONAL = r"\d{3}[ .-]\d{3}[ .-]\d{4}"
 CARD = r"(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\d)"
 PATTERN = (
     r"(?<![\w.@+-])(?:"
-    r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}" + LOOSE_END +
+    # Bounded as addresses are (a domain has 253 characters, so 126 labels at
+    # most), so a text of labels or of %-codes is neither recursed into nor read again from every place.
+    r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,255}+@(?:[A-Za-z0-9-]{1,63}+\.){1,126}[A-Za-z]{2,63}" + LOOSE_END +
     rf"|(?:{DATE})(?=[Tt]\d{{2}}(?!\d))"
     r"|(?:" + DATE +
     r"|\d{1,3}(?:\.\d{1,3}){3}"
