@@ -62,7 +62,7 @@ class Run:
     rows: int
     begins: bool  # the first row's text begins here
     ends: bool  # the last row's text ends here
-    data: np.ndarray  # bytes, A-Z folded to a-z
+    data: np.ndarray  # bytes, A-Z as a-z if they count as such
     row: np.ndarray  # of each word, from 0
     starts: np.ndarray  # of each word in data
     stops: np.ndarray
@@ -73,14 +73,16 @@ class Run:
 class Cutter:
     """Cuts texts into words: the longest runs of bytes that aren't in ``gaps``.
 
-    ``overlap`` words are repeated where a long text is cut.
+    ``overlap`` words are repeated where a long text is cut; ``fold``: A-Z
+    count as a-z.
     """
 
-    def __init__(self, gaps: bytes, overlap: int = 0, run_bytes: int = RUN_BYTES):
+    def __init__(self, gaps: bytes, overlap: int = 0, run_bytes: int = RUN_BYTES, fold: bool = True):
         self.is_word = np.ones(256, bool)
         self.is_word[list(gaps)] = False
         self.fold = np.arange(256, dtype=np.uint8)
-        self.fold[65:91] += 32
+        if fold:
+            self.fold[65:91] += 32
         self.values = mix(self.fold, 1)
         self.overlap, self.most = overlap, run_bytes
         self.powers = self.inverses = np.ones(1, np.uint64)

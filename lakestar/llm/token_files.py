@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
+from array import array
 from itertools import accumulate
 
 import numpy as np
@@ -25,67 +26,122 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, open_fs, ship
+from .grams import Cutter
 
 NO_ID = np.iinfo("i8").min
-CACHE_WORDS = 800_000  # encoded words, and pieces of them, that a worker keeps
+CACHE_WORDS = 3_000_000  # encoded words that a worker keeps, about 40 bytes each
+CACHE_PIECES = 300_000  # encoded pieces of words, about 250 bytes each
+PART_BYTES = 256 << 20  # of texts in a part, about
+SPACES = b" \t\n\x0b\x0c\r"
 MARKS = b".,;:!?%&$#*)]}"  # cut off the ends of words
 _encoders: dict = {}  # by tokenizer file: a worker's tokenizer and encoded words
 
 
 class Encoder:
-    """Encodes whole texts word by word.
-
-    The tokenizer's rules never join what white space separates, so a text's
-    ids are its words' ids in a row. Only ASCII white space splits here; the
-    tokenizer itself handles any other. If its pattern also parts letters
-    from marks, a word's trailing marks are encoded on their own, and plain
-    letters in lower case if it lower-cases anyway: so fewer different words
-    need encoding.
+    """Encodes whole texts.
+
+    A tokenizer whose pattern parts white space, letters and marks (``parts``)
+    never joins what white space separates, so a text's ids are its words'
+    ids in a row: words are told apart by 64-bit hashes of arrays of bytes,
+    and each different one is encoded once. Only ASCII white space splits
+    here; the tokenizer itself handles any other. A word's trailing marks are
+    encoded on their own, and plain letters in lower case if the tokenizer
+    lower-cases anyway: so fewer different pieces need encoding. Texts of any
+    other tokenizer are encoded whole.
     """
 
-    def __init__(self, path: str, dtype: str):
+    def __init__(self, path: str, dtype: str, end_id: int):
         from tokenizers import Tokenizer
 
-        self.tok, self.dtype = Tokenizer.from_file(path), dtype
-        self.known: dict[bytes, bytes] = {}
-        self.pieces: dict[bytes, bytes] = {}
+        self.tok, self.dtype, self.end_id = Tokenizer.from_file(path), dtype, end_id
         rules = self.tok.to_str()
         self.parts = r"[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+" in rules
         self.lowers = '{"type":"Lowercase"}' in rules.replace(" ", "").replace("\n", "")
+        self.cutter = Cutter(SPACES, fold=False)
+        self.pieces: dict[bytes, np.ndarray] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Empty the pool of words; its first one is the end id."""
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes in order, and their words
+        self.pool, self.ids = np.array([self.end_id], self.dtype), 1
+        self.first, self.size, self.words = np.zeros(1, np.int64), np.ones(1, np.int64), 1
 
     def cut(self, word: bytes) -> tuple[bytes, ...]:
-        if not self.parts:
-            return (word,)
         base = word.rstrip(MARKS)
-        if self.lowers and base.isalpha():
-            base, size = base.lower(), len(base)
-            return (base, word[size:]) if size < len(word) else (base,)
-        if not base or len(base) == len(word) or not (chr(base[-1]).isalnum() if base[-1] < 128 else base.decode("utf-8", "replace")[-1].isalpha()):
+        if self.lowers and base.isalpha() and base.isascii():
+            return (base.lower(), word[len(base):]) if len(base) < len(word) else (base.lower(),)
+        if not base or len(base) == len(word):
             return (word,)
-        return base, word[len(base):]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        words = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        cuts = {w: self.cut(w) for w in {w for ws in words for w in ws if w not in self.known}}
-        if len(self.pieces) > CACHE_WORDS:
+        last = base[-1:].decode() if base[-1] < 128 else base.decode("utf-8", "replace")[-1]
+        # Letters whose lower case ends in another character (a dot above, say) may join a mark.
+        if last.isdigit() and base[-1] < 128 or last.isalpha() and len(last.lower()) == 1:
+            return base, word[len(base):]
+        return (word,)
+
+    def encoded(self, pieces: list[bytes]) -> list[np.ndarray]:
+        got = self.tok.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)
+        return [np.array(e.ids, self.dtype) for e in got]
+
+    def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        """Add words to the pool (hashes in order)."""
+        cuts = [self.cut(w) for w in words]
+        if len(self.pieces) > CACHE_PIECES:
             self.pieces = {}
-        new = list({p for c in cuts.values() for p in c if p not in self.pieces})
+        new = list({p for c in cuts for p in c if p not in self.pieces})
         for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            got = self.tok.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            for w, e in zip(part, got):
-                self.pieces[w] = np.array(e.ids, self.dtype).tobytes()
-        for w, c in cuts.items():
-            self.known[w] = b"".join(map(self.pieces.__getitem__, c))
-        return [b"".join(map(self.known.__getitem__, ws)) for ws in words]
-
-
-def encoder(path: str, dtype: str) -> Encoder:
-    if (path, dtype) not in _encoders:
-        _encoders[path, dtype] = Encoder(path, dtype)
-    return _encoders[path, dtype]
+            self.pieces.update(zip(new[i:i + 10_000], self.encoded(new[i:i + 10_000])))
+        found = [self.pieces[p] for c in cuts for p in c]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        many = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        sizes = np.add.reduceat(sizes, np.cumsum(many) - many)
+        total, n = self.ids + int(sizes.sum()), self.words + len(words)
+        if total > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(total, self.dtype)])
+        if n > len(self.size):
+            self.first, self.size = (np.concatenate([x, np.zeros(n, np.int64)]) for x in (self.first, self.size))
+        self.pool[self.ids:total] = np.concatenate(found)
+        self.first[self.words:n] = self.ids + np.cumsum(sizes) - sizes
+        self.size[self.words:n] = sizes
+        at = np.searchsorted(self.keys, hashes)
+        self.keys, self.slots = np.insert(self.keys, at, hashes), np.insert(self.slots, at, np.arange(self.words, n))
+        self.ids, self.words = total, n
+
+    def encode(self, column):
+        """(ids, ids of each row, whether the last row goes on) of an Arrow
+        binary column, run by run; every row ends with the end id."""
+        if not self.parts:
+            for i, j in slices(texts := [t.decode("utf-8", "replace") for t in column.to_pylist()]):
+                got = [np.r_[e.ids, self.end_id] for e in self.tok.encode_batch_fast(texts[i:j], add_special_tokens=False)]
+                yield np.concatenate(got).astype(self.dtype), np.array([len(x) for x in got]), False
+            return
+        for run in self.cutter(column):
+            if self.words > CACHE_WORDS:
+                self.forget()
+            different, first, which = np.unique(run.hashes, return_index=True, return_inverse=True)
+            at = np.searchsorted(self.keys, different)
+            at[at == len(self.keys)] = 0
+            slots = np.where(self.keys[at] == different, self.slots[at], -1) if len(self.keys) else np.full(len(different), -1)
+            new = np.flatnonzero(slots < 0)
+            if len(new):
+                raw = run.data.tobytes()
+                self.learn(different[new], [raw[i:j] for i, j in zip(run.starts[first[new]].tolist(), run.stops[first[new]].tolist())])
+                slots[new] = np.arange(self.words - len(new), self.words)
+            ended = run.rows if run.ends else run.rows - 1
+            words = np.bincount(run.row, minlength=run.rows)
+            words[:ended] += 1
+            slot = np.zeros(words.sum(), np.int64)  # 0: the end
+            slot[np.arange(len(run.row)) + run.row] = slots[which]
+            size = self.size[slot]
+            upto = np.cumsum(size)
+            ids = self.pool[np.repeat(self.first[slot] - upto + size, size) + np.arange(upto[-1] if len(upto) else 0)]
+            yield ids, np.diff(np.r_[0, upto][np.r_[0, np.cumsum(words)]]), not run.ends
+
+
+def encoder(path: str, dtype: str, end_id: int) -> Encoder:
+    if (path, dtype, end_id) not in _encoders:
+        _encoders[path, dtype, end_id] = Encoder(path, dtype, end_id)
+    return _encoders[path, dtype, end_id]
 
 
 def slices(texts: list, most: int = 4_000_000):
@@ -107,16 +163,18 @@ def writer(folder: str, tokenizer: str, dtype: str, end_id: int):
         fs, root = open_fs(folder)
         part = TaskContext.get().partitionId()
         name = f"part-{part:05d}-{uuid.uuid4().hex[:12]}"
-        end = np.array([end_id], dtype).tobytes()
-        enc, lengths, ids = encoder(tokenizer, dtype), [], []
+        enc, lengths, ids = encoder(tokenizer, dtype, end_id), array("q"), array("q")
         with fs.open_output_stream(f"{root}/{name}.bin") as out:
             for b in batches:
-                texts = [t or "" for t in b.column("text").to_pylist()]
-                for i, j in slices(texts):
-                    for e in enc.encode(texts[i:j]):
-                        out.write(e + end)
-                        lengths.append(len(e) // np.dtype(dtype).itemsize + 1)
-                ids += [NO_ID if x is None else x for x in b.column("doc_id").to_pylist()]
+                goes_on = False
+                for tokens, sizes, more in enc.encode(b.column("text")):
+                    out.write(tokens.tobytes())
+                    if goes_on:
+                        lengths[-1] += int(sizes[0])
+                        sizes = sizes[1:]
+                    lengths.extend(sizes.tolist())
+                    goes_on = more
+                ids.extend(b.column("doc_id").fill_null(NO_ID).to_pylist())
         if not ids:
             fs.delete_file(f"{root}/{name}.bin")
             return
@@ -162,8 +220,11 @@ def write_tokens(docs: DataFrame, folder: str, *, tokenizer: str, end_id: int, d
     dtype = "<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4"
     fs, root = open_fs(folder)
     fs.create_dir(root, recursive=True)
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"),
+                       F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"))
+    if parts is None:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
     tie = F.xxhash64("text")
     ordered = rows.repartitionByRange(parts, "doc_id", tie).sortWithinPartitions("doc_id", tie)
     done = ordered.mapInArrow(writer(folder, tokenizer, dtype, end_id),

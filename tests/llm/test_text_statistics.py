@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from lakestar.llm import bloom_lm, collocations, grams, lexical_search, queries
+from lakestar.llm import bloom_lm, collocations, grams, lexical_search, pseudonyms, queries, token_files
 
 SF = "/root/testdata/sf0.001"
 DOC = "doc_id long, text string, lang string, source string, n_tokens long, score string, key int"
@@ -303,3 +303,43 @@ def test_sql_of_registered_queries(spark, name):
     want = con.execute(queries.oracle_sql()[name])
     assert df.columns == [c[0] for c in want.description]
     assert sorted(map(tuple, df.collect()), key=str) == sorted(want.fetchall(), key=str)
+
+
+# -- 8: ids of any text and any tokenizer ---------------------------------------------
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+@pytest.mark.parametrize("run_bytes", [7, 4 << 20])
+def test_ids_equal_those_of_whole_texts(name, run_bytes):
+    """Letters whose lower case is two characters, combining marks, added spaces, end-of-word marks."""
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path(name)
+    rng = random.Random(1)
+    parts = ["a", "B", "İ", "ß", "é", "#", ":", ".", "́", "ſ", "K", "1", "²", "ǅ", "Σ", "ﬁ",
+             " ", " ", "​", "　", "日", "-", "'", "ΐ", "\n", "%", "̇", "i", "[UNK]", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(0, 12))) for _ in range(8_000)] + ["", "word " * 3_000, "x" * 5_000]
+    encoder = token_files.Encoder(path, "<u4", 1)
+    encoder.cutter.most = run_bytes
+    flat, sizes, open_row = [], [], False
+    for ids, counts, more in encoder.encode(pa.array([t.encode() for t in texts], pa.binary())):
+        flat += ids.tolist()
+        if open_row:
+            sizes[-1] += int(counts[0])
+            counts = counts[1:]
+        sizes += counts.tolist()
+        open_row = more
+    want = [e.ids + [1] for e in Tokenizer.from_file(path).encode_batch_fast(texts, add_special_tokens=False)]
+    assert sizes == [len(w) for w in want] and flat == [i for w in want for i in w]
+
+
+# -- 5: hard texts ---------------------------------------------------------------------
+
+def test_addresses_in_hard_texts(spark):
+    """Long runs of labels, of %-codes and of at signs are read once and end no task."""
+    from pyspark.sql import functions as F
+
+    n = 200_000
+    texts = ["x@" + "a." * 2_500 + "com", "x@" + "a." * n + "com", "%20ab" * n, "a@" * n, "ab.cd-" * n, "a.b@c.example " * 1_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, t string").repartition(2)
+    got = df.select("doc_id", F.size(F.regexp_extract_all("t", F.lit(pseudonyms.PATTERN), F.lit(0))).alias("n")).collect()
+    assert {r.doc_id: r.n for r in got} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 5: 1_000}
