@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, bucket_of, group_key, seeded
 
+BROADCAST_LEAVES = 100_000  # of a plan that is broadcast, some hundred bytes each; a larger one is joined by shuffle
+
 
 def water_fill(budget: float, weights: list[float], caps: list[float]) -> list[float]:
     """Split ``budget`` by weight; capped children pass the rest to siblings."""
@@ -68,7 +70,8 @@ def mix(docs: DataFrame, levels: dict[str, Column], *, tokens: Column, fraction:
     leaf's seeded order are below what is left of the budget, so a leaf
     overshoots by less than one row. Null level values are leaves of their
     own; null token counts count 0, and a leaf without tokens gets nothing;
-    repeated rows, equal in all columns, are taken together; extra columns
+    of repeated rows, equal in all columns, as many are taken as the budget
+    reaches to; extra columns
     pass through (names starting with ``_`` are reserved); an empty table
     gives an empty result.
 
@@ -113,13 +116,20 @@ def mix(docs: DataFrame, levels: dict[str, Column], *, tokens: Column, fraction:
     last = (sums.withColumn("_before", F.coalesce(F.sum("_t").over(before), F.lit(0)))
             .where("_before < _rest and _before + _t >= _rest").select(*names, "_b", "_before"))
     run = Window.partitionBy(*names).orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    # Equal rows have one place: the last one taken and how many rows of it are.
     ends = (part.join(last, [*names, "_b"])
             .where("_rest > 0").withColumn("_sum", F.col("_before") + F.coalesce(F.sum("_tokens").over(run), F.lit(0)))
-            .where("_sum < _rest").groupBy(*names).agg(F.max("_at").alias("_end")))
+            .where("_sum < _rest").groupBy(*names, "_at").agg(F.count(F.lit(1)).alias("_n"))
+            .groupBy(*names).agg(F.max(F.struct("_at", "_n")).alias("_x"))
+            .select(*names, F.col("_x._at").alias("_end"), F.col("_x._n").alias("_take")))
     plan_df = scratch.keep(plan_df.join(ends, names, "left"), "ends")
 
-    chosen = (keyed.join(plan_df, names).withColumn("_id", F.col(doc_id))
-              .withColumn("_epochs", F.col("_full") + F.when(order <= F.col("_end"), 1).otherwise(0))
-              .where("_epochs > 0"))
-    return (chosen.withColumn("_epoch", F.explode(F.expr("sequence(0, _epochs - 1)")))
-            .select(*[F.col(f"`{c}`") for c in docs.columns], "_epoch", "_tokens", "_budget"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    placed = (keyed.join(F.broadcast(plan_df) if len(plan) <= BROADCAST_LEAVES else plan_df, names)
+              .withColumn("_id", F.col(doc_id)).withColumn("_place", order))
+    chosen = (placed.withColumn("_epochs", F.col("_full") + F.when(F.col("_place") < F.col("_end"), 1).otherwise(0))
+              .where("_epochs > 0").withColumn("_epoch", F.explode(F.expr("sequence(0, _epochs - 1)"))))
+    # One of the equal rows at a leaf's last place stands for those of them that are taken.
+    edge = (placed.where(F.col("_place") == F.col("_end")).dropDuplicates(names)
+            .withColumn("_epoch", F.explode(F.expr("array_repeat(_full, cast(_take as int))"))))
+    return chosen.select(*columns, "_epoch", "_tokens", "_budget").union(edge.select(*columns, "_epoch", "_tokens", "_budget"))
