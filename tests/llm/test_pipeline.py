@@ -31,4 +31,4 @@ def test_registered():
     import __spark_entry__ as entry
 
     assert set(queries.queries()) | {"pipeline"} <= set(entry.queries())
-    assert [int(k[2:].split("_")[0]) for k in queries.queries()] == list(range(1, 11))
+    assert [int(k[2:].split("_")[0]) for k in queries.queries()] == list(range(1, 14))
