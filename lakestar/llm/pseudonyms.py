@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+STRETCH = 256  # numbers of a run whose pieces are put together at a time
 WALK = 400  # steps of a cycle walk; every kind leaves it in a few
 FIRST_DAY, LAST_DAY = "1900-01-01", "2099-12-31"
 KINDS = ("email", "date", "ip", "ssn", "phone", "card")
@@ -174,9 +175,9 @@ def kind_of(m: Column) -> Column:
 
 def is_card(s: Column) -> Column:
     """Whether ``s`` is digits with single separators and a right check digit."""
-    d = digits(s)
-    return (F.when(s.rlike(r"^[0-9](?:[ -]?[0-9]){12,18}$"),
-                   check_digit(F.substr(d, F.lit(1), F.length(d) - 1)) == F.right(d, F.lit(1))).otherwise(False))
+    shaped = F.filter(F.array(s), lambda x: x.rlike(r"^[0-9](?:[ -]?[0-9]){12,18}$"))
+    return F.exists(F.transform(shaped, digits),
+                    lambda d: check_digit(F.substr(d, F.lit(1), F.length(d) - 1)) == F.right(d, F.lit(1)))
 
 
 def cards_within(m: Column) -> Column:
@@ -212,9 +213,17 @@ def cards_within(m: Column) -> Column:
         return turn
 
     def split(x: Column) -> Column:
-        lengths = F.transform(F.sequence(F.lit(0), F.size(x) - 1), lambda i: F.struct(i.alias("i"), length(x, i).alias("k")))
-        start = F.struct(F.lit(0).alias("skip"), F.array().cast(f"array<{piece}>").alias("out"))
-        return F.aggregate(lengths, start, step(x), lambda state: state["out"])
+        # In two levels, as an array that grows by one piece at a time is copied each time.
+        def stretch(state: Column, first: Column) -> Column:
+            places = F.sequence(first, F.least(first + STRETCH, F.size(x)) - 1)
+            lengths = F.transform(places, lambda i: F.struct(i.alias("i"), length(x, i).alias("k")))
+            start = F.struct(state["skip"].alias("skip"), none_yet.alias("out"))
+            return F.aggregate(lengths, start, step(x), lambda more: F.struct(
+                more["skip"].alias("skip"), F.concat(state["out"], more["out"]).alias("out")))
+
+        none_yet = F.array().cast(f"array<{piece}>")
+        firsts = F.sequence(F.lit(0), F.size(x) - 1, F.lit(STRETCH))
+        return F.aggregate(firsts, F.struct(F.lit(0).alias("skip"), none_yet.alias("out")), stretch, lambda state: state["out"])
 
     return F.get(F.transform(F.array(numbers), split), F.lit(0))
 

@@ -248,6 +248,32 @@ def test_pseudonyms_of_neighbours(spark):
     assert out[9].text.endswith("T10:00:00Z") and out[10].text.endswith("@c.com-x")
 
 
+def test_pseudonyms_in_long_runs_of_numbers(spark):
+    rng = random.Random(4)
+    numbers = [str(rng.randrange(10 ** n)).zfill(n) for n in rng.choices((1, 2, 4), k=3_000)]
+    for at in (0, 254, 511, 1_022, 2_996):  # across the stretches that a run is split by
+        numbers[at:at + 4] = "4111 1111 1111 1111".split()
+
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    def cards():
+        i = 0
+        while i < len(numbers):
+            here = {k: numbers[i:i + k] for k in range(1, min(19, len(numbers) - i) + 1)}
+            valid = [k for k, x in here.items() if 13 <= len("".join(x)) <= 19 and luhn("".join(x))]
+            plain = [k for k in valid if [len(n) for n in here[k]] in ([4, 4, 4, 4], [4, 6, 5]) or k == 1]
+            k = max(plain or valid or [0])
+            if k:
+                yield " ".join(here[k])
+            i += k or 1
+
+    df = spark.createDataFrame([(1, " ".join(numbers)), (2, "12 " * 60_000)], "doc_id long, text string")
+    out = {r.doc_id: r for r in pseudonyms.pseudonymise(df, "k").collect()}
+    assert [f.was for f in out[1].pii_found] == list(cards())
+    assert len(out[1].text) == len(" ".join(numbers)) and out[2].text == "12 " * 60_000
+
+
 def test_pseudonyms_are_one_to_one(spark):
     from pyspark.sql import functions as F
 
