@@ -20,6 +20,8 @@ import math
 import random
 import re
 import uuid
+from bisect import bisect_left
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,8 +29,10 @@ from pyspark.sql import functions as F
 
 from .common import seeded, ship
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>"""
-                 r"""|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?/][^>]*>""", re.S)
+MARK = re.compile(r"<!--(?:-?>|.*?(?:-->|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)|<[!?/][^>]*>", re.S)
+ATTRS = re.compile(r"""((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""")
+OPEN_END = re.compile(r"<!--|<!\[CDATA\[")
+QUOTED = re.compile(r"""=\s*(["'])""")
 ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 NAME = re.compile(r"[a-z]+")
 #: Fixed values of HTML: elements that end at their end tag only, whose content is no text, without content, and inside a line of text.
@@ -44,11 +48,20 @@ CLOSES = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl
 CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSES.items()}
 
 
+class Place:
+    """An open element: the features it adds to those of the elements around it (``up``)."""
+
+    __slots__ = ("up", "inner", "told")
+
+    def __init__(self, up: Place | None, inner: str, told: tuple):
+        self.up, self.inner, self.told = up, inner, told
+
+
 class Block:
-    __slots__ = ("text", "path", "names", "linked")
+    __slots__ = ("text", "place", "linked")
 
-    def __init__(self, text: str, path: tuple, names: tuple, linked: int):
-        self.text, self.path, self.names, self.linked = text, path, names, linked
+    def __init__(self, text: str, place: Place | None, linked: int):
+        self.text, self.place, self.linked = text, place, linked
 
 
 def names_of(attrs: str) -> tuple:
@@ -63,9 +76,39 @@ def names_of(attrs: str) -> tuple:
     return tuple(out)
 
 
+def tag_ends(page: str):
+    """A function that tells where a tag ends whose attributes start at a place
+    (-1: nowhere, as a quote is left open). All ends are found in one pass from
+    the last quoted value back, for pages on which reading on from each tag
+    comes to no end."""
+    quoted = list(QUOTED.finditer(page))
+    starts, ends = [m.start() for m in quoted], [-1] * len(quoted)
+    marks = {c: [m.start() for m in re.finditer(c, page)] for c in "\"'>"}
+
+    def end(at: int) -> int:
+        close, value = bisect_left(marks[">"], at), bisect_left(starts, at)
+        shut = marks[">"][close] if close < len(marks[">"]) else -1
+        if value == len(starts) or 0 <= shut < starts[value]:
+            return shut
+        return ends[value]
+
+    for k in range(len(quoted) - 1, -1, -1):
+        opened = quoted[k].start(1)
+        same = marks[quoted[k].group(1)]
+        closed = bisect_left(same, opened + 1)
+        ends[k] = end(same[closed] + 1 if closed < len(same) else opened)
+    return end
+
+
 def leaf_blocks(page: str) -> list[Block]:
+    """The blocks of a page in page order, in time that grows with the page's
+    length however its markup is broken: nothing is looked for twice, and
+    blocks share what they know about the elements around them."""
     blocks: list[Block] = []
-    stack: list[tuple[str, tuple]] = []
+    stack: list[tuple[str, list[str], Place]] = []
+    where: dict[str, list[int]] = {}  # places in the stack by tag
+    outer: list[int] = []  # of elements that aren't inside a line
+    around: Counter = Counter()  # features of the open elements
     parts: list[str] = []
     links, in_link, skipping = 0, 0, 0
     last_end: dict[str, int] = {}  # of skipped elements: without an end tag to come, they skip nothing
@@ -88,78 +131,127 @@ def leaf_blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                blocks.append(Block(text, tuple(t for t, _ in stack if t not in INLINE),
-                                    tuple(n for _, ns in stack for n in ns), links))
+                blocks.append(Block(text, stack[-1][2] if stack else None, links))
             parts.clear()
         links = 0
 
-    at, size = 0, len(page)
+    def enter(tag: str, attrs: str) -> None:
+        nonlocal in_link, skipping
+        up = stack[-1][2] if stack else None
+        inline = tag in INLINE
+        found = sorted({f"name:{n}" for n in names_of(attrs)}) if attrs else []
+        if not inline:
+            found.append(f"under:{tag}")
+            outer.append(len(stack))
+        told = tuple(x for x in found if not around[x])
+        around.update(found)
+        where.setdefault(tag, []).append(len(stack))
+        stack.append((tag, found, Place(up, (up.inner if up else "") if inline else tag, told)))
+        in_link += tag == "a"
+        skipping += tag in SKIPPED
+
+    def leave(first: int) -> None:
+        """Close the elements of the stack from ``first`` on."""
+        nonlocal in_link, skipping
+        while len(stack) > first:
+            tag, found, _ = stack.pop()
+            where[tag].pop()
+            if tag not in INLINE:
+                outer.pop()
+            around.subtract(found)
+            in_link -= tag == "a"
+            skipping -= tag in SKIPPED
+
+    def last(tags) -> int:
+        return max((where[t][-1] for t in tags if where.get(t)), default=-1)
+
+    at, size, limit = 0, len(page), page.rfind(">") + 1  # no tag ends after the limit
+    tag_end = None
     while at < size:
-        m = TAG.search(page, at)
-        if m is None:
-            add(page[at:])
+        if at >= limit:
+            m = OPEN_END.search(page, at)
+            add(page[at:m.start() if m else size])
+            if m and m.group() != "<!--":
+                add(page[m.end():])
             break
+        m = MARK.search(page, at, limit)
+        if m is None:
+            add(page[at:limit])
+            at = limit
+            continue
         if m.start() > at:
             add(page[at:m.start()])
         at = m.end()
-        close, tag, attrs = (m.group(1), m.group(2), m.group(3)) if m.group(2) else (m.group(4), m.group(5), m.group(6))
-        if tag is None:
-            if page.startswith("<![CDATA[", m.start()):
-                add(page[m.start() + 9:m.end()].removesuffix("]]>"))
+        if m.group(2) is None:
+            if page.startswith("<!--", m.start()):
+                if not page.endswith(("-->", "<!-->", "<!--->"), m.start(), at):
+                    break
+            elif page.startswith("<![CDATA[", m.start()):
+                if not page.endswith("]]>", m.start(), at):
+                    add(page[m.start() + 9:])
+                    break
+                add(page[m.start() + 9:at - 3])
             continue
-        tag = tag.lower()
+        close, tag = m.group(1), m.group(2).lower()
+        if tag_end is None:
+            whole = ATTRS.match(page, at, limit)
+            if whole is None:  # a quote that is left open
+                tag_end = tag_ends(page)
+        end = whole.end() - 1 if tag_end is None else tag_end(at)
+        if end < 0:
+            end = page.find(">", at)
+        attrs = page[at:end]
+        at = end + 1
         block = tag not in INLINE
         if block:
             flush()
         if close:
-            if any(t == tag for t, _ in stack):
-                while stack:
-                    t, _ = stack.pop()
-                    in_link -= t == "a"
-                    skipping -= t in SKIPPED
-                    if t == tag:
-                        break
+            if where.get(tag):
+                leave(where[tag][-1])
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at) if not attrs.endswith("/") else None
+            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at, limit) if not attrs.endswith("/") else None
             at = end.end() if end else (at if attrs.endswith("/") else size)
             continue
-        if block:
-            shut, fence = CLOSES.get(tag, (frozenset(("p",)), frozenset()))
-            for i in range(len(stack) - 1, -1, -1):
-                t = stack[i][0]
-                if t in shut or t == "p":
-                    in_link -= sum(x == "a" for x, _ in stack[i:])
-                    skipping -= sum(x in SKIPPED for x, _ in stack[i:])
-                    del stack[i:]
-                    break
-                if t in fence or t not in INLINE and tag not in CLOSES:
-                    break
+        if tag in CLOSES:
+            shut, fence = CLOSES[tag]
+            if last(shut | {"p"}) > last(fence):
+                leave(last(shut | {"p"}))
+        elif block and outer and stack[outer[-1]][0] == "p":
+            leave(outer[-1])
         if tag not in VOID and not attrs.endswith("/") and (tag not in SKIPPED or closed(tag, at)):
-            stack.append((tag, names_of(attrs) if attrs else ()))
-            in_link += tag == "a"
-            skipping += tag in SKIPPED
+            enter(tag, attrs)
     flush()
     return blocks
 
 
-def features(blocks: list[Block]) -> list[list[str]]:
+def own_features(blocks: list[Block]) -> list[list[str]]:
+    """Features of the blocks' texts and innermost elements."""
     out = []
     for i, b in enumerate(blocks):
         words = b.text.count(" ") + 1
         size = len(b.text)
         f = ["bias", f"words{min(7, words.bit_length())}", f"links{4 * b.linked // max(1, size)}",
              "ends" if b.text[-1] in ".!?:;\"'”»)" else "open", f"first{min(i, 3)}", f"last{min(len(blocks) - 1 - i, 3)}"]
-        if b.path:
-            f.append(f"in:{b.path[-1]}")
-        f += {f"under:{t}" for t in b.path}
-        f += {f"name:{n}" for n in b.names}
+        if b.place and b.place.inner:
+            f.append(f"in:{b.place.inner}")
         if "©" in b.text or "|" in b.text:
             f.append("marks")
         out.append(f)
     return out
 
 
+def features(blocks: list[Block]) -> list[list[str]]:
+    """All features: the blocks' own and those of the elements around them."""
+    out = own_features(blocks)
+    for f, b in zip(out, blocks):
+        place = b.place
+        while place:
+            f += place.told
+            place = place.up
+    return out
+
+
 class Chain:
     """A two-label chain: score of label 1 over 0 by feature, and of label pairs."""
 
@@ -171,10 +263,28 @@ class Chain:
         get = self.w.get
         return [sum(get(x, 0.0) for x in f) for f in feats]
 
+    def block_scores(self, blocks: list[Block]) -> list[float]:
+        """``scores(features(blocks))``, with the score of an element's surroundings computed once."""
+        get, known = self.w.get, {None: 0.0}
+        out = self.scores(own_features(blocks))
+        for i, b in enumerate(blocks):
+            new, place = [], b.place
+            while place not in known:
+                new.append(place)
+                place = place.up
+            for place in reversed(new):
+                known[place] = known[place.up] + sum(get(x, 0.0) for x in place.told)
+            out[i] += known[b.place]
+        return out
+
     def decode(self, feats: list[list[str]]) -> list[int]:
+        return self.best_labels(self.scores(feats))
+
+    def best_labels(self, scores: list[float]) -> list[int]:
+        """Viterbi: the labels of the best way through the chain."""
         best, back = (0.0, 0.0), []
         t = self.t
-        for i, s in enumerate(self.scores(feats)):
+        for i, s in enumerate(scores):
             if i:
                 up0, up1 = best[0] + t[0][0], best[1] + t[1][0]
                 down0, down1 = best[0] + t[0][1], best[1] + t[1][1]
@@ -187,7 +297,7 @@ class Chain:
         for step in reversed(back):
             label = step[label]
             out.append(label)
-        return out[::-1][-len(feats):] if feats else []
+        return out[::-1] if scores else []
 
     def marginals(self, feats):
         """(P(label 1) of each block, expected label pairs), in log space."""
@@ -320,8 +430,10 @@ def train(pages: DataFrame, *, html: str = "html", sample: int = 200, longest: i
           seed: int = 11) -> Chain:
     """A chain fitted on ``made`` labelled pages, laid out from the texts of at
     most ``sample`` pages (by seeded hash, of ``longest`` characters at most)."""
-    rows = (pages.where(F.length(html) <= longest).select(F.col(html).cast("string").alias("h"))
-            .orderBy(seeded(seed, "h"), "h").limit(sample).collect())
+    rows = pages.where(F.length(html) <= longest).select(F.col(html).cast("string").alias("h")).withColumn("_h", seeded(seed, "h"))
+    # The hashes are chosen first, so only the sample's pages reach the driver, and copies count once.
+    least = [r["_h"] for r in rows.select("_h").distinct().orderBy("_h").limit(sample).collect()]
+    rows = rows.where(F.col("_h") <= max(least, default=-1)).groupBy("_h").agg(F.min("h").alias("h")).collect()
     texts = sorted({b.text for r in rows for b in leaf_blocks(r["h"])}) or SENTENCES
     rng, out = random.Random(seed), []
     while len(out) < made:
@@ -346,7 +458,7 @@ def extractor(model_id: str, told):
             texts, kept = [], []
             for page in b.column("_html").to_pylist():
                 blocks = leaf_blocks(page) if page else []
-                chosen = [x.text for x, y in zip(blocks, chain.decode(features(blocks)) if blocks else []) if y]
+                chosen = [x.text for x, y in zip(blocks, chain.best_labels(chain.block_scores(blocks))) if y]
                 texts.append(" ".join(chosen))
                 kept.append(len(chosen))
             names = [c for c in b.schema.names if c != "_html"]

@@ -203,6 +203,30 @@ def test_html_unclosed_elements_math_and_quotes():
     assert texts("<p title='a>b' class=\"c>d\">One.</p>") == ["One."]
 
 
+def test_html_hostile_pages_take_linear_time():
+    import time
+
+    n = 1_000_000
+    chain = html_extract.Chain()
+    chain.w = {"under:div": 0.5, "name:a": -0.25, "bias": 0.125}
+    for page in ("<a " * (n // 3), '<p x=">" ' * (n // 9), "<p a='x>\" b=\"'>" * (n // 15) + '"', "<!x" * (n // 3), "<script>" + "</script" * (n // 8),
+                 "<div class=a>x" * (n // 14), "<div>" * (n // 10) + "<li>x</li>" * (n // 20), "<b>" * (n // 8) + "<div></div>" * (n // 20),
+                 "<div>" * (n // 10) + "</x>" * (n // 10), "".join(f"<x{i}>t" for i in range(n // 8))):
+        start = time.time()
+        blocks = html_extract.leaf_blocks(page)
+        chain.best_labels(chain.block_scores(blocks))
+        assert time.time() - start < 20
+    blocks = html_extract.leaf_blocks("<div class=a>x<div class='a b'><p>y.</p><b id=c>z</b></div>v</div>w")
+    assert chain.block_scores(blocks) == chain.scores(html_extract.features(blocks)) == [0.375, 0.375, 0.375, 0.375, 0.125]
+
+
+def test_html_open_quotes_end_at_the_next_mark():
+    texts = lambda page: [b.text for b in html_extract.leaf_blocks(page)]
+    assert texts("<p title=\"a>One.</p><p>Two.</p>") == ["One.", "Two."]
+    assert texts("<p>One.</p><!--><p>Two.</p><!-- <p>x</p>") == ["One.", "Two."]
+    assert texts("<p>One < two <b") == ["One < two <b"]
+
+
 # -- 5: PII -----------------------------------------------------------------
 
 def luhn(d):
