@@ -35,6 +35,8 @@ OPEN_END = re.compile(r"<!--|<!\[CDATA\[")
 QUOTED = re.compile(r"""=\s*(["'])""")
 ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 NAME = re.compile(r"[a-z]+")
+UNNAMED = 0.5  # share of training pages without telling names
+PROSE = 60  # least unlinked characters of a block of prose
 #: Fixed values of HTML: elements that end at their end tag only, whose content is no text, without content, and inside a line of text.
 RAW = frozenset("script style title textarea iframe xmp noembed noframes".split())
 SKIPPED = frozenset("noscript template svg object canvas audio video select annotation annotation-xml".split())
@@ -51,10 +53,14 @@ CLOSES = {k: (frozenset(a.split()), frozenset(b.split())) for k, (a, b) in CLOSE
 class Place:
     """An open element: the features it adds to those of the elements around it (``up``)."""
 
-    __slots__ = ("up", "inner", "told")
+    __slots__ = ("up", "inner", "told", "box")
 
-    def __init__(self, up: Place | None, inner: str, told: tuple):
-        self.up, self.inner, self.told = up, inner, told
+    def __init__(self, up: Place | None, tag: str, told: tuple):
+        self.up, self.told = up, told
+        inline = tag in INLINE
+        self.inner = (up.inner if up else "") if inline else tag
+        #: What holds the innermost block-level element, among its like.
+        self.box = (up.box if up else None) if inline else up
 
 
 class Block:
@@ -146,7 +152,7 @@ def leaf_blocks(page: str) -> list[Block]:
         told = tuple(x for x in found if not around[x])
         around.update(found)
         where.setdefault(tag, []).append(len(stack))
-        stack.append((tag, found, Place(up, (up.inner if up else "") if inline else tag, told)))
+        stack.append((tag, found, Place(up, tag, told)))
         in_link += tag == "a"
         skipping += tag in SKIPPED
 
@@ -225,13 +231,48 @@ def leaf_blocks(page: str) -> list[Block]:
     return blocks
 
 
+def main_places(blocks: list[Block]) -> list[str]:
+    """Where each block lies from the element that holds most of the page's
+    prose: in it, before, or after it. An element counts the unlinked
+    characters of the longer blocks right below it, and half of those a step
+    further down."""
+    prose: dict = {}
+    for b in blocks:
+        size = len(b.text) - b.linked
+        box = b.place and b.place.box
+        if size >= PROSE:
+            prose[box] = prose.get(box, 0) + 2 * size
+            if box and box.box:
+                prose[box.box] = prose.get(box.box, 0) + size
+    main = max(prose, key=prose.get, default=None)
+    known, out, seen = {None: main is None, main: True}, [], False
+    for b in blocks:
+        new, place = [], b.place
+        while place not in known:
+            new.append(place)
+            place = place.up
+        inside = known[place]
+        known.update(dict.fromkeys(new, inside))
+        seen |= inside
+        out.append("in" if inside else "after" if seen else "before")
+    return out
+
+
 def own_features(blocks: list[Block]) -> list[list[str]]:
-    """Features of the blocks' texts and innermost elements."""
-    out = []
-    for i, b in enumerate(blocks):
+    """Features of the blocks' texts, innermost elements and neighbours."""
+    out, share = [], []
+    boxes: dict = {}  # characters in links and all
+    for b in blocks:
+        share.append(4 * b.linked // max(1, len(b.text)))
+        linked, size = boxes.get(b.place and b.place.box, (0, 0))
+        boxes[b.place and b.place.box] = linked + b.linked, size + len(b.text)
+    for i, (b, main) in enumerate(zip(blocks, main_places(blocks))):
         words = b.text.count(" ") + 1
-        size = len(b.text)
-        f = ["bias", f"words{min(7, words.bit_length())}", f"links{4 * b.linked // max(1, size)}",
+        linked, size = boxes[b.place and b.place.box]
+        joined = i and (b.place and b.place.box) is (blocks[i - 1].place and blocks[i - 1].place.box)
+        f = ["bias", f"words{min(7, words.bit_length())}", f"links{share[i]}", f"box{4 * linked // max(1, size)}", f"main:{main}",
+             f"{main}:words{min(7, words.bit_length())}", f"{main}:{'joined' if joined else 'apart'}",
+             f"before:{share[i - 1] if i else ''}", f"after:{share[i + 1] if i + 1 < len(blocks) else ''}",
              "ends" if b.text[-1] in ".!?:;\"'”»)" else "open", f"first{min(i, 3)}", f"last{min(len(blocks) - 1 - i, 3)}"]
         if b.place and b.place.inner:
             f.append(f"in:{b.place.inner}")
@@ -356,7 +397,9 @@ SHELLS = {
     "sidebar": ("aside", "div:sidebar side widget rail related recommended popular side-bar", "section:related recommended", "aside:sidebar related"),
     "form": ("form", "form:search login newsletter subscribe signup contact", "div:newsletter subscribe signup search-form"),
     "comments": ("section:comments replies", "div:comments comment-list comment discussion responses replies reader-comments", "ol:commentlist comments"),
-    "footer": ("footer", "div:footer site-footer copyright legal bottom", "section:footer"),
+    "share": ("div:share social sharing tools actions", "ul:share social", "p:share"),
+    "author": ("div:author bio byline about-author author-box", "section:author bio", "aside:author"),
+    "footer": ("footer", "center", "div:footer site-footer copyright legal bottom", "section:footer"),
     "article": ("article", "main", "div:content post entry article article-body story body text main-content post-content entry-content", "section:content article story",
                 "article:post entry", "main:content main", "div"),
 }
@@ -364,15 +407,24 @@ SENTENCES = ["The first of them came early.", "Nobody had seen it before.", "It
              "What follows was written down later.", "They left the house and went on.", "There was little to add."]
 
 
-def wrapped(rng: random.Random, kind: str, inner: str) -> str:
+SYLLABLES = "ba ce di fo gu ha ke li mo nu pa re si to vu za".split()
+
+
+def wrapped(rng: random.Random, kind: str, inner: str, named: bool = True) -> str:
+    """``inner`` in a shell of its kind; if not ``named``, under a name that says nothing."""
     tag, _, names = rng.choice(SHELLS[kind]).partition(":")
+    if names and not named:
+        tag, names = rng.choice((tag, "div")), "".join(rng.choices(SYLLABLES, k=3))
     name = f' {rng.choice(("class", "class", "id"))}="{rng.choice(names.split())}"' if names else ""
     return f"<{tag}{name}>{inner}</{tag}>"
 
 
-def labelled_page(rng: random.Random, texts: list[str]) -> tuple[str, list[int]]:
-    """A page and its blocks' labels (1: the article's)."""
+def labelled_page(rng: random.Random, texts: list[str], unnamed: float = 0.0) -> tuple[str, list[int]]:
+    """A page and its blocks' labels (1: the article's). With probability
+    ``unnamed`` its shells have names that say nothing, so the chain must
+    learn from the page's structure, too."""
     out, labels = [], []
+    named = rng.random() >= unnamed
     pick = lambda: entities.escape(rng.choice(texts))
     short = lambda: entities.escape(" ".join(rng.choice(texts).split()[:rng.randint(1, 8)]) or "x")
 
@@ -382,20 +434,27 @@ def labelled_page(rng: random.Random, texts: list[str]) -> tuple[str, list[int]]
             tag = rng.choice(("li", "li", "div", "p"))
             links = "".join(f'<{tag}><a href="/{i}">{short()}</a></{tag}>' for i in range(n))
             labels.extend([0] * n)
-            return wrapped(rng, kind, f"<ul>{links}</ul>" if tag == "li" else links)
+            return wrapped(rng, kind, f"<ul>{links}</ul>" if tag == "li" else links, named)
         if kind == "form":
             labels.extend([0, 0])
-            return wrapped(rng, kind, f"<p><label>{short()}</label> <input name=q></p><button>{short()}</button>")
+            return wrapped(rng, kind, f"<p><label>{short()}</label> <input name=q></p><button>{short()}</button>", named)
         if kind == "comments":
             n = rng.randint(1, 5)
             head = f"<h3>{short()}</h3>" if rng.random() < 0.5 else ""
             labels.extend([0] * (n + bool(head)))
             tag = rng.choice(("p", "div", "li"))
-            return wrapped(rng, kind, head + "".join(f"<{tag}>{pick()}</{tag}>" for _ in range(n)))
+            if rng.random() < 0.5:  # a shell for each, with its writer's name
+                labels.extend([0] * n)
+                return wrapped(rng, kind, head + "".join(
+                    wrapped(rng, "comments", f"<p>{short()}</p><{tag}>{pick()}</{tag}>", named) for _ in range(n)), named)
+            return wrapped(rng, kind, head + "".join(f"<{tag}>{pick()}</{tag}>" for _ in range(n)), named)
+        if kind == "share":
+            labels.append(0)
+            return wrapped(rng, kind, " ".join(rng.choice(("<a href=#>%s</a>", "<span>%s</span>")) % short() for _ in range(rng.randint(1, 4))), named)
         n = rng.randint(1, 2)
         labels.extend([0] * n)
         text = [f"&copy; {short()}" if kind == "footer" else rng.choice((pick, short))() for _ in range(n)]
-        return wrapped(rng, kind, "".join(f"<p>{t}</p>" for t in text) if n > 1 or rng.random() < 0.4 else text[0])
+        return wrapped(rng, kind, "".join(f"<p>{t}</p>" for t in text) if n > 1 or rng.random() < 0.4 else text[0], named)
 
     for kind in ("header", "nav", "notice", "ad"):
         if rng.random() < (0.8 if kind == "nav" else 0.5):
@@ -407,7 +466,7 @@ def labelled_page(rng: random.Random, texts: list[str]) -> tuple[str, list[int]]
     for _ in range(rng.randint(1, 10)):
         r = rng.random()
         if r < 0.08:
-            body.append(junk(rng.choice(("ad", "sidebar", "form", "notice"))))
+            body.append(junk(rng.choice(("ad", "sidebar", "form", "notice", "share"))))
             continue
         if r < 0.2:
             n = rng.randint(2, 4)
@@ -419,8 +478,12 @@ def labelled_page(rng: random.Random, texts: list[str]) -> tuple[str, list[int]]
         text = short() if tag == "h2" else pick()
         body.append(f"<{tag}>{text}" + (f"</{tag}>" if tag != "p" or rng.random() < 0.8 else ""))
         labels.append(1)
-    out.append(wrapped(rng, "article", "".join(body)))
-    for kind in ("comments", "sidebar", "ad", "form", "footer"):
+    inner = "".join(body)
+    if rng.random() < 0.1 and len(body) > 3:  # the article in sections
+        cut = rng.randint(1, len(body) - 1)
+        inner = "".join(f"<section>{''.join(x)}</section>" for x in (body[:cut], body[cut:]))
+    out.append(wrapped(rng, "article", inner, named))
+    for kind in ("share", "author", "comments", "sidebar", "ad", "form", "footer"):
         if rng.random() < (0.8 if kind == "footer" else 0.4):
             out.append(junk(kind))
     return f"<html><head><title>{short()}</title></head><body>{''.join(out)}</body></html>", labels
@@ -437,7 +500,7 @@ def train(pages: DataFrame, *, html: str = "html", sample: int = 200, longest: i
     texts = sorted({b.text for r in rows for b in leaf_blocks(r["h"])}) or SENTENCES
     rng, out = random.Random(seed), []
     while len(out) < made:
-        page, labels = labelled_page(rng, texts)
+        page, labels = labelled_page(rng, texts, UNNAMED)
         blocks = leaf_blocks(page)
         if len(blocks) == len(labels):  # a text without letters of its own may leave no block
             out.append((features(blocks), labels))

@@ -203,6 +203,25 @@ def test_html_unclosed_elements_math_and_quotes():
     assert texts("<p title='a>b' class=\"c>d\">One.</p>") == ["One."]
 
 
+def test_html_shells_with_names_never_seen():
+    words = [w for t in html_extract.SENTENCES for w in t.lower().split()]
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices(words, k=rng.randint(2, 60))).capitalize() + "." for _ in range(600)]
+    made = ((html_extract.leaf_blocks(p), y) for p, y in (html_extract.labelled_page(rng, texts, html_extract.UNNAMED) for _ in range(1_500)))
+    chain = html_extract.Chain().fit([(html_extract.features(b), y) for b, y in made if len(b) == len(y)])
+    long = [t for t in texts if len(t) > 150]
+    rest = {"comments": '<div id="disqus_thread"><div class="reply"><p>%s</p></div><div class="reply"><p>%s</p></div></div>' % (long[0], long[1][:120]),
+            "share": '<div class="qq"><a href="#">Tweet</a> <a href="#">Share</a></div>', "buttons": '<div class="btns">Tweet Share</div>',
+            "author": '<div class="writer"><p>Jo Doe writes about boats and lives in a small town.</p></div>',
+            "legal": "<center>Copyright 2024 Example Ltd</center>"}
+    for shell in ("article", "div class=wxy", "section id=qrs"):
+        body = "<h1>A short title</h1>" + "".join(f"<p>{t}</p>" for t in long[2:7])
+        for kind, after in rest.items():
+            blocks = html_extract.leaf_blocks(f"<body><div class=tt><a href=/>Home</a> <a href=/x>News</a></div><{shell}>{body}</{shell.split()[0]}>{after}</body>")
+            labels = chain.best_labels(chain.block_scores(blocks))
+            assert labels == [0] + [1] * 6 + [0] * (len(blocks) - 7), (shell, kind)
+
+
 def test_html_hostile_pages_take_linear_time():
     import time
 
