@@ -13,7 +13,9 @@ import math
 import re
 import uuid
 from collections import Counter
+from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +26,12 @@ WORD = re.compile(r"[^\W\d_]+")
 START = "▁"  # marks the start of a word in the vocabulary
 UNKNOWN = 1e-7  # probability of a character that no piece covers
 LOW, LIFT = 1e-150, 1e150
+LEAST = 1e-290
 CACHE_WORDS = 800_000
 CACHE_CHARS = 40  # longer words are scored anew each time
+SHORT = 4  # characters of a substring that is often a piece, below
+TOGETHER = 2_000  # words whose forward passes run as one
+BATCH_CHARS = 2_000_000  # texts whose new words are scored together, in characters
 UNDETERMINED = "und"
 
 
@@ -92,6 +98,9 @@ class Scorer:
     def __init__(self, langs: list[str], table: dict[str, tuple]):
         self.langs, self.table, self.known = langs, table, {}
         self.longest = max(map(len, table), default=1)
+        self.rows = {p: i for i, p in enumerate(table)}
+        # Two rows more: a character that no piece covers, and no piece at all.
+        self.probs = np.array([*table.values(), (UNKNOWN,) * len(langs), (0.0,) * len(langs)], np.float64).reshape(len(table) + 2, len(langs))
 
     def word(self, w: str) -> tuple:
         if (got := self.known.get(w)) is not None:
@@ -125,14 +134,56 @@ class Scorer:
             self.known[w] = got
         return got
 
+    def score_new(self, words: set[str]) -> None:
+        """Score the words that aren't known yet: those of a length in one
+        forward pass over arrays (words by languages). A word whose sums come
+        near the least number, or one too long to be kept, is left to ``word``."""
+        if len(self.known) >= CACHE_WORDS:
+            self.known.clear()
+        by_size: dict[int, list[str]] = {}
+        for w in words:
+            if len(w) <= CACHE_CHARS and w not in self.known:
+                by_size.setdefault(len(w), []).append(w)
+        get, unknown, none = self.rows.get, len(self.rows), len(self.rows) + 1
+        for size, found in by_size.items():
+            for k in range(0, len(found), TOGETHER):
+                some = found[k:k + TOGETHER]
+                marked = [START + w for w in some]
+                f = np.zeros((size + 2, len(some), len(self.langs)))
+                f[0] = 1.0
+                for j in range(1, size + 2):
+                    for i in range(max(0, j - self.longest), j):
+                        miss = unknown if i == j - 1 else none
+                        pieces = np.fromiter(map(get, [m[i:j] for m in marked], repeat(miss)), np.int64, len(some))
+                        if j - i < SHORT:
+                            f[j] += f[i] * self.probs[pieces]
+                        elif len(hits := np.flatnonzero(pieces != none)):  # few of the longer substrings are pieces
+                            f[j, hits] += f[i, hits] * self.probs[pieces[hits]]
+                for w, sums in zip(some, f[-1].tolist()):
+                    if min(sums) > LEAST:
+                        self.known[w] = tuple(map(math.log, sums))
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """(language, its posterior under equal priors) of each text."""
+        out, waiting, size = [], [], 0
+        for k, text in enumerate(texts):
+            waiting.append(Counter(words_of(text)))
+            size += len(text or "")
+            if size >= BATCH_CHARS or k == len(texts) - 1:
+                if self.langs:
+                    self.score_new({w for words in waiting for w in words})
+                out += map(self.total, waiting)
+                waiting, size = [], 0
+        return out
+
     def predict(self, text: str | None) -> tuple[str, float]:
-        """(language, its posterior under equal priors)."""
-        words = words_of(text)
+        return self.predict_all([text])[0]
+
+    def total(self, words: Counter) -> tuple[str, float]:
         if not self.langs or not any(any(map(str.isalpha, w)) for w in words):
             return UNDETERMINED, 0.0
-        total = [0.0] * len(self.langs)
-        for w, n in Counter(words).items():
-            total = [t + n * s for t, s in zip(total, self.word(w))]
+        counts = np.fromiter(words.values(), np.float64, len(words))
+        total = (np.array([self.word(w) for w in words]) * counts[:, None]).sum(axis=0).tolist()
         best = max(range(len(total)), key=lambda k: total[k])
         return self.langs[best], 1 / sum(math.exp(max(-700.0, t - total[best])) for t in total)
 
@@ -148,7 +199,7 @@ def predictor(model_id: str, told):
             _scorers[model_id] = Scorer(langs, table)
         scorer = _scorers[model_id]
         for b in batches:
-            got = [scorer.predict(t) for t in b.column("_text").to_pylist()]
+            got = scorer.predict_all(b.column("_text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(c) for c in b.schema.names if c != "_text"], pa.array([g[0] for g in got], pa.string()),
                  pa.array([g[1] for g in got], pa.float64())],

@@ -137,6 +137,21 @@ def test_language_edges(spark):
     assert language_id.identify(df, ([], {})).where("lang_pred <> 'und'").count() == 0
 
 
+def test_words_are_scored_alike_alone_and_together():
+    pieces = ["▁", "▁a", "▁ab", "a", "b", "c", "bc", "abc", "bcabc", "é"]
+    rng = random.Random(2)
+    table = {p: (rng.random(), rng.random() / 1e5) for p in pieces}
+    words = {"".join(rng.choices("abcdé", k=rng.randint(1, 40))) for _ in range(5_000)} | {"d" * 40, "abc" * 500}
+    alone, together = (language_id.Scorer(["x", "y"], table) for _ in range(2))
+    together.score_new(words)
+    assert "d" * 39 not in together.known and "abc" * 500 not in together.known
+    for w in words:
+        assert all(math.isclose(a, b, rel_tol=1e-13) for a, b in zip(alone.word(w), together.word(w)))  # scaled sums are rounded
+    texts = [" ".join(rng.sample(sorted(words), 50)) for _ in range(20)] + [None, "", "12"]
+    fresh = language_id.Scorer(["x", "y"], table)
+    assert together.predict_all(texts) == [fresh.predict(t) for t in texts]
+
+
 def test_forward_sums_all_segmentations():
     table = {"▁": (0.1,), "a": (0.2,), "aa": (0.3,), "▁a": (0.05,)}
 
