@@ -78,6 +78,12 @@ def seeded(seed: int, *cols) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 32)
 
 
+def seeded_md5(seed: int, *cols) -> Column:
+    """A 32-bit seeded hash in a long, of md5 over the values' text: any SQL
+    engine computes the same (null values count as absent)."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), *cols)), 1, 8), 16, 10).cast("long")
+
+
 def bucket_of(hash32: Column, buckets: Column) -> Column:
     """Order-preserving bucket of a 32-bit hash among ``buckets`` (< 2**31)."""
     return F.shiftrightunsigned(hash32 * buckets, 32)

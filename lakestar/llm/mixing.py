@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, bucket_of, group_key, seeded
+from .common import Scratch, bucket_of, group_key, seeded_md5
 
 BROADCAST_LEAVES = 100_000  # of a plan that is broadcast, some hundred bytes each; a larger one is joined by shuffle
 
@@ -23,10 +23,10 @@ def water_fill(budget: float, weights: list[float], caps: list[float]) -> list[f
     got, open_ = [0.0] * len(caps), [i for i, w in enumerate(weights) if w > 0 and caps[i] > 0]
     left = min(budget, sum(caps[i] for i in open_))
     while open_ and left > 0:
-        share = left / sum(weights[i] for i in open_)
-        full = [i for i in open_ if share * weights[i] >= caps[i]]
+        total = sum(weights[i] for i in open_)
+        full = [i for i in open_ if left * weights[i] >= caps[i] * total]
         for i in full or open_:
-            got[i] = caps[i] if full else share * weights[i]
+            got[i] = caps[i] if full else weights[i] * (left / total)
         left -= sum(got[i] for i in full)
         open_ = [i for i in open_ if i not in set(full)] if full else []
     return got
@@ -55,7 +55,7 @@ def leaf_budgets(leaves: dict[tuple, float], budget: float, weights: dict[tuple,
 
 
 def mix(docs: DataFrame, levels: dict[str, Column], *, tokens: Column, fraction: float,
-        weights: dict[tuple, float] | None = None, epochs: int = 1, seed: int = 29,
+        weights: dict[tuple, float] | None = None, epochs: int = 1, seed: int = 29, salt: Column | None = None,
         doc_id: str = "doc_id", rows_per_bucket: int = 20_000, max_leaves: int = 1_000_000) -> DataFrame:
     """Choose the rows of ``docs`` that make up the mixture.
 
@@ -66,7 +66,9 @@ def mix(docs: DataFrame, levels: dict[str, Column], *, tokens: Column, fraction:
     epoch that a row is taken in, plus ``_epoch`` (from 0), ``_tokens`` and
     ``_budget`` (of its leaf).
 
-    In the last epoch a row is taken while the tokens before it in its
+    A leaf's seeded order is that of a hash of seed, epoch, id and ``salt``
+    (which tells rows of one id apart; absent: a hash of all columns), then
+    of id and all columns. In the last epoch a row is taken while the tokens before it in its
     leaf's seeded order are below what is left of the budget, so a leaf
     overshoots by less than one row. Null level values are leaves of their
     own; null token counts count 0, and a leaf without tokens gets nothing;
@@ -85,10 +87,11 @@ def mix(docs: DataFrame, levels: dict[str, Column], *, tokens: Column, fraction:
     spark = docs.sparkSession
     scratch = Scratch(spark, "mix")
     names = [f"_l{i}" for i in range(len(levels))]
+    key = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
     keyed = docs.withColumns({n: group_key(c) for n, c in zip(names, levels.values())}
                              | {"_tokens": F.coalesce(tokens.cast("long"), F.lit(0).cast("long")),
-                                "_key": F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])})
-    light = scratch.keep(keyed.select(*names, "_tokens", F.col(doc_id).alias("_id"), "_key"), "light")
+                                "_key": key, "_salt": key if salt is None else salt})
+    light = scratch.keep(keyed.select(*names, "_tokens", F.col(doc_id).alias("_id"), "_key", "_salt"), "light")
     totals = light.groupBy(*names).agg(F.sum("_tokens").alias("t"), F.count(F.lit(1)).alias("n"))
     found = totals.limit(max_leaves + 1).collect()
     if len(found) > max_leaves:
@@ -107,7 +110,7 @@ def mix(docs: DataFrame, levels: dict[str, Column], *, tokens: Column, fraction:
     plan_df = scratch.keep(spark.createDataFrame(plan, schema), "plan")
 
     # Each epoch has an order of its own: its number goes into the hash.
-    order = F.struct(seeded(seed, "_full", "_id", "_key").alias("h"), F.col("_id").alias("id"),
+    order = F.struct(seeded_md5(seed, "_full", "_id", "_salt").alias("h"), F.col("_id").alias("id"),
                      F.col("_key").alias("key"))
     part = (light.join(plan_df.where("_rest > 0"), names).withColumn("_at", order)
             .withColumn("_b", bucket_of(F.col("_at.h"), F.col("_buckets"))))

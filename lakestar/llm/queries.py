@@ -45,7 +45,8 @@ MIX_WEIGHTS |= {(f"domain{d}", x): w for d in range(4) for x, w in LANG_WEIGHTS.
 
 def mixture(docs: DataFrame, *, fraction: float, epochs: int) -> DataFrame:
     return mixing.mix(docs, {"domain": domain(), "lang": F.col("lang"), "source": F.col("source")},
-                      tokens=token_estimate(), fraction=fraction, weights=MIX_WEIGHTS, epochs=epochs)
+                      tokens=token_estimate(), fraction=fraction, weights=MIX_WEIGHTS, epochs=epochs,
+                      salt=F.crc32(F.coalesce("text", F.lit("")).cast("binary")))
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +92,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -168,7 +169,102 @@ best AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score,
 ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best WHERE place = 1)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""
 
-ORACLE_SQL: dict[str, str] = {"op12_lexical_search": SEARCH_SQL, "op13_collocations": PHRASE_SQL}
+# Links of all pairs, then everything reachable from each row: brute force, for small tables.
+EMBEDDING_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+         WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y),
+root AS (SELECT x, MIN(y) AS component_id FROM reach GROUP BY x),
+degree AS (SELECT x, COUNT(*) AS n FROM link GROUP BY x)
+SELECT vec_id, COALESCE(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN root ON root.x = vec_id LEFT JOIN degree ON degree.x = vec_id"""
+
+JACCARD_SQL = f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), '{UPPER}', '{LOWER}'), '[^ \x09-\x0D]+') AS ws FROM documents),
+gram AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, UNNEST(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM doc WHERE len(ws) > 0)),
+size AS (SELECT doc_id, COUNT(*) AS n FROM gram GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS c FROM gram a JOIN gram b ON a.g = b.g AND a.doc_id <> b.doc_id
+           GROUP BY a.doc_id, b.doc_id),
+link AS (SELECT x, y FROM common JOIN size a ON a.doc_id = x JOIN size b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y),
+root AS (SELECT x, MIN(y) AS component_id FROM reach GROUP BY x)
+SELECT d.doc_id, COALESCE(n, 0) AS n_shingles, component_id
+FROM documents d JOIN root ON root.x = d.doc_id LEFT JOIN size USING (doc_id)"""
+
+# DuckDB has no crc32: its table of 256 bytes by rule, then a fold over a text's bytes.
+CRC_SQL = """
+crc_table AS (SELECT list(v ORDER BY i) AS t FROM (
+  SELECT i, list_reduce([i] || range(8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v
+  FROM range(256) x(i))),
+byte AS (SELECT *, encode(COALESCE(text, '')) AS bytes FROM documents),
+crc AS (SELECT * EXCLUDE (bytes, t), octet_length(bytes) AS n_bytes, xor(list_reduce([4294967295] || list_transform(
+    range(octet_length(bytes)), lambda i: CAST('0x' || hex(bytes[i + 1:i + 1]) AS BIGINT)),
+    lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295) AS crc
+  FROM byte, crc_table)"""
+
+
+def _seeded(seed: int, *columns: str) -> str:
+    return f"CAST('0x' || left(md5(concat_ws(':', {', '.join([str(seed), *columns])})), 8) AS BIGINT)"
+
+
+def _level(name: str, above: str, depth: int) -> str:
+    """Budgets of the nodes ``depth`` levels deep from those of the nodes above: children in the order
+    of how soon they are full, each is full if its share of what is left then reaches its cap."""
+    path = ", ".join(f"k{i}" for i in range(1, depth + 1))
+    parent = ", ".join(f"k{i}" for i in range(1, depth)) or "1"
+    using = f"JOIN {above} USING ({parent})" if depth > 1 else f"CROSS JOIN {above}"
+    weight = {1: "CASE k1 WHEN 'domain0' THEN 3.0 WHEN 'domain1' THEN 2.0 WHEN 'domain2' THEN 2.0 WHEN 'domain3' THEN 2.0 ELSE 1.0 END",
+              2: "CASE WHEN k1 NOT IN ('domain0', 'domain1', 'domain2', 'domain3') THEN 1.0 WHEN k2 = 'ven' THEN 4.0"
+                 " WHEN k2 IN ('vde', 'vfr', 'ves') THEN 3.0 ELSE 1.0 END", 3: "1.0"}[depth]
+    return f"""
+{name}_child AS (SELECT {path}, CAST({weight} AS DOUBLE) AS w, CAST(SUM(2 * t) AS DOUBLE) AS cap FROM leaf GROUP BY {path}),
+{name}_left AS (SELECT {name}_child.*, budget AS b,
+    budget - COALESCE(SUM(cap) OVER (PARTITION BY {parent} ORDER BY cap / w, k{depth} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_,
+    SUM(w) OVER (PARTITION BY {parent} ORDER BY cap / w, k{depth} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+  FROM {name}_child {using}),
+{name} AS (SELECT {path}, CASE WHEN left_ * w >= cap * rest THEN cap ELSE
+    w * ((b - COALESCE(SUM(cap) FILTER (left_ * w >= cap * rest) OVER (PARTITION BY {parent}), 0))
+         / SUM(w) FILTER (left_ * w < cap * rest) OVER (PARTITION BY {parent})) END AS budget
+  FROM {name}_left)"""
+
+
+MIX_SQL = f"""
+WITH {CRC_SQL},
+number AS (SELECT *, regexp_extract(source, '^src([0-9]{{1,9}})$', 1) AS num FROM crc),
+doc AS (SELECT *, CASE WHEN num <> '' THEN 'domain' || CAST(CAST(num AS INTEGER) // 5 AS VARCHAR) ELSE 'other' END AS k1,
+    COALESCE('v' || lang, 'n') AS k2, COALESCE('v' || source, 'n') AS k3, (n_bytes + 3) // 4 + 1 AS tokens FROM number),
+leaf AS (SELECT k1, k2, k3, SUM(tokens) AS t FROM doc GROUP BY k1, k2, k3),
+root AS (SELECT 0.5 * SUM(t) * 2 AS budget FROM leaf), {_level('l1', 'root', 1)}, {_level('l2', 'l1', 2)}, {_level('l3', 'l2', 3)},
+plan AS (SELECT *, least(2, CAST(floor(budget / t) AS BIGINT)) AS whole FROM l3 JOIN leaf USING (k1, k2, k3)),
+placed AS (SELECT *, CASE WHEN whole < 2 THEN budget - whole * t ELSE 0 END AS rest, {_seeded(29, 'whole', 'doc_id', 'crc')} AS h
+           FROM doc JOIN plan USING (k1, k2, k3)),
+taken AS (SELECT *, COALESCE(SUM(tokens) OVER (PARTITION BY k1, k2, k3 ORDER BY h, doc_id
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < rest AS partly FROM placed)
+SELECT doc_id, k1 AS domain, lang, source, CAST(epoch AS INTEGER) AS epoch, CAST(tokens AS BIGINT) AS n_tokens,
+       CAST(floor(budget) AS BIGINT) AS leaf_budget
+FROM (SELECT *, UNNEST(range(whole + CASE WHEN partly THEN 1 ELSE 0 END)) AS epoch FROM taken)"""
+
+SHARD_SQL = f"""
+WITH {CRC_SQL},
+doc AS (SELECT doc_id, COALESCE('v' || source, 'n') AS s, n_bytes + 16 AS size, crc,
+               {_seeded(17, 'doc_id', 'crc', 'n_bytes + 16')} AS h FROM crc),
+ranked AS (SELECT *, (ROW_NUMBER() OVER (PARTITION BY s ORDER BY h, doc_id NULLS FIRST, crc, size) - 0.5::DOUBLE)
+                     / COUNT(*) OVER (PARTITION BY s) AS f, COUNT(*) OVER () AS total FROM doc),
+placed AS (SELECT *, ROW_NUMBER() OVER (ORDER BY f, s, h, doc_id NULLS FIRST, crc, size) - 1 AS pos FROM ranked),
+dealt AS (SELECT *, pos * {SHARDS} // total AS k FROM placed)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'rows' AS law, CAST(k AS INTEGER) AS shard,
+       CAST(pos - (k * total + {SHARDS - 1}) // {SHARDS} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM dealt"""
+
+ORACLE_SQL: dict[str, str] = {"op1_embedding_near_dedup": EMBEDDING_SQL, "op7_mixing": MIX_SQL, "op9_jaccard_join": JACCARD_SQL,
+                              "op10_sharding": SHARD_SQL, "op12_lexical_search": SEARCH_SQL, "op13_collocations": PHRASE_SQL}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, bucket_of, exact_rank, group_key, seeded
+from .common import Scratch, bucket_of, exact_rank, group_key, seeded_md5
 
 
 def shard(docs: DataFrame, shards: int, *, seed: int = 17, doc_id: str = "doc_id", text: str = "text",
@@ -38,7 +38,7 @@ def shard(docs: DataFrame, shards: int, *, seed: int = 17, doc_id: str = "doc_id
         group_key(F.col(stratum)).alias("_s"),
         (F.octet_length(body) + 16).cast("long").alias("size"),
         F.crc32(body).alias("text_crc32"),
-    ).withColumn("_h", seeded(seed, "doc_id", "text_crc32", "size"))
+    ).withColumn("_h", seeded_md5(seed, "doc_id", "text_crc32", "size"))
     rows = scratch.keep(rows, "rows")
     strata = scratch.keep(rows.groupBy("_s").agg(F.count(F.lit(1)).alias("_n")), "strata")
     total = strata.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).first()["n"]

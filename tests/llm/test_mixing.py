@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 from collections import Counter
 
@@ -9,14 +10,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestar.llm import mixing
-from lakestar.llm.common import seeded
 
 
 def model(spark, rows, schema, fraction, epochs, seed):
     """Taken copies of each row and epoch, by the seeded order of each leaf."""
     df = spark.createDataFrame(rows, schema)
     key = F.xxhash64(*[F.col(c) for c in df.columns])
-    places = [df.withColumn("at", F.struct(seeded(seed, F.lit(e), "doc_id", key), F.col("doc_id"), key)).collect() for e in range(epochs)]
+    keyed = df.withColumn("key", key).collect()
+
+    def place(r, e):
+        said = ":".join(str(x) for x in (seed, e, r.doc_id, r.key) if x is not None)
+        return int(hashlib.md5(said.encode()).hexdigest()[:8], 16), r.doc_id is not None, r.doc_id or 0, r.key
+
     have = Counter()
     for r in rows:
         have[("v" + r[2],)] += r[3] or 0
@@ -30,9 +35,7 @@ def model(spark, rows, schema, fraction, epochs, seed):
         rest = budget - full * have[leaf] if full < epochs else 0
         took = 0
         if rest > 0:
-            order = sorted((r for r in places[full] if "v" + r.source == leaf[0]),
-                           key=lambda r: (r.at[0], r.at[1] is not None, r.at[1] or 0, r.at[2]))
-            for r in order:
+            for r in sorted((r for r in keyed if "v" + r.source == leaf[0]), key=lambda r: place(r, full)):
                 if took >= rest:
                     break
                 out[r.doc_id, r.text, full] += 1
