@@ -33,6 +33,9 @@ SHORT = 4  # characters of a substring that is often a piece, below
 TOGETHER = 2_000  # words whose forward passes run as one
 BATCH_CHARS = 2_000_000  # texts whose new words are scored together, in characters
 UNDETERMINED = "und"
+# A text is unlike a language if a letter's log-probability is further below the median of the
+# language's own texts than SPREADS times the way from there to their LOW_SHARE quantile (at least MARGIN).
+SPREADS, LOW_SHARE, MARGIN = 3.5, 0.01, 3.0
 
 
 def load_pieces(path: str) -> list[str]:
@@ -163,8 +166,8 @@ class Scorer:
                     if min(sums) > LEAST:
                         self.known[w] = tuple(map(math.log, sums))
 
-    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        """(language, its posterior under equal priors) of each text."""
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
+        """(language, its posterior under equal priors, log-probability a letter in it) of each text."""
         out, waiting, size = [], [], 0
         for k, text in enumerate(texts):
             waiting.append(Counter(words_of(text)))
@@ -176,22 +179,33 @@ class Scorer:
                 waiting, size = [], 0
         return out
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, float]:
         return self.predict_all([text])[0]
 
-    def total(self, words: Counter) -> tuple[str, float]:
+    def total(self, words: Counter) -> tuple[str, float, float]:
         if not self.langs or not any(any(map(str.isalpha, w)) for w in words):
-            return UNDETERMINED, 0.0
+            return UNDETERMINED, 0.0, 0.0
         counts = np.fromiter(words.values(), np.float64, len(words))
         total = (np.array([self.word(w) for w in words]) * counts[:, None]).sum(axis=0).tolist()
         best = max(range(len(total)), key=lambda k: total[k])
-        return self.langs[best], 1 / sum(math.exp(max(-700.0, t - total[best])) for t in total)
+        letters = sum(len(w) * n for w, n in words.items())
+        return self.langs[best], 1 / sum(math.exp(max(-700.0, t - total[best])) for t in total), total[best] / letters
+
+
+def least_likely(texts: list[str], lang: str, prob: dict[str, float]) -> float:
+    """The least log-probability a letter that a text of the language has, judged by its own texts."""
+    told = Scorer([lang], {p: (x,) for p, x in prob.items()}).predict_all(texts)
+    own = np.array([x[2] for x in told if x[0] == lang])
+    if not len(own):
+        return -math.inf
+    middle = float(np.median(own))
+    return middle - max(SPREADS * (middle - float(np.quantile(own, LOW_SHARE))), MARGIN)
 
 
 _scorers: dict = {}  # by model: a worker's scorer and the words it has scored
 
 
-def predictor(model_id: str, told):
+def predictor(model_id: str, told, bounds: dict[str, float] | None):
     def run(batches):
         if model_id not in _scorers:
             _scorers.clear()
@@ -200,10 +214,11 @@ def predictor(model_id: str, told):
         scorer = _scorers[model_id]
         for b in batches:
             got = scorer.predict_all(b.column("_text").to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [*[b.column(c) for c in b.schema.names if c != "_text"], pa.array([g[0] for g in got], pa.string()),
-                 pa.array([g[1] for g in got], pa.float64())],
-                [*[c for c in b.schema.names if c != "_text"], "lang_pred", "score"])
+            names = [c for c in b.schema.names if c != "_text"]
+            found = {"lang_pred": pa.array([g[0] for g in got], pa.string()), "score": pa.array([g[1] for g in got], pa.float64())}
+            if bounds is not None:
+                found["likely"] = pa.array([g[0] in bounds and g[2] >= bounds[g[0]] for g in got], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*map(b.column, names), *found.values()], [*names, *found])
     return run
 
 
@@ -213,8 +228,9 @@ def is_held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, *, vocabulary: str, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
           docs_per_lang: int = 400, words_per_lang: int = 30_000, rounds: int = 3, smooth: float = 0.05,
-          seed: int = 3, max_langs: int = 1_000):
-    """Piece probabilities by language: (languages, piece -> probabilities).
+          seed: int = 3, max_langs: int = 1_000, likelihoods: bool = False):
+    """Piece probabilities by language: (languages, piece -> probabilities);
+    with ``likelihoods`` also language -> least log-probability a letter.
 
     Learns from at most ``docs_per_lang`` labelled documents a language, not
     held out, taken by a seeded hash, and from the ``words_per_lang`` most
@@ -231,7 +247,7 @@ def train(docs: DataFrame, *, vocabulary: str, doc_id: str = "doc_id", text: str
     if len(sizes) > max_langs:
         raise ValueError(f"more than {max_langs} languages")
     if not sizes:
-        return [], {}
+        return ([], {}, {}) if likelihoods else ([], {})
     spark = docs.sparkSession
     # The hash thins each language to about twice the bound before the rows are ranked.
     shares = spark.createDataFrame([(s["_lang"], min(2.0**32, 2.0**32 * 2 * docs_per_lang / s["_n"])) for s in sizes],
@@ -245,27 +261,37 @@ def train(docs: DataFrame, *, vocabulary: str, doc_id: str = "doc_id", text: str
             words.update(w for w in words_of(t) if len(w) <= CACHE_CHARS)
         most = dict(sorted(words.items(), key=lambda x: (-x[1], x[0]))[:words_per_lang])
         prob = learn(Counter(most), pieces, rounds, smooth)
-        return pa.table({"lang": [table["_lang"][0].as_py()] * len(pieces), "piece": pieces,
-                         "p": [prob[p] for p in pieces]})
+        lang = table["_lang"][0].as_py()
+        least = least_likely(table["_text"].to_pylist(), lang, prob) if likelihoods else 0.0
+        return pa.table({"lang": [lang] * len(pieces), "piece": pieces, "p": [prob[p] for p in pieces],
+                         "least": [least] * len(pieces)})
 
     learned: dict[str, dict[str, float]] = {}
+    bounds: dict[str, float] = {}
 
     def learn_from(some: DataFrame) -> None:
         most = some.withColumn("_r", rank).where(F.col("_r") <= docs_per_lang).select("_lang", "_text")
-        for r in most.groupBy("_lang").applyInArrow(fit, "lang string, piece string, p double").collect():  # bounded: pieces times languages
+        for r in most.groupBy("_lang").applyInArrow(fit, "lang string, piece string, p double, least double").collect():  # bounded: pieces times languages
             learned.setdefault(r["lang"], {})[r["piece"]] = r["p"]
+            bounds[r["lang"]] = r["least"]
 
     learn_from(sample)
     lost = [s["_lang"] for s in sizes if s["_lang"] not in learned]
     if lost:  # so few different rows that the hash left none: each counts once
         learn_from(rows.where(F.col("_lang").isin(lost)).dropDuplicates(["_lang", "_id", "_text"]))
     langs = sorted(learned)
-    return langs, {p: tuple(learned[x][p] for x in langs) for p in pieces}
+    model = langs, {p: tuple(learned[x][p] for x in langs) for p in pieces}
+    return (*model, bounds) if likelihoods else model
 
 
-def identify(docs: DataFrame, model, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def identify(docs: DataFrame, model, *, text: str = "text", keep: list[str] | None = None,
+             bounds: dict[str, float] | None = None) -> DataFrame:
     """Add ``lang_pred`` and ``score`` to the columns ``keep`` (default: all).
 
+    With ``bounds`` (of ``train``) also ``likely``: whether the text's letters
+    are as probable as those of its language's own texts, or nearly so. Noise
+    and most other scripts and languages aren't, and ``und`` never is.
+
     Only the text is looked at. A null text, or one without a letter, is
     ``und`` with score 0, as is everything if no language was learned.
     Upper case is lower-cased; very long texts and words are read whole;
@@ -276,10 +302,13 @@ def identify(docs: DataFrame, model, *, text: str = "text", keep: list[str] | No
     spark = docs.sparkSession
     ship(spark)
     told = spark.sparkContext.broadcast(model)
-    names = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score", "_text")]
+    added = ("lang_pred", "score", *(() if bounds is None else ("likely",)))
+    names = [c for c in (docs.columns if keep is None else keep) if c not in (*added, "_text")]
     rows = docs.select(*[F.col(f"`{c}`") for c in names], F.col(text).cast("string").alias("_text"))
     schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(predictor(uuid.uuid4().hex, told), schema)
+    if bounds is not None:
+        schema = schema.add("likely", "boolean")
+    return rows.mapInArrow(predictor(uuid.uuid4().hex, told, bounds), schema)
 
 
 def predict_languages(docs: DataFrame, *, vocabulary: str, doc_id: str = "doc_id", **options) -> DataFrame:

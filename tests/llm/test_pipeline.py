@@ -1,5 +1,7 @@
 """The pipeline's stages on the smallest tables."""
 
+import random
+
 import corpus_pipeline
 from lakestar.llm import decontaminate, jaccard_join, queries
 
@@ -8,8 +10,13 @@ SF = "/root/testdata/sf0.001"
 
 def test_stages(spark, tmp_path):
     docs = queries.table(spark, SF, "documents")
-    odd = spark.createDataFrame([(-1, None, None, None, None), (-2, "", "en", "src0", 0), (None, "12 34", None, None, 5)], docs.schema)
-    docs, n = docs.union(odd), docs.count() + 3
+    rng = random.Random(4)
+    noise = " ".join("".join(rng.choices("bcdfghjklmnpqrstvwxz", k=rng.randint(2, 9))) for _ in range(80))
+    odd = [(-1, None, None, None, None), (-2, "", "en", "src0", 0), (None, "12 34", None, None, 5),
+           (-3, noise, None, "src1", len(noise)), (-4, "吾輩は猫である。名前はまだ無い。" * 9, None, "src1", 144),
+           (-5, "Съешь же ещё этих мягких французских булок, да выпей чаю. " * 5, None, "src2", 295),
+           (-6, "Pchnąć w tę łódź jeża lub ośm skrzyń fig. " * 5, None, None, 215)]
+    docs, n = docs.union(spark.createDataFrame(odd, docs.schema)), docs.count() + len(odd)
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
         if name != "sharding":
@@ -17,7 +24,7 @@ def test_stages(spark, tmp_path):
         out.write.parquet(str(tmp_path / name))
         out = spark.read.parquet(str(tmp_path / name))
         if name == "language_id":
-            assert out.count() == n - 3
+            assert out.count() == n - len(odd) and out.where("doc_id < 0").isEmpty()
         if name == "jaccard_join":
             again = jaccard_join.jaccard_components(out)
             assert again.where("doc_id <> component_id").isEmpty()
