@@ -19,10 +19,12 @@ MIX_FRACTION = 0.8  # token budget as a share of what reaches the mixing stage
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no letter, or no clear prediction."""
-    model = language_id.train(docs, vocabulary=tokenizer_path("piece_bpe_32k.model"))
-    told = language_id.identify(docs, model)
-    return told.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_SCORE)).select(docs.columns)
+    """Drops documents without a language: no letter, no clear prediction, or
+    letters far less probable than in the predicted language's own texts."""
+    *model, bounds = language_id.train(docs, vocabulary=tokenizer_path("piece_bpe_32k.model"), likelihoods=True)
+    told = language_id.identify(docs, tuple(model), bounds=bounds)
+    return told.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_SCORE)
+                      & F.col("likely")).select(docs.columns)
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
