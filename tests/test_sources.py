@@ -91,3 +91,33 @@ def test_csv_files_match_columns_by_name(spark, tmp_path):
     (tmp_path / "b.csv").write_text("Stock Code,Invoice No," + rest + "S2,I2,mug,1,2.00,2025-01-01,C1,UK\n")
     rows = read_raw_csv(spark, str(tmp_path)).orderBy("_ord").collect()
     assert [(r.invoice_no, r.stock_code) for r in rows] == [("I1", "S1"), ("I2", "S2")]
+
+
+def test_csv_header_is_read_from_first_bytes(spark, tmp_path):
+    import gzip
+
+    names = ["Invoice No", "Stock Code", "Description", "Quantity", "Unit Price", "Invoice Date", "Customer ID", "Country"]
+    body = "I{0},S{0},mug,1,2.00,2025-01-01,C1,UK\n"
+    folder = tmp_path / "a b ü%20"
+    folder.mkdir()
+    (folder / "x 1.csv").write_text("\n \n" + ",".join(f'"{n}"' for n in names) + "\n" + body.format(1))
+    (folder / "ü#2.csv").write_bytes(b"\xef\xbb\xbf" + ",".join(names).encode() + b"\r\n" + body.format(2).encode())
+    wide = ["n" * 50_000, *names]  # longer than a block, another order of columns
+    (folder / "p+q.csv").write_text(",".join(wide) + "\n" + "z," + body.format(3))
+    with gzip.open(folder / "z.csv.gz", "wt") as f:
+        f.write(",".join(names) + "\n" + body.format(4))
+    (folder / "empty.csv").write_text("")
+    rows = read_raw_csv(spark, str(folder)).collect()
+    assert sorted((r.invoice_no, r.stock_code, r.country) for r in rows) == [(f"I{i}", f"S{i}", "UK") for i in range(1, 5)]
+    assert len({r._ord for r in rows}) == 4
+
+
+def test_csv_header_with_line_break(spark, tmp_path):
+    names = "invoice_no,stock_code,description,quantity,unit_price,invoice_date,customer_id,country"
+    path = _write(tmp_path, "n.csv", names + ',"a\nnote"\nI1,S1,mug,1,2.00,2025-01-01,C1,UK,x\n')
+    with pytest.raises(ValueError, match="line break"):
+        read_raw_csv(spark, path)
+    assert [r.invoice_no for r in read_raw_csv(spark, path, multiline=True).collect()] == ["I1"]
+    for text in ("", "\n\n", '"no end\n'):
+        with pytest.raises(ValueError):
+            read_raw_csv(spark, _write(tmp_path, "odd.csv", text))
