@@ -35,7 +35,8 @@ BATCH_CHARS = 2_000_000  # texts whose new words are scored together, in charact
 UNDETERMINED = "und"
 # A text is unlike a language if a letter's log-probability is further below the median of the
 # language's own texts than SPREADS times the way from there to their LOW_SHARE quantile (at least MARGIN).
-SPREADS, LOW_SHARE, MARGIN = 3.5, 0.01, 3.0
+# A whole text may fall short of that by ALLOWED besides: a key or a name in a short text isn't noise.
+SPREADS, LOW_SHARE, MARGIN, ALLOWED = 3.5, 0.01, 3.0, 60.0
 
 
 def load_pieces(path: str) -> list[str]:
@@ -166,8 +167,8 @@ class Scorer:
                     if min(sums) > LEAST:
                         self.known[w] = tuple(map(math.log, sums))
 
-    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float, float]]:
-        """(language, its posterior under equal priors, log-probability a letter in it) of each text."""
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float, float, int]]:
+        """(language, its posterior under equal priors, log-probability in it, letters) of each text."""
         out, waiting, size = [], [], 0
         for k, text in enumerate(texts):
             waiting.append(Counter(words_of(text)))
@@ -179,23 +180,23 @@ class Scorer:
                 waiting, size = [], 0
         return out
 
-    def predict(self, text: str | None) -> tuple[str, float, float]:
+    def predict(self, text: str | None) -> tuple[str, float, float, int]:
         return self.predict_all([text])[0]
 
-    def total(self, words: Counter) -> tuple[str, float, float]:
+    def total(self, words: Counter) -> tuple[str, float, float, int]:
         if not self.langs or not any(any(map(str.isalpha, w)) for w in words):
-            return UNDETERMINED, 0.0, 0.0
+            return UNDETERMINED, 0.0, 0.0, 0
         counts = np.fromiter(words.values(), np.float64, len(words))
         total = (np.array([self.word(w) for w in words]) * counts[:, None]).sum(axis=0).tolist()
         best = max(range(len(total)), key=lambda k: total[k])
         letters = sum(len(w) * n for w, n in words.items())
-        return self.langs[best], 1 / sum(math.exp(max(-700.0, t - total[best])) for t in total), total[best] / letters
+        return self.langs[best], 1 / sum(math.exp(max(-700.0, t - total[best])) for t in total), total[best], letters
 
 
 def least_likely(texts: list[str], lang: str, prob: dict[str, float]) -> float:
     """The least log-probability a letter that a text of the language has, judged by its own texts."""
     told = Scorer([lang], {p: (x,) for p, x in prob.items()}).predict_all(texts)
-    own = np.array([x[2] for x in told if x[0] == lang])
+    own = np.array([x[2] / x[3] for x in told if x[0] == lang])
     if not len(own):
         return -math.inf
     middle = float(np.median(own))
@@ -217,7 +218,7 @@ def predictor(model_id: str, told, bounds: dict[str, float] | None):
             names = [c for c in b.schema.names if c != "_text"]
             found = {"lang_pred": pa.array([g[0] for g in got], pa.string()), "score": pa.array([g[1] for g in got], pa.float64())}
             if bounds is not None:
-                found["likely"] = pa.array([g[0] in bounds and g[2] >= bounds[g[0]] for g in got], pa.bool_())
+                found["likely"] = pa.array([g[0] in bounds and g[2] >= bounds[g[0]] * g[3] - ALLOWED for g in got], pa.bool_())
             yield pa.RecordBatch.from_arrays([*map(b.column, names), *found.values()], [*names, *found])
     return run
 
