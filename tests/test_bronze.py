@@ -59,3 +59,27 @@ def test_number_and_zone_text(spark):
     dates = spark.createDataFrame([("2025-01-02T03:04:05Z",), ("2025-01-02 03:04+02:00",), ("2025-01-02",), ("2025-01-02Z",)], "v string")
     assert [str(r[0]) for r in dates.select(to_iso_timestamp(F.col("v"))).collect()] == [
         "2025-01-02 03:04:05", "2025-01-02 03:04:00", "2025-01-02 00:00:00", "None"]
+
+
+def test_short_ways_of_coercion_equal_the_long_ones(spark):
+    """Texts that need no stripping and bare dates skip the scan and the pattern; nothing else may."""
+    from pyspark.sql import functions as F
+
+    from lakestar.functions import coerce
+
+    texts = ["", " ", "a", "a ", " a", "a　", "　", "é", "é ", " é", "~a!", "\u007f", "2025-01-02", "2025-1-002",
+             "2025-01-2 ", " 2025-01-2", "2025-01-1T", "2025-01-T1", "+025-01-02", "-025-01-02", "2025-02-30", "2025-01-0٣", "20a5-01-02",
+             "2025- 1-02", "2025-01-+2", "9999-12-31", "0000-01-01", " 2025-01-02 ", "2025-01-02T03:04", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    trim = F.btrim("t", F.lit(coerce.UNICODE_WHITESPACE))
+    got = df.select("t", trim.eqNullSafe(coerce.unicode_trim(F.col("t"))).alias("a"),
+                    F.nullif(trim, F.lit("")).eqNullSafe(coerce.trim_to_null(F.col("t"))).alias("b"),
+                    coerce._patterned_timestamp(F.col("t")).eqNullSafe(coerce.to_iso_timestamp(F.col("t"))).alias("c")).collect()
+    assert [r.t for r in got if not (r.a and r.b and r.c)] == []
+
+
+def test_generated_methods_stay_small_enough_to_be_compiled(spark):
+    from lakestar.session import apply_defaults
+
+    apply_defaults(spark)
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
