@@ -69,3 +69,21 @@ def test_first_valid_row_sets_dimension_attributes(spark):
     assert (p.description, p.unit_price, p.category) == ("first-valid", Decimal("2.00"), "Uncategorised")
     # the fact keeps each line's own price
     assert sorted(r.unit_price for r in s.fact_sales.collect()) == [Decimal("2.00"), Decimal("3.00")]
+
+
+def test_dates_are_staged_once(star):
+    assert star.dim_date.inputFiles() and all("/dates-" in f for f in star.dim_date.inputFiles())
+
+
+def test_lines_are_not_shuffled_by_customer(spark):
+    """Orders meet their customers first: no line, and no text, crosses that join's shuffle."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = raw_order_lines(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    at = next(i for i, x in enumerate(plan) if "Exchange hashpartitioning(o_custkey" in x)
+    depth = plan[at].index("Exchange")
+    below = [x for x in plan[at + 1:at + 8] if len(x) - len(x.lstrip(" :+-")) > depth]
+    assert below and not any("l_orderkey" in x for x in below)
