@@ -216,3 +216,22 @@ def test_retries_are_bounded(spark, winter, monkeypatch):
     monkeypatch.setattr(Warehouse, "publish", always)
     with pytest.raises(Conflict):
         loads.load_star(winter, star_of(spark, sale("q1", "lamp-1", "ann", "2031-07-01")), "append", FEB, retries=2)
+
+
+def test_rekeyed_lines_are_files_not_cached_blocks(spark, winter):
+    other = star_of(spark, sale("a9", "lamp-1", "ann", "2031-03-01"))
+    lines, n = rekey(other.lines, winter.read("dim_product"), winter.read("dim_customer"), with_count=True)
+    assert n == 1 and not lines.storageLevel.useMemory and not lines.storageLevel.useDisk
+    assert all("rekeyed-" in f for f in lines.inputFiles()) and lines.inputFiles()
+
+
+def test_merged_lines_are_written_without_a_sort_by_new(spark, winter):
+    from lakestar.operators.merge import merge_facts
+    from lakestar.schema import FACT_SALES
+
+    star = star_of(spark, sale("a1", "lamp-1", "ann", "2031-01-03", qty="5"), sale("z9", "lamp-1", "ann", "2031-01-04"))
+    lines = rekey(star.lines, winter.read("dim_product"), winter.read("dim_customer"))
+    merged, new, updated = merge_facts(winter.read("fact_sales"), lines, list(FACT_SALES.natural_key), 4)
+    assert (new, updated) == (1, 1) and not any("_new=" in f for f in merged.inputFiles())
+    assert {(r.sale_id, r.invoice_no, r.quantity) for r in merged.collect()} == {
+        (1, "a1", 5), (2, "a1", 1), (3, "b7", 3), (4, "c4", 1), (5, "z9", 1)}
