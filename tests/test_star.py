@@ -87,3 +87,23 @@ def test_lines_are_not_shuffled_by_customer(spark):
     depth = plan[at].index("Exchange")
     below = [x for x in plan[at + 1:at + 8] if len(x) - len(x.lstrip(" :+-")) > depth]
     assert below and not any("l_orderkey" in x for x in below)
+
+
+def test_lines_are_sorted_by_numbers_only(spark):
+    """First lines and file measures must not sort all lines: their minima are of longs, or of a task's few files."""
+    from lakestar.operators.star import first_rows
+
+    s = build_star(to_bronze(raw_rows(spark, [line(), line(invoice="INV2", desc="Y", price="2.00")])))
+    assert dict(s.lines.dtypes)["_ord"] == "bigint" and "fact_sales" not in vars(s)
+    plan = first_rows(s.lines, "stock_code", ["description", "unit_price"])._jdf.queryExecution().executedPlan().toString()
+    lowest = [x for x in plan.split("\n") if "Aggregate(" in x][-1]
+    assert "HashAggregate(" in lowest and "partial_min(_ord" in lowest and "struct" not in lowest
+    assert s.total_revenue().first()[0] == s.fact_sales.selectExpr("sum(revenue)").first()[0] == Decimal("12.00")
+
+
+def test_first_line_among_equal_ordinals(spark):
+    """Lines of one ordinal: the least attributes win, as in a minimum over (ordinal, attributes)."""
+    raw = raw_rows(spark, [line(invoice="A", desc="y", country="UK"), line(invoice="B", desc="x", country="FR")])
+    s = build_star(to_bronze(raw.withColumn("_ord", F.lit("same"))))
+    assert s.dim_product.first().description == "x" and s.dim_customer.first().country == "FR"
+    assert s.fact_sales.count() == 2
