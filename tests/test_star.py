@@ -107,3 +107,11 @@ def test_first_line_among_equal_ordinals(spark):
     s = build_star(to_bronze(raw.withColumn("_ord", F.lit("same"))))
     assert s.dim_product.first().description == "x" and s.dim_customer.first().country == "FR"
     assert s.fact_sales.count() == 2
+
+
+def test_a_code_with_two_categories_has_two_products(spark):
+    """Its lines come once for each product, with numbers, rows and revenue of their own."""
+    categories = spark.createDataFrame([("SKU-1", "a"), ("SKU-1", "b")], "stock_code string, category string")
+    s = build_star(to_bronze(raw_rows(spark, [line(), line(invoice="INV2", stock="SKU-2", price="5.00")])), categories)
+    assert sorted(r.sale_id for r in s.fact_sales.collect()) == [1, 2, 3] and s.known_rows["fact_sales"] == 3
+    assert s.total_revenue().first()[0] == Decimal("25.00")
