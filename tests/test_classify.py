@@ -65,3 +65,12 @@ def test_equal_hashes_are_no_duplicates(spark, monkeypatch):
     assert n == 2 and {(r._g_invoice_no, r._n, r._first_ord) for r in groups.collect()} == {("A", 2, "00000000"), ("C", 2, "00000003")}
     flags = {r._ord: r._is_dup for r in K.duplicate_flags(bronze, groups=(groups, n)).collect()}
     assert flags == {"00000000": False, "00000001": False, "00000002": True, "00000003": False, "00000004": True}
+
+
+def test_amount_out_of_range_agrees_with_the_product(spark):
+    from lakestar.functions.money import amount_out_of_range, line_revenue
+
+    rows = [(q, p) for q in (None, 0, 1, -1, 99, -99, 100, -100, 101, 10**12, 9223372036854775807)
+            for p in (None, "0.00", "0.01", "9999999999.99", "-9999999999.99", "9900990099.00")]
+    df = spark.createDataFrame(rows, "q long, t string").withColumn("p", F.col("t").cast("decimal(12,2)"))
+    assert df.where(amount_out_of_range(F.col("q"), F.col("p")) != line_revenue(F.col("q"), F.col("p")).isNull()).count() == 0
