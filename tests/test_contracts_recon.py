@@ -115,3 +115,15 @@ def test_failed_load_does_not_block_the_next(spark, scratch):
     assert wh.version() == 0
     assert load_star(wh, good, "replace").version == 1
     assert wh.read("fact_sales").count() == 2
+
+
+def test_keys_of_several_columns_are_counted_by_a_hash(spark):
+    from lakestar.operators.contracts import unique_violations
+    from lakestar.schema import FACT_SALES
+
+    rows = [(i, p, inv, day) for i, (p, inv, day) in enumerate(
+        [(1, "a", 20310101)] * 3 + [(1, "a", 20310102), (None, "a", 20310101), (None, "a", 20310101), (2, None, 20310101)])]
+    df = spark.createDataFrame(rows + [(0, 9, "z", 20310101)], "sale_id long, product_key long, invoice_no string, date_key int")
+    found = {r.constraint_name: r.violations for r in unique_violations(df, FACT_SALES).collect()}
+    assert found == {"pk(sale_id)": 1, "unique(invoice_no,product_key,date_key)": 3}
+    assert "xxhash64" in unique_violations(df, FACT_SALES)._jdf.queryExecution().toString()
