@@ -235,3 +235,25 @@ def test_merged_lines_are_written_without_a_sort_by_new(spark, winter):
     assert (new, updated) == (1, 1) and not any("_new=" in f for f in merged.inputFiles())
     assert {(r.sale_id, r.invoice_no, r.quantity) for r in merged.collect()} == {
         (1, "a1", 5), (2, "a1", 1), (3, "b7", 3), (4, "c4", 1), (5, "z9", 1)}
+
+
+@pytest.mark.parametrize("mode", ["append", "merge"])
+def test_lines_of_a_first_batch_are_numbered_by_their_places(spark, scratch, monkeypatch, mode):
+    """Into an empty fact no line is joined or sorted again; ids follow the ingest order."""
+    def never(*args, **kwargs):
+        raise AssertionError("joined or sorted")
+
+    monkeypatch.setattr(loads, "merge_facts", never)
+    monkeypatch.setattr(loads, "continue_numbering", never)
+    rows = [sale(f"n{i % 7}", f"lamp-{i}", "ann", f"2031-0{1 + i % 3}-05", price="x" if i % 10 == 0 else "4.00") for i in range(40)]
+    wh = Warehouse(spark, scratch)
+    done = load_star(wh, star_of(spark, *rows), mode, JAN)
+    want = {(f"n{i % 7}", f"lamp-{i}"): n for n, i in enumerate((i for i in range(40) if i % 10), 1)}
+    assert {k: r.sale_id for k, r in facts(wh).items()} == want
+    assert done.inserted["fact_sales"] == 36 and done.updated.get("fact_sales", 0) == 0 and done.late_rows_skipped == 0
+
+
+def test_lines_that_come_twice_are_not_numbered_by_place(spark):
+    star = star_of(spark, sale("a1", "lamp-1", "ann", "2031-01-03"), sale("a2", "lamp-1", "ann", "2031-01-03"))
+    assert loads.number_all_new(star, star.lines, 2, 5).df.select("sale_id").orderBy("sale_id").collect() == [(6,), (7,)]
+    assert loads.number_all_new(star, star.lines.union(star.lines), 4, 5) is None
