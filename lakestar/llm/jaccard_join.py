@@ -56,7 +56,7 @@ MAP_PAIRS = 1 << 20  # surviving pairs held before they are joined up
 SLICE = 500_000  # shingles of a block that are counted at once
 BATCH_BYTES = 16 << 20  # of sets in one Arrow batch, about
 COMMON = 16  # sets of a block that share a shingle for it to be a matrix column
-WORD_CACHE = 1_000_000
+WORD_CACHE = 250_000  # about 150 bytes each, in every worker
 FILTER_BITS = 24  # of the table of ids whose sets are wanted
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 ODD = [np.uint64(0xBF58476D1CE4E5B9 + 0x632BE59BD9B4E01A * 2 * i & 0xFFFFFFFFFFFFFFFF) for i in range(MINIMA)]

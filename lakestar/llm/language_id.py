@@ -27,7 +27,8 @@ START = "▁"  # marks the start of a word in the vocabulary
 UNKNOWN = 1e-7  # probability of a character that no piece covers
 LOW, LIFT = 1e-150, 1e150
 LEAST = 1e-290
-CACHE_WORDS = 800_000
+CACHE_WORDS = 300_000  # scored words that a worker keeps, about 200 bytes each
+CACHE_VALUES = 4_000_000  # log-probabilities of those, 8 bytes each
 CACHE_CHARS = 40  # longer words are scored anew each time
 SHORT = 4  # characters of a substring that is often a piece, below
 TOGETHER = 2_000  # words whose forward passes run as one
@@ -100,15 +101,19 @@ class Scorer:
     """Log-probabilities of words by language, by the scaled forward pass."""
 
     def __init__(self, langs: list[str], table: dict[str, tuple]):
-        self.langs, self.table, self.known = langs, table, {}
+        self.langs, self.table = langs, table
+        # Words that have been scored, by their rows in ``sums`` (a tuple of floats each takes nearly twice the memory).
+        self.known: dict[str, int] = {}
+        self.sums, self.uses = np.empty((1, len(langs))), np.zeros(1, "i8")
+        self.most = min(CACHE_WORDS, CACHE_VALUES // max(1, len(langs)))
         self.longest = max(map(len, table), default=1)
         self.rows = {p: i for i, p in enumerate(table)}
         # Two rows more: a character that no piece covers, and no piece at all.
         self.probs = np.array([*table.values(), (UNKNOWN,) * len(langs), (0.0,) * len(langs)], np.float64).reshape(len(table) + 2, len(langs))
 
     def word(self, w: str) -> tuple:
-        if (got := self.known.get(w)) is not None:
-            return got
+        if (at := self.known.get(w)) is not None:
+            return tuple(self.sums[at].tolist())
         word, n = START + w, len(w) + 1
         found, lost = [], (UNKNOWN,) * len(self.langs)
         table = self.table
@@ -131,19 +136,35 @@ class Scorer:
                     at = j
                 f[j] += f[i] * p[k]
             out.append(math.log(f[n]) + log if f[n] > 0 else -1e3)
-        got = tuple(out)
         if len(w) <= CACHE_CHARS:
-            if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
-            self.known[w] = got
-        return got
+            self.keep([w], [out])
+        return tuple(out)
+
+    def keep(self, words: list[str], logs: list[list[float]]) -> None:
+        """Remember the log-probabilities of words that aren't known yet."""
+        n, end = len(self.known), len(self.known) + len(words)
+        if end > len(self.sums):
+            more = max(end, 2 * len(self.sums)) - n
+            self.sums = np.concatenate([self.sums[:n], np.empty((more, len(self.langs)))])
+            self.uses = np.concatenate([self.uses[:n], np.zeros(more, "i8")])
+        self.sums[n:end], self.uses[n:end] = logs, 0
+        self.known.update(zip(words, range(n, end)))
+
+    def forget(self) -> None:
+        """Drop all but the words of the most texts, half as many as are kept at most."""
+        rows = np.sort(np.argsort(-self.uses[:len(self.known)], kind="stable")[:self.most // 2])
+        words = list(self.known)  # in the order of their rows
+        self.known = {words[row]: i for i, row in enumerate(rows.tolist())}
+        self.sums, self.uses = self.sums[rows], self.uses[rows] // 2
 
     def score_new(self, words: set[str]) -> None:
         """Score the words that aren't known yet: those of a length in one
         forward pass over arrays (words by languages). A word whose sums come
-        near the least number, or one too long to be kept, is left to ``word``."""
-        if len(self.known) >= CACHE_WORDS:
-            self.known.clear()
+        near the least number, or one too long to be kept, is left to ``word``.
+        The only place that forgets words, so that those of a batch stay until
+        its texts are summed."""
+        if len(self.known) >= self.most:
+            self.forget()
         by_size: dict[int, list[str]] = {}
         for w in words:
             if len(w) <= CACHE_CHARS and w not in self.known:
@@ -163,9 +184,9 @@ class Scorer:
                             f[j] += f[i] * self.probs[pieces]
                         elif len(hits := np.flatnonzero(pieces != none)):  # few of the longer substrings are pieces
                             f[j, hits] += f[i, hits] * self.probs[pieces[hits]]
-                for w, sums in zip(some, f[-1].tolist()):
-                    if min(sums) > LEAST:
-                        self.known[w] = tuple(map(math.log, sums))
+                told = [(w, list(map(math.log, sums))) for w, sums in zip(some, f[-1].tolist()) if min(sums) > LEAST]
+                if told:
+                    self.keep(*map(list, zip(*told)))
 
     def predict_all(self, texts: list[str | None]) -> list[tuple[str, float, float, int]]:
         """(language, its posterior under equal priors, log-probability in it, letters) of each text."""
@@ -187,7 +208,14 @@ class Scorer:
         if not self.langs or not any(any(map(str.isalpha, w)) for w in words):
             return UNDETERMINED, 0.0, 0.0, 0
         counts = np.fromiter(words.values(), np.float64, len(words))
-        total = (np.array([self.word(w) for w in words]) * counts[:, None]).sum(axis=0).tolist()
+        rows = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        told = rows >= 0
+        self.uses[rows[told]] += 1
+        logs = np.empty((len(rows), len(self.langs)))
+        logs[told] = self.sums[rows[told]]
+        if not told.all():
+            logs[~told] = [self.word(w) for w, known in zip(words, told) if not known]
+        total = (logs * counts[:, None]).sum(axis=0).tolist()
         best = max(range(len(total)), key=lambda k: total[k])
         letters = sum(len(w) * n for w, n in words.items())
         return self.langs[best], 1 / sum(math.exp(max(-700.0, t - total[best])) for t in total), total[best], letters

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -152,6 +153,27 @@ def test_words_are_scored_alike_alone_and_together():
     assert together.predict_all(texts) == [fresh.predict(t) for t in texts]
 
 
+def test_scored_words_take_little_memory(monkeypatch):
+    words = {"".join(random.Random(i).choices("abcdefgh", k=12)) for i in range(20_000)}
+    scorer = language_id.Scorer(list("wxyz"), {"▁a": (0.1, 0.2, 0.3, 0.4), "b": (0.4, 0.3, 0.2, 0.1)})
+    tracemalloc.start()
+    scorer.score_new(words)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(scorer.known) == len(words) and held < 160 * len(words)
+    assert language_id.Scorer([str(i) for i in range(400)], {"a": (0.1,) * 400}).most <= 10_000
+
+    # Whatever is kept, texts are scored alike; words of many texts stay.
+    table = {p: (0.1 * i + 0.01, 0.02) for i, p in enumerate(["▁", "a", "b", "ab", "▁ba"])}
+    rng = random.Random(3)
+    texts = ["abba " + " ".join("".join(rng.choices("abc", k=9)) for _ in range(12)) for _ in range(200)]
+    want = language_id.Scorer(["x", "y"], table).predict_all(texts)
+    monkeypatch.setattr(language_id, "CACHE_WORDS", 50)
+    monkeypatch.setattr(language_id, "BATCH_CHARS", 500)
+    small = language_id.Scorer(["x", "y"], table)
+    assert small.predict_all(texts) == want and len(small.known) < 150 and "abba" in small.known
+
+
 def test_forward_sums_all_segmentations():
     table = {"▁": (0.1,), "a": (0.2,), "aa": (0.3,), "▁a": (0.05,)}
 
