@@ -149,6 +149,36 @@ def test_lm_base_matches_the_formula_and_score_follows_exact_counts(spark):
         assert abs(got - want[i, size]) <= 0.03 * abs(want[i, size]) + 0.05
 
 
+def test_lm_knows_every_context_by_its_own_count(spark):
+    """470,000 different words of counts 1, 2 and 3: each count is a class of contexts of its own."""
+    words = [f"a{i}" for i in range(100_000)] + 2 * [f"b{i}" for i in range(100_000)] + 3 * [f"c{i}" for i in range(270_000)]
+    random.Random(4).shuffle(words)
+    kept = [i for i in range(1_000) if not is_out(i)][:100]
+    size = len(words) // len(kept)
+    rows = [(i, " ".join(words[k * size:(k + 1) * size]), "en") for k, i in enumerate(kept)]
+    model = bloom_lm.train(frame(spark, rows), segment_bytes=2_000_000)
+    assert model.different == 470_001 and model.count > 1
+    assert (model.weights[[1, 2, 3]] > 0).all() and model.weights[0] == 0
+    assert list(model.context_counts[1:4]) == [1.0, 2.0, 3.0]
+
+
+def test_lm_is_the_same_when_no_worker_holds_the_words(spark):
+    rows = [(r.doc_id, r.text, r.lang) for r in documents(spark).limit(200).collect()]
+    rows += [(None, "null id", "en"), (7, None, "en"), (7, "", None), (9_003, "Long text. " * 20_000, "en")]
+    df = frame(spark, rows)
+    here = bloom_lm.train(df, segment_bytes=50_000, chunk_tokens=3_000)
+    away = bloom_lm.train(df, segment_bytes=50_000, chunk_tokens=2_000, broadcast_bytes=0, salts=3)
+    assert here.count > 2 and (here.weights == away.weights).all() and here.size() == away.size()
+
+    def scores(model, **how):
+        return sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6))
+                      for r in bloom_lm.score(df, model, chunk_tokens=2_500, **how).collect())
+
+    words_only = bloom_lm.WORD_BYTES * here.different
+    assert words_only < here.size()
+    assert scores(here) == scores(away) == scores(away, broadcast_bytes=0, salts=3) == scores(here, broadcast_bytes=words_only)
+
+
 def test_lm_beats_its_base_on_held_out_order(spark):
     rng = random.Random(8)
     follow = {w: [f"w{rng.randrange(200)}" for _ in range(3)] for w in (f"w{i}" for i in range(200))}
