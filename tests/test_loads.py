@@ -257,3 +257,30 @@ def test_lines_that_come_twice_are_not_numbered_by_place(spark):
     star = star_of(spark, sale("a1", "lamp-1", "ann", "2031-01-03"), sale("a2", "lamp-1", "ann", "2031-01-03"))
     assert loads.number_all_new(star, star.lines, 2, 5).df.select("sale_id").orderBy("sale_id").collect() == [(6,), (7,)]
     assert loads.number_all_new(star, star.lines.union(star.lines), 4, 5) is None
+
+
+@pytest.mark.parametrize("mode", ["append", "merge"])
+def test_loads_leave_no_shuffle_files_and_no_lines_of_their_own(spark, scratch, mode):
+    """Shuffle files go with their query, re-keyed and merged lines with their load; the star stays readable."""
+    import glob
+    import os
+
+    from lakestar.session import apply_defaults, ensure_checkpoint_dir
+
+    apply_defaults(spark)
+    top = ensure_checkpoint_dir(spark).split(":", 1)[-1].replace("//", "/")
+    kept = lambda: {x for name in ("merged-*", "lakestar-stage/rekeyed-*") for x in glob.glob(f"{top}/{name}")}
+    before = kept()
+    wh = Warehouse(spark, scratch)
+    rows = [line(f"I{i}", f"S{i % 9}", qty=str(i % 5 + 1), date=f"2025-0{i % 3 + 1}-10", cust=f"C{i % 7}") for i in range(200)]
+    for n in (150, 200):
+        star = build_star(to_bronze(raw_rows(spark, rows[:n])))
+        load_star(wh, star, mode, MAR)
+    assert os.path.isdir(top) and kept() == before
+    assert star.lines.count() == 200 and wh.read("fact_sales").count() == (200 if mode == "merge" else 150)
+
+    local = spark._jsc.sc().env().blockManager().diskBlockManager().localDirs()
+    star.lines.groupBy("customer_id").count().write.parquet(f"{scratch}/counted")
+    newest = max(os.path.getmtime(x) for x in glob.glob(f"{scratch}/counted/*"))
+    left = [f for x in local for f in glob.glob(f"{x.getPath()}/*/shuffle_*") if os.path.getmtime(f) > newest - 0.5]
+    assert not left
