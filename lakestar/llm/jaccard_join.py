@@ -10,7 +10,10 @@ Relations in Exact Set Similarity Join", PVLDB 10(9), 2017):
 * Sets highly similar to another, by agreeing minima of hashes, hang on it
   as members of a centre and have its candidates: lists hold one entry a
   centre, so a large group of near copies is one entry. Candidates make
-  families, and only sets of a family are compared.
+  families, and only sets of a family are compared. Before that, candidate
+  pairs of few members each are tested by bit maps (see below) pair by pair:
+  sets that meet by chance grow with the square of the documents, and beyond
+  about one for each document they would tie all of them into one family.
 * A family's sets first meet as bit maps of two to four bits a shingle. The
   bits that two maps share, and the shingles that fell on a taken bit of the
   set with fewer of those, are never fewer than the shingles that the sets
@@ -20,8 +23,9 @@ Relations in Exact Set Similarity Join", PVLDB 10(9), 2017):
   with the others are derived from them by the shingles that the others
   have more or less: o(y, w) = o(x, w) + |(y - x) w| - |(x - y) w|.
 
-Pairs are never rows: list groups return which centres hang together, blocks
-which sets are linked, one row a set.
+Pairs of large groups are never rows: list groups return which centres hang
+together where they have many pairs a centre, blocks which sets are linked,
+one row a set.
 
 Equal sets are one class from the start. All sets are 64-bit hashes of the
 shingles; a class is told by a 64-bit hash of its set and the set's size.
@@ -53,6 +57,8 @@ MAP_BLOCK = 4_096  # bit maps of a family that are compared at once
 MAP_BLOCK_SHINGLES = 64_000_000  # of their sets, about
 MAP_BIN_SHINGLES = 16_000_000
 MAP_PAIRS = 1 << 20  # surviving pairs held before they are joined up
+TIE_PAIRS = 4  # candidate pairs a centre, on average, up to which a component's pairs are tested one by one
+TIE_MEMBERS = 64  # pairs of two centres' members that are tested, at most
 SLICE = 500_000  # shingles of a block that are counted at once
 BATCH_BYTES = 16 << 20  # of sets in one Arrow batch, about
 COMMON = 16  # sets of a block that share a shingle for it to be a matrix column
@@ -274,8 +280,25 @@ def lowest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[low[moved]]
 
 
+def told_apart(x: np.ndarray, y: np.ndarray):
+    """(a, b, sure) of candidate pairs: the pairs where a component has few of them,
+    else which of its nodes hang together (``sure``, as they aren't tested)."""
+    pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+    x, y = pairs
+    node, root = lowest(x, y)
+    top = np.append(root, 0)[np.searchsorted(node, x)] if len(node) else x
+    top = np.where(np.isin(x, node), top, x)
+    roots, of = np.unique(top, return_inverse=True)
+    nodes = 1 + np.bincount(np.searchsorted(roots, root), minlength=len(roots))
+    dense = np.bincount(of, minlength=len(roots)) > TIE_PAIRS * nodes
+    whole = dense[np.searchsorted(roots, root)]
+    return (np.r_[x[~dense[of]], node[whole]], np.r_[y[~dense[of]], root[whole]],
+            np.r_[np.zeros((~dense[of]).sum(), bool), np.ones(whole.sum(), bool)])
+
+
 def candidates(parts: int):
-    """Which centres hang together by pairs that the lists of this group leave possible."""
+    """Pairs of centres that the lists of this group leave possible, or which
+    centres hang together by them (``sure``) where they are many."""
     def run(key, table):
         part, split = key[0].as_py(), key[1].as_py()
         tok, centre, n, left = unpack(table["blob"].to_pylist())
@@ -298,7 +321,7 @@ def candidates(parts: int):
         place, centre, b, low, high, left, no = (x[order] for x in (place, centre, b, low, high, left, no))
         half = (mixed(centre.astype("u8")) % np.uint64(split)).astype("i8") if split else np.zeros(len(centre), "i8")
         halves = split > 0 and (part - parts >> 21 & 0x1FFFFF) != (part - parts & 0x1FFFFF)
-        found = []
+        found, pairs, held = [], [], 0
         for step in range(BANDS):
             if 2.0 ** ((step - 1) / BANDS) > 4 / 3:
                 break
@@ -312,14 +335,41 @@ def candidates(parts: int):
                       & (3 * low[j] <= 4 * high[i]) & (3 * low[i] <= 4 * high[j]))
                 if halves:  # pairs inside a half belong to another group
                     ok &= half[i] != half[j]
-                x, y = centre[i[ok]], centre[j[ok]]
-                found.append(lowest(x, y))
-        a, b = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, "i8") for k in (0, 1))
+                pairs.append((centre[i[ok]], centre[j[ok]]))
+                held += len(pairs[-1][0])
+                if held > MAP_PAIRS:
+                    found.append(lowest(*map(np.concatenate, zip(*pairs))))
+                    pairs, held = [], 0
+        a, b = (np.concatenate([*(f[k] for f in found), np.zeros(0, "i8")]) for k in (0, 1))
         a, b = lowest(a, b)
-        return pa.table({"a": a, "b": b})
+        x, y, sure = told_apart(*map(np.concatenate, zip(*pairs))) if held else (np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0, bool))
+        return pa.table({"a": np.r_[a, x], "b": np.r_[b, y], "sure": np.r_[np.ones(len(a), bool), sure]})
     return run
 
 
+def most_shared(x: np.ndarray, n: np.ndarray, y: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """The most shingles that sets of sizes n and m with the bit maps x and y can share, row by row."""
+    while x.shape[1] > y.shape[1]:
+        x = fold(x)
+    while y.shape[1] > x.shape[1]:
+        y = fold(y)
+    return np.bitwise_count(x & y).sum(axis=1, dtype="i8") + np.minimum(spilt(x, n), spilt(y, m))
+
+
+def possible(batches):
+    """(a, b) of the rows whose two bit maps leave a link possible."""
+    for batch in batches:
+        a, b, n, m = (np.asarray(batch.column(c)) for c in ("a", "b", "n", "m"))
+        x, y = ([np.frombuffer(v.as_buffer(), "<u8") for v in batch.column(c)] for c in ("x", "y"))
+        width = np.array([len(v) for v in x]) << 32 | np.array([len(v) for v in y], "i8") if len(x) else np.zeros(0, "i8")
+        ok = np.zeros(len(a), bool)
+        for w in np.unique(width):
+            rows = np.flatnonzero(width == w)
+            most = most_shared(np.stack([x[i] for i in rows]), n[rows], np.stack([y[i] for i in rows]), m[rows])
+            ok[rows] = linked(most, n[rows], m[rows])
+        yield pa.RecordBatch.from_arrays([pa.array(a[ok], pa.int64()), pa.array(b[ok], pa.int64())], ["a", "b"])
+
+
 def set_rows(ids: list, sets: list[bytes]) -> pa.RecordBatch:
     sid = [xxhash.xxh3_64_intdigest(h) - (1 << 63) for h in sets]
     return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sid, pa.int64()), pa.array(sets, pa.binary())],
@@ -517,6 +567,34 @@ def meeting(sets: DataFrame, what: str) -> DataFrame:
             .groupBy("group", "l", "g"))
 
 
+def maps_of(summary: DataFrame, wanted: DataFrame, repeated: bool) -> DataFrame:
+    """The classes ``wanted(cid, sid, low, ...)`` with their bit maps."""
+    maps = summary.where("chunk is null").select("doc_id", F.col("sid").alias("doc_sid"), "bits")
+    maps = (maps.join(wanted, maps["doc_id"].eqNullSafe(wanted["low"]) & (maps["doc_sid"] == wanted["sid"]))
+            .drop("doc_id", "doc_sid", "sid", "low"))
+    return maps.dropDuplicates(["cid"]) if repeated else maps
+
+
+def tested_ties(ties: DataFrame, keyed: DataFrame, summary: DataFrame, scratch: Scratch, repeated: bool) -> DataFrame:
+    """The ``ties(a, b, sure)`` of centres without those of which no two members can be linked by their bit maps."""
+    centres = keyed.groupBy("centre").agg(F.count(F.lit(1)).alias("size"))
+    few = F.col("size_a") * F.col("size_b") <= TIE_MEMBERS
+    sized = (ties.where("not sure").join(centres.select(F.col("centre").alias("a"), F.col("size").alias("size_a")), "a")
+             .join(centres.select(F.col("centre").alias("b"), F.col("size").alias("size_b")), "b"))
+    sized = scratch.keep(sized.select("a", "b", few.alias("few")), "tie_sizes")
+    x, y = (keyed.select(F.col("centre").alias(c), F.col("cid").alias(f"cid_{c}"), F.col("n").alias(n)) for c, n in (("a", "n"), ("b", "m")))
+    pairs = (sized.where("few").select("a", "b").join(x, "a").join(y, "b").where("3 * n <= 4 * m and 3 * m <= 4 * n"))
+    pairs = scratch.keep(pairs, "tie_pairs")
+    wanted = pairs.select(F.col("cid_a").alias("cid")).union(pairs.select("cid_b")).distinct()
+    maps = scratch.keep(maps_of(summary, keyed.select("cid", "sid", "low").join(wanted, "cid"), repeated), "tie_maps")
+    both = (pairs.join(maps.select(F.col("cid").alias("cid_a"), F.col("bits").alias("x")), "cid_a")
+            .join(maps.select(F.col("cid").alias("cid_b"), F.col("bits").alias("y")), "cid_b").select("a", "b", "n", "m", "x", "y"))
+    left = both.mapInArrow(possible, "a long, b long").distinct()
+    left = scratch.keep(left.union(sized.where("not few").select("a", "b")).union(ties.where("sure").select("a", "b")), "tested")
+    scratch.drop("tie_sizes", "tie_pairs", "tie_maps")
+    return left
+
+
 def proposals(classes: DataFrame) -> DataFrame:
     """(cid, centre): for each class the smallest class that agrees with it in
     VOTES of the minima, if that is smaller and hangs on none itself."""
@@ -552,7 +630,8 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
                .withColumn("cid", F.monotonically_increasing_id()))
     classes = scratch.keep(classes, "classes")
     counts = shingle_counts(summary)
-    rank = np.floor(2 * np.log2(counts + 1.0)).astype("u1")
+    # In eighths of a doubling: rare shingles must be told from the bucket's other ones.
+    rank = np.minimum(np.floor(8 * np.log2(counts + 1.0)), 255).astype("u1")
     long_lists = np.flatnonzero(counts > HOT_LIST)
     hot = (long_lists.astype("i4"), np.minimum(-(-counts[long_lists].astype("i8") // HOT_LIST), (1 << 21) - 1))
     told = sc.broadcast((rank, hot))
@@ -569,19 +648,16 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     parts = int(max(1, -(-prefix // POSTINGS)))
     lists = (rows.join(keyed, rows["doc_id"].eqNullSafe(keyed["low"])).select("text", "sid", "centre")
              .mapInArrow(postings(told, parts), "part long, split long, blob binary"))
-    ties = lists.groupBy("part", "split").applyInArrow(candidates(parts), "a long, b long").distinct()
-    ties = scratch.keep(ties, "ties")
+    ties = lists.groupBy("part", "split").applyInArrow(candidates(parts), "a long, b long, sure boolean")
+    ties = scratch.keep(ties.groupBy("a", "b").agg(F.max("sure").alias("sure")), "ties")
+    repeated = not per_doc.groupBy("doc_id", "sid").count().where("count > 1").isEmpty()
+    ties = tested_ties(ties, keyed, summary, scratch, repeated)
     hung = keyed.where("cid <> centre").select(F.col("cid").alias("a"), F.col("centre").alias("b"))
     families = scratch.keep(components(ties.union(hung), scratch, "family"), "families")
 
-    repeated = not per_doc.groupBy("doc_id", "sid").count().where("count > 1").isEmpty()
-
     # Bit maps of each family meet block by block; what they leave possible makes smaller families.
     wanted = blocked(families, keyed, scratch, "map", MAP_BLOCK, MAP_BLOCK_SHINGLES, MAP_BIN_SHINGLES)
-    maps = summary.where("chunk is null").select("doc_id", F.col("sid").alias("doc_sid"), "bits")
-    maps = (maps.join(wanted, maps["doc_id"].eqNullSafe(wanted["low"]) & (maps["doc_sid"] == wanted["sid"]))
-            .select("cid", "n", "bits", "group", "blocks"))
-    maps = maps.dropDuplicates(["cid"]) if repeated else maps
+    maps = maps_of(summary, wanted, repeated)
     left = scratch.keep(meeting(maps, "bits").applyInArrow(sift, "cid long, root long"), "left")
     left = components(left.select(F.col("cid").alias("a"), F.col("root").alias("b")), scratch, "left")
     left = scratch.keep(left, "left_families")
@@ -599,7 +675,7 @@ def jaccard_components(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component"))
                    .otherwise(F.col("doc_id")).alias("component_id"), "text_hash", "root"))
     out = scratch.keep(out, "out")
-    scratch.drop("summary", "classes", "near", "keyed", "ties", "families", "map_wanted", "left", "left_families", "set_wanted", "links")
+    scratch.drop("summary", "classes", "near", "keyed", "ties", "tested", "families", "map_wanted", "left", "left_families", "set_wanted", "links")
     return out
 
 

@@ -481,6 +481,54 @@ def sets_of(text):
     return {tuple(w)} if 0 < len(w) < 5 else {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
 
 
+def test_jaccard_sets_that_meet_by_chance_make_no_family(spark, monkeypatch):
+    """A chain of texts that share half of their words with the next one is one family by the lists, but has no link."""
+    blocks = [" ".join(f"w{i}x{j}" for j in range(30)) for i in range(81)]
+    rows = [(i, f"{blocks[i]} {blocks[i + 1]}", "a") for i in range(80)]
+    rows += [(100 + i, rows[7][1] + " more" * i, "a") for i in range(1, 4)]
+    rows += [(200 + i, " ".join(f"v{k}" for k in range(120) if k != 17 * i) + f" end{i}", "a") for i in range(7)]
+    sizes, keep = {}, jaccard_join.Scratch.keep
+
+    def kept(self, df, name):
+        out = keep(self, df, name)
+        if name == "map_sizes":
+            sizes.update({r["family"]: r["m"] for r in out.collect()})
+        return out
+
+    monkeypatch.setattr(jaccard_join.Scratch, "keep", kept)
+    found = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(doc_rows(spark, rows)).collect()}
+    sets = {i: jaccard_join.shingle_set(t) for i, t, _ in rows}
+    links = [(i, j) for i in sets for j in sets if i < j and jaccard_join.linked(
+        len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j]))]
+    assert found == trees(links, sets) and len(links) > 10
+    assert max(sizes.values()) <= 10
+
+
+def test_jaccard_pairs_are_listed_or_tied_but_never_lost():
+    rng = np.random.default_rng(5)
+    some = rng.integers(0, 300, (2, 120))
+    many = 1_000 + np.array([(i, j) for i in range(30) for j in range(i)]).T
+    x, y = np.concatenate([some, many, many[::-1]], axis=1)
+    apart = x != y
+    a, b, sure = jaccard_join.told_apart(x[apart], y[apart])
+    listed = {(i, j) for i, j, s in zip(a.tolist(), b.tolist(), sure) if not s}
+    assert listed == {(min(i, j), max(i, j)) for i, j in some.T.tolist() if i != j}
+    ids = range(1_100)
+    assert trees(zip(a.tolist(), b.tolist()), ids) == trees(zip(x.tolist(), y.tolist()), ids)
+    assert sure.sum() == 29
+    for z in jaccard_join.told_apart(np.zeros(0, "i8"), np.zeros(0, "i8")):
+        assert not len(z)
+
+
+def test_jaccard_bit_maps_bound_the_overlap_of_a_pair():
+    rng = np.random.default_rng(6)
+    for n, m, common in ((40, 50, 35), (64, 65, 60), (200, 260, 199), (1, 1, 1), (30, 40, 0)):
+        h = rng.integers(0, 1 << 63, n + m, dtype=np.int64).astype("u8")
+        x, y = np.unique(h[:n]), np.unique(np.r_[h[:common], h[n:n + m - common]])
+        most = jaccard_join.most_shared(jaccard_join.bit_map(x)[None], np.array([len(x)]), jaccard_join.bit_map(y)[None], np.array([len(y)]))
+        assert len(np.intersect1d(x, y)) <= most[0]
+
+
 @pytest.mark.parametrize("small", [False, True])
 def test_jaccard_matches_brute_force(spark, monkeypatch, small):
     rng = random.Random(9)
